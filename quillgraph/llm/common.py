@@ -10,6 +10,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,7 +82,7 @@ def sub_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = STE
         if not batch.num_rows:
             continue
         text = batch.column(column)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(text), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
         for a, b in steps(sizes, limit):
             yield batch.slice(a, b - a)
 
