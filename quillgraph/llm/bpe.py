@@ -48,7 +48,7 @@ LETTERS_16 = [
 NUMBERS_16 = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
 
 #: Pieces that the cache of one worker holds before it starts anew.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 
 
 @lru_cache(maxsize=1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, media, secret_ledger
+from . import bpe, media, secret_ledger, setsketch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op4_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), 85, 100)
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.report(_table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,7 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe": op2_bpe,
+        "op4_setsketch": op4_setsketch,
         "op5_secrets": op5_secrets,
         "op9_media": op9_media,
     }
