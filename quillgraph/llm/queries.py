@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, media, secret_ledger, setsketch
+from . import bpe, langid, media, secret_ledger, setsketch, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op4_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), 85, 100)
 
@@ -26,6 +30,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.report(_table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_held_out(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(_table(spark, sf_dir, "documents"))
 
@@ -33,8 +41,10 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe": op2_bpe,
+        "op3_langid": op3_langid,
         "op4_setsketch": op4_setsketch,
         "op5_secrets": op5_secrets,
+        "op7_toxicity": op7_toxicity,
         "op9_media": op9_media,
     }
 
