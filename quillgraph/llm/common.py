@@ -36,14 +36,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return posixpath.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 
     A lost executor costs only tasks of the current step, not what came before it.
+    ``narrow`` is for tables of a few bytes per document: they go to a sixteenth of the
+    shuffle partitions, as many small files cost more than their rows.
     """
-    path = fresh_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    if narrow:
+        df = df.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 16))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def crc32_mod(column: str, m: int) -> Column:

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+def _state(edges: DataFrame) -> tuple:
+    """Number and checksum of the edges."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, label (the smallest node reachable) of every node in ``links`` (a long, b long).
 
@@ -15,19 +20,14 @@ def components(links: DataFrame) -> DataFrame:
     shared folder, so lineage stays short and a lost executor costs one step. Hot nodes
     are pre-aggregated (a minimum) and joined back, which AQE may split. No links give no rows.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    edges = materialize(edges, "edges")
-    last = None
-    while True:
+    edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges", narrow=True)
+    before, now = None, _state(edges)
+    while now != before:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        large = materialize(large, "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        edges = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == last:
-            break
-        last = state
+        edges = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges", narrow=True)
+        before, now = now, _state(edges)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

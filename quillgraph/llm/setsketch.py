@@ -207,7 +207,7 @@ class _Linker:
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked)], ["a", "b", "linked"])
 
         both = pairs.join(self._side(self.sets, "b", "shingles"), "b").join(self._side(self.sets, "a", "shingles"), "a")
-        return materialize(both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(run, "a long, b long, linked boolean"), "judged")
+        return materialize(both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(run, "a long, b long, linked boolean"), "judged", narrow=True)
 
 
 def _mixed(live: DataFrame, labels: DataFrame) -> DataFrame:
