@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, media, secret_ledger, setsketch, toxicity
+from . import bpe, langid, media, secret_ledger, setsketch, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +34,18 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_held_out(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(_table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe": op2_bpe,
@@ -45,7 +53,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_setsketch": op4_setsketch,
         "op5_secrets": op5_secrets,
         "op7_toxicity": op7_toxicity,
+        "op8_token_store": op8_token_store,
         "op9_media": op9_media,
+        "op10_warc": op10_warc,
     }
 
 
