@@ -10,9 +10,10 @@ Equal sets collapse into one class. Classes meet in buckets of equal register ba
 bands only propose pairs. A pair is estimated jointly by maximum likelihood from how
 many registers are greater, equal and smaller, and what can reach the threshold is
 confirmed on the full sets. Buckets are never expanded into all pairs: each class is
-first compared with its best pivot, linked classes contract to components, further
-rounds compare with other pivots, and only pairs between different components that
-still share a bucket are then enumerated, in blocks.
+first compared with its best pivot, then with the pivots of buckets that still hold
+several components; linked classes contract to components at each step. What then still
+shares a bucket across components is compared in blocks: registers first, and the full
+sets of a whole component where a class comes near it.
 
 Defined results: null and empty texts have no shingles, link with nothing and are kept;
 a null doc_id links with nothing and is its own (null) component; repeated rows get the
@@ -217,19 +218,21 @@ def _mixed(live: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.join(several.select("bucket"), "bucket")
 
 
-def _pivot_pairs(rows: DataFrame, order: F.Column) -> DataFrame:
-    """Pairs of each class with the pivot of its bucket, where their components differ."""
-    pivot = rows.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), F.col("rep").alias("pivot"), F.col("comp").alias("pivot_comp"))).alias("p"))
+def _pivot_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of each class with the smallest of its bucket, where their components differ."""
+    pivot = rows.groupBy("bucket").agg(F.min(F.struct(F.col("rep").alias("pivot"), F.col("comp").alias("pivot_comp"))).alias("p"))
     pairs = rows.join(pivot, "bucket").filter("rep <> p.pivot and comp <> p.pivot_comp")
     return pairs.select(F.least("rep", "p.pivot").alias("a"), F.greatest("rep", "p.pivot").alias("b"))
 
 
-def _cross_pairs(rows: DataFrame, classes: DataFrame, linker: _Linker) -> DataFrame:
-    """Pairs of different components within a bucket, enumerated block against block.
+def _cross_links(rows: DataFrame, classes: DataFrame, linker: _Linker, nodes: DataFrame, known: DataFrame) -> list[DataFrame]:
+    """All links between different components that share a bucket: frames of (a, b, linked).
 
-    A bucket's largest component is never compared with itself: its rows stay in one block
-    each, and only the others are repeated, once for every block. A pair is reported in
-    the first band that it shares.
+    Registers are compared block against block within each bucket. A bucket's largest
+    component is never compared with itself; its rows stay in one block each and only the
+    others are repeated, once for every block. Pairs of others are confirmed one by one
+    (reported in the first band that they share). For a class that comes near the largest
+    component, that component's full sets are searched in blocks, whatever their number.
     """
     sizes = rows.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"))
@@ -247,24 +250,60 @@ def _cross_pairs(rows: DataFrame, classes: DataFrame, linker: _Linker) -> DataFr
     least, num, den = linker.least, linker.num, linker.den
 
     def compare(table: pa.Table) -> pa.Table:
-        guest = table.column("guest").to_numpy()
+        guest, other = table.column("guest").to_numpy(), table.column("other").to_numpy()
         rep, comp, n = (table.column(c).to_numpy() for c in ("rep", "comp", "n"))
         regs = _registers(table.column("regs"))
         bands = _band_keys(regs)
         band = int(np.flatnonzero(bands[0] == np.uint64(table.column("bucket")[0].as_py() & (1 << 64) - 1))[0])
-        home, found_a, found_b = np.flatnonzero(~guest), [], []
+        home, out = np.flatnonzero(~guest), []
         for g in np.flatnonzero(guest).tolist():
             near = home[(comp[home] != comp[g]) & (np.minimum(n[home], n[g]) * den >= np.maximum(n[home], n[g]) * num)]
+            if not near.size:
+                continue
+            j = estimate((regs[near] > regs[g]).sum(axis=1), (regs[near] < regs[g]).sum(axis=1), n[near], np.full(near.size, n[g]))
+            near = near[j >= least]
+            if (~other[near]).any():
+                out.append((int(rep[g]), None, int(comp[near[~other[near]][0]])))
+            near = near[other[near] & (rep[near] > rep[g])]
             near = near[~(bands[near, :band] == bands[g, :band]).any(axis=1)]
-            if near.size:
-                j = estimate((regs[near] > regs[g]).sum(axis=1), (regs[near] < regs[g]).sum(axis=1), n[near], np.full(near.size, n[g]))
-                near = near[j >= least]
-                found_a.append(np.minimum(rep[near], rep[g]))
-                found_b.append(np.maximum(rep[near], rep[g]))
-        join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        return pa.table({"a": join(found_a), "b": join(found_b)})
-
-    return dealt.groupBy("bucket", "block").applyInArrow(compare, "a long, b long").distinct()
+            out += [(int(rep[g]), x, None) for x in rep[near].tolist()]
+        return pa.table({k: pa.array([r[i] for r in out], pa.int64()) for i, k in enumerate(("a", "b", "comp"))})
+
+    found = materialize(dealt.groupBy("bucket", "block").applyInArrow(compare, "a long, b long, comp long"), "cross", narrow=True)
+    pairs = found.filter("b is not null").select("a", "b").distinct().join(known, ["a", "b"], "left_anti")
+
+    # Classes against whole components, on full sets.
+    asked = found.filter("comp is not null").select("a", "comp").distinct()
+    labelled = classes.select("rep").join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("label", "rep").alias("comp"))
+    members = labelled.join(asked.select("comp").distinct(), "comp", "left_semi")
+    blocks = members.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    inside = members.join(blocks, "comp").select("comp", "rep", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("guest"))
+    outside = asked.join(blocks, "comp").select("comp", F.col("a").alias("rep"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("guest"))
+
+    def search(table: pa.Table) -> pa.Table:
+        guest, rep = table.column("guest").to_numpy(), table.column("rep").to_numpy()
+        data, at = utf8_buffers(table.column("shingles"))
+        sets = [data[i:j].view(np.uint64) for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+        home = np.flatnonzero(~guest)
+        a, b = [], []
+        if home.size:
+            n = np.array([len(sets[k]) for k in home])
+            keys = np.concatenate([sets[k] for k in home])
+            order = np.argsort(keys, kind="stable")
+            keys, owners = keys[order], np.repeat(np.arange(home.size), n)[order]
+            for g in np.flatnonzero(guest).tolist():
+                low, high = np.searchsorted(keys, sets[g], "left"), np.searchsorted(keys, sets[g], "right")
+                runs = high - low
+                spots = np.repeat(low - (np.cumsum(runs) - runs), runs) + np.arange(int(runs.sum()))
+                common = np.bincount(owners[spots], minlength=home.size)
+                hit = np.flatnonzero(den * common >= num * (n + len(sets[g]) - common))
+                if hit.size:  # one link joins the class to the whole component
+                    a.append(int(min(rep[g], rep[home[hit[0]]])))
+                    b.append(int(max(rep[g], rep[home[hit[0]]])))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array([True] * len(a), pa.bool_())})
+
+    searched = inside.unionByName(outside).join(linker.sets, "rep").groupBy("comp", "block").applyInArrow(search, "a long, b long, linked boolean")
+    return [linker.confirmed(pairs), materialize(searched, "searched", narrow=True)]
 
 
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -285,15 +324,18 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, id_col: str
     live = live.select("bucket", "rep")
     judged = [linker.confirmed(linker.estimated(best))]
     nodes = components(judged[0].filter("linked"))
-    # Further rounds: other pivots, between components only; then all that is left.
-    for order in (F.col("rep"), F.xxhash64("rep"), None):
+    # Then each bucket's pivot, between components only; then all that is left.
+    for by_pivot in (True, False):
         rest = materialize(_mixed(live, nodes), "mixed-buckets")
         if rest.isEmpty():
             break
-        proposed = _cross_pairs(rest, classes, linker) if order is None else linker.estimated(_pivot_pairs(rest, order).distinct())
         known = union_all(judged)
-        judged.append(linker.confirmed(proposed.join(known, ["a", "b"], "left_anti")))
-        links = judged[-1].filter("linked").select("a", "b")
+        if by_pivot:
+            judged.append(linker.confirmed(linker.estimated(_pivot_pairs(rest).distinct().join(known, ["a", "b"], "left_anti"))))
+            links = judged[-1]
+        else:
+            links = union_all(_cross_links(rest, classes, linker, nodes, known))
+        links = links.filter("linked").select("a", "b")
         if not links.isEmpty():
             nodes = components(links.unionByName(nodes.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
