@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, langid, media, secret_ledger, setsketch, token_store, toxicity, warc
+from . import bpe, decontam, langid, media, secret_ledger, setsketch, suffix_dedup, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.report(_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_held_out(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_langid": op3_langid,
         "op4_setsketch": op4_setsketch,
         "op5_secrets": op5_secrets,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_toxicity": op7_toxicity,
         "op8_token_store": op8_token_store,
         "op9_media": op9_media,
