@@ -50,6 +50,9 @@ RULES = (
     Rule("hex", 1, r"[0-9a-f]{32,}", 0, 32),  # a maximal run of fewer characters fails in any case
 )
 
+#: Bytes of findings that ``redact`` broadcasts at most.
+BROADCAST_BYTES = 32 << 20
+
 FINDINGS = "blob string, rule string, kind string, kind_no int, spans array<struct<start:long,end:long>>"
 
 
@@ -150,6 +153,10 @@ def redact(docs: DataFrame, mark: str = "<secret>", ledger_path: str | None = No
     """
     path = ledger_path or fresh_path(docs.sparkSession, "secret-ledger")
     scanned = scan_versions(docs, path).filter(F.size("findings") > 0).select("blob", F.col("findings").alias("secret_spans")).dropDuplicates(["blob"])
+    # Few texts hold secrets; where their spans are known to be small they are broadcast.
+    rows, spans = scanned.agg(F.count("*"), F.coalesce(F.sum(F.size("secret_spans")), F.lit(0))).first()
+    if rows * 100 + spans * 50 <= BROADCAST_BYTES:
+        scanned = F.broadcast(scanned)
     keyed = docs.withColumn("secret_blob", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
     hit = keyed.join(scanned, keyed.secret_blob == scanned.blob, "left")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))

@@ -18,13 +18,16 @@ and all are read back in sequence; a shard without rows has no file.
 
 from __future__ import annotations
 
+import json
+import os
 import posixpath
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,7 @@ HEADER_BYTES, FOOTER_BYTES = struct.calcsize(HEADER), struct.calcsize(FOOTER)
 GAMMA = 2.0
 #: Chunks of text whose ids a worker keeps, in each of two generations.
 CACHE_CHUNKS = 300_000
+ENDINGS = ".,;:!?"
 _ODD_SPACES = re.compile(r"\s \s|  ")
 
 
@@ -122,8 +126,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        import json
-
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -133,12 +136,34 @@ class Encoder:
         pre = spec.get("pre_tokenizer") or {}
         self.by_chunk = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec.get("normalizer") and not spec.get("post_processor")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.kind = f"<u{self.width}"
+        self.kind, self.code = f"<u{self.width}", "H" if self.width == 2 else "I"
+        self.endings = dict(zip(ENDINGS, self._ids(list(ENDINGS))))
+        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids if self.by_chunk else (0,)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _chunk_ids(self, chunks: list[str], lead: str) -> list[bytes]:
+        """Ids of each chunk behind ``lead``, a space or nothing.
+
+        Many chunks go through the tokenizer as one text: a line break between them is a
+        piece and a token of its own, at which their ids are cut apart again. Chunks with
+        white space where it would touch that line break go by themselves.
+        """
+        plain = [c for c in chunks if c and "\n" not in c and c.strip() == c]
+        odd = [c for c in chunks if not c or "\n" in c or c.strip() != c]
+        out = dict(zip(odd, self._ids([lead + c for c in odd])))
+        groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([lead + ("\n" + lead).join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, self.kind)
+            cuts = np.flatnonzero(ids == self.line_break).tolist()
+            if len(cuts) != len(group) - 1:
+                raise ValueError("the tokenizer does not keep line breaks apart")
+            raw, width = ids.tobytes(), self.width
+            out.update((c, raw[a * width : b * width]) for c, a, b in zip(group, [0, *(x + 1 for x in cuts)], [*cuts, len(ids)]))
+        return [out[c] for c in chunks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Raw ids of each text, without special tokens."""
@@ -147,28 +172,27 @@ class Encoder:
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
         split = {i: texts[i].split(" ") for i in range(len(texts)) if out[i] is None}
-        firsts = dict(zip(split, self._ids([chunks[0] for chunks in split.values()])))
-        get = self.young.get
-        found = {i: list(map(get, chunks)) for i, chunks in split.items()}
-        missing = {c for i, ids in found.items() if None in ids for c, x in zip(split[i], ids) if x is None}
-        known = {}
+        firsts = self._chunk_ids([chunks[0] for chunks in split.values()], "")
+        missing = set(chain.from_iterable(split.values())).difference(self.young)
         if missing:
-            unseen = []
-            for c in missing:
-                ids = self.old.get(c)
-                if ids is None:
-                    unseen.append(c)
-                else:
-                    known[c] = ids
-            known.update(zip(unseen, self._ids([" " + c for c in unseen])))
+            known = {c: self.old[c] for c in missing if c in self.old}
+            # A sign that ends a chunk behind a letter or digit is a piece of its own.
+            ended = {c for c in missing.difference(known) if c[-1:] in ENDINGS and c[-2:-1].isalnum()}
+            stems = {c[:-1] for c in ended}
+            need = list((missing.difference(known, ended) | stems).difference(self.young, known))
+            found = dict(zip(need, self._chunk_ids(need, " ")))
+            known.update(found)
+            for c in ended:
+                stem = c[:-1]
+                known[c] = (known.get(stem) or self.young[stem]) + self.endings[c[-1]]
             if len(self.young) + len(known) > CACHE_CHUNKS:
-                self.old, self.young = self.young, {}
-            self.young.update((c, ids) for c, ids in known.items() if len(c) <= 64)
-        for i, ids in found.items():
-            if None in ids:
-                ids = [known[c] if x is None else x for c, x in zip(split[i], ids)]
-            ids[0] = firsts[i]
-            out[i] = b"".join(ids)
+                self.old, self.young = self.young, {c: self.young[c] for c in set(chain.from_iterable(split.values())).difference(missing)}
+            self.young.update(known)
+        get = self.young.__getitem__
+        for (i, chunks), first in zip(split.items(), firsts):
+            out[i] = first + b"".join(map(get, chunks[1:]))
+        for c in [c for c in missing if len(c) > 64]:
+            del self.young[c]
         return out  # type: ignore[return-value]
 
 
@@ -275,8 +299,8 @@ class Shard:
         return None if at < 0 else self.read(at, at + 1)
 
 
-def read_store(manifest: DataFrame, step: int = 1 << 20) -> DataFrame:
-    """Per document, from the files: doc_id, start, n_tokens, ids_crc32 and ids (as u32).
+def read_store(manifest: DataFrame, step: int = 1 << 20, payload: bool = True) -> DataFrame:
+    """Per document, from the files: doc_id, start, n_tokens, ids_crc32 and, with ``payload``, ids (as u32).
 
     Every indexed key is found through the hash index; payloads are read ``step`` ids at a time.
     """
@@ -299,13 +323,15 @@ def read_store(manifest: DataFrame, step: int = 1 << 20) -> DataFrame:
                     ids, zero = shard.read(first, last), shard.offsets[first]
                     raw = [ids[shard.offsets[k] - zero : shard.offsets[k + 1] - zero].astype("<u4").tobytes() for k in found[first:last].tolist()]
                     keys = pa.array(shard.keys[first:last], pa.int64(), mask=shard.null[first:last])
-                    columns = [keys, pa.array(base + shard.offsets[found[first:last]]), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array(raw, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                    columns = [keys, pa.array(base + shard.offsets[found[first:last]]), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64())]
+                    if payload:
+                        columns.append(pa.array(raw, pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(columns)])
                     first = last
 
     spark = manifest.sparkSession
     spread = manifest.select("path", "base").repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * payload)
 
 
 def fetch(spark: SparkSession, manifest: DataFrame, keys: DataFrame) -> DataFrame:
@@ -331,4 +357,4 @@ def fetch(spark: SparkSession, manifest: DataFrame, keys: DataFrame) -> DataFram
 def digests(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read back from freshly written shards."""
     manifest = write_store(docs, tokenizer_path, fresh_path(docs.sparkSession, "token-shards"), end_id)
-    return read_store(manifest).drop("ids")
+    return read_store(manifest, payload=False)
