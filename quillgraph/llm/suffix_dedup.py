@@ -43,9 +43,11 @@ LENGTH = 50
 GRAM = 16
 SPAN = LENGTH - GRAM + 1
 #: Text bytes of a batch, and of the input for each shard.
-BATCH_BYTES, SHARD_BYTES, LEAST_SHARDS = 1 << 21, 16 << 20, 24
+BATCH_BYTES, SHARD_BYTES, LEAST_SHARDS = 1 << 21, 6 << 20, 24
 #: Bytes of suffix tuples that a task keeps in memory.
 SORT_BYTES = 1 << 27
+#: Bytes of flags that are broadcast at most; beyond that their join is shuffled.
+BROADCAST_BYTES = 32 << 20
 _NO_ID = (1 << 63) - 1
 _CHUNK = 1 << 21
 
@@ -191,7 +193,7 @@ def _shared_anchors(packed: DataFrame, shards: int) -> DataFrame:
 
 
 def _shared_segments(packed: DataFrame, flags: DataFrame, shards: int) -> DataFrame:
-    """shard, batch, blob: segments with shared anchors; rows of shard -1 hold ranges to remove already.
+    """shard, batch, blob: segments with shared anchors; rows of negative shards hold ranges to remove already.
 
     Within a batch, equal segments are kept for their smallest id only; the others are
     ranges to remove.
@@ -216,7 +218,7 @@ def _shared_segments(packed: DataFrame, flags: DataFrame, shards: int) -> DataFr
                 least = ids[owner[order[new]]]
                 later = ids[owner[order]] > least[group]
                 gone = order[later]
-                out = [(-1, number, _pack(first[gone], first[gone] + length[gone]))]
+                out = [(-1 - number, number, _pack(first[gone], first[gone] + length[gone]))]
                 heads, rows = order[new], order[~later]
                 group_of = group[~later]
                 shard = _shard(anchor[heads], shards)
@@ -234,10 +236,12 @@ def _shared_segments(packed: DataFrame, flags: DataFrame, shards: int) -> DataFr
                     p, q = np.searchsorted(of_row, [a, b]).tolist()
                     size = length[chosen]
                     spots = np.repeat(first[chosen] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-                    out.append((s, number, _pack(anchor[chosen], ids[owner[chosen]], size, data[spots], of_row[p:q] - a, starts[p:q])))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.binary()))], ["shard", "batch", "blob"])
+                    out.append((s, number, _pack(anchor[chosen], ids[owner[chosen]], size.astype(np.uint8), data[spots], (of_row[p:q] - a).astype(np.uint32), starts[p:q].astype(np.uint32))))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], ["shard", "batch", "blob"])
 
-    return packed.join(flags, "batch").select("batch", "blob", "flags").mapInArrow(run, "shard int, batch long, blob binary")
+    size = flags.select(F.explode("flags").alias("f")).agg(F.coalesce(F.sum(F.length("f.bits") + 32), F.lit(0))).first()[0]
+    flags = F.broadcast(flags) if size <= BROADCAST_BYTES else flags
+    return packed.join(flags, "batch").select("batch", "blob", "flags").mapInArrow(run, "shard long, batch long, blob binary")
 
 
 def _content_keys(data: np.ndarray, first: np.ndarray, length: np.ndarray, anchor: np.ndarray) -> np.ndarray:
@@ -314,19 +318,21 @@ def _equal(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _search_shard(table: pa.Table) -> pa.Table:
-    """Ranges to remove, by batch, from all segments of one shard."""
+    """Ranges to remove, by batch, from all segments of one shard; those of a negative shard are known."""
+    if table.column("shard")[0].as_py() < 0:
+        return pa.table({"batch": table.column("batch"), "ranges": table.column("blob")})
     anchors, ids, sizes, parts, source, row_at, rows = [], [], [], [], [], [], []
     base = 0
     batches = table.column("batch").to_pylist()
     for k, blob in enumerate(table.column("blob").to_pylist()):
-        a, i, s, d, at, starts = _unpack(blob, "<u8", "<i8", "<i8", "u1", "<i8", "<i8")
+        a, i, s, d, at, starts = _unpack(blob, "<u8", "<i8", "u1", "u1", "<u4", "<u4")
         anchors.append(a)
         ids.append(i)
-        sizes.append(s)
+        sizes.append(s.astype(np.int64))
         parts.append(d)
-        source.append(np.full(len(starts), k))
-        row_at.append(at + base)
-        rows.append(starts)
+        source.append(np.full(len(starts), k, np.int32))
+        row_at.append(at.astype(np.int64) + base)
+        rows.append(starts.astype(np.int64))
         base += len(a)
     anchor, who, size, data, of, row, start = (np.concatenate(x) for x in (anchors, ids, sizes, parts, source, row_at, rows))
     first = np.cumsum(size) - size
@@ -380,12 +386,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     packed = materialize(pack_documents(docs, id_col, text_col), "packed")
     total = packed.agg(F.sum("size")).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-total // SHARD_BYTES))
-    flags = _shared_anchors(packed, shards)
-    segments = materialize(_shared_segments(packed, flags, shards), "segments")
-    inner = segments.filter("shard < 0").select("batch", F.col("blob").alias("ranges"))
-    across = segments.filter("shard >= 0").groupBy("shard").applyInArrow(_search_shard, "batch long, ranges binary")
+    flags = materialize(_shared_anchors(packed, shards), "anchor-flags")
     # A batch gets one row of its own and at most one from each shard.
-    ranges = inner.unionByName(across).groupBy("batch").agg(F.collect_list("ranges").alias("ranges"))
+    found = _shared_segments(packed, flags, shards).groupBy("shard").applyInArrow(_search_shard, "batch long, ranges binary")
+    ranges = found.groupBy("batch").agg(F.collect_list("ranges").alias("ranges"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
