@@ -1 +1 @@
-
+"""Operators over the content store."""

@@ -1 +1 @@
-
+"""Composed plans and the query registry."""

@@ -1 +1 @@
-
+"""Readers of pages, files and payloads."""

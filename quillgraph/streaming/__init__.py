@@ -1 +1 @@
-
+"""Streaming counterparts."""
