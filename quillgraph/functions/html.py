@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .udf import arrow_udf
+
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements whose text makes the body, in document order.
 BLOCKS = frozenset("h2 h3 h4 p blockquote li".split())
@@ -152,14 +154,14 @@ def text_nodes(root: Node) -> list[dict[str, str]]:
     return out
 
 
-@F.pandas_udf("array<string>")
+@arrow_udf("array<string>")
 def html_blocks(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Text blocks of each page without boilerplate."""
     for series in pages:
         yield series.map(lambda h: text_blocks(strip_boilerplate(parse(h))))
 
 
-@F.pandas_udf("array<struct<id:string,text:string>>")
+@arrow_udf("array<struct<id:string,text:string>>")
 def translatable_nodes(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for series in pages:
         yield series.map(lambda h: text_nodes(parse(h)))

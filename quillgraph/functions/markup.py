@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import month_year, reading_time_text, truncate_chars
+from .udf import arrow_udf
 
 GRID = '<div class="article-grid">'
 GRAPH_MARK = "<!-- graph block: hand-authored, do not edit via admin WYSIWYG -->"
@@ -153,7 +154,7 @@ def _link(body: str, links: list[dict]) -> dict:
     return {"body": body, "inserted": inserted, "skipped": skipped}
 
 
-@F.pandas_udf("body string, inserted array<string>, skipped array<string>")
+@arrow_udf("body string, inserted array<string>, skipped array<string>")
 def _insert_links(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for bodies, links in parts:
         yield pd.DataFrame([_link(b or "", list(k) if k is not None else []) for b, k in zip(bodies, links)], columns=["body", "inserted", "skipped"])

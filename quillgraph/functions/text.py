@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .udf import arrow_udf
+
 # Words that never count as tokens of a topic.
 STOPWORDS = (
     "the and for with from that this your you are how what into about when why can a an to of in on is it as or be by not "
@@ -56,7 +58,7 @@ def slugify_topic(c: Column | str) -> Column:
     return F.coalesce(F.nullif(slug, F.lit("")), F.lit("topic"))
 
 
-@F.pandas_udf("string")
+@arrow_udf("string")
 def _fold(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for series in texts:
         yield series.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not 0x300 <= ord(c) <= 0x36F))

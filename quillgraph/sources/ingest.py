@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.text import slugify
+from ..functions.udf import arrow_udf
 
 LEDGER = "nanyangTitle string, slug string, publishedAt string"
 PENDING = "title string, slug string, originalUrl string, publishedAt string, author string, category string, keywords array<string>, originalContent string, featuredImage string, notes string"
@@ -63,7 +64,7 @@ def _article(html: str) -> dict:
     return out
 
 
-@F.pandas_udf(_ARTICLE)
+@arrow_udf(_ARTICLE)
 def _extract(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for series in pages:
         rows = []
@@ -152,7 +153,7 @@ def _data_array(text: str) -> str | None:
     return None
 
 
-@F.pandas_udf("string")
+@arrow_udf("string")
 def _bracketed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for series in texts:
         yield series.map(lambda t: None if t is None else _data_array(t))
