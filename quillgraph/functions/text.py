@@ -81,7 +81,7 @@ def count_body_words(c: Column | str) -> Column:
 
 def headings(c: Column | str) -> Column:
     """Texts of the '## ' lines."""
-    return F.transform(F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit(r"(?m)^##\s+(\S.*)$"), F.lit(1)), F.trim)
+    return F.transform(F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit(r"(?m)^##\s+(\S.*)$"), F.lit(1)), lambda h: F.trim(h))
 
 
 def quoted(c: Column) -> Column:
@@ -135,7 +135,7 @@ def reading_time_text_zh(c: Column | str) -> Column:
 
 def derive_category(c: Column | str) -> Column:
     """Last non-empty part of a section path 'A > B', else 'Trading Strategy'."""
-    parts = F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), ">"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), ">"), lambda p: F.trim(p)), lambda p: p != "")
     return F.when(F.size(parts) > 0, F.element_at(parts, -1)).otherwise(F.lit("Trading Strategy"))
 
 
