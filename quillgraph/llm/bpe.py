@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, sub_batches
+from .common import binary_array, sub_batches, text_rows
 
 # Symbols: what the scanner sees of a code point.
 RESET, SPACE, WHITE, APOS, OTHER, NUMBER, LETTER, L_S, L_T, L_M, L_D, L_R, L_V, L_L, L_E = range(15)
@@ -48,7 +48,7 @@ LETTERS_16 = [
 NUMBERS_16 = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
 
 #: Pieces that the cache of one worker holds before it starts anew.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 150_000
 
 
 @lru_cache(maxsize=1)
@@ -309,7 +309,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "token_ends"][: len(columns)])
 
     schema = "doc_id long, ids binary" + ", token_ends binary" * offsets
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return text_rows(docs, id_col, text_col).mapInArrow(run, schema)
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:

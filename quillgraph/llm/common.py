@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step handles; a longer document makes a step of its own.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,6 +51,31 @@ def materialize(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Allocator settings of Python workers: freed memory goes back to the system at once, as
+#: several workers and a JVM share an executor's memory.
+WORKER_ENVIRONMENT = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576"}
+
+
+def lean_workers(spark: SparkSession) -> None:
+    """Apply ``WORKER_ENVIRONMENT`` to the Python workers of functions made from now on."""
+    for name, value in WORKER_ENVIRONMENT.items():
+        spark.sparkContext.environment.setdefault(name, value)
+
+
+def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and text alone, whatever else the table holds."""
+    lean_workers(docs.sparkSession)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` partitioned by keys for a grouped function whose time does not follow its bytes.
+
+    The number of partitions is given, so they are not merged for being small.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def crc32_mod(column: str, m: int) -> Column:
     """crc32 of a column's text form, modulo ``m`` (the held-out split of the contracts)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % m

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, random_table, sub_batches, utf8_buffers
+from .common import mix64, random_table, sub_batches, text_rows, utf8_buffers
 
 WINDOW, PLAIN = 5, 3
 CONTAINMENT = 0.5
@@ -194,7 +194,7 @@ def _windows(table: DataFrame, sizes: list[int], wanted: np.ndarray | None, whol
 
 def leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """Pairs (doc_id, item_id) with ``containment`` and ``same_slots`` (no value was changed)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).filter("id is not null")
+    texts = text_rows(docs).withColumnRenamed("doc_id", "id").filter("id is not null")
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).filter("id is not null")
     asked = _windows(items.dropDuplicates(["id"]), list(range(PLAIN, WINDOW + 1)), None, whole=True).select(
         F.col("id").alias("item_id"), "h", F.col("pos").alias("item_pos"), "n_windows", F.col("slots").alias("item_slots")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, sub_batches
+from .common import crc32_mod, sub_batches, text_rows
 
 #: Buckets of hashed n-grams.
 DIMENSIONS = 1 << 13
@@ -197,7 +197,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "lang_pred", "score", "rejected"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = text_rows(docs, id_col, text_col)
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
 
 

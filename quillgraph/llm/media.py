@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sub_batches
+from .common import sub_batches, text_rows
 
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 #: Samples of one image row, and so the unit of padding.
@@ -175,7 +175,7 @@ def encode_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             sizes = pa.array([len((t or "").encode()) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, pa.array([write_png(payload(t), level) for t in texts], pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = text_rows(docs, id_col, text_col)
     return rows.mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 

@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialize, sub_batches
+from .common import fresh_path, lean_workers, materialize, sub_batches
 
 
 @dataclass(frozen=True)
@@ -71,7 +71,7 @@ def scan_versions(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...]
     ``findings`` is an array of (start, kind_no, kind, end) in code points, end exclusive,
     sorted by start, then by the rule's place in ``rules``.
     """
-    spark = versions.sparkSession
+    lean_workers(versions.sparkSession)
     rows = versions.select(
         F.col(path_col).alias("path"),
         F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256).alias("blob"),

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, materialize, mix64, sub_batches, union_all, utf8_buffers
+from .common import binary_array, dealt, materialize, mix64, sub_batches, text_rows, union_all, utf8_buffers
 from .components import components
 from .shingles import shingle_sets
 
@@ -115,7 +115,7 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             columns = [batch.column("doc_id"), pa.array(n.astype(np.int64)), *keys, binary_array(regs, np.arange(len(n) + 1) * (2 * REGISTERS))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "key1", "key2", "regs"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = text_rows(docs, id_col, text_col)
     return rows.mapInArrow(run, "doc_id long, n_shingles long, key1 long, key2 long, regs binary")
 
 
@@ -246,7 +246,7 @@ def _cross_links(rows: DataFrame, classes: DataFrame, linker: _Linker, nodes: Da
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     homes = placed.withColumn("block", own).withColumn("guest", F.lit(False))
     guests = placed.filter("other").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("guest", F.lit(True))
-    dealt = homes.unionByName(guests).join(classes.select("rep", "regs", "n"), "rep")
+    met = homes.unionByName(guests).join(classes.select("rep", "regs", "n"), "rep")
     least, num, den = linker.least, linker.num, linker.den
 
     def compare(table: pa.Table) -> pa.Table:
@@ -269,7 +269,7 @@ def _cross_links(rows: DataFrame, classes: DataFrame, linker: _Linker, nodes: Da
             out += [(int(rep[g]), x, None) for x in rep[near].tolist()]
         return pa.table({k: pa.array([r[i] for r in out], pa.int64()) for i, k in enumerate(("a", "b", "comp"))})
 
-    found = materialize(dealt.groupBy("bucket", "block").applyInArrow(compare, "a long, b long, comp long"), "cross", narrow=True)
+    found = materialize(dealt(met, "bucket", "block").groupBy("bucket", "block").applyInArrow(compare, "a long, b long, comp long"), "cross", narrow=True)
     pairs = found.filter("b is not null").select("a", "b").distinct().join(known, ["a", "b"], "left_anti")
 
     # Classes against whole components, on full sets.
@@ -302,13 +302,13 @@ def _cross_links(rows: DataFrame, classes: DataFrame, linker: _Linker, nodes: Da
                     b.append(int(max(rep[g], rep[home[hit[0]]])))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array([True] * len(a), pa.bool_())})
 
-    searched = inside.unionByName(outside).join(linker.sets, "rep").groupBy("comp", "block").applyInArrow(search, "a long, b long, linked boolean")
+    searched = dealt(inside.unionByName(outside).join(linker.sets, "rep"), "comp", "block").groupBy("comp", "block").applyInArrow(search, "a long, b long, linked boolean")
     return [linker.confirmed(pairs), materialize(searched, "searched", narrow=True)]
 
 
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row, linked where den * common >= num * union."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = text_rows(docs, id_col, text_col)
     rows = materialize(sketch_documents(docs), "sketches")
     usable = rows.filter("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs"))
@@ -326,7 +326,7 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, id_col: str
     nodes = components(judged[0].filter("linked"))
     # Then each bucket's pivot, between components only; then all that is left.
     for by_pivot in (True, False):
-        rest = materialize(_mixed(live, nodes), "mixed-buckets")
+        rest = materialize(_mixed(live, nodes), "mixed-buckets", narrow=True)
         if rest.isEmpty():
             break
         known = union_all(judged)

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix64, steps, sub_batches, utf8_buffers
+from .common import dealt, materialize, mix64, steps, sub_batches, text_rows, utf8_buffers
 from .induced import suffix_blocks
 
 LENGTH = 50
@@ -49,7 +49,7 @@ SORT_BYTES = 1 << 27
 #: Bytes of flags that are broadcast at most; beyond that their join is shuffled.
 BROADCAST_BYTES = 32 << 20
 _NO_ID = (1 << 63) - 1
-_CHUNK = 1 << 21
+_CHUNK = 1 << 19
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -129,7 +129,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([data.size]), pa.array([blob])], ["batch", "size", "blob"])
             number += 1
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = text_rows(docs, id_col, text_col)
     return rows.mapInArrow(run, "batch long, size long, blob binary")
 
 
@@ -187,7 +187,7 @@ def _shared_anchors(packed: DataFrame, shards: int) -> DataFrame:
         return pa.table({"batch": table.column("batch"), "shard": table.column("shard"), "bits": pa.array(bits, pa.binary())})
 
     hashes = packed.select("batch", "blob").mapInArrow(emit, "shard int, batch long, hashes binary")
-    flags = hashes.groupBy("shard").applyInArrow(match, "batch long, shard int, bits binary")
+    flags = dealt(hashes, "shard").groupBy("shard").applyInArrow(match, "batch long, shard int, bits binary")
     # One entry for each shard, so the list is bounded.
     return flags.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("shard", "bits"))).alias("flags"))
 
@@ -388,7 +388,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards = max(LEAST_SHARDS, -(-total // SHARD_BYTES))
     flags = materialize(_shared_anchors(packed, shards), "anchor-flags")
     # A batch gets one row of its own and at most one from each shard.
-    found = _shared_segments(packed, flags, shards).groupBy("shard").applyInArrow(_search_shard, "batch long, ranges binary")
+    found = dealt(_shared_segments(packed, flags, shards), "shard").groupBy("shard").applyInArrow(_search_shard, "batch long, ranges binary")
     ranges = found.groupBy("batch").agg(F.collect_list("ranges").alias("ranges"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialize, mix64, sub_batches
+from .common import fresh_path, materialize, mix64, sub_batches, text_rows
 
 MAGIC = b"QGTOK001"
 HEADER = "<8sII"  # magic, bytes of an id, end id
@@ -251,7 +251,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id: int
         types = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], ["shard", "path", "documents", "ids", "first_key", "last_key"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = text_rows(docs, id_col, text_col)
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     manifest = materialize(ordered.mapInArrow(run, MANIFEST), "token-manifest", narrow=True)
     # One small row for each shard, so one partition for the running sum is enough.

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, materialize, mix64, sub_batches, utf8_buffers
+from .common import crc32_mod, materialize, mix64, sub_batches, text_rows, utf8_buffers
 from .shingles import shingle_sets
 
 #: Labelled rows of each label that are learned from, at most.
@@ -92,7 +92,7 @@ class _Weights(dict):
             bare = BARE.sub("", low.translate(LOOKALIKES))
             weight = max([self.lexicon.get(bare, 0.0), *(self.lexicon.get(bare[:n], 0.0) for n in PREFIXES if len(bare) > n)])
             hidden = weight > 0
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = found = (weight, hidden, odd)
         return found
@@ -270,7 +270,7 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
 
 def fit_and_features(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Model]:
     """(doc_id and feats of every row of ``docs``, model learned from ``labels``: doc_id, toxic)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = text_rows(docs)
     known = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     known = materialize(known, "labels")
     chosen = known.filter("toxic = 1").orderBy(F.xxhash64("doc_id")).limit(SAMPLE).unionByName(known.filter("toxic = 0").orderBy(F.xxhash64("doc_id")).limit(SAMPLE))
