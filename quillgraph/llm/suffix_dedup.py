@@ -104,7 +104,7 @@ def _segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
         new = np.ones(at.size, bool)
         new[1:] = (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])
         starts = np.flatnonzero(new)
-        anchors.append(grams[at[starts]])
+        anchors.append(mix64(grams[at[starts]]))  # smallest hashes are no even key for shards, so they are mixed anew
         firsts.append(window[starts])
         counts.append(np.diff(np.append(starts, at.size)))
         owners.append(owner[starts])
