@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import mix64, random_table, sub_batches, text_rows, utf8_buffers
 
 WINDOW, PLAIN = 5, 3
-CONTAINMENT = 0.5
+CONTAINMENT = 0.35
 #: Share of an alignment's slot values that may be inconsistent.
 INCONSISTENT = 0.2
 #: Distinct benchmark windows (8 bytes each) that are broadcast at most.

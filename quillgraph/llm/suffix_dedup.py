@@ -116,6 +116,14 @@ def _shard(anchor: np.ndarray, shards: int) -> np.ndarray:
     return ((anchor >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
+def _present(shard: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(shard, first, end) of the runs of an ascending array; shards without entries cost nothing."""
+    cuts = np.flatnonzero(np.diff(shard)) + 1
+    bounds = [0, *cuts.tolist(), len(shard)] if len(shard) else []
+    for a, b in zip(bounds, bounds[1:]):
+        yield int(shard[a]), a, b
+
+
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """batch, size, ids, lengths, text: documents packed, those of a batch in order of id."""
 
@@ -164,10 +172,12 @@ def _shared_anchors(packed: DataFrame, shards: int) -> DataFrame:
                 ids, _, offsets, data = _open(blob)
                 anchor, _, _, owner = _segments(data, offsets)
                 distinct, several = _distinct(anchor, ids[owner])
-                shard = _shard(distinct, shards)
-                cuts = np.searchsorted(shard, np.arange(shards + 1)).tolist()
-                blobs = [_pack((distinct[a:b] >> np.uint64(16)).astype("<u4"), (distinct[a:b] >> np.uint64(48)).astype("<u2"), np.packbits(several[a:b])) for a, b in zip(cuts, cuts[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(range(shards), pa.int32()), pa.array([number] * shards, pa.int64()), pa.array(blobs, pa.binary())], ["shard", "batch", "hashes"])
+                out = [
+                    (s, number, _pack((distinct[a:b] >> np.uint64(16)).astype("<u4"), (distinct[a:b] >> np.uint64(48)).astype("<u2"), np.packbits(several[a:b])))
+                    for s, a, b in _present(_shard(distinct, shards))
+                ]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], ["shard", "batch", "hashes"])
 
     def match(table: pa.Table) -> pa.Table:
         keys, several, sizes = [], [], []
@@ -186,8 +196,8 @@ def _shared_anchors(packed: DataFrame, shards: int) -> DataFrame:
         bits = [np.packbits(flag[e - s : e]).tobytes() for e, s in zip(ends, sizes)]
         return pa.table({"batch": table.column("batch"), "shard": table.column("shard"), "bits": pa.array(bits, pa.binary())})
 
-    hashes = packed.select("batch", "blob").mapInArrow(emit, "shard int, batch long, hashes binary")
-    flags = dealt(hashes, "shard").groupBy("shard").applyInArrow(match, "batch long, shard int, bits binary")
+    hashes = packed.select("batch", "blob").mapInArrow(emit, "shard long, batch long, hashes binary")
+    flags = dealt(hashes, "shard").groupBy("shard").applyInArrow(match, "batch long, shard long, bits binary")
     # One entry for each shard, so the list is bounded.
     return flags.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("shard", "bits"))).alias("flags"))
 
@@ -205,8 +215,8 @@ def _shared_segments(packed: DataFrame, flags: DataFrame, shards: int) -> DataFr
                 ids, _, offsets, data = _open(blob)
                 anchor, first, count, owner = _segments(data, offsets)
                 distinct, _ = _distinct(anchor, ids[owner])
-                cuts = np.searchsorted(_shard(distinct, shards), np.arange(shards + 1))
-                shared = np.concatenate([np.unpackbits(np.frombuffer(f["bits"], np.uint8))[: cuts[f["shard"] + 1] - cuts[f["shard"]]] for f in bits]).astype(bool) if len(bits) else np.zeros(0, bool)
+                runs = _present(_shard(distinct, shards))
+                shared = np.concatenate([np.unpackbits(np.frombuffer(f["bits"], np.uint8))[: b - a] for f, (_, a, b) in zip(bits, runs)]).astype(bool) if bits else np.zeros(0, bool)
                 keep = shared[np.searchsorted(distinct, anchor)] if anchor.size else np.zeros(0, bool)
                 anchor, first, count, owner = anchor[keep], first[keep], count[keep], owner[keep]
                 length = count + LENGTH - 1
@@ -228,10 +238,7 @@ def _shared_segments(packed: DataFrame, flags: DataFrame, shards: int) -> DataFr
                 of_row = place[group_of]
                 row_order = np.argsort(of_row, kind="stable")
                 of_row, starts = of_row[row_order], first[rows[row_order]]
-                bounds = np.searchsorted(shard[ranked], np.arange(shards + 1)).tolist()
-                for s, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                    if a == b:
-                        continue
+                for s, a, b in _present(shard[ranked]):
                     chosen = heads[ranked[a:b]]
                     p, q = np.searchsorted(of_row, [a, b]).tolist()
                     size = length[chosen]
@@ -241,7 +248,7 @@ def _shared_segments(packed: DataFrame, flags: DataFrame, shards: int) -> DataFr
 
     size = flags.select(F.explode("flags").alias("f")).agg(F.coalesce(F.sum(F.length("f.bits") + 32), F.lit(0))).first()[0]
     flags = F.broadcast(flags) if size <= BROADCAST_BYTES else flags
-    return packed.join(flags, "batch").select("batch", "blob", "flags").mapInArrow(run, "shard long, batch long, blob binary")
+    return packed.join(flags, "batch", "left").select("batch", "blob", "flags").mapInArrow(run, "shard long, batch long, blob binary")
 
 
 def _content_keys(data: np.ndarray, first: np.ndarray, length: np.ndarray, anchor: np.ndarray) -> np.ndarray:
