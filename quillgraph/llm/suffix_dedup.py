@@ -43,7 +43,7 @@ LENGTH = 50
 GRAM = 16
 SPAN = LENGTH - GRAM + 1
 #: Text bytes of a batch, and of the input for each shard.
-BATCH_BYTES, SHARD_BYTES, LEAST_SHARDS = 1 << 21, 6 << 20, 24
+BATCH_BYTES, SHARD_BYTES, LEAST_SHARDS = 1 << 20, 6 << 20, 24
 #: Bytes of suffix tuples that a task keeps in memory.
 SORT_BYTES = 1 << 27
 #: Bytes of flags that are broadcast at most; beyond that their join is shuffled.
@@ -266,8 +266,8 @@ def _content_keys(data: np.ndarray, first: np.ndarray, length: np.ndarray, ancho
 def repeated_windows(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(segment, window) of every window of the segments that also lies in a segment of a smaller id.
 
-    Suffixes of all segments are sorted; runs of neighbours with a common prefix of LENGTH
-    bytes are equal windows.
+    Suffixes of all segments are sorted; windows between which no common prefix is below
+    LENGTH are equal.
     """
     n = len(sizes)
     ends = np.cumsum(sizes)
@@ -279,15 +279,12 @@ def repeated_windows(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> tu
     # Where a window may start, and the segment of each position.
     segment = np.repeat(np.arange(n), sizes + 1)
     last = begin + sizes - LENGTH
-    padded = np.concatenate([text, np.zeros(LENGTH, np.uint16)])
     found_segment, found_window = [], []
-    tail = np.zeros(0, np.int64)
 
-    def close(run: np.ndarray) -> None:
+    def close(run: np.ndarray, new: np.ndarray) -> None:
+        """Of each group of equal windows, those of greater ids than its least."""
         if not len(run):
             return
-        new = np.ones(len(run), bool)
-        new[1:] = ~_equal(padded, run[:-1], run[1:])
         starts = np.flatnonzero(new)
         who = ids[segment[run]]
         least = np.repeat(np.minimum.reduceat(who, starts), np.diff(np.append(starts, len(run))))
@@ -295,35 +292,28 @@ def repeated_windows(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> tu
         found_segment.append(segment[bad])
         found_window.append(bad - begin[segment[bad]])
 
-    for block in suffix_blocks(text, LENGTH, SORT_BYTES):
-        block = block[block < len(segment)]
-        block = block[block <= last[segment[block]]]
-        if not len(block):
+    tail, carry = np.zeros(0, np.int64), LENGTH  # the group that is open; least common prefix since its last window
+    for positions, common in suffix_blocks(text, LENGTH, SORT_BYTES):
+        starts = positions < len(segment)
+        starts[starts] = positions[starts] <= last[segment[positions[starts]]]
+        at = np.flatnonzero(starts)
+        if not len(at):
+            carry = min(carry, int(common.min()))
             continue
-        run = np.concatenate([tail, block])
-        new = np.ones(len(run), bool)
-        new[1:] = ~_equal(padded, run[:-1], run[1:])
+        shared = np.minimum.reduceat(common[: at[-1] + 1], np.concatenate([[0], at[:-1] + 1]))
+        shared[0] = min(int(shared[0]), carry)
+        carry = int(common[at[-1] + 1 :].min(initial=LENGTH))
+        run = np.concatenate([tail, positions[at]])
+        new = np.concatenate([np.zeros(len(tail), bool), shared < LENGTH])
+        new[0] = True
         cut = int(np.flatnonzero(new)[-1])  # the last group may go on in the next block
-        close(run[:cut])
+        close(run[:cut], new[:cut])
         tail = run[cut:]
-    close(tail)
+    close(tail, np.arange(len(tail)) == 0)
     join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
     return join(found_segment), join(found_window)
 
 
-def _equal(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether LENGTH symbols from a and from b are equal; the common prefix grows symbol by symbol."""
-    out = np.ones(len(a), bool)
-    left = np.arange(len(a))
-    for k in range(LENGTH):
-        if not left.size:
-            break
-        differ = text[a[left] + k] != text[b[left] + k]
-        out[left[differ]] = False
-        left = left[~differ]
-    return out
-
-
 def _search_shard(table: pa.Table) -> pa.Table:
     """Ranges to remove, by batch, from all segments of one shard; those of a negative shard are known."""
     if table.column("shard")[0].as_py() < 0:
@@ -393,7 +383,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     packed = materialize(pack_documents(docs, id_col, text_col), "packed")
     total = packed.agg(F.sum("size")).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-total // SHARD_BYTES))
-    flags = materialize(_shared_anchors(packed, shards), "anchor-flags")
+    flags = materialize(_shared_anchors(packed, shards), "anchor-flags", narrow=True)
     # A batch gets one row of its own and at most one from each shard.
     found = dealt(_shared_segments(packed, flags, shards), "shard").groupBy("shard").applyInArrow(_search_shard, "batch long, ranges binary")
     ranges = found.groupBy("batch").agg(F.collect_list("ranges").alias("ranges"))

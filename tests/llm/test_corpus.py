@@ -230,13 +230,18 @@ def test_repeated_passages(cluttered, rows, monkeypatch, batch_bytes):
 
 
 @pytest.mark.parametrize("budget", [0, 200, 1 << 20])
-def test_induced_sorting(budget):
+def test_induced_sorting(budget, monkeypatch):
     rng = np.random.default_rng(budget)
-    for _ in range(60):
-        text = np.append(rng.integers(1, 1 + int(rng.integers(1, 5)), rng.integers(1, 150)), 0).astype(np.uint16)
-        found = np.concatenate(list(induced.suffix_blocks(text, 10**6, budget)))[::-1].tolist()
-        plain = text.tolist()
-        assert found == sorted(range(len(plain)), key=lambda i: plain[i:])
+    for block in (3, 20, 1 << 19):
+        monkeypatch.setattr(induced, "BLOCK", block)
+        for _ in range(40):
+            text = np.append(rng.integers(1, 1 + int(rng.integers(1, 5)), rng.integers(1, 150)), 0).astype(np.uint16)
+            blocks = list(induced.suffix_blocks(text, 200, budget))
+            plain = text.tolist()
+            order = sorted(range(len(plain)), key=lambda i: plain[i:], reverse=True)
+            assert np.concatenate([p for p, _ in blocks]).tolist() == order
+            common = [0] + [next(k for k in range(200) if plain[a + k] != plain[b + k]) for a, b in zip(order, order[1:])]
+            assert np.concatenate([c for _, c in blocks]).tolist() == common
 
 
 def test_token_store(spark, docs, cluttered, rows):
