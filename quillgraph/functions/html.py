@@ -187,3 +187,35 @@ def hrefs(c: Column) -> Column:
 def same_structure(a: Column, b: Column) -> Column:
     """Whether two fragments have the same tags and the same links, in order."""
     return (opening_tags(a) == opening_tags(b)) & (hrefs(a) == hrefs(b))
+
+
+_PIECE = re.compile(r"(<!--.*?-->|<[^>]+>)", re.DOTALL)
+_NAME = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)")
+
+
+def with_texts(html: str, texts: dict[str, str]) -> str:
+    """``html`` with the text nodes that ``text_nodes`` numbers replaced; outer blanks stay, markup is untouched."""
+    out, skipped, number = [], [], 0
+    for piece in _PIECE.split(html):
+        tag = _NAME.match(piece) if piece.startswith("<") else None
+        if tag:
+            name = tag[2].lower()
+            if skipped and tag[1] and name == skipped[-1]:
+                skipped.pop()
+            elif not tag[1] and name not in VOID and (name in _SKIP or re.search(r'class="[^"]*\bgraph-block\b', piece) or (skipped and name == skipped[-1])):
+                skipped.append(name)
+        elif not piece.startswith("<") and piece.strip() and not skipped:
+            number += 1
+            new = texts.get(str(number))
+            if new is not None:
+                lead = len(piece) - len(piece.lstrip())
+                piece = piece[:lead] + new.strip().replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;") + piece[len(piece.rstrip()) :]
+        out.append(piece)
+    return "".join(out)
+
+
+@arrow_udf("string")
+def apply_translations(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Pages with translated text nodes put back (html, map from node id to text)."""
+    for pages, texts in parts:
+        yield pd.Series([None if p is None else with_texts(p, dict(t) if t is not None else {}) for p, t in zip(pages, texts)])

@@ -156,3 +156,13 @@ def test_midpoint(spark):
     rows = [(d, i, t, n) for d, blocks in shapes.items() for i, (t, n) in enumerate(blocks)]
     found = {r.doc: r.place for r in quality.midpoint_place(spark.createDataFrame(rows, "doc string, pos int, tag string, length int")).collect()}
     assert found == {"c": 4, "early": 0, "none": None}
+
+
+def test_translation_of_text_nodes(spark):
+    html = '<p>One <b>two</b></p><pre>keep</pre><figure class="graph-block x"><p>keep</p></figure>\n<p> three &amp; four</p>'
+    row = spark.createDataFrame([(html,)], "html string").select(H.translatable_nodes("html").alias("n")).first()
+    assert [(n.id, n.text.strip()) for n in row.n] == [("1", "One"), ("2", "two"), ("3", "three & four")]
+    done = spark.createDataFrame([(html, {"1": "Un", "3": "trois & quatre"})], "html string, t map<string,string>").select(H.apply_translations("html", "t").alias("x")).first().x
+    assert done == html.replace("One", "Un").replace("three &amp; four", "trois &amp; quatre")
+    pair = spark.createDataFrame([(html, done)], "a string, b string").select(H.same_structure(F.col("a"), F.col("b")).alias("x")).first()
+    assert pair.x
