@@ -39,8 +39,8 @@ from .common import dealt, materialize, mix64, steps, sub_batches, text_rows, ut
 from .induced import suffix_blocks
 
 LENGTH = 50
-#: Bytes of an anchor gram, and grams in a window.
-GRAM = 16
+#: Bytes of an anchor gram (a multiple of 8), and grams in a window. Longer grams are shared less by chance.
+GRAM = 24
 SPAN = LENGTH - GRAM + 1
 #: Text bytes of a batch, and of the input for each shard.
 BATCH_BYTES, SHARD_BYTES, LEAST_SHARDS = 1 << 20, 6 << 20, 24
@@ -73,7 +73,11 @@ def _grams(data: np.ndarray) -> np.ndarray:
     x = data.astype(np.uint64)
     for width in (1, 2, 4):
         x = x[:-width] | x[width:] << np.uint64(8 * width)
-    return mix64(x[:-8] * np.uint64(0x9E3779B97F4A7C15) + mix64(x[8:]))
+    n = data.size - GRAM + 1
+    out = mix64(x[:n])
+    for k in range(8, GRAM, 8):
+        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + x[k : k + n])
+    return out
 
 
 def _segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
