@@ -6,10 +6,10 @@ from quillgraph.schema import ARTICLE_ENTITIES, EDGES, ENTITIES
 
 def graph(spark):
     entities = spark.createDataFrame(
-        [(1, "Stock Trading Course", "topic"), (2, "Gap Trading", "strategy"), (3, "Course Selection Criteria", "concept"), (4, "HSI Structured Warrants", "product"), (5, "Call Warrant", "product")], ENTITIES
+        [(1, "Stock Trading Course", "topic"), (2, "Gap Trading", "strategy"), (3, "Course Selection Criteria", "concept"), (4, "Index Warrants", "product"), (5, "Call Warrant", "product")], ENTITIES
     )
     edges = spark.createDataFrame([(1, 1, "related_to", 2), (2, 1, "part_of", 3), (3, 2, "related_to", 4), (4, 1, "distinguished_from", 5)], EDGES)
-    articles = spark.createDataFrame([(1, "hsi-structured-warrants-malaysia", "HSI Structured Warrants Malaysia"), (2, "choosing-a-trading-course", "Choosing a Trading Course")], "id long, slug string, title string")
+    articles = spark.createDataFrame([(1, "index-warrants", "Index Warrants"), (2, "picking-a-course", "Picking a Course")], "id long, slug string, title string")
     links = spark.createDataFrame([(1, 4, 0.95), (1, 2, 0.3), (2, 1, 0.9), (2, 3, 0.8)], ARTICLE_ENTITIES)
     return entities, edges, articles, links, spark.createDataFrame([(1, "Stock Trading Course")], "topic_id long, topic string")
 
@@ -25,7 +25,7 @@ def test_composed_retrieval(spark):
     assert [(r.article_id, r.max_relevance, r.coverage_ratio) for r in summaries.collect()] == [(2, 0.9, 0.67)]
     duplicates = retrieval.near_duplicates(summaries, seeds)
     assert [(r.article_id, r.level, r.overlap_ratio) for r in duplicates.collect()] == [(2, "high", 0.9)]
-    assert [(r.pick, r.entity, r.slug) for r in retrieval.suggested_links(summaries, seeds).collect()] == [(1, "Stock Trading Course", "choosing-a-trading-course")]
+    assert [(r.pick, r.entity, r.slug) for r in retrieval.suggested_links(summaries, seeds).collect()] == [(1, "Stock Trading Course", "picking-a-course")]
     assert retrieval.content_hierarchy(topics, duplicates).first().overlaps_specialised
     wide, _ = retrieval.expand_related(entities, edges, seeds, include_weak=True)
     assert 2 in {r.id for r in wide.collect()}
