@@ -87,6 +87,7 @@ def _segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     """
     anchors, firsts, counts, owners = [], [], [], []
     n = data.size - LENGTH + 1  # windows, before those across documents go
+    whose = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     for begin in range(0, max(n, 0), _CHUNK):
         end = min(begin + _CHUNK, n)
         grams = _grams(data[begin : end - 1 + LENGTH])
@@ -100,8 +101,8 @@ def _segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
             key = np.minimum(key[: key.size - (SPAN - width)], key[SPAN - width :])
         at = (key & np.uint64((1 << 22) - 1)).astype(np.int64)
         window = np.arange(begin, end)
-        owner = np.searchsorted(offsets, window, "right") - 1
-        valid = window + LENGTH <= offsets[owner + 1]
+        owner = whose[begin:end]
+        valid = window + LENGTH <= offsets[1:][owner]
         at, window, owner = at[valid], window[valid], owner[valid]
         if not at.size:
             continue
