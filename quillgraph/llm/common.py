@@ -51,9 +51,9 @@ def materialize(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Allocator settings of Python workers: freed memory goes back to the system at once, as
+#: Allocator settings of Python workers: large freed blocks go back to the system, as
 #: several workers and a JVM share an executor's memory.
-WORKER_ENVIRONMENT = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576"}
+WORKER_ENVIRONMENT = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "16777216", "MALLOC_TRIM_THRESHOLD_": "16777216"}
 
 
 def lean_workers(spark: SparkSession) -> None:
