@@ -13,9 +13,14 @@ The benchmark's distinct windows are counted first: up to ``BROADCAST_WINDOWS``
 broadcast to drop other windows where the documents are read; beyond that all windows go
 to the same join.
 
+Windows need ``PLAIN`` words that are no placeholders. Items without such a window (dense in
+slots, or shorter) are matched exactly: the hash of their whole sequence of case-folded raw
+tokens is joined with the runs of as many tokens of the documents, so every value must be
+equal. Documents are searched for the first ``WINDOW`` tokens of such an item before the
+whole run is hashed.
+
 Defined results: null and empty texts are never contaminated and null items never leak;
-windows need ``PLAIN`` words that are no placeholders, and items without such a window are
-too short to be told apart and are skipped; repeated rows of a doc_id count as one
+items of numbers alone are skipped; repeated rows of a doc_id count as one
 document; rows with a null doc_id are not reported.
 """
 
@@ -51,11 +56,12 @@ _BYTES[ord("A") : ord("Z") + 1] = _BYTES[ord("a") : ord("z") + 1]
 _BASE = random_table(1, 22)[0] | np.uint64(1)
 _PLACES = random_table(WINDOW, 23) | np.uint64(1)
 _SLOTS = random_table(4, 24)
+_STRIDE, _RUN = random_table(2, 25) | np.uint64(1)
+_BACK = np.uint64(pow(int(_STRIDE), -1, 1 << 64))
 
 
-
-def _powers(n: int) -> np.ndarray:
-    out = np.full(max(n, 1), _BASE, np.uint64)
+def _powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
+    out = np.full(max(n, 1), base, np.uint64)
     out[0] = 1
     return np.cumprod(out)
 
@@ -80,9 +86,12 @@ _UNIT_HASHES = _text_hashes(UNITS)
 
 
 class Templates:
-    """Template tokens of many texts: ``value`` (placeholder or word), ``raw`` value, ``kind``, and n + 1 offsets."""
+    """Template tokens of many texts: ``value`` (placeholder or word), ``raw`` value, ``kind``, and n + 1 offsets.
+
+    Without ``names`` capitalised words are words, and every token is one of its own.
+    """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, names: bool = True):
         n = data.size
         digit, letter = _DIGIT[data], _LETTER[data]
         # A point or comma between two digits belongs to the number.
@@ -116,7 +125,8 @@ class Templates:
         second = data[np.minimum(starts + 1, n - 1)]
         capital = _UPPER[head] | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E))  # A-Z and Latin-1 capitals
         token = np.where(digit[starts], np.uint8(NUMBER), np.uint8(WORD))
-        token[capital & ~sentence & (token == WORD)] = NAME
+        if names:
+            token[capital & ~sentence & (token == WORD)] = NAME
         behind = np.concatenate([[False], token[:-1] == NUMBER]) & ~opens
         token[behind & (token != NUMBER) & np.isin(raw, _UNIT_HASHES)] = UNIT
         keep = np.ones(starts.size, bool)
@@ -146,6 +156,70 @@ class Templates:
 
 
 _WINDOWS = "id long, h long, pos int, n_windows int, slots array<long>"
+#: Of items matched exactly: the hash of the first tokens, and the number of tokens.
+_ITEMS = _WINDOWS + ", anchor long, length int"
+
+
+class Search:
+    """What documents are searched for; ``None`` where it is too much to be broadcast."""
+
+    def __init__(self, windows: np.ndarray | None, anchors: tuple[np.ndarray, np.ndarray] | None, lengths: list[int]):
+        self.windows = windows  # sorted hashes
+        self.anchors = anchors  # (hash of the first tokens, length), sorted by hash
+        self.lengths = lengths  # of all items matched exactly
+
+
+def folded(text: pa.Array) -> Templates:
+    """Tokens of case-folded texts, names being words."""
+    return Templates(*utf8_buffers(pa.array([t and t.casefold() for t in text.to_pylist()], pa.large_string())), names=False)
+
+
+class Runs:
+    """Hashes of runs of raw tokens, each in constant time."""
+
+    def __init__(self, raw: np.ndarray):
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(raw * _powers(raw.size, _STRIDE)[: raw.size], dtype=np.uint64)])
+        self.back = _powers(raw.size, _BACK)
+
+    def __call__(self, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+        inner = (self.sums[begin + length] - self.sums[begin]) * self.back[begin]
+        return mix64(inner + length.astype(np.uint64) * _RUN)
+
+
+def _exact_items(made: Templates, open_items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, hash of the first tokens, length) of the ``open_items`` that have letters."""
+    begin, length = made.offsets[:-1], np.diff(made.offsets)
+    letters = np.concatenate([[0], np.cumsum(made.kind != NUMBER)])
+    text = np.flatnonzero(open_items & (letters[begin + length] > letters[begin]))
+    begin, length, runs = begin[text], length[text], Runs(made.raw)
+    return text, runs(begin, length), runs(begin, np.minimum(length, WINDOW)), length
+
+
+def _exact_runs(made: Templates, search: Search) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, position) of the documents' runs that may be an item matched exactly."""
+    text = np.repeat(np.arange(len(made.offsets) - 1), np.diff(made.offsets))
+    at, left, runs = np.arange(text.size), made.offsets[text + 1] - np.arange(text.size), Runs(made.raw)
+    begins, lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if search.anchors is None:
+        for n in search.lengths:
+            begins.append(at[left >= n])
+            lengths.append(np.full(begins[-1].size, n))
+    else:
+        anchors, wanted = search.anchors
+        for n in sorted({min(n, WINDOW) for n in search.lengths}):
+            begin = at[left >= n]
+            h = runs(begin, np.full(begin.size, n))
+            first = np.searchsorted(anchors, h)
+            count = np.searchsorted(anchors, h, "right") - first
+            hit = np.flatnonzero(count)
+            count = count[hit]
+            nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            begins.append(np.repeat(begin[hit], count))
+            lengths.append(wanted[np.repeat(first[hit], count) + nth])
+    begin, length = np.concatenate(begins), np.concatenate(lengths)
+    fits = length <= left[begin]
+    begin, length = begin[fits], length[fits]
+    return text[begin], runs(begin, length), begin - made.offsets[text[begin]]
 
 
 def template_windows(batch: pa.RecordBatch, sizes: list[int], wanted: np.ndarray | None, whole: bool) -> pa.RecordBatch:
@@ -172,40 +246,80 @@ def template_windows(batch: pa.RecordBatch, sizes: list[int], wanted: np.ndarray
         used = np.flatnonzero(made.kind[b : b + w] != WORD)
         slots.append(made.raw[b + used].view(np.int64))
     n_windows = np.bincount(text, minlength=len(tokens)) if len(text) else np.zeros(len(tokens), np.int64)
+    return _rows(batch, text, h, at, n_windows[text], slots)
+
+
+def _rows(batch: pa.RecordBatch, text: np.ndarray, h: np.ndarray, at: np.ndarray, n_windows: np.ndarray, slots: list[np.ndarray]) -> pa.RecordBatch:
     columns = [
         batch.column("id").take(pa.array(text)),
         pa.array(h.view(np.int64)),
         pa.array(at.astype(np.int32)),
-        pa.array(n_windows[text].astype(np.int32)),
+        pa.array(n_windows.astype(np.int32)),
         pa.array(slots, pa.list_(pa.int64())),
     ]
     return pa.RecordBatch.from_arrays(columns, ["id", "h", "pos", "n_windows", "slots"])
 
 
-def _windows(table: DataFrame, sizes: list[int], wanted: np.ndarray | None, whole: bool) -> DataFrame:
-    shared = table.sparkSession.sparkContext.broadcast(wanted)
+def _exact_rows(batch: pa.RecordBatch, text: np.ndarray, h: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """Rows of whole items: one window each, and no slots, as every value is in the hash."""
+    return _rows(batch, text, h, at, np.ones(text.size), [np.zeros(0, np.int64)] * text.size)
+
+
+def _with_anchors(rows: pa.RecordBatch, anchor: pa.Array, length: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*rows.columns, anchor, length], [*rows.schema.names, "anchor", "length"])
+
+
+def _item_windows(items: DataFrame, sizes: list[int]) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sub_batches(batches, "text"):
+            rows = template_windows(batch, sizes, None, whole=True)
+            yield _with_anchors(rows, pa.nulls(rows.num_rows, pa.int64()), pa.nulls(rows.num_rows, pa.int32()))
+            has = np.isin(batch.column("id").to_numpy(zero_copy_only=False), rows.column("id").to_numpy(zero_copy_only=False))
+            text, h, anchor, length = _exact_items(folded(batch.column("text")), ~has)
+            yield _with_anchors(_exact_rows(batch, text, h, np.zeros(text.size)), pa.array(anchor.view(np.int64)), pa.array(length.astype(np.int32)))
+
+    return items.mapInArrow(run, _ITEMS)
+
+
+def _windows(table: DataFrame, sizes: list[int], search: Search) -> DataFrame:
+    shared = table.sparkSession.sparkContext.broadcast(search)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, "text"):
-            yield template_windows(batch, sizes, shared.value, whole)
+            yield template_windows(batch, sizes, shared.value.windows, whole=False)
+            if shared.value.lengths:
+                yield _exact_rows(batch, *_exact_runs(folded(batch.column("text")), shared.value))
 
     return table.mapInArrow(run, _WINDOWS)
 
 
+def _search(asked: DataFrame) -> Search:
+    distinct = asked.select("h").distinct()
+    wanted = anchors = None
+    if distinct.count() <= BROADCAST_WINDOWS:
+        wanted = np.sort(np.array([r["h"] for r in distinct.collect()], np.int64).view(np.uint64))
+    exact = asked.filter("length is not null").select("anchor", "length").distinct()
+    if exact.count() <= BROADCAST_WINDOWS:
+        pairs = np.array([(r["anchor"], r["length"]) for r in exact.collect()], np.int64).reshape(-1, 2)
+        hashes = pairs[:, 0].copy().view(np.uint64)
+        order = np.argsort(hashes)
+        anchors = hashes[order], pairs[order, 1]
+        lengths = np.unique(pairs[:, 1]).tolist()
+    else:
+        lengths = sorted(r["length"] for r in exact.select("length").distinct().collect())
+    return Search(wanted, anchors, lengths)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """Pairs (doc_id, item_id) with ``containment`` and ``same_slots`` (no value was changed)."""
     texts = text_rows(docs).withColumnRenamed("doc_id", "id").filter("id is not null")
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).filter("id is not null")
-    asked = _windows(items.dropDuplicates(["id"]), list(range(PLAIN, WINDOW + 1)), None, whole=True).select(
-        F.col("id").alias("item_id"), "h", F.col("pos").alias("item_pos"), "n_windows", F.col("slots").alias("item_slots")
+    sizes = list(range(PLAIN, WINDOW + 1))
+    asked = _item_windows(items.dropDuplicates(["id"]), sizes).select(
+        F.col("id").alias("item_id"), "h", F.col("pos").alias("item_pos"), "n_windows", F.col("slots").alias("item_slots"), "anchor", "length"
     )
-    distinct = asked.select("h").distinct()
-    n = distinct.count()
-    wanted = None
-    if n <= BROADCAST_WINDOWS:
-        wanted = np.sort(np.array([r["h"] for r in distinct.collect()], np.int64).view(np.uint64))
-    found = _windows(texts, list(range(PLAIN, WINDOW + 1)), wanted, whole=False).select(F.col("id").alias("doc_id"), "h", "pos", "slots")
-    matched = found.join(asked, "h").dropDuplicates(["doc_id", "pos", "item_id", "item_pos"])
+    found = _windows(texts, sizes, _search(asked)).select(F.col("id").alias("doc_id"), "h", "pos", "slots")
+    matched = found.join(asked.drop("anchor", "length"), "h").dropDuplicates(["doc_id", "pos", "item_id", "item_pos"])
     pair = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     aligned = (
         matched.withColumn("diagonal", F.col("pos") - F.col("item_pos"))
