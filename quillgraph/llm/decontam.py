@@ -9,6 +9,10 @@ same value of the document, though it may be another one. An item leaks into a d
 whose consistent alignments hold at least ``CONTAINMENT`` of the item's windows, so a
 question with changed numbers or names is caught like a copy.
 
+As names are told by their capitals, a copy in upper case, Title Case or lower case has other
+templates. So windows are made a second time from the case-folded text, where names are
+words, and an item leaks if its windows of either kind reach ``CONTAINMENT``.
+
 The benchmark's distinct windows are counted first: up to ``BROADCAST_WINDOWS`` they are
 broadcast to drop other windows where the documents are read; beyond that all windows go
 to the same join.
@@ -27,6 +31,7 @@ document; rows with a null doc_id are not reported.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +62,8 @@ _BASE = random_table(1, 22)[0] | np.uint64(1)
 _PLACES = random_table(WINDOW, 23) | np.uint64(1)
 _SLOTS = random_table(4, 24)
 _STRIDE, _RUN = random_table(2, 25) | np.uint64(1)
+#: Windows of the two kinds do not meet.
+_FOLDED = random_table(1, 26)[0]
 _BACK = np.uint64(pow(int(_STRIDE), -1, 1 << 64))
 
 
@@ -156,14 +163,16 @@ class Templates:
 
 
 _WINDOWS = "id long, h long, pos int, n_windows int, slots array<long>"
-#: Of items matched exactly: the hash of the first tokens, and the number of tokens.
-_ITEMS = _WINDOWS + ", anchor long, length int"
+#: ``length``: tokens of the window or the run; ``anchor``: hash of the first tokens of a run.
+_ITEMS = _WINDOWS + ", kind int, length int, anchor long"
+NAMED, FOLDED, EXACT = range(3)
 
 
 class Search:
     """What documents are searched for; ``None`` where it is too much to be broadcast."""
 
-    def __init__(self, windows: np.ndarray | None, anchors: tuple[np.ndarray, np.ndarray] | None, lengths: list[int]):
+    def __init__(self, sizes: dict[int, list[int]], windows: np.ndarray | None, anchors: tuple[np.ndarray, np.ndarray] | None, lengths: list[int]):
+        self.sizes = sizes  # of the items' windows, by kind
         self.windows = windows  # sorted hashes
         self.anchors = anchors  # (hash of the first tokens, length), sorted by hash
         self.lengths = lengths  # of all items matched exactly
@@ -195,8 +204,8 @@ def _exact_items(made: Templates, open_items: np.ndarray) -> tuple[np.ndarray, n
     return text, runs(begin, length), runs(begin, np.minimum(length, WINDOW)), length
 
 
-def _exact_runs(made: Templates, search: Search) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, hash, position) of the documents' runs that may be an item matched exactly."""
+def _exact_runs(made: Templates, search: Search) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, position, length) of the documents' runs that may be an item matched exactly."""
     text = np.repeat(np.arange(len(made.offsets) - 1), np.diff(made.offsets))
     at, left, runs = np.arange(text.size), made.offsets[text + 1] - np.arange(text.size), Runs(made.raw)
     begins, lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -219,16 +228,43 @@ def _exact_runs(made: Templates, search: Search) -> tuple[np.ndarray, np.ndarray
     begin, length = np.concatenate(begins), np.concatenate(lengths)
     fits = length <= left[begin]
     begin, length = begin[fits], length[fits]
-    return text[begin], runs(begin, length), begin - made.offsets[text[begin]]
+    return text[begin], runs(begin, length), begin - made.offsets[text[begin]], length
+
+
+class Found(NamedTuple):
+    """Windows or runs: the row of the text in its batch, hash, position, windows of the text, slots, length."""
+
+    text: np.ndarray
+    h: np.ndarray
+    at: np.ndarray
+    n_windows: np.ndarray
+    slots: list[np.ndarray]
+    length: np.ndarray
 
+    def rows(self, batch: pa.RecordBatch, **more: pa.Array) -> pa.RecordBatch:
+        columns = {
+            "id": batch.column("id").take(pa.array(self.text)),
+            "h": pa.array(self.h.view(np.int64)),
+            "pos": pa.array(self.at.astype(np.int32)),
+            "n_windows": pa.array(self.n_windows.astype(np.int32)),
+            "slots": pa.array(self.slots, pa.list_(pa.int64())),
+        } | more
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-def template_windows(batch: pa.RecordBatch, sizes: list[int], wanted: np.ndarray | None, whole: bool) -> pa.RecordBatch:
-    """Window rows of a batch (id, text). ``whole``: texts shorter than a window are one window."""
-    made = Templates(*utf8_buffers(batch.column("text")))
+    def item_rows(self, batch: pa.RecordBatch, kind: int, anchor: pa.Array | None = None) -> pa.RecordBatch:
+        n = self.text.size
+        anchor = pa.nulls(n, pa.int64()) if anchor is None else anchor
+        return self.rows(batch, kind=pa.array(np.full(n, kind, np.int32)), length=pa.array(self.length.astype(np.int32)), anchor=anchor)
+
+
+def template_windows(made: Templates, kind: int, sizes: list[int], wanted: np.ndarray | None, whole: bool) -> Found:
+    """The windows of texts. ``whole``: texts shorter than a window are one window."""
     tokens = np.diff(made.offsets)
     hashes, texts, places, widths = [], [], [], []
     for size in sizes:
         h, text, at = made.windows(size)
+        if kind == FOLDED:
+            h = h + _FOLDED
         keep = np.ones(len(h), bool)
         if whole and size < WINDOW:
             keep &= tokens[text] == size
@@ -246,98 +282,101 @@ def template_windows(batch: pa.RecordBatch, sizes: list[int], wanted: np.ndarray
         used = np.flatnonzero(made.kind[b : b + w] != WORD)
         slots.append(made.raw[b + used].view(np.int64))
     n_windows = np.bincount(text, minlength=len(tokens)) if len(text) else np.zeros(len(tokens), np.int64)
-    return _rows(batch, text, h, at, n_windows[text], slots)
-
+    return Found(text, h, at, n_windows[text], slots, width)
 
-def _rows(batch: pa.RecordBatch, text: np.ndarray, h: np.ndarray, at: np.ndarray, n_windows: np.ndarray, slots: list[np.ndarray]) -> pa.RecordBatch:
-    columns = [
-        batch.column("id").take(pa.array(text)),
-        pa.array(h.view(np.int64)),
-        pa.array(at.astype(np.int32)),
-        pa.array(n_windows.astype(np.int32)),
-        pa.array(slots, pa.list_(pa.int64())),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["id", "h", "pos", "n_windows", "slots"])
 
+def _whole_runs(text: np.ndarray, h: np.ndarray, at: np.ndarray, length: np.ndarray) -> Found:
+    """Runs as one window each, without slots: every value is in the hash."""
+    return Found(text, h, at, np.ones(text.size), [np.zeros(0, np.int64)] * text.size, length)
 
-def _exact_rows(batch: pa.RecordBatch, text: np.ndarray, h: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-    """Rows of whole items: one window each, and no slots, as every value is in the hash."""
-    return _rows(batch, text, h, at, np.ones(text.size), [np.zeros(0, np.int64)] * text.size)
-
-
-def _with_anchors(rows: pa.RecordBatch, anchor: pa.Array, length: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*rows.columns, anchor, length], [*rows.schema.names, "anchor", "length"])
 
+def _item_windows(items: DataFrame) -> DataFrame:
+    sizes = list(range(PLAIN, WINDOW + 1))
 
-def _item_windows(items: DataFrame, sizes: list[int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, "text"):
-            rows = template_windows(batch, sizes, None, whole=True)
-            yield _with_anchors(rows, pa.nulls(rows.num_rows, pa.int64()), pa.nulls(rows.num_rows, pa.int32()))
-            has = np.isin(batch.column("id").to_numpy(zero_copy_only=False), rows.column("id").to_numpy(zero_copy_only=False))
-            text, h, anchor, length = _exact_items(folded(batch.column("text")), ~has)
-            yield _with_anchors(_exact_rows(batch, text, h, np.zeros(text.size)), pa.array(anchor.view(np.int64)), pa.array(length.astype(np.int32)))
+            open_items = np.ones(batch.num_rows, bool)
+            plain = folded(batch.column("text"))
+            for kind, made in ((NAMED, Templates(*utf8_buffers(batch.column("text")))), (FOLDED, plain)):
+                found = template_windows(made, kind, sizes, None, whole=True)
+                open_items[found.text] = False
+                yield found.item_rows(batch, kind)
+            text, h, anchor, length = _exact_items(plain, open_items)
+            yield _whole_runs(text, h, np.zeros(text.size), length).item_rows(batch, EXACT, pa.array(anchor.view(np.int64)))
 
     return items.mapInArrow(run, _ITEMS)
 
 
-def _windows(table: DataFrame, sizes: list[int], search: Search) -> DataFrame:
+def _windows(table: DataFrame, search: Search) -> DataFrame:
     shared = table.sparkSession.sparkContext.broadcast(search)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, "text"):
-            yield template_windows(batch, sizes, shared.value.windows, whole=False)
-            if shared.value.lengths:
-                yield _exact_rows(batch, *_exact_runs(folded(batch.column("text")), shared.value))
+            asked = shared.value
+            if asked.sizes[NAMED]:
+                yield template_windows(Templates(*utf8_buffers(batch.column("text"))), NAMED, asked.sizes[NAMED], asked.windows, whole=False).rows(batch)
+            if asked.sizes[FOLDED] or asked.lengths:
+                plain = folded(batch.column("text"))
+            if asked.sizes[FOLDED]:
+                yield template_windows(plain, FOLDED, asked.sizes[FOLDED], asked.windows, whole=False).rows(batch)
+            if asked.lengths:
+                yield _whole_runs(*_exact_runs(plain, asked)).rows(batch)
 
     return table.mapInArrow(run, _WINDOWS)
 
 
 def _search(asked: DataFrame) -> Search:
-    distinct = asked.select("h").distinct()
+    windows, exact = asked.filter(F.col("kind") != EXACT), asked.filter(F.col("kind") == EXACT)
+    sizes = {NAMED: [], FOLDED: []}
+    for r in windows.select("kind", "length").distinct().collect():
+        sizes[r["kind"]].append(r["length"])
+    distinct = windows.select("h").distinct()
     wanted = anchors = None
     if distinct.count() <= BROADCAST_WINDOWS:
         wanted = np.sort(np.array([r["h"] for r in distinct.collect()], np.int64).view(np.uint64))
-    exact = asked.filter("length is not null").select("anchor", "length").distinct()
-    if exact.count() <= BROADCAST_WINDOWS:
-        pairs = np.array([(r["anchor"], r["length"]) for r in exact.collect()], np.int64).reshape(-1, 2)
-        hashes = pairs[:, 0].copy().view(np.uint64)
+    pairs = exact.select("anchor", "length").distinct()
+    if pairs.count() <= BROADCAST_WINDOWS:
+        known = np.array([(r["anchor"], r["length"]) for r in pairs.collect()], np.int64).reshape(-1, 2)
+        hashes = known[:, 0].copy().view(np.uint64)
         order = np.argsort(hashes)
-        anchors = hashes[order], pairs[order, 1]
-        lengths = np.unique(pairs[:, 1]).tolist()
+        anchors = hashes[order], known[order, 1]
+        lengths = np.unique(known[:, 1]).tolist()
     else:
-        lengths = sorted(r["length"] for r in exact.select("length").distinct().collect())
-    return Search(wanted, anchors, lengths)
+        lengths = sorted(r["length"] for r in pairs.select("length").distinct().collect())
+    return Search(sizes, wanted, anchors, lengths)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """Pairs (doc_id, item_id) with ``containment`` and ``same_slots`` (no value was changed)."""
     texts = text_rows(docs).withColumnRenamed("doc_id", "id").filter("id is not null")
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).filter("id is not null")
-    sizes = list(range(PLAIN, WINDOW + 1))
-    asked = _item_windows(items.dropDuplicates(["id"]), sizes).select(
-        F.col("id").alias("item_id"), "h", F.col("pos").alias("item_pos"), "n_windows", F.col("slots").alias("item_slots"), "anchor", "length"
+    asked = _item_windows(items.dropDuplicates(["id"])).select(
+        F.col("id").alias("item_id"), "h", F.col("pos").alias("item_pos"), "n_windows", F.col("slots").alias("item_slots"), "kind", "anchor", "length"
     )
-    found = _windows(texts, sizes, _search(asked)).select(F.col("id").alias("doc_id"), "h", "pos", "slots")
-    matched = found.join(asked.drop("anchor", "length"), "h").dropDuplicates(["doc_id", "pos", "item_id", "item_pos"])
+    found = _windows(texts, _search(asked)).select(F.col("id").alias("doc_id"), "h", "pos", "slots")
+    matched = found.join(asked.drop("anchor", "length"), "h").dropDuplicates(["doc_id", "pos", "item_id", "kind", "item_pos"])
     pair = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     aligned = (
         matched.withColumn("diagonal", F.col("pos") - F.col("item_pos"))
-        .groupBy("doc_id", "item_id", "diagonal")
+        .groupBy("doc_id", "item_id", "kind", "diagonal")
         .agg(F.collect_set("item_pos").alias("places"), F.array_distinct(F.flatten(F.collect_list(pair))).alias("pairs"), F.first("n_windows").alias("n_windows"))
     )
     values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
     consistent = aligned.filter(F.size("pairs") - values <= INCONSISTENT * values)
     same = F.forall("pairs", lambda p: p["item"] == p["doc"])
     covered = (
-        consistent.select("doc_id", "item_id", "n_windows", same.alias("same"), F.explode("places").alias("place"))
-        .groupBy("doc_id", "item_id", "n_windows", "place")
+        consistent.select("doc_id", "item_id", "kind", "n_windows", same.alias("same"), F.explode("places").alias("place"))
+        .groupBy("doc_id", "item_id", "kind", "n_windows", "place")
         .agg(F.bool_or("same").alias("same"))
-        .groupBy("doc_id", "item_id", "n_windows")
+        .groupBy("doc_id", "item_id", "kind", "n_windows")
         .agg(F.count("*").alias("n"), F.bool_and("same").alias("same_slots"))
     )
     share = F.col("n") / F.col("n_windows")
-    return covered.filter(share >= containment).select("doc_id", "item_id", share.alias("containment"), "same_slots")
+    return (
+        covered.filter(share >= containment)
+        .groupBy("doc_id", "item_id")
+        .agg(F.max(share).alias("containment"), F.bool_and("same_slots").alias("same_slots"))
+    )
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT) -> DataFrame:

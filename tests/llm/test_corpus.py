@@ -370,6 +370,16 @@ def test_decontamination_of_items_dense_in_slots(spark, monkeypatch, limit):
     assert {(r.doc_id, r["items"], r.containment, r.reparameterised) for r in found.collect()} == {(1, "1", 1.0, False), (3, "2", 1.0, False), (4, "3", 1.0, False), (6, "4", 1.0, False)}
 
 
+def test_decontamination_of_copies_in_another_case(spark):
+    german = "Der Hund von Frau Müller jagt die Katze über die Straße, weil der Hase im Garten mit dem Fuchs und der Gans Äpfel frisst"
+    items = spark.createDataFrame([(1, ITEM), (2, german)], "item_id long, text string")
+    cases = [str.upper, str.title, str.lower]
+    texts = [(10 * i + k, "Zz. " + case(text) + " zz") for i, text in ((1, ITEM), (2, german)) for k, case in enumerate(cases)]
+    texts.append((30, "DER HUND UND DIE KATZE. IF TOM SMITH HAS 12 PEARS, HOW MANY ARE THERE?"))
+    found = {r.doc_id: (r["items"], r.containment, r.reparameterised) for r in decontam.contaminated(spark.createDataFrame(texts, "doc_id long, text string"), items).collect()}
+    assert found == {10 * i + k: (str(i), 1.0, False) for i in (1, 2) for k in range(3)}
+
+
 def test_decontamination_beyond_the_broadcast(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
     benchmark = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
