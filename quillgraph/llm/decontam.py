@@ -24,7 +24,8 @@ equal. Documents are searched for the first ``WINDOW`` tokens of such an item be
 whole run is hashed.
 
 Defined results: null and empty texts are never contaminated and null items never leak;
-items of numbers alone are skipped; repeated rows of a doc_id count as one
+items of numbers alone are skipped; an item_id with several texts leaks if any of them does;
+repeated rows of a doc_id count as one
 document; rows with a null doc_id are not reported.
 """
 
@@ -164,7 +165,7 @@ class Templates:
 
 _WINDOWS = "id long, h long, pos int, n_windows int, slots array<long>"
 #: ``length``: tokens of the window or the run; ``anchor``: hash of the first tokens of a run.
-_ITEMS = _WINDOWS + ", kind int, length int, anchor long"
+_ITEMS = _WINDOWS + ", version long, kind int, length int, anchor long"
 NAMED, FOLDED, EXACT = range(3)
 
 
@@ -254,7 +255,8 @@ class Found(NamedTuple):
     def item_rows(self, batch: pa.RecordBatch, kind: int, anchor: pa.Array | None = None) -> pa.RecordBatch:
         n = self.text.size
         anchor = pa.nulls(n, pa.int64()) if anchor is None else anchor
-        return self.rows(batch, kind=pa.array(np.full(n, kind, np.int32)), length=pa.array(self.length.astype(np.int32)), anchor=anchor)
+        version = batch.column("version").take(pa.array(self.text))
+        return self.rows(batch, version=version, kind=pa.array(np.full(n, kind, np.int32)), length=pa.array(self.length.astype(np.int32)), anchor=anchor)
 
 
 def template_windows(made: Templates, kind: int, sizes: list[int], wanted: np.ndarray | None, whole: bool) -> Found:
@@ -350,25 +352,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMEN
     """Pairs (doc_id, item_id) with ``containment`` and ``same_slots`` (no value was changed)."""
     texts = text_rows(docs).withColumnRenamed("doc_id", "id").filter("id is not null")
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).filter("id is not null")
-    asked = _item_windows(items.dropDuplicates(["id"])).select(
-        F.col("id").alias("item_id"), "h", F.col("pos").alias("item_pos"), "n_windows", F.col("slots").alias("item_slots"), "kind", "anchor", "length"
+    asked = _item_windows(items.dropDuplicates(["id", "text"]).withColumn("version", F.xxhash64("text"))).select(
+        F.col("id").alias("item_id"), "version", "h", F.col("pos").alias("item_pos"), "n_windows", F.col("slots").alias("item_slots"), "kind", "anchor", "length"
     )
     found = _windows(texts, _search(asked)).select(F.col("id").alias("doc_id"), "h", "pos", "slots")
-    matched = found.join(asked.drop("anchor", "length"), "h").dropDuplicates(["doc_id", "pos", "item_id", "kind", "item_pos"])
+    matched = found.join(asked.drop("anchor", "length"), "h").dropDuplicates(["doc_id", "pos", "item_id", "version", "kind", "item_pos"])
     pair = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     aligned = (
         matched.withColumn("diagonal", F.col("pos") - F.col("item_pos"))
-        .groupBy("doc_id", "item_id", "kind", "diagonal")
+        .groupBy("doc_id", "item_id", "version", "kind", "diagonal")
         .agg(F.collect_set("item_pos").alias("places"), F.array_distinct(F.flatten(F.collect_list(pair))).alias("pairs"), F.first("n_windows").alias("n_windows"))
     )
     values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
     consistent = aligned.filter(F.size("pairs") - values <= INCONSISTENT * values)
     same = F.forall("pairs", lambda p: p["item"] == p["doc"])
     covered = (
-        consistent.select("doc_id", "item_id", "kind", "n_windows", same.alias("same"), F.explode("places").alias("place"))
-        .groupBy("doc_id", "item_id", "kind", "n_windows", "place")
+        consistent.select("doc_id", "item_id", "version", "kind", "n_windows", same.alias("same"), F.explode("places").alias("place"))
+        .groupBy("doc_id", "item_id", "version", "kind", "n_windows", "place")
         .agg(F.bool_or("same").alias("same"))
-        .groupBy("doc_id", "item_id", "kind", "n_windows")
+        .groupBy("doc_id", "item_id", "version", "kind", "n_windows")
         .agg(F.count("*").alias("n"), F.bool_and("same").alias("same_slots"))
     )
     share = F.col("n") / F.col("n_windows")

@@ -380,6 +380,14 @@ def test_decontamination_of_copies_in_another_case(spark):
     assert found == {10 * i + k: (str(i), 1.0, False) for i in (1, 2) for k in range(3)}
 
 
+def test_decontamination_of_items_with_several_texts(spark):
+    answer = "he has exactly two of the red ones and none of the green ones"
+    items = spark.createDataFrame([(1, ITEM), (1, answer), (1, answer), (1, "Eigenvalue 7"), (1, None)], "item_id long, text string")
+    texts = [(1, "so " + ITEM), (2, "so " + answer), (3, "eigenvalue 7"), (4, ITEM + " " + answer), (5, "nothing of the kind")]
+    found = decontam.contaminated(spark.createDataFrame(texts, "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.n_items, r["items"], r.containment) for r in found} == {(i, 1, "1", 1.0) for i in range(1, 5)}
+
+
 def test_decontamination_beyond_the_broadcast(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
     benchmark = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
