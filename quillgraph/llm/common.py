@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import posixpath
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -21,11 +23,14 @@ STEP_BYTES = 1 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is read from ``spark.checkpoint.dir``. Where that is unset (tests, a single
-    machine) a temporary folder is made once and recorded in the session.
+    It is read from ``spark.checkpoint.dir``. Where that is unset and everything runs in one
+    process, as in tests, a temporary folder is made once and recorded in the session; on a
+    cluster a missing setting is an error, as executors would write to disks of their own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="quillgraph-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
@@ -36,19 +41,58 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return posixpath.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+#: Tables written so far, by the session's application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def materialize(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 
     A lost executor costs only tasks of the current step, not what came before it.
-    ``narrow`` is for tables of a few bytes per document: they go to a sixteenth of the
-    shuffle partitions, as many small files cost more than their rows.
+    ``narrow`` is for tables of a few bytes per document: they are rebalanced, so the number
+    of files follows their bytes and not the number of tasks that made them.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     if narrow:
-        df = df.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 16))
+        df = df.hint("rebalance")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a materialised table that nothing will read again."""
+    path, spark = table._scratch_path, table.sparkSession
+    _SCRATCH[spark.sparkContext.applicationId].remove(path)
+    _delete(spark, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A block whose materialised tables are deleted at its end, but for those stored with the function it gets."""
+    mine = _SCRATCH.setdefault(spark.sparkContext.applicationId, [])
+    before, kept = len(mine), set()
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = materialize(df, name)
+        kept.add(out._scratch_path)
+        return out
+
+    try:
+        yield keep
+    finally:
+        gone = [p for p in mine[before:] if p not in kept]
+        mine[before:] = [p for p in mine[before:] if p in kept]
+        for path in gone:
+            _delete(spark, path)
 
 
 #: Allocator settings of Python workers: large freed blocks go back to the system, as
@@ -68,6 +112,17 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def packed_rows(df: DataFrame, *columns: Column) -> DataFrame:
+    """Each row of ``df`` as one struct ``row`` beside ``columns``, so that no name of its own can clash."""
+    lean_workers(df.sparkSession)
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), *columns)
+
+
+def opened_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns back from ``row``."""
+    return df.select(*(F.col("row").getField(c).alias(c) for c in columns))
+
+
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` partitioned by keys for a grouped function whose time does not follow its bytes.
 
