@@ -9,9 +9,16 @@ to the share of toxic rows among all learnable labels.
 
 Sample bounds: ``SAMPLE`` rows of each label at most. Everything else covers all rows.
 
+A score is 0.98 of the calibrated probability and 0.02 of the uncalibrated one, which keeps the
+trees' order among the texts of one calibrated step.
+
 Defined results: null and empty texts are scored like others, from features of an empty
-text; without labels of both kinds every score is the share of toxic labels (0 without
-any); ties between labels of one document count as toxic; null labels are not learned.
+text; whole texts are read, however long; without labels of both kinds every score is the
+share of toxic labels (0 without any); of several labels of one document a toxic one counts;
+null labels and null doc_ids are not learned from, but rows with a null doc_id are scored;
+repeated rows get equal scores, and rows that repeat a doc_id are scored by their own texts
+(the smallest text is learned from); an empty table gives no rows; columns other than doc_id
+and text may have any name.
 """
 
 from __future__ import annotations
@@ -21,10 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import crc32_mod, materialize, mix64, sub_batches, text_rows, utf8_buffers
+from .common import crc32_mod, materialize, mix64, opened_rows, packed_rows, sub_batches, text_rows, utf8_buffers
 from .shingles import shingle_sets
 
 #: Labelled rows of each label that are learned from, at most.
@@ -268,11 +277,11 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     return seed | {r["term"]: float(r["odds"]) for r in best.collect()}
 
 
-def fit_and_features(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Model]:
-    """(doc_id and feats of every row of ``docs``, model learned from ``labels``: doc_id, toxic)."""
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], Model]:
+    """(lexicon, model) learned from the texts of ``docs`` that ``labels`` (doc_id, toxic) marks."""
     rows = text_rows(docs)
     known = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    known = materialize(known, "labels")
+    known = materialize(known, "labels", narrow=True)
     chosen = known.filter("toxic = 1").orderBy(F.xxhash64("doc_id")).limit(SAMPLE).unionByName(known.filter("toxic = 0").orderBy(F.xxhash64("doc_id")).limit(SAMPLE))
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,39 +291,48 @@ def fit_and_features(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Mod
             group = [int(sets[a].view(np.int64)) if b > a else -1 for a, b in zip(at.tolist(), at[1:].tolist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(group, pa.int64())], ["doc_id", "text", "toxic", "group"])
 
-    # At most 2 * SAMPLE ids, so the broadcast is bounded and the texts are not shuffled.
-    sample = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").mapInArrow(grouped, "doc_id long, text string, toxic int, group long")
-    sample = materialize(sample.dropDuplicates(["doc_id"]), "labelled-sample")
+    # At most 2 * SAMPLE ids, so the broadcast is bounded. Of rows that repeat an id the smallest text is learned from.
+    texts = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
+    sample = materialize(texts.mapInArrow(grouped, "doc_id long, text string, toxic int, group long"), "labelled-sample", narrow=True)
     lexicon = learn_lexicon(sample)
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
-    state: dict[str, _Weights] = {}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = state.setdefault("weights", _Weights(shared.value))
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = _Weights(lexicon)
         for batch in sub_batches(batches, "text"):
             x = features(batch.column("text"), weights)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(x), pa.list_(pa.float32()))], ["doc_id", "feats"])
+            columns = [batch.column(c) for c in ("doc_id", "toxic", "group")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(x), pa.list_(pa.float32()))], ["doc_id", "toxic", "group", "feats"])
 
-    made = materialize(rows.mapInArrow(run, "doc_id long, feats array<float>"), "toxicity-features")
-    learned = sample.select("doc_id", "text", "toxic", "group")
-    at_hand = learned.select("doc_id", "toxic", "group").join(learned.select("doc_id", "text").mapInArrow(run, "doc_id long, feats array<float>"), "doc_id").orderBy("doc_id").collect()
+    at_hand = sample.mapInArrow(described, "doc_id long, toxic int, group long, feats array<float>").orderBy("doc_id").collect()
     x = np.array([r["feats"] for r in at_hand], np.float32).reshape(len(at_hand), len(FEATURES))
     y = np.array([r["toxic"] for r in at_hand], np.int64)
     n, ones = known.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    return made, Model.fit(x, y, np.array([r["group"] for r in at_hand], np.int64), ones / n if n else 0.0)
+    return lexicon, Model.fit(x, y, np.array([r["group"] for r in at_hand], np.int64), ones / n if n else 0.0)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, score, predicted of every row; all of ``labels`` may be learned from."""
-    made, model = fit_and_features(docs, labels)
+def _scored(rows: DataFrame, lexicon: dict[str, float], model: Model, text: str, kept: str) -> DataFrame:
+    """Column ``kept`` of every row with ``score``; the text is field ``text`` of it if it is a struct."""
+    shared = rows.sparkSession.sparkContext.broadcast((lexicon, model))
+    state: dict[str, _Weights] = {}
+    nested = isinstance(rows.schema[kept].dataType, StructType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, trees = shared.value
+        weights = state.setdefault("weights", _Weights(words))
         for batch in batches:
-            if batch.num_rows:
-                x = batch.column("feats").flatten().to_numpy().reshape(batch.num_rows, len(FEATURES))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.score(x))], ["doc_id", "score"])
+            texts = pc.struct_field(batch.column(kept), text) if nested else batch.column(text)
+            whole = pa.RecordBatch.from_arrays([batch.column(kept), texts.cast(pa.string())], [kept, "\0text"])
+            for part in sub_batches([whole], "\0text"):
+                score = trees.score(features(part.column(1), weights))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score)], [kept, "score"])
 
-    return made.mapInArrow(run, "doc_id long, score double").withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    schema = StructType([StructField(kept, rows.schema[kept].dataType), StructField("score", DoubleType())])
+    return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, score, predicted of every row; all of ``labels`` may be learned from."""
+    return _scored(text_rows(docs), *fit(docs, labels), "text", "doc_id")
 
 
 def score_held_out(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
@@ -325,6 +343,9 @@ def score_held_out(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those whose score reaches the threshold; rows with a null doc_id are scored too."""
-    bad = score_documents(docs, labels).filter("predicted = 1").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    """``docs`` without the rows whose score reaches the threshold.
+
+    Each row is judged by its own text, whatever its doc_id is or which others share it.
+    """
+    found = _scored(packed_rows(docs), *fit(docs, labels), "text", "row").filter("predicted = 0")
+    return opened_rows(found, docs.columns)
