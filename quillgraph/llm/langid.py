@@ -7,11 +7,14 @@ the language of the centroid with the greatest cosine. A text farther from that
 than the language's own learned texts are (``REJECT`` quantile) is marked ``rejected``.
 
 Document frequencies cover every learnable document. Centroids are fitted on a bounded
-sample: about ``SAMPLE`` distinct texts of each language, chosen by a hash of the text.
+sample: the ``SAMPLE`` distinct texts of each language with the smallest hashes, so copies
+count once and a language with one text that has letters is learned from that.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0 and
 rejected; ties go to the language first in order; without learnable documents every
-text is ``und``; repeated rows get equal results; whole texts are read.
+text is ``und``; repeated rows get equal results; a text labelled with several languages is
+learned for each; whole texts are read, however long; an empty table gives no rows; columns
+other than doc_id, text and lang may have any name.
 """
 
 from __future__ import annotations
@@ -20,14 +23,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, sub_batches, text_rows
+from .common import crc32_mod, materialize, sub_batches, text_rows
 
 #: Buckets of hashed n-grams.
 DIMENSIONS = 1 << 13
-#: Sampled texts of each language for the centroids, about; languages whose sum is beyond MAX_SAMPLE share that.
+#: Sampled texts of each language for the centroids; languages whose sum is beyond MAX_SAMPLE share that, with one text each at least.
 SAMPLE, MAX_SAMPLE = 300, 20_000
 #: Centroids of each language.
 CENTROIDS = 4
@@ -135,7 +138,7 @@ class Model:
 
 def fit(docs: DataFrame) -> Model:
     """Learn from the rows of ``docs`` (text, lang) whose lang is not null."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(DIMENSIONS + 1, np.int64), 0
@@ -152,11 +155,12 @@ def fit(docs: DataFrame) -> Model:
         df[bucket] = n
     idf = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1).astype(np.float32)
 
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_SAMPLE).collect()}
-    langs = sorted(sizes)
-    each = max(1, min(SAMPLE, MAX_SAMPLE // max(1, len(langs))))
-    # A text is sampled if its hash falls in its language's share; copies fall together.
-    share = F.create_map(*(F.lit(x) for k in langs for x in (k, min(1.0, 1.5 * each / sizes[k])))) if langs else None
+    # The smallest text hashes of each language: copies are one text, and no language is left out.
+    hashed = known.filter(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
+    ranked = hashed.select("lang", "h").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= SAMPLE)
+    chosen = materialize(ranked, "language-sample", narrow=True)
+    n_langs = chosen.select("lang").distinct().count()
+    each = max(1, min(SAMPLE, MAX_SAMPLE // max(1, n_langs)))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, "text"):
@@ -164,25 +168,24 @@ def fit(docs: DataFrame) -> Model:
             columns = [batch.column("lang"), batch.column("h"), pa.array([b.tobytes() for b, _ in found], pa.binary()), pa.array([c.tobytes() for _, c in found], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "h", "buckets", "counts"])
 
+    # At most MAX_SAMPLE rows, or one for each language where there are more languages than that.
+    keys = chosen.filter(F.col("k") <= each).select("lang", "h")
+    texts = hashed.join(F.broadcast(keys), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    sample = texts.mapInArrow(vectors, "lang string, h long, buckets binary, counts binary").filter("length(buckets) > 0").orderBy("lang", "h")
+    by_lang: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    for row in sample.toLocalIterator():
+        buckets, counts = np.frombuffer(row["buckets"], np.int32), np.frombuffer(row["counts"], np.float32)
+        by_lang.setdefault(row["lang"], []).append((buckets, _weighted(buckets, counts, idf)))
+    langs = sorted(by_lang)
     parts, owner, least = [], [], []
-    if langs:
-        hashed = known.withColumn("h", F.xxhash64("text"))
-        chosen = hashed.filter(F.pmod("h", F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20))
-        sample = chosen.mapInArrow(vectors, "lang string, h long, buckets binary, counts binary").filter("length(buckets) > 0").dropDuplicates(["h"]).orderBy(F.pmod("h", F.lit(1 << 20)), "h").limit(2 * MAX_SAMPLE)
-        by_lang: dict[str, list[np.ndarray]] = {k: [] for k in langs}
-        for row in sample.collect():
-            if len(by_lang[row["lang"]]) < each:
-                dense = np.zeros(DIMENSIONS, np.float32)
-                buckets, counts = np.frombuffer(row["buckets"], np.int32), np.frombuffer(row["counts"], np.float32)
-                dense[buckets] = _weighted(buckets, counts, idf)
-                by_lang[row["lang"]].append(dense)
-        langs = [k for k in langs if by_lang[k]]
-        for i, lang in enumerate(langs):
-            rows = np.stack(by_lang[lang])
-            found = _kmeans(rows, CENTROIDS)
-            parts.append(found)
-            owner += [i] * len(found)
-            least.append(float(np.quantile((rows @ found.T).max(axis=1), REJECT)))
+    for i, lang in enumerate(langs):
+        rows = np.zeros((len(by_lang[lang]), DIMENSIONS), np.float32)
+        for row, (buckets, values) in zip(rows, by_lang[lang]):
+            row[buckets] = values
+        found = _kmeans(rows, CENTROIDS)
+        parts.append(found)
+        owner += [i] * len(found)
+        least.append(float(np.quantile((rows @ found.T).max(axis=1), REJECT)))
     centroids = np.concatenate(parts).astype(np.float32) if parts else np.zeros((0, DIMENSIONS), np.float32)
     return Model(langs, idf, centroids, np.array(owner, np.int64), np.array(least))
 
