@@ -1,27 +1,40 @@
 """Secret scans over an incremental blob ledger.
 
-Each version of each path is content-addressed by the SHA-256 of its text. The ledger
-holds one row for each (blob, rule version) that has ever been scanned; a run scans only
-the pairs that it lacks, appends them, and joins the findings back to every path that
-has, or had, that blob.
-
-Defined results: a null text is the empty blob; repeated rows and copies share one scan
-and each get its findings; rows with a null path are scanned and returned like others;
-a rule whose version changes is scanned anew over all blobs, others are not.
+The ledger is a folder of three tables that only grow:
+
+* ``versions`` (path, version, blob): every version of every path that was ever handed in,
+  content-addressed by the SHA-256 of its text;
+* ``blobs`` (blob, packed): each distinct text once, compressed, by the run that brought it;
+* ``findings`` (blob, rule, spans): one row for each (blob, rule version) that was scanned.
+
+A run adds what is new to the first two, scans only the (blob, rule version) pairs that the
+third lacks (also old blobs, when a rule's version changes) and joins the findings back to
+every path that has, or had, a blob. A run that broke off is made good by the next: what it
+left unscanned is still unseen.
+
+Defined results: a null text is the empty blob; repeated rows and copies share one scan and
+each get its findings; a (path, version, blob) that the ledger has is not added again, but
+rows that repeat within one run are each kept; rows with a null path are scanned and returned
+like others; a rule whose version changes is scanned anew over all blobs, others are not;
+whole texts are scanned, however long; an empty table adds nothing; other columns may have
+any name.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import zstandard
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .common import fresh_path, lean_workers, materialize, sub_batches
+from .common import fresh_path, lean_workers, materialize, packed_rows, sub_batches
 
 
 @dataclass(frozen=True)
@@ -50,78 +63,135 @@ RULES = (
     Rule("hex", 1, r"[0-9a-f]{32,}", 0, 32),  # a maximal run of fewer characters fails in any case
 )
 
-#: Bytes of findings that ``redact`` broadcasts at most.
+#: Bytes of findings that are broadcast at most.
 BROADCAST_BYTES = 32 << 20
 
+#: Tasks that share the rows of one blob where findings are not broadcast.
+SALTS = 16
+
+BLOBS = "blob string, packed binary, run string"
 FINDINGS = "blob string, rule string, kind string, kind_no int, spans array<struct<start:long,end:long>>"
+SPANS = "array<struct<start:long,kind_no:int,kind:string,end:long>>"
 
 
-def _read_ledger(docs: DataFrame, ledger_path: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame | None:
+    """A table of the ledger, None where there is none yet."""
     try:
-        return docs.sparkSession.read.schema(FINDINGS).parquet(ledger_path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return docs.sparkSession.createDataFrame([], FINDINGS)
+        return None
+
+
+def _blob(text: Column) -> Column:
+    return F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    packer = zstandard.ZstdCompressor(level=1)
+    for batch in sub_batches(batches, "text"):
+        packed = [packer.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("blob"), pa.array(packed, pa.binary())], ["blob", "packed"])
 
 
-def scan_versions(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES, path_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Bring the ledger up to date and return path, blob and ``findings`` of every row.
+def _scan(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """FINDINGS of texts (blob, packed, todo: keys of rules)."""
+    by_key = {r.key: (i, r) for i, r in enumerate(rules)}
+    span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    types = [pa.string(), pa.string(), pa.string(), pa.int32(), span_type]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opener = zstandard.ZstdDecompressor()
+        for batch in sub_batches(batches, "packed"):
+            out = []
+            for blob, todo, packed in zip(*(batch.column(k).to_pylist() for k in ("blob", "todo", "packed"))):
+                text = opener.decompress(packed).decode() if packed else ""
+                for key in todo:
+                    number, rule = by_key[key]
+                    out.append((blob, key, rule.kind, number, [{"start": a, "end": b} for a, b in rule.spans(text)]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, types)], ["blob", "rule", "kind", "kind_no", "spans"])
+
+    return texts.mapInArrow(run, FINDINGS)
+
+
+def update(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES, path_col: str = "doc_id", text_col: str = "text", version_col: str | None = None) -> StructType:
+    """Bring the ledger up to date with rows of paths and texts; returns the schema of its versions."""
+    spark = versions.sparkSession
+    lean_workers(spark)
+    version = F.col(version_col).cast("string") if version_col else F.lit(None).cast("string")
+    rows = versions.select(F.col(path_col).alias("path"), version.alias("version"), _blob(F.col(text_col)).alias("blob"), F.col(text_col).cast("string").alias("text"))
+    addressed = rows.select("path", "version", "blob")
+    schema = StructType([StructField(f.name, f.dataType, True) for f in addressed.schema])
+
+    run = uuid.uuid4().hex
+    # Copies collapse before the shuffle, which moves compressed texts.
+    fresh = rows.select("blob", "text").mapInArrow(_pack, "blob string, packed binary").groupBy("blob").agg(F.first("packed").alias("packed"))
+    known = _read(spark, f"{ledger_path}/blobs", BLOBS)
+    if known is not None:
+        fresh = fresh.join(known.select("blob"), "blob", "left_anti")
+    fresh.write.parquet(f"{ledger_path}/blobs/run={run}")
+
+    held = _read(spark, f"{ledger_path}/versions", schema)
+    if held is not None:
+        same = F.struct("path", "version", "blob")
+        held = held.select(same.alias("held")).distinct()
+        addressed = addressed.join(held, same.eqNullSafe(F.col("held")), "left_anti")
+    addressed.write.mode("append").parquet(f"{ledger_path}/versions")
+
+    keys = F.array(*(F.lit(r.key) for r in rules))
+    scanned = _read(spark, f"{ledger_path}/findings", FINDINGS)
+    todo = _read(spark, f"{ledger_path}/blobs", BLOBS).filter(F.col("run") == run).select("blob", "packed", keys.alias("todo"))
+    if known is not None:
+        # Blobs of earlier runs: only their keys are compared, and only texts that lack a rule are read.
+        done = scanned.groupBy("blob").agg(F.collect_set("rule").alias("done")) if scanned is not None else spark.createDataFrame([], "blob string, done array<string>")
+        none = F.array().cast("array<string>")
+        lacking = known.select("blob").join(done, "blob", "left").select("blob", F.array_except(keys, F.coalesce("done", none)).alias("todo")).filter(F.size("todo") > 0)
+        lacking = materialize(lacking, "unscanned-blobs", narrow=True)
+        if not lacking.isEmpty():
+            todo = todo.unionByName(known.join(lacking, "blob").select("blob", "packed", "todo"))
+    _scan(todo, rules).write.mode("append").parquet(f"{ledger_path}/findings")
+    return schema
+
+
+def findings(spark: SparkSession, ledger_path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """blob, ``findings`` of every blob in which these rules found something.
 
     ``findings`` is an array of (start, kind_no, kind, end) in code points, end exclusive,
     sorted by start, then by the rule's place in ``rules``.
     """
-    lean_workers(versions.sparkSession)
-    rows = versions.select(
-        F.col(path_col).alias("path"),
-        F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256).alias("blob"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-    )
-    addressed = materialize(rows.select("path", "blob"), "blob-paths")
-    keys = [r.key for r in rules]
-    seen = (
-        _read_ledger(versions, ledger_path)
-        .filter(F.col("rule").isin(keys))
+    number = F.create_map(*(F.lit(x) for i, r in enumerate(rules) for x in (r.key, i)))
+    spans = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.element_at(number, F.col("rule")).alias("kind_no"), F.col("kind"), s["end"].alias("end")))
+    return (
+        _read(spark, f"{ledger_path}/findings", FINDINGS)
+        .filter(F.col("rule").isin([r.key for r in rules]) & (F.size("spans") > 0))
+        .dropDuplicates(["blob", "rule"])  # runs at the same time may both have scanned a blob
         .groupBy("blob")
-        .agg(F.collect_set("rule").alias("done"))
-    )
-    # One carrier of each blob that lacks a rule: the smallest path that has it.
-    unseen = (
-        addressed.groupBy("blob")
-        .agg(F.min("path").alias("carrier"))
-        .join(seen, "blob", "left")
-        .select("blob", "carrier", F.array_except(F.array(*map(F.lit, keys)), F.coalesce("done", F.array().cast("array<string>"))).alias("todo"))
-        .filter(F.size("todo") > 0)
+        .agg(F.array_sort(F.flatten(F.collect_list(spans))).alias("findings"))
     )
-    texts = rows.join(
-        unseen.withColumnRenamed("blob", "unseen_blob"),
-        rows.path.eqNullSafe(F.col("carrier")) & (rows.blob == F.col("unseen_blob")),
-    ).select("blob", "todo", "text")
-    number = {r.key: i for i, r in enumerate(rules)}
-    by_key = {r.key: r for r in rules}
-    span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sub_batches(batches, "text", 1 << 24):
-            out = [
-                (blob, key, by_key[key].kind, number[key], [{"start": a, "end": b} for a, b in by_key[key].spans(text)])
-                for blob, todo, text in zip(*(batch.column(k).to_pylist() for k in ("blob", "todo", "text")))
-                for key in todo
-            ]
-            types = [pa.string(), pa.string(), pa.string(), pa.int32(), span_type]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, types)], ["blob", "rule", "kind", "kind_no", "spans"])
 
-    texts.mapInArrow(scan, FINDINGS).write.mode("append").parquet(ledger_path)
-    found = (
-        _read_ledger(versions, ledger_path)
-        .filter(F.col("rule").isin(keys) & (F.size("spans") > 0))
-        .dropDuplicates(["blob", "rule"])  # a repeated row of the carrier was scanned with it
-        .groupBy("blob")
-        .agg(F.flatten(F.collect_list(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("kind_no"), F.col("kind"), s["end"].alias("end"))))).alias("findings"))
-        .withColumn("findings", F.array_sort("findings"))
-    )
-    empty = F.array().cast("array<struct<start:long,kind_no:int,kind:string,end:long>>")
-    return addressed.join(found, "blob", "left").withColumn("findings", F.coalesce("findings", empty))
+def _with_findings(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` (blob and others) with ``findings``, an empty array where there are none.
+
+    Few blobs hold secrets; where their findings are counted to be small they are broadcast.
+    Beyond that the rows of one blob are dealt over SALTS tasks.
+    """
+    found = materialize(found, "findings", narrow=True)
+    blobs, spans = found.agg(F.count("*"), F.coalesce(F.sum(F.size("findings")), F.lit(0))).first()
+    if blobs * 100 + spans * 50 <= BROADCAST_BYTES:
+        joined = rows.join(F.broadcast(found), "blob", "left")
+    else:
+        salted = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn("salt", F.spark_partition_id() % SALTS).join(salted, ["blob", "salt"], "left").drop("salt")
+    return joined.withColumn("findings", F.coalesce("findings", F.array().cast(SPANS)))
+
+
+def scan_versions(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES, path_col: str = "doc_id", text_col: str = "text", version_col: str | None = None) -> DataFrame:
+    """Bring the ledger up to date and return path, version, blob and findings of every version that it holds, old ones too."""
+    schema = update(versions, ledger_path, rules, path_col, text_col, version_col)
+    spark = versions.sparkSession
+    return _with_findings(_read(spark, f"{ledger_path}/versions", schema), findings(spark, ledger_path, rules))
 
 
 def joined(findings: Column) -> Column:
@@ -130,9 +200,12 @@ def joined(findings: Column) -> Column:
 
 
 def report(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans (and blob) of every document."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans (and blob) of every document of the ledger.
+
+    Without ``ledger_path`` a ledger is begun, which holds these documents alone.
+    """
     path = ledger_path or fresh_path(docs.sparkSession, "secret-ledger")
-    scanned = scan_versions(docs.withColumn("doc_id", F.col("doc_id").cast("long")), path)
+    scanned = scan_versions(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path)
 
     def count(kind: str) -> Column:
         return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -149,27 +222,24 @@ def report(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "<secret>", ledger_path: str | None = None) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mark``; n_chars follows; no row goes.
 
-    Overlapping spans are replaced as one.
+    Overlapping spans are replaced as one. Texts without a finding, null ones too, stay as they are.
     """
     path = ledger_path or fresh_path(docs.sparkSession, "secret-ledger")
-    scanned = scan_versions(docs, path).filter(F.size("findings") > 0).select("blob", F.col("findings").alias("secret_spans")).dropDuplicates(["blob"])
-    # Few texts hold secrets; where their spans are known to be small they are broadcast.
-    rows, spans = scanned.agg(F.count("*"), F.coalesce(F.sum(F.size("secret_spans")), F.lit(0))).first()
-    if rows * 100 + spans * 50 <= BROADCAST_BYTES:
-        scanned = F.broadcast(scanned)
-    keyed = docs.withColumn("secret_blob", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    hit = keyed.join(scanned, keyed.secret_blob == scanned.blob, "left")
+    update(docs.select(F.col("doc_id"), "text"), path)
+    rows = packed_rows(docs, _blob(F.col("text")).alias("blob"))
+    hit = _with_findings(rows, findings(docs.sparkSession, path))
+    text = F.col("row.text")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def fold(acc: Column, f: Column) -> Column:
         fresh = f["start"] >= acc["at"]
         return F.struct(
-            F.when(fresh, F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (f["start"] - acc["at"]).cast("int")), F.lit(mark))).otherwise(acc["out"]).alias("out"),
+            F.when(fresh, F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), (f["start"] - acc["at"]).cast("int")), F.lit(mark))).otherwise(acc["out"]).alias("out"),
             F.greatest(acc["at"], f["end"]).alias("at"),
         )
 
-    cleaned = F.aggregate("secret_spans", start, fold, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text"))))
-    text = F.when(F.col("secret_spans").isNotNull(), cleaned).otherwise(F.col("text"))
-    out = hit.withColumn("clean_text", text)
-    replaced = {"text": F.col("clean_text"), "n_chars": F.when(F.col("secret_spans").isNotNull(), F.length("clean_text").cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {"text": F.col("clean_text")}
-    return out.select(*(replaced.get(c, F.col(c)).alias(c) for c in docs.columns))
+    cleaned = F.aggregate("findings", start, fold, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    some = F.size("findings") > 0
+    out = hit.select("row", F.when(some, cleaned).otherwise(text).alias("clean"), some.alias("some"))
+    replaced = {"text": F.col("clean"), "n_chars": F.when(F.col("some"), F.length("clean").cast("long")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None}
+    return out.select(*((replaced[c] if c in replaced else F.col("row").getField(c)).alias(c) for c in docs.columns))
