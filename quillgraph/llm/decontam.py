@@ -32,6 +32,7 @@ document; rows with a null doc_id are not reported.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, random_table, sub_batches, text_rows, utf8_buffers
+from .common import mix64, opened_rows, packed_rows, random_table, sub_batches, text_rows, utf8_buffers
 
 WINDOW, PLAIN = 5, 3
 CONTAINMENT = 0.35
@@ -87,8 +88,13 @@ _LETTER[ord("a") : ord("z") + 1] = True
 _LETTER[128:] = True
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?:;\n\r")] = True
-_UPPER = np.zeros(256, bool)
-_UPPER[ord("A") : ord("Z") + 1] = True
+
+
+@lru_cache(maxsize=1)
+def _capitals() -> np.ndarray:
+    """Whether each code point of the first plane is a capital letter, of whatever script."""
+    return np.array([chr(c).isupper() or chr(c).istitle() for c in range(0x10000)])
+
 
 _UNIT_HASHES = _text_hashes(UNITS)
 
@@ -131,7 +137,10 @@ class Templates:
         sentence = opens | (stops[starts] > stops[previous_end])
         head = data[starts]
         second = data[np.minimum(starts + 1, n - 1)]
-        capital = _UPPER[head] | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E))  # A-Z and Latin-1 capitals
+        third = data[np.minimum(starts + 2, n - 1)].astype(np.int64) & 63
+        high, middle = head.astype(np.int64), second.astype(np.int64) & 63
+        point = np.where(high < 0x80, high, np.where(high < 0xE0, (high & 31) << 6 | middle, (high & 15) << 12 | middle << 6 | third))
+        capital = _capitals()[point] & (high < 0xF0)
         token = np.where(digit[starts], np.uint8(NUMBER), np.uint8(WORD))
         if names:
             token[capital & ~sentence & (token == WORD)] = NAME
@@ -397,4 +406,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, containment: float = CON
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without contaminated documents; rows with a null doc_id stay."""
-    return docs.join(contaminated(docs, benchmark).select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("gone"))
+    rows = packed_rows(docs, F.col("doc_id").cast("long").alias("key")).join(found, F.col("key") == F.col("gone"), "left_anti")
+    return opened_rows(rows, docs.columns)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, dealt, materialize, mix64, sub_batches, text_rows, union_all, utf8_buffers
+from .common import binary_array, dealt, materialize, mix64, opened_rows, packed_rows, sub_batches, text_rows, union_all, utf8_buffers
 from .components import components
 from .shingles import shingle_sets
 
@@ -351,5 +351,6 @@ def keep_first(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
 
     Of repeated rows of that doc_id all stay; rows with a null doc_id stay.
     """
-    found = near_duplicates(docs, num, den).filter("not kept").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    found = near_duplicates(docs, num, den).filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    rows = packed_rows(docs, F.col("doc_id").cast("long").alias("key")).join(found, F.col("key") == F.col("gone"), "left_anti")
+    return opened_rows(rows, docs.columns)
