@@ -1,19 +1,23 @@
 """Token ids in binary shard files with a minimal perfect hash index.
 
-A shard file is: header, raw id payload, document keys, id offsets, hash index, footer.
+A shard file is: header, raw id payload, document keys, id offsets, ordinals, hash index, footer.
 The index maps each document key to its place in the shard without storing keys in the
 hash: levels of bit arrays (a key sits at the first level where no other key hashes to
-its bit), ranks by counting bits, and a stored 32-bit fingerprint that tells keys of the
-shard from others. A look-up is constant time: route to the shard by key range, hash,
-check the fingerprint, read one slice of the payload.
+its bit), ranks by counting bits from the last stored count, and a stored 32-bit fingerprint
+that tells keys of the shard from others. A look-up is constant time and reads only slices of
+a few bytes: route to the shard by key range, hash, check bit, fingerprint and key, read the
+document's part of the payload.
 
 Documents are range-partitioned and sorted by key, so shards hold ascending runs; ids
 are written as they are encoded. Each task attempt writes its own file and only the file
 named in the committed manifest counts, so lost executors leave nothing half-written in use.
 
-Defined results: a null or empty text holds the end id alone; rows with a null key come
-first and are not indexed; of repeated keys (sorted by text) the index knows the first,
-and all are read back in sequence; a shard without rows has no file.
+Defined results: a null or empty text holds the end id alone; a special token's string in a
+text is that token, as the library has it, or ordinary text with ``special_as_text``; whole
+texts are encoded, however long; rows with a null key come first and are not indexed; of
+repeated keys (sorted by text) the index knows the first, and all are read back in sequence;
+a shard without rows has no file, so an empty table gives no rows; other columns may have any
+name.
 """
 
 from __future__ import annotations
@@ -38,14 +42,19 @@ from pyspark.sql import functions as F
 
 from .common import fresh_path, materialize, mix64, sub_batches, text_rows
 
-MAGIC = b"QGTOK001"
+MAGIC = b"QGTOK002"
 HEADER = "<8sII"  # magic, bytes of an id, end id
-FOOTER = "<QQQQQI8s"  # documents, ids, starts of keys, offsets and index, crc32 of all tables, magic
-HEADER_BYTES, FOOTER_BYTES = struct.calcsize(HEADER), struct.calcsize(FOOTER)
+FOOTER = "<QQQQQQI8s"  # documents, ids, starts of keys, offsets, ordinals and index, crc32 of all tables, magic
+INDEX_HEAD = "<IQQ"  # levels, bits, keys
+HEADER_BYTES, FOOTER_BYTES, INDEX_HEAD_BYTES = struct.calcsize(HEADER), struct.calcsize(FOOTER), struct.calcsize(INDEX_HEAD)
 #: Bits of a level for each key that is still to place.
 GAMMA = 2.0
-#: Chunks of text whose ids a worker keeps, in each of two generations.
-CACHE_CHUNKS = 300_000
+#: Bits between two stored counts of a hash index, a multiple of 8.
+RANK_BITS = 512
+#: Bytes that a worker keeps of chunks and their ids, in each of two generations, and the longest chunk kept.
+CACHE_BYTES, CACHE_LENGTH = 48 << 20, 64
+#: What an entry takes beside its text and ids, about.
+_ENTRY_BYTES = 220
 ENDINGS = ".,;:!?"
 _ODD_SPACES = re.compile(r"\s \s|  ")
 
@@ -103,18 +112,28 @@ class MinimalPerfectHash:
         return np.where(known, out, -1)
 
     def dump(self) -> bytes:
-        packed = np.packbits(self.bits)
-        head = struct.pack("<III", len(self.sizes), len(self.bits), len(self.prints))
-        return head + self.sizes.astype("<i8").tobytes() + packed.tobytes() + self.prints.astype("<u4").tobytes()
+        """Head, level sizes, counts of the bits before each RANK_BITS, bits, fingerprints."""
+        before = self.ranks[: len(self.bits) : RANK_BITS] if len(self.bits) else np.zeros(0, np.int64)
+        head = struct.pack(INDEX_HEAD, len(self.sizes), len(self.bits), len(self.prints))
+        return head + self.sizes.astype("<i8").tobytes() + before.astype("<u8").tobytes() + np.packbits(self.bits).tobytes() + self.prints.astype("<u4").tobytes()
 
     @classmethod
     def load(cls, data: bytes) -> MinimalPerfectHash:
-        levels, bits, n = struct.unpack_from("<III", data)
-        at = 12
-        sizes = np.frombuffer(data, "<i8", levels, at)
-        at += 8 * levels
-        packed = np.frombuffer(data, np.uint8, -(-bits // 8), at)
-        return cls(np.unpackbits(packed)[:bits].astype(bool), sizes, np.frombuffer(data, "<u4", n, at + len(packed)).copy())
+        at = IndexPlaces(data, 0)
+        packed = np.frombuffer(data, np.uint8, -(-at.bits // 8), at.bits_at)
+        return cls(np.unpackbits(packed)[: at.bits].astype(bool), at.sizes, np.frombuffer(data, "<u4", at.n, at.prints_at).copy())
+
+
+class IndexPlaces:
+    """Where the parts of a dumped index begin, from its first bytes (head and level sizes)."""
+
+    def __init__(self, head: bytes, start: int):
+        levels, self.bits, self.n = struct.unpack_from(INDEX_HEAD, head)
+        self.sizes = np.frombuffer(head, "<i8", levels, INDEX_HEAD_BYTES)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.ranks_at = start + INDEX_HEAD_BYTES + 8 * levels
+        self.bits_at = self.ranks_at + 8 * -(-self.bits // RANK_BITS)
+        self.prints_at = self.bits_at + -(-self.bits // 8)
 
 
 class Encoder:
@@ -122,15 +141,16 @@ class Encoder:
 
     With a byte-level pre-tokenizer, a single space between other characters always opens a
     piece, so what lies between such spaces is encoded on its own, once, and kept. Texts
-    with other runs of white space, and other kinds of tokenizer, are encoded whole.
+    with other runs of white space or with the string of an added token, and other kinds of
+    tokenizer, are encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         with open(path) as file:
             spec = json.load(file)
         pre = spec.get("pre_tokenizer") or {}
@@ -139,8 +159,10 @@ class Encoder:
         self.kind, self.code = f"<u{self.width}", "H" if self.width == 2 else "I"
         self.endings = dict(zip(ENDINGS, self._ids(list(ENDINGS))))
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids if self.by_chunk else (0,)
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0  # bytes of the young generation
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -168,7 +190,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Raw ids of each text, without special tokens."""
         out: list[bytes | None] = [None] * len(texts)
-        whole = [i for i, t in enumerate(texts) if not self.by_chunk or _ODD_SPACES.search(t)]
+        whole = [i for i, t in enumerate(texts) if not self.by_chunk or _ODD_SPACES.search(t) or any(a in t for a in self.added)]
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
         split = {i: texts[i].split(" ") for i in range(len(texts)) if out[i] is None}
@@ -185,20 +207,22 @@ class Encoder:
             for c in ended:
                 stem = c[:-1]
                 known[c] = (known.get(stem) or self.young[stem]) + self.endings[c[-1]]
-            if len(self.young) + len(known) > CACHE_CHUNKS:
-                self.old, self.young = self.young, {c: self.young[c] for c in set(chain.from_iterable(split.values())).difference(missing)}
             self.young.update(known)
         get = self.young.__getitem__
         for (i, chunks), first in zip(split.items(), firsts):
             out[i] = first + b"".join(map(get, chunks[1:]))
-        for c in [c for c in missing if len(c) > 64]:
-            del self.young[c]
+        if missing:
+            for c in [c for c in known if len(c) > CACHE_LENGTH]:
+                del self.young[c]
+            self.held += sum(len(c) + len(ids) + _ENTRY_BYTES for c, ids in known.items() if len(c) <= CACHE_LENGTH)
+            if self.held > CACHE_BYTES:
+                self.old, self.young, self.held = self.young, {}, 0
         return out  # type: ignore[return-value]
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+def _encoder(path: str, special_as_text: bool = False) -> Encoder:
+    return Encoder(path, special_as_text)
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
@@ -208,16 +232,16 @@ def _open(uri: str) -> tuple[fs.FileSystem, str]:
 MANIFEST = "shard int, path string, documents long, ids long, first_key long, last_key long"
 
 
-def write_store(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_store(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = False) -> DataFrame:
     """Write the shard files and return their manifest, with ``base``: the ids of all shards before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         shard, attempt = context.partitionId(), context.taskAttemptId()
         target, sink, crc = "", None, 0
-        keys, counts = [], []
+        keys, nulls, counts = array("q"), bytearray(), array("q")
         for batch in sub_batches(batches, "text"):
-            encoder = _encoder(tokenizer_path)
+            encoder = _encoder(tokenizer_path, special_as_text)
             if sink is None:
                 target = posixpath.join(out_dir, f"shard-{shard:06d}-{attempt}.qgtok")
                 store, path = _open(target)
@@ -228,18 +252,19 @@ def write_store(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id: int
             for ids in encoder.encode([t or "" for t in batch.column("text").to_pylist()]):
                 sink.write(ids + end)
                 counts.append(len(ids) // encoder.width + 1)
-            keys += batch.column("doc_id").to_pylist()
+            key = batch.column("doc_id")
+            keys.frombytes(key.fill_null(0).to_numpy().tobytes())
+            nulls += key.is_null().to_numpy(zero_copy_only=False).tobytes()
         if sink is None:
             return
         offsets = np.fromiter(accumulate(counts, initial=0), np.int64, len(counts) + 1)
-        null = np.array([k is None for k in keys])
-        key_array = np.array([k or 0 for k in keys], np.int64)
+        null, key_array = np.frombuffer(nulls, bool), np.frombuffer(keys, np.int64)
         distinct, place = np.unique(key_array[~null], return_index=True)
         place = np.flatnonzero(~null)[place]
         index = MinimalPerfectHash.build(distinct.view(np.uint64))
         ordinals = np.zeros(len(distinct), np.uint32)
         ordinals[index.find(distinct.view(np.uint64))] = place
-        tables = [null.astype(np.uint8).tobytes() + key_array.astype("<i8").tobytes(), offsets.astype("<u8").tobytes(), struct.pack("<Q", len(ordinals)) + ordinals.astype("<u4").tobytes() + index.dump()]
+        tables = [null.astype(np.uint8).tobytes() + key_array.astype("<i8").tobytes(), offsets.astype("<u8").tobytes(), ordinals.astype("<u4").tobytes(), index.dump()]
         starts = list(accumulate([len(x) for x in tables[:-1]], initial=HEADER_BYTES + int(offsets[-1]) * encoder.width))
         for part in tables:
             crc = zlib.crc32(part, crc)
@@ -260,26 +285,64 @@ def write_store(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id: int
 
 
 class Shard:
-    """One shard file, opened for keyed access; only its tables are read at once."""
+    """One shard file. Opening it reads the footer and the head of its index; ``get`` then reads a few slices a key."""
 
     def __init__(self, uri: str):
+        self.uri = uri
         store, path = _open(uri)
         self.file = store.open_input_file(path)
-        size = self.file.size()
-        self.documents, self.ids, keys_at, offsets_at, index_at, crc, magic = struct.unpack(FOOTER, self.file.read_at(FOOTER_BYTES, size - FOOTER_BYTES))
+        self.size = self.file.size()
+        self.documents, self.ids, self.keys_at, self.offsets_at, self.ordinals_at, self.index_at, self.crc, magic = struct.unpack(FOOTER, self.file.read_at(FOOTER_BYTES, self.size - FOOTER_BYTES))
         first, self.width, self.end_id = struct.unpack(HEADER, self.file.read_at(HEADER_BYTES, 0))
         if magic != MAGIC or first != MAGIC:
             raise ValueError(f"{uri} is no token shard")
-        tables = self.file.read_at(size - FOOTER_BYTES - keys_at, keys_at)
-        if zlib.crc32(tables) != crc:
-            raise ValueError(f"{uri}: checksum of the tables")
-        self.null = np.frombuffer(tables, np.uint8, self.documents).astype(bool)
-        self.keys = np.frombuffer(tables, "<i8", self.documents, self.documents)
-        self.offsets = np.frombuffer(tables, "<u8", self.documents + 1, offsets_at - keys_at).astype(np.int64)
-        at = index_at - keys_at
-        (n,) = struct.unpack_from("<Q", tables, at)
-        self.ordinals = np.frombuffer(tables, "<u4", n, at + 8)
-        self.index = MinimalPerfectHash.load(tables[at + 8 + 4 * n :])
+        (levels,) = struct.unpack("<I", self.file.read_at(4, self.index_at))
+        self.places = IndexPlaces(self.file.read_at(INDEX_HEAD_BYTES + 8 * levels, self.index_at), self.index_at)
+
+    def _value(self, kind: str, at: int, count: int = 1) -> np.ndarray:
+        return np.frombuffer(self.file.read_at(np.dtype(kind).itemsize * count, at), kind)
+
+    def ordinal(self, key: int) -> int:
+        """Place of a key's document in the shard, -1 if the shard lacks it, from slices of the index."""
+        wanted, p = np.array([key], np.int64).view(np.uint64), self.places
+        for level, size in enumerate(p.sizes.tolist()):
+            bit = int(p.starts[level]) + int(MinimalPerfectHash._slot(wanted, level, size)[0])
+            block = bit // RANK_BITS
+            part = np.unpackbits(self._value("u1", p.bits_at + block * RANK_BITS // 8, (bit - block * RANK_BITS) // 8 + 1))
+            if part[bit - block * RANK_BITS]:
+                place = int(self._value("<u8", p.ranks_at + 8 * block)[0]) + int(part[: bit - block * RANK_BITS].sum())
+                if self._value("<u4", p.prints_at + 4 * place)[0] != MinimalPerfectHash._print(wanted)[0]:
+                    return -1
+                found = int(self._value("<u4", self.ordinals_at + 4 * place)[0])
+                return found if self._value("<i8", self.keys_at + self.documents + 8 * found)[0] == key else -1
+        return -1
+
+    def get(self, key: int) -> np.ndarray | None:
+        """Ids of one document with their end id, or None."""
+        at = self.ordinal(key)
+        if at < 0:
+            return None
+        first, last = self._value("<u8", self.offsets_at + 8 * at, 2).tolist()
+        return self.payload(first, last)
+
+    def payload(self, first: int, last: int) -> np.ndarray:
+        """Ids first to last - 1 of the shard."""
+        return self._value(f"<u{self.width}", HEADER_BYTES + first * self.width, last - first)
+
+
+class ShardTables:
+    """All tables of a shard, tested against their checksum, for reading it whole."""
+
+    def __init__(self, shard: Shard):
+        raw = shard.file.read_at(shard.size - FOOTER_BYTES - shard.keys_at, shard.keys_at)
+        if zlib.crc32(raw) != shard.crc:
+            raise ValueError(f"{shard.uri}: checksum of the tables")
+        n = shard.documents
+        self.null = np.frombuffer(raw, np.uint8, n).astype(bool)
+        self.keys = np.frombuffer(raw, "<i8", n, n)
+        self.offsets = np.frombuffer(raw, "<u8", n + 1, shard.offsets_at - shard.keys_at).astype(np.int64)
+        self.ordinals = np.frombuffer(raw, "<u4", (shard.index_at - shard.ordinals_at) // 4, shard.ordinals_at - shard.keys_at)
+        self.index = MinimalPerfectHash.load(raw[shard.index_at - shard.keys_at :])
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Ordinal of each key in the shard, or -1."""
@@ -288,16 +351,6 @@ class Shard:
             return np.full(len(keys), -1)
         return np.where(place >= 0, self.ordinals[np.maximum(place, 0)].astype(np.int64), -1)
 
-    def read(self, first: int, last: int) -> np.ndarray:
-        """Ids of the documents with ordinals first to last - 1, end to end."""
-        a, b = int(self.offsets[first]), int(self.offsets[last])
-        return np.frombuffer(self.file.read_at((b - a) * self.width, HEADER_BYTES + a * self.width), f"<u{self.width}")
-
-    def get(self, key: int) -> np.ndarray | None:
-        """Ids of one document with their end id, or None."""
-        at = int(self.find(np.array([key]))[0])
-        return None if at < 0 else self.read(at, at + 1)
-
 
 def read_store(manifest: DataFrame, step: int = 1 << 20, payload: bool = True) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32 and, with ``payload``, ids (as u32).
@@ -309,21 +362,23 @@ def read_store(manifest: DataFrame, step: int = 1 << 20, payload: bool = True) -
         for batch in batches:
             for uri, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist()):
                 shard = Shard(uri)
+                tables = ShardTables(shard)
+                offsets, known = tables.offsets, ~tables.null
                 found = np.arange(shard.documents)
-                known = ~shard.null
-                found[known] = shard.find(shard.keys[known])
+                found[known] = tables.find(tables.keys[known])
                 if (found < 0).any():
                     raise ValueError(f"{uri}: a key is not indexed")
-                repeat = np.concatenate([[False], (shard.keys[1:] == shard.keys[:-1]) & known[1:] & known[:-1]])
+                repeat = np.concatenate([[False], (tables.keys[1:] == tables.keys[:-1]) & known[1:] & known[:-1]])
                 found[repeat] = np.flatnonzero(repeat)
                 first = 0
                 while first < shard.documents:
-                    last = max(first + 1, int(np.searchsorted(shard.offsets, shard.offsets[first] + step)) - 1)
+                    last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + step)) - 1)
                     last = min(last, shard.documents)
-                    ids, zero = shard.read(first, last), shard.offsets[first]
-                    raw = [ids[shard.offsets[k] - zero : shard.offsets[k + 1] - zero].astype("<u4").tobytes() for k in found[first:last].tolist()]
-                    keys = pa.array(shard.keys[first:last], pa.int64(), mask=shard.null[first:last])
-                    columns = [keys, pa.array(base + shard.offsets[found[first:last]]), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64())]
+                    zero = int(offsets[first])
+                    ids = shard.payload(zero, int(offsets[last]))
+                    raw = [ids[offsets[k] - zero : offsets[k + 1] - zero].astype("<u4").tobytes() for k in found[first:last].tolist()]
+                    keys = pa.array(tables.keys[first:last], pa.int64(), mask=tables.null[first:last])
+                    columns = [keys, pa.array(base + offsets[found[first:last]]), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64())]
                     if payload:
                         columns.append(pa.array(raw, pa.binary()))
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(columns)])
@@ -335,23 +390,37 @@ def read_store(manifest: DataFrame, step: int = 1 << 20, payload: bool = True) -
 
 
 def fetch(spark: SparkSession, manifest: DataFrame, keys: DataFrame) -> DataFrame:
-    """ids of each key (``doc_id``) by keyed access: doc_id, ids (u32, with the end id); unknown keys give no row."""
-    shards = manifest.filter("first_key is not null").select("path", "first_key", "last_key")
-    routed = keys.select(F.col("doc_id").cast("long").alias("doc_id")).join(shards, F.col("doc_id").between(F.col("first_key"), F.col("last_key")))
+    """ids of each key (``doc_id``) by keyed access: doc_id, ids (u32, with the end id); unknown keys give no row.
+
+    The bounds of the shards (one row a shard) say which shard may hold a key; keys then
+    meet their shard by its number.
+    """
+    shards = manifest.filter("first_key is not null").select("first_key", "last_key", "path").orderBy("first_key").collect()
+    bounds = spark.sparkContext.broadcast((np.array([r[0] for r in shards], np.int64), np.array([r[1] for r in shards], np.int64), [r[2] for r in shards]))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, last, _ = bounds.value
+        for batch in batches:
+            key = batch.column(0).to_numpy()
+            shard = np.searchsorted(first, key, "right") - 1
+            held = (shard >= 0) & (key <= last[np.maximum(shard, 0)]) if len(last) else np.zeros(len(key), bool)
+            yield pa.RecordBatch.from_arrays([pa.array(shard[held].astype(np.int32)), pa.array(key[held])], ["shard", "doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened: dict[str, Shard] = {}
+        number, shard = -1, None
         for batch in batches:
             out = []
-            for key, uri in zip(batch.column("doc_id").to_pylist(), batch.column("path").to_pylist()):
-                if uri not in opened:
-                    opened = {uri: Shard(uri)}
-                ids = opened[uri].get(key)
+            for wanted, key in zip(batch.column("shard").to_pylist(), batch.column("doc_id").to_pylist()):
+                if wanted != number:
+                    number, shard = wanted, Shard(bounds.value[2][wanted])
+                ids = shard.get(key)
                 if ids is not None:
                     out.append((key, ids.astype("<u4").tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([v for _, v in out], pa.binary())], ["doc_id", "ids"])
 
-    return routed.repartition("path").sortWithinPartitions("path").mapInArrow(run, "doc_id long, ids binary")
+    asked = keys.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null")
+    routed = asked.mapInArrow(route, "shard int, doc_id long").repartition("shard")
+    return routed.sortWithinPartitions("shard", "doc_id").mapInArrow(run, "doc_id long, ids binary")
 
 
 def digests(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:

@@ -248,7 +248,6 @@ def test_token_store(spark, docs, cluttered, rows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
     at, expected = 0, []
     for i, text, *_ in ordered:
@@ -261,6 +260,11 @@ def test_token_store(spark, docs, cluttered, rows):
     keys = spark.createDataFrame([(5,), (100,), (10**12,)], "doc_id long")
     found = {r.doc_id: len(r.ids) // 4 for r in token_store.fetch(spark, manifest, keys).collect()}
     assert found == {i: n for i, _, n, _ in expected if i in (5, 100)}
+    assert "NestedLoop" not in token_store.fetch(spark, manifest, keys)._jdf.queryExecution().toString()
+    every = token_store.fetch(spark, manifest, docs.select("doc_id").unionByName(spark.range(-50, 300).toDF("doc_id")).distinct())
+    got = {r.doc_id: zlib.crc32(bytes(r.ids)) for r in every.collect()}
+    assert got == {i: next(c for j, _, _, c in expected if j == i) for i, *_ in expected if i is not None}
+    assert token_store.fetch(spark, token_store.write_store(docs.limit(0), JSON, fresh_path(spark, "tokens")), keys).count() == 0
 
 
 def test_minimal_perfect_hash():
@@ -271,15 +275,31 @@ def test_minimal_perfect_hash():
     assert (made.find(others) < 0).all()
 
 
-def test_encoder_like_the_library():
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_encoder_like_the_library(special_as_text):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
+    if special_as_text:
+        tokenizer.encode_special_tokens = True
     rng = random.Random(9)
-    parts = ["'s", "a", "Z", "é", "1", " ", "\n", "\t", "!", ",", ".", "漢", " ", "word", "\r\n", "<|endoftext|>", " the"]
-    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
-    assert [np.frombuffer(x, "<u2").tolist() for x in token_store.Encoder(JSON).encode(texts)] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    parts = ["'s", "a", "Z", "é", "1", " ", "\n", "\t", "!", ",", ".", "漢", " ", "word", "\r\n", "<|endoftext|>", " the"]
+    texts = ["a <|endoftext|> b", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000))]
+    assert [np.frombuffer(x, "<u2").tolist() for x in token_store.Encoder(JSON, special_as_text).encode(texts)] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_encoder_cache_is_bounded(monkeypatch):
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder = Tokenizer.from_file(JSON), token_store.Encoder(JSON)
+    encoder.encode(["a " + "x" * 100_000 + ". b"])
+    assert max(map(len, encoder.young)) <= token_store.CACHE_LENGTH
+    monkeypatch.setattr(token_store, "CACHE_BYTES", 20_000)
+    rng = random.Random(2)
+    for _ in range(30):
+        texts = [" ".join(str(rng.randrange(10**5)) for _ in range(50)) for _ in range(4)]
+        assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert encoder.held <= 20_000
 
 
 def test_media(docs, cluttered, rows):
