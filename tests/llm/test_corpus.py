@@ -302,6 +302,21 @@ def test_encoder_cache_is_bounded(monkeypatch):
         assert encoder.held <= 20_000
 
 
+def plain_hash(raw):
+    """The cosine hash by its definition, one sample and frequency after another."""
+    import math
+
+    raw += b"\xff" * (max(1, -(-len(raw) // 576)) * 576 - len(raw))
+    image = [list(raw[i : i + 576]) for i in range(0, len(raw), 576)]
+    height = len(image)
+    rows = [[image[y * height // 32]] if height < 32 else image[y * height // 32 : (y + 1) * height // 32] for y in range(32)]
+    small = [[sum(sum(r[x * 18 : (x + 1) * 18]) for r in part) / (18 * len(part)) for x in range(32)] for part in rows]
+    wave = [[math.cos(math.pi * k * (2 * x + 1) / 64) for x in range(32)] for k in range(8)]
+    low = [round(sum(wave[u][y] * small[y][x] * wave[v][x] for y in range(32) for x in range(32)), 6) for u in range(8) for v in range(8)]
+    rest = sorted(low[1:])
+    return "%016x" % int("".join("1" if v > rest[31] else "0" for v in low), 2)
+
+
 def test_media(docs, cluttered, rows):
     expected = []
     for i, text, *_ in rows:
@@ -310,6 +325,15 @@ def test_media(docs, cluttered, rows):
         expected.append((i, len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-32:])))
     found = media.digests(cluttered)
     check(found, expected, ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32"])
+    assert media.digests(cluttered.limit(0)).count() == 0
+    used = set()
+    for r in media.encode_column(docs).collect():
+        height, _, _, raw = media._opened(bytes(r.media))
+        used |= set(raw[:, 0].tolist())
+        assert height == max(1, -(-r.n_bytes // 576))
+    assert {1, 2, 3, 4} <= used  # the query's files hold filtered rows
+    expected = [(i, plain_hash((t or "").encode())) for i, t, *_ in rows if i is not None and i < 60]
+    check(found.filter("doc_id < 60"), expected, ["doc_id", "feature"])
     same = found.filter("doc_id in (3, 85, 94)").select("media_sha256", "feature", "media_bytes").distinct()
     assert same.count() == 1 and found.filter("length(feature) <> 16").count() == 0
 
@@ -317,8 +341,12 @@ def test_media(docs, cluttered, rows):
 def test_png_filters_and_damage():
     rng = np.random.default_rng(0)
     image = rng.integers(0, 256, (7, 12), dtype=np.uint8)
-    for row_filter in (0, 1, 2):
+    for row_filter in (0, 1, 2, 3, 4, None):
         assert (media.read_png(media.write_png(image, row_filter=row_filter)) == image).all()
+    # Images of several bands and widths, read together with a damaged file.
+    many = [rng.integers(0, 4, (int(rng.integers(1, 100)), w), dtype=np.uint8) * 60 for w in (1, 2, 12, 12, 30, 12)]
+    found = media.read_pngs([*(media.write_png(m) for m in many), b"", None])
+    assert all((a == b).all() for a, b in zip(found, many)) and all(isinstance(x, ValueError) for x in found[-2:])
     # Average and Paeth rows, filtered here one sample after another.
     import struct
 
