@@ -381,10 +381,14 @@ def test_warc(spark):
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     check(warc.report(pages.withColumn("digest", F.lit(1)).withColumn("keep", F.lit(2))), expected, columns)
     assert warc.report(pages.limit(0)).count() == 0
-    manifest = warc.write_archives(warc.plan_records(pages), fresh_path(spark, "warc"))
-    chunks = warc.read_archives(manifest, chunk=40_000).filter("record_id = 'urn:page:7'").orderBy("chunk_no").collect()
+    manifest = warc.write_archives(warc.plan_records(pages), fresh_path(spark, "warc"), chunk=1000)
+    whole = warc.read_archives(manifest, chunk=40_000)
+    chunks = whole.filter("record_id like 'urn:page:7:%'").orderBy("chunk_no").collect()
     assert [len(c.chunk) for c in chunks] == [40_000, 40_000, 40_000, 30_000] and b"".join(c.chunk for c in chunks).decode() == other
     assert chunks[1].digest_so_far == hashlib.sha1(other[:80_000].encode()).hexdigest() and [c.last for c in chunks] == [False, False, False, True]
+    last = {r.record_id: r for r in whole.filter("last").collect()}
+    assert len(last) == pages.count()  # ids are unique, also of repeated and null page_ids
+    assert all(last[r.refers_to].record_type == "response" and last[r.refers_to].digest_so_far == r.stated_digest for r in last.values() if r.refers_to)
 
 
 ITEM = "If Tom Smith has 12 apples and gives 5 kg of apples to Anna, how many apples does Tom Smith have left after 12 days?"
