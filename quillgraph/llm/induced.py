@@ -282,17 +282,17 @@ def sort_starred(text: np.ndarray, is_s: np.ndarray, depth: int, store: Store) -
     return starred[np.argsort(names, kind="stable")]
 
 
-def suffix_blocks(text: np.ndarray, depth: int, budget: int = 1 << 28) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def suffix_blocks(text: np.ndarray, depth: int, budget: int | Store = 1 << 28) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(positions, common prefixes) of all suffixes in descending order (by ``depth`` symbols at least), in blocks.
 
     ``text`` holds small non-negative integers; its last symbol is smaller than all others.
     Each common prefix is that with the suffix before, in descending order, capped at ``depth``
-    (below 2**BITS). ``budget``: bytes of tuples kept in memory.
+    (below 2**BITS). ``budget``: bytes of tuples kept in memory, or the store of the queues.
     """
     if not 0 < depth < 1 << BITS:
         raise ValueError("depth must fit the tuples")
     if not len(text):
         return
     is_s = suffix_types(text)
-    store = Store(budget)
+    store = Store(budget) if isinstance(budget, int) else budget
     yield from induce(text, is_s, sort_starred(text, is_s, depth, store), depth, store)

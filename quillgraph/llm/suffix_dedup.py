@@ -7,49 +7,62 @@ smaller doc_id is removed. Strings are judged on the input and never cross docum
 2. Each window of LENGTH bytes has an anchor, its smallest k-byte gram by hash; windows
    that share an anchor form a segment. Equal windows have equal anchors, so a segment
    whose anchor occurs in one document only cannot repeat. A shuffle of anchor hashes
-   alone (aggregated within a batch) tells which are shared.
-3. Segments with shared anchors are shuffled by anchor. Equal segments collapse: all but
-   those of the smallest doc_id are removed whole. What differs goes through external
-   induced sorting (``induced``); neighbours in suffix order whose common prefix, capped
-   at LENGTH, is LENGTH are equal windows, and all but those of the smallest doc_id go.
+   alone (aggregated within a batch) tells which are shared, and which are hot: the windows of
+   a hot anchor become segments of their own, whose anchor is their own hash.
+3. Segments with shared anchors are shuffled by anchor. Equal segments (their bytes are
+   compared) collapse: all but those of the smallest doc_id are removed whole. What differs
+   goes through external induced sorting (``induced``); neighbours in suffix order whose common
+   prefix, capped at LENGTH, is LENGTH are equal windows, and all but those of the smallest
+   doc_id go.
 4. Ranges to remove return to their batches and are applied.
 
-The number of shards grows with the input, so a shard's size does not; what a hot passage
-adds to a shard is one entry per batch.
+A shuffle has lanes, ranges of anchors, one for each task. A lane may be far larger than
+memory: its task keeps what comes up to ``SPOOL_BYTES`` and beyond that deals it over cells
+(smaller ranges of anchors) in an unnamed file of its own, which is gone with the task; cells
+then go through memory one after another. There are at most ``MAX_LANES`` lanes, so a batch
+sends at most that many parts, and parts of ``GROUP_BATCHES`` batches travel together.
 
 Defined results: null and empty texts lose nothing; rows of one doc_id never remove from
 each other; a null doc_id counts as greater than all others; texts shorter than LENGTH
-bytes lose nothing; repeated rows give repeated results; cutting inside a character is
-possible, so kept text is bytes.
+bytes lose nothing; whole texts are read, however long; repeated rows give repeated results;
+of equal strings under one smallest doc_id all stay; cutting inside a character is possible, so
+kept text is bytes; an empty table gives no rows; columns other than doc_id and text may have
+any name.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark import TaskContext
+from pyspark import Accumulator, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dealt, materialize, mix64, steps, sub_batches, text_rows, utf8_buffers
-from .induced import suffix_blocks
+from .common import materialize, mix64, steps, sub_batches, text_rows, utf8_buffers
+from .induced import Store, suffix_blocks
 
 LENGTH = 50
 #: Bytes of an anchor gram (a multiple of 8), and grams in a window. Longer grams are shared less by chance.
 GRAM = 24
 SPAN = LENGTH - GRAM + 1
-#: Text bytes of a batch, and of the input for each shard.
-BATCH_BYTES, SHARD_BYTES, LEAST_SHARDS = 1 << 20, 6 << 20, 24
-#: Bytes of suffix tuples that a task keeps in memory.
-SORT_BYTES = 1 << 27
+#: Text bytes of a batch, and batches whose parts of a lane travel in one blob.
+BATCH_BYTES, GROUP_BATCHES = 1 << 20, 16
+#: Text bytes of the input for each cell and for each lane; lanes at most.
+CELL_BYTES, LANE_BYTES, MAX_LANES = 6 << 20, 64 << 20, 4096
+#: Occurrences from which an anchor is hot.
+HOT = 4096
+#: Bytes of a lane, and of suffix tuples, that a task keeps in memory.
+SPOOL_BYTES, SORT_BYTES = 32 << 20, 1 << 26
 #: Bytes of flags that are broadcast at most; beyond that their join is shuffled.
 BROADCAST_BYTES = 32 << 20
 _NO_ID = (1 << 63) - 1
 _CHUNK = 1 << 19
+_WINDOW = np.uint64(0xA24BAED4963EE407)
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -117,16 +130,153 @@ def _segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return join(anchors, np.uint64), join(firsts, np.int64), join(counts, np.int64), join(owners, np.int64)
 
 
-def _shard(anchor: np.ndarray, shards: int) -> np.ndarray:
-    return ((anchor >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+def _part(anchor: np.ndarray, parts: int) -> np.ndarray:
+    """The range of anchors, of ``parts`` equal ones, that each lies in."""
+    return ((anchor >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _present(shard: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(shard, first, end) of the runs of an ascending array; shards without entries cost nothing."""
-    cuts = np.flatnonzero(np.diff(shard)) + 1
-    bounds = [0, *cuts.tolist(), len(shard)] if len(shard) else []
+def _spots(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All positions of ranges, one range after another."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def _present(part: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(part, first, end) of the runs of an ascending array; parts without entries cost nothing."""
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    bounds = [0, *cuts.tolist(), len(part)] if len(part) else []
     for a, b in zip(bounds, bounds[1:]):
-        yield int(shard[a]), a, b
+        yield int(part[a]), a, b
+
+
+class Columns:
+    """Rows as arrays. A ragged column holds the values of all rows end to end; a fixed one has their numbers."""
+
+    def __init__(self, fixed: list[np.ndarray], ragged: list[np.ndarray], lengths: tuple[int, ...]):
+        self.fixed, self.ragged, self.lengths = fixed, ragged, lengths
+
+    def __len__(self) -> int:
+        return len(self.fixed[0])
+
+    @property
+    def nbytes(self) -> int:
+        return sum(a.nbytes for a in (*self.fixed, *self.ragged))
+
+    def take(self, rows: np.ndarray) -> Columns:
+        ragged = []
+        for values, k in zip(self.ragged, self.lengths):
+            size = self.fixed[k].astype(np.int64)
+            ragged.append(values[_spots((np.cumsum(size) - size)[rows], size[rows])])
+        return Columns([a[rows] for a in self.fixed], ragged, self.lengths)
+
+    @staticmethod
+    def join(parts: list[Columns]) -> Columns:
+        if len(parts) == 1:
+            return parts[0]
+        together = lambda arrays: [np.concatenate(x) for x in zip(*arrays)]
+        return Columns(together([p.fixed for p in parts]), together([p.ragged for p in parts]), parts[0].lengths)
+
+    def dump(self) -> bytes:
+        return _pack(*self.fixed, *self.ragged)
+
+
+#: Distinct anchors of a batch: bits 16 to 47 and 48 to 63 of the anchor, whether several ids have it, occurrences.
+HASHES = (("<u4", "<u2", "?", "<u2"), (), ())
+#: Distinct segments of a batch: anchor, smallest id, batch, bytes, rows with it; their bytes, and where those rows begin.
+SEGMENTS = (("<u8", "<i8", "<i8", "u1", "<u4"), ("u1", "<u4"), (3, 4))
+
+
+def _load(blob: bytes, form: tuple) -> Columns:
+    fixed, ragged, lengths = form
+    arrays = _unpack(blob, *fixed, *ragged)
+    return Columns(arrays[: len(fixed)], arrays[len(fixed) :], lengths)
+
+
+class Spool:
+    """Rows of a lane, dealt over cells by their first column, an anchor: in memory up to a budget, then in a file."""
+
+    def __init__(self, form: tuple, cells: int, budget: int):
+        self.form, self.cells, self.budget = form, cells, budget
+        self.parts: list[Columns] = []
+        self.held = self.end = 0
+        self.file, self.places = None, {}
+
+    def add(self, part: Columns) -> None:
+        self.parts.append(part)
+        self.held += part.nbytes
+        if self.held > self.budget:
+            self._spill()
+
+    def _cut(self) -> Iterator[tuple[int, Columns]]:
+        if not self.parts:
+            return
+        whole = Columns.join(self.parts)
+        self.parts, self.held = [], 0
+        cell = _part(whole.fixed[0], self.cells)
+        order = np.argsort(cell, kind="stable")
+        for k, a, b in _present(cell[order]):
+            yield k, whole.take(order[a:b])
+
+    def _spill(self) -> None:
+        if self.file is None:
+            self.file = tempfile.TemporaryFile()
+        for cell, part in self._cut():
+            blob = part.dump()
+            self.file.seek(self.end)
+            self.file.write(blob)
+            self.places.setdefault(cell, []).append((self.end, len(blob)))
+            self.end += len(blob)
+
+    def __iter__(self) -> Iterator[Columns]:
+        """Rows of one cell after another."""
+        if self.file is None:
+            yield from (part for _, part in self._cut())
+            return
+        self._spill()
+        for cell in sorted(self.places):
+            parts = []
+            for at, size in self.places[cell]:
+                self.file.seek(at)
+                parts.append(_load(self.file.read(size), self.form))
+            yield Columns.join(parts)
+        self.file.close()
+
+
+class _Sender:
+    """Parts of batches by lane, sent together every GROUP_BATCHES batches."""
+
+    def __init__(self, every: int):
+        self.every, self.parts, self.batches = every, {}, 0
+
+    def add(self, lane: int, number: int, part: Columns) -> None:
+        self.parts.setdefault(lane, []).append((number, part))
+
+    def end_batch(self, last: bool = False) -> Iterator[pa.RecordBatch]:
+        self.batches += not last
+        if self.parts and (last or self.batches % self.every == 0):
+            lanes = sorted(self.parts)
+            blobs = []
+            for lane in lanes:
+                numbers, parts = zip(*self.parts[lane])
+                whole = Columns.join(list(parts))
+                blobs.append(_pack(np.array(numbers, "<i8"), np.array([len(p) for p in parts], "<i8"), *whole.fixed, *whole.ragged))
+            self.parts = {}
+            yield pa.RecordBatch.from_arrays([pa.array(lanes, pa.int32()), pa.array([None] * len(lanes), pa.int64()), pa.array(blobs, pa.binary())], ["lane", "batch", "blob"])
+
+
+def _received(blob: bytes, form: tuple) -> tuple[np.ndarray, np.ndarray, Columns]:
+    """(numbers of batches, rows of each, all their rows) of a sender's blob."""
+    fixed, ragged, lengths = form
+    numbers, sizes, *arrays = _unpack(blob, "<i8", "<i8", *fixed, *ragged)
+    return numbers, sizes, Columns(arrays[: len(fixed)], arrays[len(fixed) :], lengths)
+
+
+class Plan:
+    """Lanes and cells for ``total`` text bytes, and the budgets of a task."""
+
+    def __init__(self, total: int, least: int):
+        self.lanes = max(least, min(MAX_LANES, -(-total // LANE_BYTES)))
+        self.cells = self.lanes * max(1, -(-total // (self.lanes * CELL_BYTES)))
+        self.every, self.hot, self.spool, self.sort = GROUP_BATCHES, HOT, SPOOL_BYTES, SORT_BYTES
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -152,123 +302,184 @@ def _open(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return ids, null, np.concatenate([[0], np.cumsum(lengths)]), data
 
 
-def _distinct(anchor: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct anchors (ascending), and whether each occurs under several ids."""
+def _distinct(anchor: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct anchors (ascending), whether each occurs under several ids, and how often."""
     order = np.argsort(anchor, kind="stable")
     a, i = anchor[order], ids[order]
     new = np.ones(a.size, bool)
     new[1:] = a[1:] != a[:-1]
     starts = np.flatnonzero(new)
     if not starts.size:
-        return a, np.zeros(0, bool)
-    return a[starts], np.minimum.reduceat(i, starts) != np.maximum.reduceat(i, starts)
+        return a, np.zeros(0, bool), starts
+    return a[starts], np.minimum.reduceat(i, starts) != np.maximum.reduceat(i, starts), np.diff(np.append(starts, a.size))
 
 
-def _shared_anchors(packed: DataFrame, shards: int) -> DataFrame:
-    """batch, flags: for each batch and shard, which of its distinct anchors occur in several documents.
+def _shared_anchors(packed: DataFrame, plan: Plan, spilled: Accumulator | None) -> DataFrame:
+    """batch, flags: for each batch and lane, which of its distinct anchors occur in several documents, and which are hot.
 
     Ids are compared within a batch; an anchor found in two batches counts as shared, which
-    may only be too much.
+    may only be too much, as may one whose last 16 bits alone differ from another's.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sender = _Sender(plan.every)
         for batch in batches:
             for number, blob in zip(batch.column("batch").to_pylist(), batch.column("blob").to_pylist()):
                 ids, _, offsets, data = _open(blob)
                 anchor, _, _, owner = _segments(data, offsets)
-                distinct, several = _distinct(anchor, ids[owner])
-                out = [
-                    (s, number, _pack((distinct[a:b] >> np.uint64(16)).astype("<u4"), (distinct[a:b] >> np.uint64(48)).astype("<u2"), np.packbits(several[a:b])))
-                    for s, a, b in _present(_shard(distinct, shards))
-                ]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], ["shard", "batch", "hashes"])
-
-    def match(table: pa.Table) -> pa.Table:
-        keys, several, sizes = [], [], []
-        for blob in table.column("hashes").to_pylist():
-            low, high, bits = _unpack(blob, "<u4", "<u2", "u1")
-            keys.append(low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32))
-            several.append(np.unpackbits(bits)[: low.size].astype(bool))
-            sizes.append(low.size)
-        key, flag = np.concatenate(keys), np.concatenate(several)
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        same = np.zeros(key.size + 1, bool)
-        same[1:-1] = ordered[1:] == ordered[:-1]
-        flag[order] |= same[:-1] | same[1:]
-        ends = np.cumsum(sizes).tolist()
-        bits = [np.packbits(flag[e - s : e]).tobytes() for e, s in zip(ends, sizes)]
-        return pa.table({"batch": table.column("batch"), "shard": table.column("shard"), "bits": pa.array(bits, pa.binary())})
-
-    hashes = packed.select("batch", "blob").mapInArrow(emit, "shard long, batch long, hashes binary")
-    flags = dealt(hashes, "shard").groupBy("shard").applyInArrow(match, "batch long, shard long, bits binary")
-    # One entry for each shard, so the list is bounded.
-    return flags.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("shard", "bits"))).alias("flags"))
-
-
-def _shared_segments(packed: DataFrame, flags: DataFrame, shards: int) -> DataFrame:
-    """shard, batch, blob: segments with shared anchors; rows of negative shards hold ranges to remove already.
+                distinct, several, times = _distinct(anchor, ids[owner])
+                times = np.minimum(times, 65535).astype("<u2")
+                for lane, a, b in _present(_part(distinct, plan.lanes)):
+                    key = distinct[a:b]
+                    sender.add(lane, number, Columns([(key >> np.uint64(16)).astype("<u4"), (key >> np.uint64(48)).astype("<u2"), several[a:b], times[a:b]], [], ()))
+                yield from sender.end_batch()
+        yield from sender.end_batch(last=True)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spool = Spool((("<u8", "?", "<u2", "<i8"), (), ()), plan.cells, plan.spool)
+        lanes, numbers, sizes, total = [], [], [], 0
+        for batch in batches:
+            for lane, blob in zip(batch.column("lane").to_pylist(), batch.column("blob").to_pylist()):
+                of, size, rows = _received(blob, HASHES)
+                low, high, several, times = rows.fixed
+                key = low.astype(np.uint64) << np.uint64(16) | high.astype(np.uint64) << np.uint64(48)
+                spool.add(Columns([key, several, times, total + np.arange(len(rows))], [], ()))
+                lanes.append(np.full(len(of), lane, np.int32))
+                numbers.append(of)
+                sizes.append(size)
+                total += len(rows)
+        if not total:
+            return
+        shared, hot = _task_array(total, plan.spool), _task_array(total, plan.spool)
+        for cell in spool:
+            key, several, times, place = cell.fixed
+            order = np.argsort(key, kind="stable")
+            key, several, times, place = key[order], several[order], times[order].astype(np.int64), place[order]
+            new = np.ones(key.size, bool)
+            new[1:] = key[1:] != key[:-1]
+            starts = np.flatnonzero(new)
+            count = np.diff(np.append(starts, key.size))
+            shared[place] = several | np.repeat(count > 1, count)
+            hot[place] = np.repeat(np.add.reduceat(times, starts) >= plan.hot, count)
+        if spilled is not None:
+            spilled.add(spool.end)
+        lane, number, size = np.concatenate(lanes), np.concatenate(numbers), np.concatenate(sizes)
+        ends = np.cumsum(size)
+        for a, b in steps(size, 1 << 24):
+            bits = [np.packbits(shared[e - n : e]).tobytes() for e, n in zip(ends[a:b].tolist(), size[a:b].tolist())]
+            hots = [np.packbits(hot[e - n : e]).tobytes() if hot[e - n : e].any() else b"" for e, n in zip(ends[a:b].tolist(), size[a:b].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(number[a:b]), pa.array(lane[a:b]), pa.array(bits, pa.binary()), pa.array(hots, pa.binary())], ["batch", "lane", "shared", "hot"])
+
+    hashes = packed.select("batch", "blob").mapInArrow(emit, "lane int, batch long, blob binary")
+    flags = hashes.repartitionById(plan.lanes, "lane").mapInArrow(match, "batch long, lane int, shared binary, hot binary")
+    # One entry for each lane, so the list is bounded.
+    return flags.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("lane", "shared", "hot"))).alias("flags"))
+
+
+def _task_array(size: int, budget: int) -> np.ndarray:
+    """Zeros, in memory up to a budget, else in an unnamed file of the task."""
+    if size <= budget:
+        return np.zeros(size, bool)
+    return np.memmap(tempfile.TemporaryFile(), bool, "w+", shape=(size,))
+
+
+def _collapse(content: np.ndarray, ids: np.ndarray, tie: np.ndarray, data: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, new): segments ordered by content and id, and where in that order others of equal bytes begin.
+
+    Segments whose keys are equal are compared byte by byte, each with the one before it.
+    """
+    order = np.lexsort((tie, ids, content))
+    new = np.ones(order.size, bool)
+    new[1:] = content[order[1:]] != content[order[:-1]]
+    again = np.flatnonzero(~new)
+    if again.size:
+        a, b = order[again], order[again - 1]
+        new[again] = length[a] != length[b]
+        again = again[length[a] == length[b]]
+        for p, q in steps(length[order[again]], _CHUNK):
+            a, b = order[again[p:q]], order[again[p:q] - 1]
+            starts = np.cumsum(length[a]) - length[a]
+            new[again[p:q]] = np.logical_or.reduceat(data[_spots(first[a], length[a])] != data[_spots(first[b], length[b])], starts)
+    return order, new
+
+
+def _shared_segments(packed: DataFrame, flags: DataFrame, plan: Plan) -> DataFrame:
+    """lane, batch, blob: segments with shared anchors; rows with a batch hold its ranges to remove already.
 
     Within a batch, equal segments are kept for their smallest id only; the others are
-    ranges to remove.
+    ranges to remove. Windows of hot anchors are segments of their own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sender = _Sender(plan.every)
         for batch in batches:
             for number, blob, bits in zip(*(batch.column(c).to_pylist() for c in ("batch", "blob", "flags"))):
                 ids, _, offsets, data = _open(blob)
                 anchor, first, count, owner = _segments(data, offsets)
-                distinct, _ = _distinct(anchor, ids[owner])
-                runs = _present(_shard(distinct, shards))
-                shared = np.concatenate([np.unpackbits(np.frombuffer(f["bits"], np.uint8))[: b - a] for f, (_, a, b) in zip(bits, runs)]).astype(bool) if bits else np.zeros(0, bool)
-                keep = shared[np.searchsorted(distinct, anchor)] if anchor.size else np.zeros(0, bool)
-                anchor, first, count, owner = anchor[keep], first[keep], count[keep], owner[keep]
-                length = count + LENGTH - 1
-                content = _content_keys(data, first, length, anchor)
-                order = np.lexsort((first, ids[owner], content))
-                new = np.ones(order.size, bool)
-                new[1:] = content[order[1:]] != content[order[:-1]]
+                distinct, _, _ = _distinct(anchor, ids[owner])
+                runs = list(_present(_part(distinct, plan.lanes)))
+                if not runs:
+                    continue
+                unpacked = lambda name: np.concatenate([np.unpackbits(np.frombuffer(f[name], np.uint8))[: b - a] if f[name] else np.zeros(b - a, np.uint8) for f, (_, a, b) in zip(bits, runs)]).astype(bool)  # noqa: E731, B023
+                at = np.searchsorted(distinct, anchor)
+                keep, hot = unpacked("shared")[at], unpacked("hot")[at]
+                grams = _grams(data)
+                split, keep = np.flatnonzero(keep & hot), np.flatnonzero(keep & ~hot)
+                window = _spots(first[split], count[split])
+                own = mix64(_window_keys(grams, window) ^ _WINDOW)
+                anchor = np.concatenate([anchor[keep], own])
+                first, owner = np.concatenate([first[keep], window]), np.concatenate([owner[keep], np.repeat(owner[split], count[split])])
+                length = np.concatenate([count[keep], np.ones(window.size, np.int64)]) + LENGTH - 1
+                order, new = _collapse(_content_keys(grams, first, length, anchor), ids[owner], first, data, first, length)
+                if not order.size:
+                    continue
                 group = np.cumsum(new) - 1
                 least = ids[owner[order[new]]]
                 later = ids[owner[order]] > least[group]
                 gone = order[later]
-                out = [(-1 - number, number, _pack(first[gone], first[gone] + length[gone]))]
+                known = pa.array([_pack(first[gone], first[gone] + length[gone])], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([number % plan.lanes], pa.int32()), pa.array([number], pa.int64()), known], ["lane", "batch", "blob"])
                 heads, rows = order[new], order[~later]
-                group_of = group[~later]
-                shard = _shard(anchor[heads], shards)
-                ranked = np.argsort(shard, kind="stable")
-                place = np.empty(len(heads), np.int64)
-                place[ranked] = np.arange(len(heads))
-                of_row = place[group_of]
-                row_order = np.argsort(of_row, kind="stable")
-                of_row, starts = of_row[row_order], first[rows[row_order]]
-                for s, a, b in _present(shard[ranked]):
-                    chosen = heads[ranked[a:b]]
-                    p, q = np.searchsorted(of_row, [a, b]).tolist()
-                    size = length[chosen]
-                    spots = np.repeat(first[chosen] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-                    out.append((s, number, _pack(anchor[chosen], ids[owner[chosen]], size.astype(np.uint8), data[spots], (of_row[p:q] - a).astype(np.uint32), starts[p:q].astype(np.uint32))))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], ["shard", "batch", "blob"])
-
-    size = flags.select(F.explode("flags").alias("f")).agg(F.coalesce(F.sum(F.length("f.bits") + 32), F.lit(0))).first()[0]
-    flags = F.broadcast(flags) if size <= BROADCAST_BYTES else flags
-    return packed.join(flags, "batch", "left").select("batch", "blob", "flags").mapInArrow(run, "shard long, batch long, blob binary")
-
-
-def _content_keys(data: np.ndarray, first: np.ndarray, length: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+                times = np.bincount(group[~later], minlength=len(heads))
+                size = length[heads]
+                found = Columns(
+                    [anchor[heads], ids[owner[heads]], np.full(len(heads), number, np.int64), size.astype(np.uint8), times.astype(np.uint32)],
+                    [data[_spots(first[heads], size)], first[rows].astype(np.uint32)],
+                    SEGMENTS[2],
+                )
+                lane = _part(anchor[heads], plan.lanes)
+                ranked = np.argsort(lane, kind="stable")
+                for k, a, b in _present(lane[ranked]):
+                    sender.add(k, number, found.take(ranked[a:b]))
+                yield from sender.end_batch()
+        yield from sender.end_batch(last=True)
+
+    # Bits, and what an entry and a row take beside them.
+    size = flags.select(F.explode("flags").alias("f")).agg(F.coalesce(F.sum(F.length("f.shared") + F.length("f.hot") + 64), F.lit(0))).first()[0]
+    flags = F.broadcast(flags) if size <= BROADCAST_BYTES else flags.hint("merge")
+    return packed.join(flags, "batch", "left").select("batch", "blob", "flags").mapInArrow(run, "lane int, batch long, blob binary")
+
+
+def _window_keys(grams: np.ndarray, window: np.ndarray) -> np.ndarray:
+    """Hash of the LENGTH bytes from each position, from the grams that cover them."""
+    key = np.zeros(window.size, np.uint64)
+    for k in (*range(0, LENGTH - GRAM, GRAM), LENGTH - GRAM):
+        key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + grams[window + k])
+    return key
+
+
+def _content_keys(grams: np.ndarray, first: np.ndarray, length: np.ndarray, anchor: np.ndarray) -> np.ndarray:
     """64-bit key of each segment's bytes, from the hashes of grams that together cover it."""
     key = mix64(anchor ^ length.astype(np.uint64))
     if not first.size:
         return key
-    grams = _grams(data)
     last = first + length - GRAM
     for k in range(0, int(length.max()) - GRAM + 1, GRAM):
         key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + grams[np.minimum(first + k, last)])
     return mix64(key * np.uint64(0x9E3779B97F4A7C15) + grams[last])
 
 
-def repeated_windows(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def repeated_windows(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray, store: Store) -> tuple[np.ndarray, np.ndarray]:
     """(segment, window) of every window of the segments that also lies in a segment of a smaller id.
 
     Suffixes of all segments are sorted; windows between which no common prefix is below
@@ -298,7 +509,7 @@ def repeated_windows(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> tu
         found_window.append(bad - begin[segment[bad]])
 
     tail, carry = np.zeros(0, np.int64), LENGTH  # the group that is open; least common prefix since its last window
-    for positions, common in suffix_blocks(text, LENGTH, SORT_BYTES):
+    for positions, common in suffix_blocks(text, LENGTH, store):
         starts = positions < len(segment)
         starts[starts] = positions[starts] <= last[segment[positions[starts]]]
         at = np.flatnonzero(starts)
@@ -319,29 +530,15 @@ def repeated_windows(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> tu
     return join(found_segment), join(found_window)
 
 
-def _search_shard(table: pa.Table) -> pa.Table:
-    """Ranges to remove, by batch, from all segments of one shard; those of a negative shard are known."""
-    if table.column("shard")[0].as_py() < 0:
-        return pa.table({"batch": table.column("batch"), "ranges": table.column("blob")})
-    anchors, ids, sizes, parts, source, row_at, rows = [], [], [], [], [], [], []
-    base = 0
-    batches = table.column("batch").to_pylist()
-    for k, blob in enumerate(table.column("blob").to_pylist()):
-        a, i, s, d, at, starts = _unpack(blob, "<u8", "<i8", "u1", "u1", "<u4", "<u4")
-        anchors.append(a)
-        ids.append(i)
-        sizes.append(s.astype(np.int64))
-        parts.append(d)
-        source.append(np.full(len(starts), k, np.int32))
-        row_at.append(at.astype(np.int64) + base)
-        rows.append(starts.astype(np.int64))
-        base += len(a)
-    anchor, who, size, data, of, row, start = (np.concatenate(x) for x in (anchors, ids, sizes, parts, source, row_at, rows))
+def _search_cell(cell: Columns, store: Store) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(batch, low, high): ranges to remove from the rows of all segments of one cell."""
+    anchor, who, batch, size, times = cell.fixed
+    data, start = cell.ragged
+    size, times = size.astype(np.int64), times.astype(np.int64)
+    row, start = np.repeat(np.arange(len(who)), times), start.astype(np.int64)
+    of = batch[row]
     first = np.cumsum(size) - size
-    content = _content_keys(data, first, size, anchor)
-    order = np.lexsort((who, content))
-    new = np.ones(len(order), bool)
-    new[1:] = content[order[1:]] != content[order[:-1]]
+    order, new = _collapse(_content_keys(_grams(data), first, size, anchor), who, first, data, first, size)
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
     heads = order[new]  # smallest id of each distinct segment
@@ -357,8 +554,7 @@ def _search_shard(table: pa.Table) -> pa.Table:
     if varied.size:
         chosen = heads[varied]
         length = size[chosen]
-        spots = np.repeat(first[chosen] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-        segment, window = repeated_windows(data[spots], length, who[chosen])
+        segment, window = repeated_windows(data[_spots(first[chosen], length)], length, who[chosen], store)
         if segment.size:
             pick = np.lexsort((window, segment))
             segment, window = segment[pick], window[pick]
@@ -372,25 +568,60 @@ def _search_shard(table: pa.Table) -> pa.Table:
             row_group = group[row[rest]]
             by = np.argsort(row_group, kind="stable")
             p, q = np.searchsorted(row_group[by], group_id, "left"), np.searchsorted(row_group[by], group_id, "right")
-            times = q - p
-            which = np.repeat(np.arange(len(group_id)), times)
-            hit = rest[by[np.repeat(p - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))]]
+            which = np.repeat(np.arange(len(group_id)), q - p)
+            hit = rest[by[_spots(p, q - p)]]
             lows.append(start[hit] + low[which])
             highs.append(start[hit] + high[which])
             owners.append(of[hit])
-    low, high, owner = np.concatenate(lows), np.concatenate(highs), np.concatenate(owners)
-    out = [(batches[k], _pack(low[owner == k], high[owner == k])) for k in np.unique(owner).tolist()]
-    return pa.table({"batch": pa.array([b for b, _ in out], pa.int64()), "ranges": pa.array([r for _, r in out], pa.binary())})
+    return np.concatenate(owners), np.concatenate(lows), np.concatenate(highs)
+
+
+def _ranges(segments: DataFrame, plan: Plan, spilled: Accumulator | None) -> DataFrame:
+    """batch, ranges: packed ranges to remove; a batch may have several rows."""
 
+    def by_batch(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        batch, low, high = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(batch, kind="stable")
+        batch, low, high = batch[order], low[order], high[order]
+        out = [(k, _pack(low[a:b], high[a:b])) for k, a, b in _present(batch)]
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([r for _, r in out], pa.binary())], ["batch", "ranges"])
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept (bytes) of every row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spool, sorted_bytes = Spool(SEGMENTS, plan.cells, plan.spool), 0
+        for rows in batches:
+            known = rows.filter(pc.is_valid(rows.column("batch")))
+            if known.num_rows:
+                yield pa.RecordBatch.from_arrays([known.column("batch"), known.column("blob")], ["batch", "ranges"])
+            for number, blob in zip(rows.column("batch").to_pylist(), rows.column("blob").to_pylist()):
+                if number is None:
+                    spool.add(_received(blob, SEGMENTS)[2])
+        found, held = [], 0
+        for cell in spool:
+            store = Store(plan.sort)
+            found.append(_search_cell(cell, store))
+            sorted_bytes += store.end
+            held += sum(x.nbytes for x in found[-1])
+            if held > plan.spool:
+                yield by_batch(found)
+                found, held = [], 0
+        if found:
+            yield by_batch(found)
+        if spilled is not None:
+            spilled.add(spool.end + sorted_bytes)
+
+    return segments.repartitionById(plan.lanes, "lane").mapInArrow(run, "batch long, ranges binary")
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spilled: Accumulator | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept (bytes) of every row.
+
+    ``spilled``, if given, counts the bytes that tasks keep in files.
+    """
     packed = materialize(pack_documents(docs, id_col, text_col), "packed")
     total = packed.agg(F.sum("size")).first()[0] or 0
-    shards = max(LEAST_SHARDS, -(-total // SHARD_BYTES))
-    flags = materialize(_shared_anchors(packed, shards), "anchor-flags", narrow=True)
-    # A batch gets one row of its own and at most one from each shard.
-    found = dealt(_shared_segments(packed, flags, shards), "shard").groupBy("shard").applyInArrow(_search_shard, "batch long, ranges binary")
+    plan = Plan(total, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    flags = materialize(_shared_anchors(packed, plan, spilled), "anchor-flags", narrow=True)
+    found = _ranges(_shared_segments(packed, flags, plan), plan, spilled)
     ranges = found.groupBy("batch").agg(F.collect_list("ranges").alias("ranges"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -221,12 +221,48 @@ def removed(rows, length=50):
     return out
 
 
-@pytest.mark.parametrize("batch_bytes", [3000, 1 << 21])
-def test_repeated_passages(cluttered, rows, monkeypatch, batch_bytes):
-    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", batch_bytes)
-    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    check(suffix_dedup.digests(cluttered), removed(rows), columns)
+COLUMNS6 = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+#: Settings of the query: as they are, many batches and cells, everything spilled, all anchors hot, no broadcast.
+SETTINGS6 = {
+    "plain": {},
+    "cells": {"BATCH_BYTES": 3000, "GROUP_BATCHES": 3, "CELL_BYTES": 5000, "BROADCAST_BYTES": 0},
+    "spilled": {"BATCH_BYTES": 20_000, "CELL_BYTES": 8000, "SPOOL_BYTES": 2000, "SORT_BYTES": 1000},
+    "hot": {"BATCH_BYTES": 20_000, "HOT": 2},
+}
+
+
+@pytest.mark.parametrize("setting", SETTINGS6)
+def test_repeated_passages(spark, cluttered, rows, monkeypatch, setting):
+    for name, value in SETTINGS6[setting].items():
+        monkeypatch.setattr(suffix_dedup, name, value)
+    check(suffix_dedup.digests(cluttered), removed(rows), COLUMNS6)
     assert suffix_dedup.digests(cluttered.limit(0)).count() == 0
+    if setting == "spilled":  # the query's own tasks keep lanes and suffix queues in files
+        bytes_in_files = spark.sparkContext.accumulator(0)
+        check(suffix_dedup.remove_repeats(cluttered, spilled=bytes_in_files).withColumn("kept_sha256", F.sha2("kept", 256)), removed(rows), COLUMNS6)
+        assert bytes_in_files.value > 100_000
+
+
+def test_segments_are_compared_byte_by_byte(monkeypatch):
+    """Equal keys of different bytes make no equal segments."""
+    data = np.frombuffer(b"abcdefgh" * 20 + b"abcdefgx" * 20, np.uint8)
+    first, length = np.array([0, 160, 8, 168]), np.full(4, 60)
+    order, new = suffix_dedup._collapse(np.zeros(4, np.uint64), np.array([1, 2, 3, 4]), first, data, first, length)
+    assert order.tolist() == [0, 1, 2, 3] and new.tolist() == [True, True, True, True]
+    order, new = suffix_dedup._collapse(np.zeros(4, np.uint64), np.array([1, 3, 2, 4]), first, data, first, length)
+    assert order.tolist() == [0, 2, 1, 3] and new.tolist() == [True, False, True, False]
+
+
+def test_repeated_passages_around_a_hot_one(spark, monkeypatch):
+    """A passage in every document, between words of their own."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 4000)
+    rng = random.Random(3)
+    say = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    passage = say(30)
+    rows = [(i, say(rng.randint(0, 8)) + passage + say(rng.randint(0, 8)) + rng.choice(["", passage])) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(suffix_dedup.digests(docs), removed(rows), COLUMNS6)
 
 
 @pytest.mark.parametrize("budget", [0, 200, 1 << 20])
