@@ -11,13 +11,22 @@ bands only propose pairs. A pair is estimated jointly by maximum likelihood from
 many registers are greater, equal and smaller, and what can reach the threshold is
 confirmed on the full sets. Buckets are never expanded into all pairs: each class is
 first compared with its best pivot, then with the pivots of buckets that still hold
-several components; linked classes contract to components at each step. What then still
-shares a bucket across components is compared in blocks: registers first, and the full
-sets of a whole component where a class comes near it.
-
-Defined results: null and empty texts have no shingles, link with nothing and are kept;
-a null doc_id links with nothing and is its own (null) component; repeated rows get the
-same component; texts that repeat one doc_id count as one node.
+several components; linked classes contract to components at each step.
+
+Classes that then still share a bucket across components may be many and unrelated, as when
+they share a long passage. They meet anew by their rarest shingles: two sets of the wanted
+similarity always share one of the first n - ceil(threshold * n) + 1 in any common order
+(prefix filter), and in the order of frequency what many sets share comes last. Where such a
+group still holds several components, registers are compared in blocks, and a class that comes
+near many members of the largest component is searched in blocks of their full sets.
+
+Rows of hot buckets are salted wherever they are joined.
+
+Defined results: null and empty texts have no shingles, link with nothing, are kept and are
+their own component; a null doc_id links with nothing and is its own (null) component; repeated
+rows get the same component; texts that repeat one doc_id are one node, so what either links to
+is linked; ties do not arise, as a component is its smallest doc_id; whole texts are read, however
+long; an empty table gives no rows; columns other than doc_id and text may have any name.
 """
 
 from __future__ import annotations
@@ -40,8 +49,14 @@ BASE = 1.001
 BANDS, ROWS = 36, 6
 #: Standard errors by which an estimate may fall short of the threshold and still be confirmed.
 SLACK = 4.5
-#: Classes in one block of a bucket when pairs between components are enumerated.
+#: Classes in one block of a group when pairs between components are compared.
 BLOCK = 256
+#: Members of the largest component near a class that are confirmed one by one; for more the component is searched.
+FEW = 8
+#: Rows of a bucket beyond which it is salted, at least, and buckets that are salted (and broadcast) at most.
+HOT_ROWS, HOT_BUCKETS = 1024, 1 << 18
+#: Slots in which shingles are counted for the order of the prefix filter.
+FREQUENCY_BITS = 20
 #: Ids that are broadcast at most (8 bytes each); beyond that the same join is shuffled.
 BROADCAST_IDS = 1 << 20
 
@@ -211,77 +226,181 @@ class _Linker:
         return materialize(both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(run, "a long, b long, linked boolean"), "judged", narrow=True)
 
 
+def _with_salts(counts: DataFrame, total: int) -> DataFrame:
+    """``counts`` (bucket, n) of ``total`` rows with ``salts``: 1, or more for a hot bucket.
+
+    Fewer than HOT_BUCKETS buckets can hold more than a HOT_BUCKETS-th of all rows, so the list of hot ones is bounded.
+    """
+    limit = max(HOT_ROWS, total // HOT_BUCKETS)
+    return counts.withColumn("salts", F.when(F.col("n") > limit, F.ceil(F.col("n") / limit)).otherwise(1).cast("int"))
+
+
+def _salted(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``rows`` with their own ``salt`` among the ``salts`` that ``counts`` gives their bucket."""
+    hot = counts.filter("salts > 1").select("bucket", "salts")
+    return rows.join(F.broadcast(hot), "bucket", "left").withColumn("salt", F.pmod(F.xxhash64("rep"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+
+
+def _spread(per_bucket: DataFrame) -> DataFrame:
+    """One row of each bucket (with ``salts``) for each of its salts."""
+    return per_bucket.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+
+
 def _mixed(live: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (bucket, rep, comp) of the buckets that still hold more than one component."""
+    """Rows (bucket, salts, salt, rep, comp) of the buckets that still hold more than one component."""
     joined = live.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
-    several = joined.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1")
-    return joined.join(several.select("bucket"), "bucket")
+    several = joined.groupBy("bucket", "salts").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1")
+    return joined.join(_spread(several.select("bucket", "salts")).drop("salts"), ["bucket", "salt"], "left_semi")
 
 
 def _pivot_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of each class with the smallest of its bucket, where their components differ."""
-    pivot = rows.groupBy("bucket").agg(F.min(F.struct(F.col("rep").alias("pivot"), F.col("comp").alias("pivot_comp"))).alias("p"))
-    pairs = rows.join(pivot, "bucket").filter("rep <> p.pivot and comp <> p.pivot_comp")
+    pivot = rows.groupBy("bucket", "salts").agg(F.min(F.struct(F.col("rep").alias("pivot"), F.col("comp").alias("pivot_comp"))).alias("p"))
+    pairs = rows.join(_spread(pivot).drop("salts"), ["bucket", "salt"]).filter("rep <> p.pivot and comp <> p.pivot_comp")
     return pairs.select(F.least("rep", "p.pivot").alias("a"), F.greatest("rep", "p.pivot").alias("b"))
 
 
-def _cross_links(rows: DataFrame, classes: DataFrame, linker: _Linker, nodes: DataFrame, known: DataFrame) -> list[DataFrame]:
-    """All links between different components that share a bucket: frames of (a, b, linked).
+def frequencies(sets: DataFrame) -> np.ndarray:
+    """How often shingles fall in each of 2**FREQUENCY_BITS slots, over ``sets`` (shingles)."""
+    slots, shift = 1 << FREQUENCY_BITS, np.uint64(64 - FREQUENCY_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(slots, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                data, _ = utf8_buffers(batch.column("shingles"))
+                total += np.bincount((data.view(np.uint64) >> shift).astype(np.int64), minlength=slots)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["slot", "n"])
+
+    found = sets.select("shingles").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(slots, np.int64)
+    out[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def prefix_rows(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """bucket (a shingle), rep, comp: each set (rep, comp, shingles) under its rarest shingles.
+
+    Two sets whose similarity is num / den or more share at least one of these.
+    """
+    shared, shift = sets.sparkSession.sparkContext.broadcast(frequencies(sets)), np.uint64(64 - FREQUENCY_BITS)
 
-    Registers are compared block against block within each bucket. A bucket's largest
-    component is never compared with itself; its rows stay in one block each and only the
-    others are repeated, once for every block. Pairs of others are confirmed one by one
-    (reported in the first band that they share). For a class that comes near the largest
-    component, that component's full sets are searched in blocks, whatever their number.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sub_batches(batches, "shingles"):
+            data, at = utf8_buffers(batch.column("shingles"))
+            elements, sizes = data.view(np.uint64), np.diff(at) // 8
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((elements, shared.value[(elements >> shift).astype(np.int64)], owner))
+            place = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            keep = place < (sizes + (-num * sizes) // den + 1)[owner]
+            whose = pa.array(owner[keep])
+            yield pa.RecordBatch.from_arrays([pa.array(elements[order[keep]].view(np.int64)), batch.column("rep").take(whose), batch.column("comp").take(whose)], ["bucket", "rep", "comp"])
+
+    return sets.select("rep", "comp", "shingles").mapInArrow(run, "bucket long, rep long, comp long")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Sorted rows again, cut so that no run of equal keys is torn, with the n + 1 bounds of the runs."""
+    rest: list[pa.RecordBatch] = []
+
+    def bounds(batch: pa.RecordBatch) -> np.ndarray:
+        new = np.zeros(batch.num_rows, bool)
+        for k in keys:
+            column = batch.column(k).to_numpy()
+            new[1:] |= column[1:] != column[:-1]
+        return np.concatenate([[0], np.flatnonzero(new), [batch.num_rows]])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        whole = pa.concat_batches([*rest, batch])
+        at = bounds(whole)
+        rest = [whole.slice(int(at[-2]))]
+        if len(at) > 2:
+            yield whole.slice(0, int(at[-2])), at[:-1]
+    if rest:
+        yield rest[0], np.array([0, rest[0].num_rows])
+
+
+def _cross_links(rest: DataFrame, classes: DataFrame, linker: _Linker, nodes: DataFrame, known: DataFrame) -> list[DataFrame]:
+    """All links between different components among the classes of ``rest``: frames of (a, b, linked).
+
+    Classes are grouped by their rarest shingles. A group's largest component is never
+    compared with itself; the others meet all of the group in blocks of BLOCK rows, so no
+    task holds a group. Pairs of others are confirmed one by one, as are few members of the
+    largest component near a class; for more of them that component's full sets are searched.
     """
-    sizes = rows.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"))
-    placed = rows.join(main, "bucket").select(
-        "bucket",
-        "rep",
-        "comp",
-        (F.col("comp") != F.col("top.comp")).alias("other"),
-        F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"),
+    members = rest.groupBy("rep").agg(F.first("comp").alias("comp"))
+    rows = materialize(prefix_rows(linker.sets.join(members, "rep"), linker.num, linker.den), "prefixes")
+    several = rows.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n")).filter("c0 <> c1").select("bucket", "n")
+    several = materialize(_with_salts(several, rows.count()), "prefix-groups", narrow=True)
+    salted = _salted(rows, several).join(_spread(several.drop("n")), ["bucket", "salt"])
+
+    sizes = salted.groupBy("bucket", "salts", "comp").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("bucket", "salts").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    placed = salted.join(_spread(main).drop("salts"), ["bucket", "salt"]).select(
+        "bucket", "rep", "comp", (F.col("comp") != F.col("top.comp")).alias("other"), blocks(F.col("total")).alias("home_blocks"), blocks(F.col("total") - F.col("top.n")).alias("guest_blocks")
     )
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    homes = placed.withColumn("block", own).withColumn("guest", F.lit(False))
-    guests = placed.filter("other").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("guest", F.lit(True))
-    met = homes.unionByName(guests).join(classes.select("rep", "regs", "n"), "rep")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    homes = placed.withColumn("home", own("home_blocks")).withColumn("guest", every("guest_blocks")).withColumn("is_guest", F.lit(False))
+    guests = placed.filter("other").withColumn("guest", own("guest_blocks")).withColumn("home", every("home_blocks")).withColumn("is_guest", F.lit(True))
+    columns = ["bucket", "home", "guest", "rep", "comp", "other", "is_guest"]
+    met = homes.select(columns).unionByName(guests.select(columns)).join(classes.select("rep", "regs", "n"), "rep")
     least, num, den = linker.least, linker.num, linker.den
-
-    def compare(table: pa.Table) -> pa.Table:
-        guest, other = table.column("guest").to_numpy(), table.column("other").to_numpy()
-        rep, comp, n = (table.column(c).to_numpy() for c in ("rep", "comp", "n"))
-        regs = _registers(table.column("regs"))
-        bands = _band_keys(regs)
-        band = int(np.flatnonzero(bands[0] == np.uint64(table.column("bucket")[0].as_py() & (1 << 64) - 1))[0])
-        home, out = np.flatnonzero(~guest), []
-        for g in np.flatnonzero(guest).tolist():
-            near = home[(comp[home] != comp[g]) & (np.minimum(n[home], n[g]) * den >= np.maximum(n[home], n[g]) * num)]
-            if not near.size:
-                continue
-            j = estimate((regs[near] > regs[g]).sum(axis=1), (regs[near] < regs[g]).sum(axis=1), n[near], np.full(near.size, n[g]))
-            near = near[j >= least]
-            if (~other[near]).any():
-                out.append((int(rep[g]), None, int(comp[near[~other[near]][0]])))
-            near = near[other[near] & (rep[near] > rep[g])]
-            near = near[~(bands[near, :band] == bands[g, :band]).any(axis=1)]
-            out += [(int(rep[g]), x, None) for x in rep[near].tolist()]
-        return pa.table({k: pa.array([r[i] for r in out], pa.int64()) for i, k in enumerate(("a", "b", "comp"))})
-
-    found = materialize(dealt(met, "bucket", "block").groupBy("bucket", "block").applyInArrow(compare, "a long, b long, comp long"), "cross", narrow=True)
+    keys = ["bucket", "home", "guest"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, at in _groups(batches, keys):
+            is_guest, other = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("is_guest", "other"))
+            rep, comp, n = (batch.column(c).to_numpy() for c in ("rep", "comp", "n"))
+            regs = _registers(batch.column("regs"))
+
+            def judged(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
+                g, h = np.concatenate(left), np.concatenate(right)
+                x, y = regs[h], regs[g]
+                near = estimate((x > y).sum(axis=1), (x < y).sum(axis=1), n[h], n[g]) >= least
+                g, h = g[near], h[near]
+                main = ~other[h]
+                many = np.bincount(g[main], minlength=len(rep)) > FEW
+                single = (main & ~many[g]) | (other[h] & (rep[h] > rep[g]))
+                asked = np.flatnonzero(many)
+                a = np.concatenate([np.minimum(rep[g[single]], rep[h[single]]), rep[asked]])
+                b = pa.array(np.concatenate([np.maximum(rep[g[single]], rep[h[single]]), rep[asked]]), mask=np.arange(len(a)) >= single.sum())
+                of_main = {int(i): int(comp[j]) for i, j in zip(g[main], h[main])}
+                return pa.RecordBatch.from_arrays([pa.array(a), b, pa.array([None] * int(single.sum()) + [of_main[i] for i in asked.tolist()], pa.int64())], ["a", "b", "comp"])
+
+            left, right, held = [], [], 0
+            for first, last in zip(at[:-1].tolist(), at[1:].tolist()):
+                g, h = first + np.flatnonzero(is_guest[first:last]), first + np.flatnonzero(~is_guest[first:last])
+                g, h = np.repeat(g, h.size), np.tile(h, g.size)
+                fit = (comp[g] != comp[h]) & (np.minimum(n[g], n[h]) * den >= np.maximum(n[g], n[h]) * num)
+                left.append(g[fit])
+                right.append(h[fit])
+                held += int(fit.sum())
+                if held > 20_000:
+                    yield judged(left, right)
+                    left, right, held = [], [], 0
+            if held:
+                yield judged(left, right)
+
+    found = materialize(dealt(met, *keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long, comp long"), "cross", narrow=True)
     pairs = found.filter("b is not null").select("a", "b").distinct().join(known, ["a", "b"], "left_anti")
 
     # Classes against whole components, on full sets.
     asked = found.filter("comp is not null").select("a", "comp").distinct()
-    labelled = classes.select("rep").join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("label", "rep").alias("comp"))
+    labelled = classes.select("rep").distinct().join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("label", "rep").alias("comp"))
     members = labelled.join(asked.select("comp").distinct(), "comp", "left_semi")
-    blocks = members.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    inside = members.join(blocks, "comp").select("comp", "rep", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("guest"))
-    outside = asked.join(blocks, "comp").select("comp", F.col("a").alias("rep"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("guest"))
+    home_blocks = members.groupBy("comp").agg(blocks(F.count("*")).alias("home_blocks"))
+    planned = home_blocks.join(asked.groupBy("comp").agg(blocks(F.count("*")).alias("guest_blocks")), "comp")
+    inside = members.join(planned, "comp").withColumn("home", own("home_blocks")).withColumn("guest", every("guest_blocks")).withColumn("is_guest", F.lit(False))
+    outside = asked.withColumnRenamed("a", "rep").join(planned, "comp").withColumn("guest", own("guest_blocks")).withColumn("home", every("home_blocks")).withColumn("is_guest", F.lit(True))
+    columns = ["comp", "home", "guest", "rep", "is_guest"]
 
     def search(table: pa.Table) -> pa.Table:
-        guest, rep = table.column("guest").to_numpy(), table.column("rep").to_numpy()
+        guest, rep = table.column("is_guest").to_numpy(), table.column("rep").to_numpy()
         data, at = utf8_buffers(table.column("shingles"))
         sets = [data[i:j].view(np.uint64) for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
         home = np.flatnonzero(~guest)
@@ -302,28 +421,44 @@ def _cross_links(rows: DataFrame, classes: DataFrame, linker: _Linker, nodes: Da
                     b.append(int(max(rep[g], rep[home[hit[0]]])))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array([True] * len(a), pa.bool_())})
 
-    searched = dealt(inside.unionByName(outside).join(linker.sets, "rep"), "comp", "block").groupBy("comp", "block").applyInArrow(search, "a long, b long, linked boolean")
+    searched = dealt(inside.select(columns).unionByName(outside.select(columns)).join(linker.sets, "rep"), "comp", "home", "guest").groupBy("comp", "home", "guest").applyInArrow(search, "a long, b long, linked boolean")
     return [linker.confirmed(pairs), materialize(searched, "searched", narrow=True)]
 
 
+def _same_document(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of documents whose id several different texts share."""
+    keys = F.struct("key1", "key2")
+    several = usable.groupBy("doc_id").agg(F.min(keys).alias("k0"), F.max(keys).alias("k1")).filter("k0 <> k1").select("doc_id")
+    several = materialize(several, "repeated-ids", narrow=True)
+    if several.isEmpty():
+        return several.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
+    mine = usable.select("doc_id", "key1", "key2").join(several, "doc_id").distinct().join(classes.select("key1", "key2", "rep"), ["key1", "key2"])
+    return mine.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).filter("a <> b").distinct()
+
+
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row, linked where den * common >= num * union."""
+    """doc_id, n_shingles, component_id, kept of every row, linked where den * common >= num * union.
+
+    A hot text is one class; its rows meet their class through a join that AQE may split.
+    """
     docs = text_rows(docs, id_col, text_col)
     rows = materialize(sketch_documents(docs), "sketches")
     usable = rows.filter("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs"))
     classes = materialize(classes, "classes")
     buckets = _buckets(classes)
-    shared = buckets.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top")).filter("pivot <> top").select("bucket", "pivot")
-    live = materialize(buckets.join(shared, "bucket"), "live-buckets")
+    shared = buckets.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"), F.count("*").alias("n")).filter("pivot <> top").select("bucket", "pivot", "n")
+    shared = materialize(_with_salts(shared, classes.count() * BANDS).drop("n"), "shared-buckets")
+    live = _salted(buckets, shared).join(_spread(shared), ["bucket", "salt"]).select("bucket", "salts", "salt", "rep", "pivot")
+    live = materialize(live, "live-buckets")
     linker = _Linker(docs, classes, live.select("rep").distinct(), num, den)
 
     # Round one: each class and the pivot that most of its buckets name.
     votes = live.filter("rep <> pivot").groupBy("rep", "pivot").agg(F.count("*").alias("votes"))
     best = votes.groupBy("rep").agg(F.max(F.struct("votes", -F.col("pivot"))).alias("v")).select((-F.col("v.col2")).alias("a"), F.col("rep").alias("b"))
-    live = live.select("bucket", "rep")
+    live = live.drop("pivot")
     judged = [linker.confirmed(linker.estimated(best))]
-    nodes = components(judged[0].filter("linked"))
+    nodes = components(judged[0].filter("linked").select("a", "b").unionByName(_same_document(usable, classes)))
     # Then each bucket's pivot, between components only; then all that is left.
     for by_pivot in (True, False):
         rest = materialize(_mixed(live, nodes), "mixed-buckets", narrow=True)

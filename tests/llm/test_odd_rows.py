@@ -143,3 +143,66 @@ def test_pipeline_stages_on_odd_rows(spark, tmp_path):
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
     spark.createDataFrame(rows, SCHEMA).limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def near(found):
+    return sorted((r.doc_id, r.component_id, r.kept) for r in found.collect())
+
+
+def test_texts_that_share_an_id_are_one_node(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (2, a), (2, b), (3, b + " more"), (4, "something else"), (4, ""), (5, "x y z"), (6, "x y z"), (5, "p q r"), (9, "p q r")]
+    found = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert near(found) == [(1, 1, True), (2, 1, False), (2, 1, False), (3, 1, False), (4, 4, True), (4, 4, True), (5, 5, True), (5, 5, True), (6, 5, False), (9, 5, False)]
+
+
+@pytest.mark.parametrize("salt_at", [1024, 8])
+def test_many_unrelated_classes_in_one_bucket(spark, monkeypatch, salt_at):
+    """5,000 texts that share a long passage: no pair is close, so few may be compared."""
+    monkeypatch.setattr(setsketch, "HOT_ROWS", salt_at)
+    rng = random.Random(6)
+    shared = [f"s{i}" for i in range(120)]
+    rows = [(i, " ".join(shared + [f"w{rng.randrange(10**9)}" for _ in range(60)])) for i in range(5000)]
+    for k in range(20):  # some close pairs among them
+        words = rows[100 * k][1].split()
+        words[170] = "edit"
+        rows.append((5000 + k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    compared = []
+    confirmed = setsketch._Linker.confirmed
+
+    def counted(self, pairs):
+        out = confirmed(self, pairs)
+        compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(setsketch._Linker, "confirmed", counted)
+    sketched = setsketch.sketch_documents(docs.limit(1000))
+    top = setsketch._buckets(sketched.select(F.col("doc_id").alias("rep"), "regs")).groupBy("bucket").count().agg(F.max("count")).first()[0]
+    assert top > 200  # one bucket holds a good part of all
+    found = setsketch.near_duplicates(docs)
+    assert near(found) == [(i, 100 * (i - 5000) if i >= 5000 else i, i < 5000) for i in range(5020)]
+    assert sum(compared) < 3 * len(rows)
+
+
+def test_classes_near_a_large_component(spark, monkeypatch):
+    """Leftover steps in small blocks: pairs of others, few members, and a search of the whole component."""
+    for name, value in (("BLOCK", 4), ("FEW", 1), ("HOT_ROWS", 2), ("BROADCAST_IDS", 0)):
+        monkeypatch.setattr(setsketch, name, value)
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.randint(0, 6)):
+            words[rng.randrange(100)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(96)} for _, t in rows]
+    label = list(range(150))
+    for i in range(150):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    found = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert near(found) == [(i, c, i == c) for i, c in enumerate(label)]
