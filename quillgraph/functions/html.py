@@ -83,13 +83,12 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
+#: What is no content, as tag and class (either may be any).
+BOILERPLATE = (("nav", "navbar"), ("footer", "footer"), ("", "cta-section"), ("", "sticky-cta-bar"), ("script", ""), ("style", ""), ("", "graph-block"))
+
+
 def _boilerplate(node: Node) -> bool:
-    return (
-        node.tag in ("script", "style")
-        or (node.tag == "nav" and ("navbar" in node.classes or not node.classes))
-        or (node.tag == "footer" and ("footer" in node.classes or not node.classes))
-        or bool(node.classes & {"cta-section", "sticky-cta-bar", "graph-block"})
-    )
+    return any(node.tag == (tag or node.tag) and (not name or name in node.classes) for tag, name in BOILERPLATE)
 
 
 def strip_boilerplate(root: Node) -> Node:
@@ -102,9 +101,21 @@ def squeeze(text: str) -> str:
     return re.sub(r"\s+", " ", text).strip()
 
 
+def _below(root: Node, name: str) -> set[int]:
+    """Identities of the nodes of class ``name`` and of all below them."""
+    return {id(n) for top in root.walk() if top is not root and name in top.classes for n in top.walk()}
+
+
 def text_blocks(root: Node) -> list[str]:
-    """Texts of block elements in document order; a block inside a block counts twice."""
-    return [t for t in (squeeze(n.text()) for n in root.walk() if n.tag in BLOCKS) if t]
+    """Texts of block elements in document order, without bylines (class article-meta); a block inside a block counts twice."""
+    bylines = _below(root, "article-meta")
+
+    def text(node: Node) -> str:
+        if not bylines:
+            return node.text()
+        return "".join(c if isinstance(c, str) else "" if id(c) in bylines else text(c) for c in node.children)
+
+    return [t for t in (squeeze(text(n)) for n in root.walk() if n.tag in BLOCKS and id(n) not in bylines) if t]
 
 
 def find(root: Node, test) -> Node | None:
@@ -120,14 +131,24 @@ def english(root: Node, inside: str, direct: bool) -> Node | None:
     return next((n for n in pool if n.attrs.get("data-lang") == "en"), None)
 
 
+def _inside(node: Node, root: Node, tags: list[str]) -> bool:
+    """Whether ``node`` has, from inner to outer, these ancestors below ``root``."""
+    left, at = list(tags), node.parent
+    while left and at is not None and at is not root:
+        if at.tag == left[0]:
+            left.pop(0)
+        at = at.parent
+    return not left
+
+
 _LINK = re.compile(r"^([a-z0-9][a-z0-9-]*)\.html$", re.IGNORECASE)
 
 
 def internal_links(root: Node) -> list[dict[str, str]]:
-    """First link to each page of the site among the related articles: target_slug, link_text."""
+    """First link to each page of the site in the lists of the related articles: target_slug, link_text."""
     found: dict[str, str] = {}
     for box in (n for n in root.walk() if "article-related" in n.classes):
-        for a in (n for n in box.walk() if n.tag == "a"):
+        for a in (n for n in box.walk() if n.tag == "a" and _inside(n, box, ["li", "ul"])):
             m = _LINK.match(a.attrs.get("href") or "")
             if m and m[1] not in found:
                 shown = find(a, lambda n: n.attrs.get("data-lang") == "en") or a
@@ -135,7 +156,8 @@ def internal_links(root: Node) -> list[dict[str, str]]:
     return [{"target_slug": k, "link_text": v} for k, v in found.items()]
 
 
-_SKIP = frozenset("script style code pre".split())
+#: Elements whose text is not translated; so are figures of class graph-block.
+_SKIP = frozenset("script style".split())
 
 
 def text_nodes(root: Node) -> list[dict[str, str]]:
@@ -147,7 +169,7 @@ def text_nodes(root: Node) -> list[dict[str, str]]:
             if isinstance(child, str):
                 if child.strip():
                     out.append({"id": str(len(out) + 1), "text": child})
-            elif child.tag not in _SKIP and "graph-block" not in child.classes:
+            elif child.tag not in _SKIP and not (child.tag == "figure" and "graph-block" in child.classes):
                 visit(child)
 
     visit(root)
@@ -189,12 +211,16 @@ def same_structure(a: Column, b: Column) -> Column:
     return (opening_tags(a) == opening_tags(b)) & (hrefs(a) == hrefs(b))
 
 
+_GRAPH = re.compile(r"""class\s*=\s*["']?[^"'>]*(?<![\w-])graph-block(?![\w-])""", re.IGNORECASE)
 _PIECE = re.compile(r"(<!--.*?-->|<[^>]+>)", re.DOTALL)
 _NAME = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)")
 
 
 def with_texts(html: str, texts: dict[str, str]) -> str:
-    """``html`` with the text nodes that ``text_nodes`` numbers replaced; outer blanks stay, markup is untouched."""
+    """``html`` with the text nodes that ``text_nodes`` numbers replaced; outer blanks stay, markup is untouched.
+
+    A node without a text is an error.
+    """
     out, skipped, number = [], [], 0
     for piece in _PIECE.split(html):
         tag = _NAME.match(piece) if piece.startswith("<") else None
@@ -202,14 +228,15 @@ def with_texts(html: str, texts: dict[str, str]) -> str:
             name = tag[2].lower()
             if skipped and tag[1] and name == skipped[-1]:
                 skipped.pop()
-            elif not tag[1] and name not in VOID and (name in _SKIP or re.search(r'class="[^"]*\bgraph-block\b', piece) or (skipped and name == skipped[-1])):
+            elif not tag[1] and name not in VOID and (name in _SKIP or (name == "figure" and _GRAPH.search(piece)) or (skipped and name == skipped[-1])):
                 skipped.append(name)
         elif not piece.startswith("<") and piece.strip() and not skipped:
             number += 1
             new = texts.get(str(number))
-            if new is not None:
-                lead = len(piece) - len(piece.lstrip())
-                piece = piece[:lead] + new.strip().replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;") + piece[len(piece.rstrip()) :]
+            if new is None:
+                raise ValueError(f"no translation of text node {number}: {piece.strip()[:40]}")
+            lead = len(piece) - len(piece.lstrip())
+            piece = piece[:lead] + new.strip().replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;") + piece[len(piece.rstrip()) :]
         out.append(piece)
     return "".join(out)
 

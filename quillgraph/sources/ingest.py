@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,6 +16,7 @@ from ..functions import html as H
 from ..functions.text import slugify
 from ..functions.udf import arrow_udf
 
+#: The fields of the files that are read.
 LEDGER = "nanyangTitle string, slug string, publishedAt string"
 PENDING = "title string, slug string, originalUrl string, publishedAt string, author string, category string, keywords array<string>, originalContent string, featuredImage string, notes string"
 INDEX = "id long, title string, url string, publishedAt string, category string, keywords array<string>"
@@ -138,36 +141,55 @@ def article_dates(pages: DataFrame, key: str = "page_id", html: str = "html") ->
     return dated.groupBy(key).agg(last("datePublished").alias("date_published"), last("dateModified").alias("date_modified"))
 
 
+#: A pushed chunk of a page (a JSON string with escapes), and how its array of rows begins.
+PUSHED = re.compile(r'self\.__next_f\.push\(\[1,\s*("(?:[^"\\]|\\.)*")\]\)', re.DOTALL)
+ROWS = '"data":[{"id"'
+
+
 def _data_array(text: str) -> str | None:
-    at = text.find('"data":[{"id"')
+    """The array of rows in a chunk, which as a whole is no JSON."""
+    at = text.find(ROWS)
     if at < 0:
         return None
-    start, depth = at + len('"data":'), 0
-    for i in range(start, len(text)):
-        if text[i] == "[":
-            depth += 1
-        elif text[i] == "]":
-            depth -= 1
-            if not depth:
-                return text[start : i + 1]
+    start = text.index("[", at)
+    return text[start : json.JSONDecoder(strict=False).raw_decode(text, start)[1]]
+
+
+def _first_rows(html: str | None) -> str | None:
+    """The first array of rows among a page's chunks."""
+    for m in PUSHED.finditer(html or ""):
+        try:
+            found = _data_array(json.loads(m[1], strict=False))
+        except ValueError:
+            continue
+        if found is not None:
+            return found
     return None
 
 
 @arrow_udf("string")
-def _bracketed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for series in texts:
-        yield series.map(lambda t: None if t is None else _data_array(t))
+def _rows_of(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for series in pages:
+        yield series.map(_first_rows)
 
 
-def payload_rows(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Index rows embedded in a page's pushed payload chunks. Brackets are counted as they stand, quoted or not."""
-    chunks = pages.select(F.explode(F.regexp_extract_all(html, F.lit(r'(?s)self\.__next_f\.push\(\[1,"(.*?)"\]\)'), F.lit(1))).alias("c"))
-    plain = chunks.select(F.try_variant_get(F.try_parse_json(F.concat(F.lit('"'), F.col("c"), F.lit('"'))), "$", "string").alias("t"))
-    arrays = plain.filter(F.col("t").contains('"data":[{"id"')).select(_bracketed("t").alias("a"))
+def payload_rows(pages: DataFrame, html: str = "html", strict: bool = False) -> DataFrame:
+    """Index rows embedded in pages' pushed chunks. With ``strict`` a page without rows is an error, else it gives none."""
+    arrays = pages.select(_rows_of(html).alias("a"))
+    if strict:
+        arrays = arrays.select(F.when(F.col("a").isNotNull(), F.col("a")).otherwise(F.raise_error(F.lit("no chunk of the page holds rows")).cast("string")).alias("a"))
     rows = arrays.select(F.inline(F.from_json("a", f"array<struct<{INDEX.replace(' ', ':').replace(',:', ',')}>>")))
     return rows.select(*(F.trim(c).alias(c) if t == "string" else F.col(c) for c, t in rows.dtypes))
 
 
+def only_slug(rows: DataFrame, slug: str, column: str = "slug") -> DataFrame:
+    """Rows with this very slug; none is an error."""
+    found = rows.filter(F.col(column) == slug)
+    if found.isEmpty():
+        raise LookupError(f"no row has the slug {slug}")
+    return found
+
+
 def index_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INDEX).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
@@ -240,24 +262,32 @@ def catalog_lines(spark: SparkSession, path: str) -> DataFrame:
     return files.select("doc", F.posexplode(F.split("text", r"\r?\n")).alias("n", "line"))
 
 
-def fetch_pages(urls: DataFrame, fetcher: Callable[[str], tuple[int, str]], attempts: int = 3) -> DataFrame:
-    """url, status, html by an injected fetcher (status code, body), tried again on 5xx; 403 and 429 stop the run.
+def fetch_pages(urls: DataFrame, fetcher: Callable[[str], tuple[int, str]], attempts: int = 3, delay: float = 1.0) -> DataFrame:
+    """url, status, html, error by an injected fetcher (status code, body).
 
-    No fetcher is part of this library.
+    A fetcher's exception and a status of 500 or more are tried again, after ``delay`` seconds that double
+    each time; what still fails is a row with its error (status 0 for an exception). 403 and 429 mean that
+    the server wants no more requests, so they stop the run. No fetcher is part of this library.
     """
 
+    def fetch(url: str) -> tuple[str, int, str | None, str | None]:
+        status, body, error = 0, None, None
+        for attempt in range(attempts):
+            if attempt:
+                time.sleep(delay * 2 ** (attempt - 1))
+            try:
+                status, body = fetcher(url)
+                error = None if status == 200 else f"HTTP {status}"
+            except Exception as problem:
+                status, body, error = 0, None, f"{type(problem).__name__}: {problem}"
+            if 0 < status < 500:
+                break
+        if status in (403, 429):
+            raise RuntimeError(f"stopped by the server: {status} for {url}")
+        return url, status, body if status == 200 else None, error
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for url in batch["url"]:
-                status, body = 0, None
-                for _ in range(attempts):
-                    status, body = fetcher(url)
-                    if status < 500:
-                        break
-                if status in (403, 429):
-                    raise RuntimeError(f"stopped by the server: {status} for {url}")
-                rows.append((url, status, body if status == 200 else None))
-            yield pd.DataFrame(rows, columns=["url", "status", "html"])
-
-    return urls.select("url").mapInPandas(run, "url string, status int, html string")
+            yield pd.DataFrame([fetch(url) for url in batch["url"]], columns=["url", "status", "html", "error"])
+
+    return urls.select("url").mapInPandas(run, "url string, status int, html string, error string")
