@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .html import VOID
 from .text import month_year, reading_time_text, truncate_chars
 from .udf import arrow_udf
 
+#: Parts of the documents' format.
 GRID = '<div class="article-grid">'
 GRAPH_MARK = "<!-- graph block: hand-authored, do not edit via admin WYSIWYG -->"
 MIN_STEPS, MAX_STEPS = 2, 5
@@ -103,6 +106,77 @@ def replace_graph_figure(html: Column, figure: Column) -> Column:
     return F.when(count == 1, F.regexp_replace(html, F.lit(pattern), literal)).otherwise(wrong)
 
 
+class _TopLevel(HTMLParser):
+    """Top-level nodes of a fragment: tag (empty for text), text length, and the end offset in the source."""
+
+    def __init__(self, html: str):
+        super().__init__(convert_charrefs=True)
+        self.html = html
+        self.nodes: list[list] = []
+        self.open: list[str] = []
+        self.lines = [0, *(m.end() for m in re.finditer("\n", html))]
+        self.feed(html)
+        self.close()
+        self._end(len(html))
+
+    def _offset(self) -> int:
+        line, column = self.getpos()
+        return self.lines[line - 1] + column
+
+    def _end(self, at: int) -> None:
+        if self.nodes and self.nodes[-1][2] is None:
+            self.nodes[-1][2] = at
+
+    def _begin(self, tag: str) -> None:
+        if not self.open:
+            self._end(self._offset())
+            self.nodes.append([tag, 0, None])
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        self._begin(tag)
+        if tag not in VOID:
+            self.open.append(tag)
+
+    def handle_startendtag(self, tag: str, attrs: list) -> None:
+        self._begin(tag)
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag in self.open:
+            while self.open.pop() != tag:
+                pass
+            if not self.open:
+                self.nodes[-1][2] = self.html.index(">", self._offset()) + 1
+
+    def handle_data(self, data: str) -> None:
+        if not self.open:
+            if not self.nodes or self.nodes[-1][0]:
+                self._begin("")
+        if self.nodes:
+            self.nodes[-1][1] += len(data)
+
+
+def _with_figure(html: str, figure: str) -> str:
+    nodes = _TopLevel(html).nodes
+    total, before, last = sum(n[1] for n in nodes), 0, None
+    for tag, length, end in nodes if total else []:
+        if tag == "h2":
+            last = end
+            if before * 2 >= total:
+                break
+        before += length
+    return html + figure if last is None else html[:last] + figure + html[last:]
+
+
+@arrow_udf("string")
+def insert_figure(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Bodies (flat HTML) with a figure behind the first h2 that begins at or behind half of the text.
+
+    Without such an h2 it goes behind the last one, and without any, or without text, to the end.
+    """
+    for bodies, figures in parts:
+        yield pd.Series([_with_figure(b or "", f or "") for b, f in zip(bodies, figures)])
+
+
 def article_card(slug: Column, title: Column, summary: Column, category: Column, published: Column, minutes: Column) -> Column:
     return F.concat(
         F.lit('<a class="article-card" href="'), escape_attr(slug), F.lit('.html"><span class="tag">'), escape_html(category), F.lit("</span><h3>"), escape_html(title),
@@ -114,8 +188,20 @@ def sitemap_url(location: Column, modified: Column) -> Column:
     return F.concat(F.lit("<url><loc>"), escape_html(location), F.lit("</loc><lastmod>"), modified, F.lit("</lastmod><changefreq>monthly</changefreq><priority>0.8</priority></url>"))
 
 
-def article_document(site: str, slug: Column, title: Column, summary: Column, body_html: Column, author: Column, published: Column) -> Column:
-    """A whole page: head with Article and BreadcrumbList data, hero and body, as ``sources.html_pages`` reads it."""
+def article_document(
+    site: str, slug: Column, title: Column, summary: Column, body_html: Column, author: Column, published: Column,
+    title_zh: Column | None = None, body_zh_html: Column | None = None, presets: dict[str, str] | None = None, preset: Column | None = None,
+) -> Column:
+    """A whole page: head with Article and BreadcrumbList data, hero and body, as ``sources.html_pages`` reads it.
+
+    With a Chinese title and body the page has both languages side by side. ``presets`` are closing sections
+    by name; ``preset`` names that of a page, and an unknown or null name means the first.
+    """
+    zh = lambda opening, inner, closing: F.lit("") if inner is None else F.concat(F.lit(opening), inner, F.lit(closing))
+    closing = F.lit("")
+    if presets:
+        known = F.create_map(*(F.lit(x) for pair in presets.items() for x in pair))
+        closing = F.coalesce(F.try_element_at(known, preset if preset is not None else F.lit(None).cast("string")), F.lit(next(iter(presets.values()))))
     address = F.concat(F.lit(f"{site}/"), slug, F.lit(".html"))
     article = F.struct(
         F.lit("https://schema.org").alias("@context"), F.lit("Article").alias("@type"), title.alias("headline"), summary.alias("description"),
@@ -133,7 +219,9 @@ def article_document(site: str, slug: Column, title: Column, summary: Column, bo
         F.lit('<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>'), escape_html(title), F.lit('</title><meta name="description" content="'), escape_attr(summary),
         F.lit('"><link rel="canonical" href="'), escape_attr(address), F.lit('">'), script(article), script(crumbs),
         F.lit('</head><body><section class="course-hero"><div data-lang="en"><h1>'), escape_html(title),
-        F.lit('</h1></div></section><article class="article-body"><div data-lang="en">'), body_html, F.lit("</div></article></body></html>"),
+        F.lit("</h1></div>"), zh('<div data-lang="zh"><h1>', None if title_zh is None else escape_html(title_zh), "</h1></div>"),
+        F.lit('</section><article class="article-body"><div data-lang="en">'), body_html, F.lit("</div>"), zh('<div data-lang="zh">', body_zh_html, "</div>"),
+        F.lit("</article>"), closing, F.lit("</body></html>"),
     )
 
 

@@ -44,6 +44,15 @@ def format_items(items: Column, empty: str = "(none)") -> Column:
     return F.when(F.size(items) > 0, F.array_join(F.transform(items, line), "\n")).otherwise(F.lit(empty))
 
 
+def format_state(entities: Column, edges: Column) -> Column:
+    """Lines of a graph state, arrays of (name, type) and of (source, relation, target); '(empty)' for none."""
+    named = F.transform(F.coalesce(entities, F.array().cast("array<struct<name:string,type:string>>")), lambda e: F.concat(F.lit('- entity: "'), e["name"], F.lit('" (type: '), e["type"], F.lit(")")))
+    none = F.array().cast("array<struct<source:string,relation:string,target:string>>")
+    drawn = F.transform(F.coalesce(edges, none), lambda e: F.concat(F.lit('- edge: "'), e["source"], F.lit('" --['), e["relation"], F.lit(']--> "'), e["target"], F.lit('"')))
+    lines = F.concat(named, drawn)
+    return F.when(F.size(lines) > 0, F.array_join(lines, "\n")).otherwise(F.lit("(empty)"))
+
+
 def midpoint_place(blocks: DataFrame, doc: str = "doc") -> DataFrame:
     """doc, place: the block (doc, pos, tag, length) behind which a figure goes.
 
