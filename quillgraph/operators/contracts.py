@@ -27,13 +27,13 @@ JUDGE_STATUSES, REVIEW_STATUSES = ["retained", "altered", "dropped"], ["covered"
 
 
 def ask(prompts: DataFrame, model: Callable[[str], str]) -> DataFrame:
-    """key, response of every row (key, prompt)."""
+    """key, response of every row (key, prompt); responses are kept by Spark, so a prompt goes out again only if they are lost."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"key": batch["key"], "response": [model(p) for p in batch["prompt"]]})
 
-    return prompts.select("key", "prompt").mapInPandas(run, "key string, response string")
+    return prompts.select("key", "prompt").mapInPandas(run, "key string, response string").persist()
 
 
 def from_fixture(prompts: DataFrame, recorded: DataFrame) -> DataFrame:
@@ -46,7 +46,8 @@ def _blank(c: Column) -> Column:
 
 def _checked(responses: DataFrame, schema: str, error: Callable[[Column], Column]) -> DataFrame:
     parsed = responses.withColumn("value", F.from_json("response", schema))
-    return parsed.withColumn("error", F.when(F.col("value").isNull(), "not the expected JSON").otherwise(error(F.col("value"))))
+    broken = F.col("value").isNull() | F.try_parse_json("response").isNull()
+    return parsed.withColumn("error", F.when(broken, "not the expected JSON").otherwise(error(F.col("value"))))
 
 
 def extraction(responses: DataFrame) -> DataFrame:
@@ -104,7 +105,7 @@ def translation(responses: DataFrame, sources: DataFrame) -> DataFrame:
     parsed = joined.withColumn("value", F.from_json("response", TRANSLATION))
     keys = F.map_keys("value")
     error = (
-        F.when(F.col("value").isNull(), "not the expected JSON")
+        F.when(F.col("value").isNull() | F.try_parse_json("response").isNull(), "not the expected JSON")
         .when(F.size(F.array_except("ids", keys)) > 0, "an id is missing")
         .when(F.size(F.array_except(keys, "ids")) > 0, "an id is unknown")
         .when(F.exists(F.map_values("value"), _blank), "a text is blank")

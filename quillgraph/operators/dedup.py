@@ -15,21 +15,27 @@ def keep_first(rows: DataFrame, key: str, order: str) -> DataFrame:
     return first.unionByName(rows.filter(~F.coalesce(keyed, F.lit(False))))
 
 
-def chunk(rows: DataFrame, order: str, size: int) -> DataFrame:
-    """``rows`` with batch and place: consecutive batches of ``size`` by a unique ``order`` (size 1 or less: one row each).
+def numbered(rows: DataFrame, name: str, *order: str) -> DataFrame:
+    """``rows`` with ``name``: 1, 2, 3 ... (long) in ``order``, which is unique.
 
     Positions are counted in two levels, so no partition sees all rows: rows within ranges
     of the order, then the sizes of the ranges.
     """
-    size = max(size, 1)
     spark = rows.sparkSession
-    ranged = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), order).withColumn("part", F.spark_partition_id())
-    inner = ranged.withColumn("within", F.row_number().over(Window.partitionBy("part").orderBy(order)))
-    counts = ranged.groupBy("part").agg(F.count("*").alias("n"))
+    ranged = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id())
+    inner = ranged.withColumn("_within", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     # One row for each partition.
-    before = counts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    placed = inner.join(F.broadcast(before), "part").withColumn("ordinal", F.col("before") + F.col("within") - 1)
-    return placed.select(*rows.columns, F.floor(F.col("ordinal") / size).alias("batch"), (F.col("ordinal") % size).alias("place"))
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    placed = inner.join(F.broadcast(before), "_part")
+    return placed.select(*rows.columns, (F.col("_before") + F.col("_within")).cast("long").alias(name))
+
+
+def chunk(rows: DataFrame, order: str, size: int) -> DataFrame:
+    """``rows`` with batch and place: consecutive batches of ``size`` by a unique ``order`` (size 1 or less: one row each)."""
+    size = max(size, 1)
+    ordinal = F.col("_ordinal") - 1
+    return numbered(rows, "_ordinal", order).select(*rows.columns, F.floor(ordinal / size).alias("batch"), (ordinal % size).alias("place"))
 
 
 def resume_after(rows: DataFrame, key: str, order: str, after: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .dedup import numbered
+
 
 def dedupe_extraction(entities: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entities, edges) of extraction responses, clean.
@@ -67,6 +69,17 @@ def diff_counts(diff: DataFrame) -> DataFrame:
     return diff.agg(*(F.count_if(F.col("status") == s).alias(s) for s in ("retained", "altered", "dropped")))
 
 
+def article_regressions(old_named: DataFrame, new_named: DataFrame, old_edges: DataFrame, new_edges: DataFrame) -> DataFrame:
+    """article_id, dropped, altered: entities and edges of each article (article_id, name; article_id, source, relation, target) that it lost or changed."""
+    there = new_named.select("article_id", F.lower("name").alias("low"), F.lit(True).alias("there")).distinct()
+    names = old_named.select("article_id", F.lower("name").alias("low")).distinct().join(there, ["article_id", "low"], "left")
+    lost = names.select("article_id", F.when(F.col("there"), "retained").otherwise("dropped").alias("status"))
+    pairs = new_edges.groupBy("article_id", "source", "target").agg(F.collect_set("relation").alias("relations"))
+    status = F.when(F.array_contains("relations", F.col("relation")), "retained").when(F.col("relations").isNotNull(), "altered").otherwise("dropped")
+    changed = old_edges.join(pairs, ["article_id", "source", "target"], "left").select("article_id", status.alias("status"))
+    return lost.unionByName(changed).groupBy("article_id").agg(F.count_if(F.col("status") == "dropped").alias("dropped"), F.count_if(F.col("status") == "altered").alias("altered"))
+
+
 def write_extraction(entities: DataFrame, article_entities: DataFrame, edges: DataFrame, found: DataFrame, found_edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(entities, article_entities, edges) after articles' subgraphs are replaced.
 
@@ -82,10 +95,10 @@ def write_extraction(entities: DataFrame, article_entities: DataFrame, edges: Da
 
     found = found.withColumn("low", F.lower("name"))
     known = entities.select(F.col("id"), F.lower("name").alias("low"), "name")
-    per_name = found.groupBy("low").agg(F.min_by("name", F.struct("article_id", "pos")).alias("new_name"), F.max_by("type", F.struct("article_id", "pos")).alias("new_type"), F.min(F.struct("article_id", "pos")).alias("first"))
+    per_name = found.groupBy("low").agg(F.min_by("name", F.struct("article_id", "pos")).alias("new_name"), F.max_by("type", F.struct("article_id", "pos")).alias("new_type"), F.min(F.struct("article_id", "pos")).alias("first")).select("low", "new_name", "new_type", F.col("first.article_id").alias("first_article"), F.col("first.pos").alias("first_pos"))
     matched = per_name.join(known.groupBy("low").agg(F.min_by("id", "id").alias("id"), F.min_by("name", "id").alias("name")), "low", "left")
     base = F.lit(entities.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0])
-    fresh = matched.filter("id is null").select("low", F.col("new_name").alias("name"), F.col("new_type").alias("type"), (base + F.row_number().over(Window.orderBy("first"))).cast("long").alias("id"))
+    fresh = numbered(matched.filter("id is null").drop("id", "name"), "nth", "first_article", "first_pos").select("low", F.col("new_name").alias("name"), F.col("new_type").alias("type"), (base + F.col("nth")).cast("long").alias("id"))
     old = matched.filter("id is not null").select("low", "name", F.col("new_type").alias("type"), "id")
     named = old.unionByName(fresh.select("low", "name", "type", "id"))
     all_entities = entities.join(named.select("id"), "id", "left_anti").select("id", "name", "type").unionByName(named.select("id", "name", "type"))
@@ -100,6 +113,6 @@ def write_extraction(entities: DataFrame, article_entities: DataFrame, edges: Da
         .join(ids.select(F.col("low").alias("sl"), F.col("entity_id").alias("source_entity_id")), F.lower("source") == F.col("sl"))
         .join(ids.select(F.col("low").alias("tl"), F.col("entity_id").alias("target_entity_id")), F.lower("target") == F.col("tl"))
     )
-    order = Window.orderBy("article_id", "source", "relation", "target")
-    added = resolved.crossJoin(F.broadcast(top)).select((F.col("top") + F.row_number().over(order)).cast("long").alias("edge_ord"), "source_entity_id", "relation", "target_entity_id")
+    counted = numbered(resolved.select("article_id", "source", "relation", "target", "source_entity_id", "target_entity_id"), "nth", "article_id", "source", "relation", "target")
+    added = counted.crossJoin(F.broadcast(top)).select((F.col("top") + F.col("nth")).cast("long").alias("edge_ord"), "source_entity_id", "relation", "target_entity_id")
     return all_entities, all_links, left_edges.select("edge_ord", "source_entity_id", "relation", "target_entity_id").unionByName(added)

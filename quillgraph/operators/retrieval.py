@@ -6,6 +6,8 @@ at once, and per-topic orders and limits are windows over topic_id.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,11 +16,42 @@ from ..schema import WEAK_RELATIONS
 
 #: Rows of a user-given side (topics, candidates) that are broadcast at most.
 BROADCAST_ROWS = 10_000
+#: Slots in which tokens are counted for the order of the prefix filter.
+TOKEN_SLOTS = 1 << 16
+#: Fixed value: what is said of a topic without a seed.
+NO_SEED = "No entity in the graph matched this topic — treat it as a genuinely new subject; nothing to flag or link yet."
+
+
+def against_all(rows: DataFrame, asked: DataFrame, key: str) -> DataFrame:
+    """Every row beside every row of ``asked``, a stated set with a unique ``key``, in broadcast blocks.
+
+    The set is counted; beyond BROADCAST_ROWS it is cut by a hash of its key into blocks of about half of that.
+    """
+    n = asked.count()
+    if n <= BROADCAST_ROWS:
+        return rows.crossJoin(F.broadcast(asked))
+    blocks = -(-2 * n // BROADCAST_ROWS)
+    block = F.pmod(F.xxhash64(key), F.lit(blocks))
+    return reduce(DataFrame.unionByName, (rows.crossJoin(F.broadcast(asked.filter(block == k))) for k in range(blocks)))
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if it is counted to be small; beyond that the planner decides."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def similar_candidates(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """Pairs (a_id, b_id) of left (a_id, a_tokens) and right (b_id, b_tokens) that may reach a Jaccard similarity of ``least``.
+
+    Prefix filter: such sets share one of the first n - ceil(least * n) + 1 tokens in any common order. Tokens are
+    ordered by how often their slot (a hash) occurs, so frequent ones rarely bring sets together.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(TOKEN_SLOTS))
+    every = left.select(F.explode("a_tokens").alias("token")).unionByName(right.select(F.explode("b_tokens").alias("token")))
+    counts = every.groupBy(slot("token").alias("slot")).agg(F.count("*").alias("seen"))  # TOKEN_SLOTS rows at most
+
+    def prefix(side: DataFrame, key: str, tokens: str) -> DataFrame:
+        one = side.select(key, F.explode(tokens).alias("token")).withColumn("slot", slot("token")).join(F.broadcast(counts), "slot")
+        ranked = one.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("seen", "token"))).alias("t"))
+        size = F.size("t")
+        return ranked.select(key, F.explode(F.slice("t", F.lit(1), (size - F.ceil(size * F.lit(least) - F.lit(1e-9)) + 1).cast("int"))).alias("t")).select(key, F.col("t.token").alias("token"))
+
+    return prefix(left, "a_id", "a_tokens").join(prefix(right, "b_id", "b_tokens"), "token").select("a_id", "b_id").distinct()
 
 
 def _topics(topics: DataFrame) -> DataFrame:
@@ -47,7 +80,7 @@ def seed_entities(entities: DataFrame, topics: DataFrame, limit: int = 8) -> Dat
         .when(F.col("score") == 0.9, F.concat(named, F.lit("overlaps with the topic text")))
         .otherwise(F.concat(named, F.lit("shares a keyword with the topic")))
     )
-    scored = entities.crossJoin(small(_topics(topics))).withColumn("score", score).filter("score is not null")
+    scored = against_all(entities, _topics(topics), "topic_id").withColumn("score", score).filter("score is not null")
     best = top_per_topic(scored.select("topic_id", "id", "name", "type", "score"), limit, F.col("score").desc(), F.col("id"))
     return best.withColumn("reason", reason)
 
@@ -60,35 +93,40 @@ def expand_related(entities: DataFrame, edges: DataFrame, seeds: DataFrame, max_
     weak: topic_id, source, relation, target, hop, edge_ord. The loop is over hops, each a
     plan of equi-joins; frontiers are joined, not collected.
     """
-    names = entities.select("id", "name", "type")
-    both = (
-        edges.join(names.select(F.col("id").alias("s_id"), F.col("name").alias("s_name"), F.col("type").alias("s_type")), F.col("source_entity_id") == F.col("s_id"))
-        .join(names.select(F.col("id").alias("t_id"), F.col("name").alias("t_name"), F.col("type").alias("t_type")), F.col("target_entity_id") == F.col("t_id"))
-        .select("edge_ord", "relation", "s_id", "s_name", "s_type", "t_id", "t_name", "t_type", F.concat("s_name", F.lit(" --["), "relation", F.lit("]--> "), "t_name").alias("phrase"))
-    )
-    forth = both.select("edge_ord", F.lit(0).alias("way"), "relation", "phrase", "s_name", "t_name", F.col("s_id").alias("from"), F.col("t_id").alias("id"), F.col("t_name").alias("name"), F.col("t_type").alias("type"))
-    back = both.select("edge_ord", F.lit(1).alias("way"), "relation", "phrase", "s_name", "t_name", F.col("t_id").alias("from"), F.col("s_id").alias("id"), F.col("s_name").alias("name"), F.col("s_type").alias("type"))
-    steps = forth.unionByName(back)
+    ids = edges.select("edge_ord", "relation", F.col("source_entity_id").alias("s_id"), F.col("target_entity_id").alias("t_id"))
+    forth = ids.select("*", F.lit(0).alias("way"), F.col("s_id").alias("from"), F.col("t_id").alias("id"))
+    steps = forth.unionByName(ids.select("*", F.lit(1).alias("way"), F.col("t_id").alias("from"), F.col("s_id").alias("id")))
     is_weak = F.col("relation").isin(WEAK_RELATIONS)
 
-    columns = ["topic_id", "id", "name", "type", "hop", "via", "relation", "visit"]
-    visited = seeds.select("topic_id", "id", "name", "type", F.lit(0).alias("hop"), F.col("reason").alias("via"), F.lit(None).cast("string").alias("relation"), F.col("rank").cast("long").alias("visit"))
+    # Ids alone meet the frontier; names are joined to what was reached.
+    columns = ["topic_id", "id", "hop", "s_id", "relation", "t_id", "visit"]
+    nothing = F.lit(None).cast("long")
+    visited = seeds.select("topic_id", "id", F.lit(0).alias("hop"), nothing.alias("s_id"), F.lit(None).cast("string").alias("relation"), nothing.alias("t_id"), F.col("rank").cast("long").alias("visit"))
     frontier, weak = visited.select("topic_id", F.col("id").alias("from")), None
     for hop in range(1, max_hops + 1):
         met = steps.join(frontier, "from")
         if not include_weak:
-            seen = met.filter(is_weak).select("topic_id", F.col("s_name").alias("source"), "relation", F.col("t_name").alias("target"), F.lit(hop).alias("hop"), "edge_ord").distinct()
+            seen = met.filter(is_weak).select("topic_id", "s_id", "relation", "t_id", F.lit(hop).alias("hop"), "edge_ord").distinct()
             weak = seen if weak is None else weak.unionByName(seen)
             met = met.filter(~is_weak)
         new = met.join(visited.select("topic_id", "id"), ["topic_id", "id"], "left_anti")
         # A minimum per entity instead of a window: it is pre-aggregated before the shuffle.
-        first = new.groupBy("topic_id", "id").agg(F.min_by(F.struct("name", "type", "phrase", "relation", "edge_ord", "way"), F.struct("edge_ord", "way")).alias("e"))
-        reached = first.select("topic_id", "id", "e.name", "e.type", F.lit(hop).alias("hop"), F.col("e.phrase").alias("via"), "e.relation", (F.col("e.edge_ord") * 2 + F.col("e.way")).alias("visit"))
+        first = new.groupBy("topic_id", "id").agg(F.min(F.struct("edge_ord", "way", "relation", "s_id", "t_id")).alias("e"))
+        reached = first.select("topic_id", "id", F.lit(hop).alias("hop"), "e.s_id", "e.relation", "e.t_id", (F.col("e.edge_ord") * 2 + F.col("e.way")).alias("visit"))
         visited = visited.unionByName(reached.select(columns))
         frontier = reached.select("topic_id", F.col("id").alias("from"))
+
+    names = entities.select("id", "name", "type")
+    named = lambda df, how: df.join(names.select(F.col("id").alias("s_id"), F.col("name").alias("s_name")), "s_id", how).join(names.select(F.col("id").alias("t_id"), F.col("name").alias("t_name")), "t_id", how)
+    met = named(visited.filter("hop > 0"), "inner").join(names, "id")
+    phrase = F.concat("s_name", F.lit(" --["), "relation", F.lit("]--> "), "t_name")
+    begun = seeds.select("topic_id", "id", "name", "type", F.lit(0).alias("hop"), F.col("reason").alias("via"), F.lit(None).cast("string").alias("relation"), F.col("rank").cast("long").alias("visit"))
+    related = begun.unionByName(met.select("topic_id", "id", "name", "type", "hop", phrase.alias("via"), "relation", "visit"))
     if weak is None:
         weak = seeds.sparkSession.createDataFrame([], "topic_id long, source string, relation string, target string, hop int, edge_ord long")
-    return visited, weak
+    else:
+        weak = named(weak, "inner").select("topic_id", F.col("s_name").alias("source"), "relation", F.col("t_name").alias("target"), "hop", "edge_ord")
+    return related, weak
 
 
 def article_summaries(articles: DataFrame, article_entities: DataFrame, related: DataFrame) -> DataFrame:
@@ -125,24 +163,23 @@ def near_duplicates(summaries: DataFrame, seeds: DataFrame, high: float = 0.6, m
 def title_slug_similarity(articles: DataFrame, candidates: DataFrame, title_least: float = 0.3, slug_above: float = 0.0) -> DataFrame:
     """Pairs (candidate_id, article_id) with title_similarity (Jaccard of tokens) and slug_similarity (1, 0.7, 0).
 
-    Titles meet through an inverted index of their tokens, so only pairs that share a token
-    are compared; slugs are compared by containment against the broadcast candidates.
+    Titles meet through an inverted index of their rarest tokens (a prefix filter); slugs are
+    compared by containment against the candidates, in broadcast blocks.
     """
-    a = articles.select(F.col("id").alias("article_id"), "slug", F.array_distinct(tokens(F.coalesce("title", F.lit("")))).alias("a_tokens"))
-    c = candidates.select("candidate_id", F.lower(F.trim(F.coalesce("candidate_slug", F.lit("")))).alias("c_slug"), F.array_distinct(tokens(F.coalesce("candidate_title", F.lit("")))).alias("c_tokens"))
-    shared = (
-        a.select("article_id", F.size("a_tokens").alias("a_n"), F.explode("a_tokens").alias("token"))
-        .join(c.select("candidate_id", F.size("c_tokens").alias("c_n"), F.explode("c_tokens").alias("token")), "token")
-        .groupBy("candidate_id", "article_id", "a_n", "c_n")
-        .agg(F.count("*").alias("both"))
-    )
-    union = F.col("a_n") + F.col("c_n") - F.col("both")
-    by_title = shared.select("candidate_id", "article_id", (F.floor((200 * F.col("both") + union) / (2 * union)).cast("double") / 100).alias("title_similarity"))
-    low = F.lower(F.coalesce("slug", F.lit("")))
-    slug = F.when(low == F.col("c_slug"), 1.0).when(F.contains(low, F.col("c_slug")) | F.contains("c_slug", low), 0.7)
-    by_slug = a.filter("slug <> ''").crossJoin(small(c.filter("c_slug <> ''").select("candidate_id", "c_slug"))).withColumn("slug_similarity", slug).filter("slug_similarity is not null").select("candidate_id", "article_id", "slug_similarity")
-    both = by_title.join(by_slug, ["candidate_id", "article_id"], "full").fillna(0.0, ["title_similarity", "slug_similarity"])
-    return both.filter((F.col("title_similarity") >= title_least) | (F.col("slug_similarity") > slug_above))
+    a = articles.select(F.col("id").alias("a_id"), F.lower(F.coalesce("slug", F.lit(""))).alias("a_slug"), F.array_distinct(tokens(F.coalesce("title", F.lit("")))).alias("a_tokens"))
+    c = candidates.select(F.col("candidate_id").alias("b_id"), F.lower(F.trim(F.coalesce("candidate_slug", F.lit("")))).alias("c_slug"), F.array_distinct(tokens(F.coalesce("candidate_title", F.lit("")))).alias("b_tokens"))
+    slug = F.when(F.col("a_slug") == F.col("c_slug"), 1.0).when(F.contains("a_slug", F.col("c_slug")) | F.contains("c_slug", F.col("a_slug")), 0.7)
+    slugged = against_all(a.filter("a_slug <> ''").select("a_id", "a_slug"), c.filter("c_slug <> ''").select("b_id", "c_slug"), "b_id")
+    by_slug = slugged.withColumn("slug_similarity", slug).filter("slug_similarity is not null").select("a_id", "b_id", "slug_similarity")
+    # Two digits are compared, so what rounds up to the threshold counts.
+    by_title = similar_candidates(a, c, max(title_least - 0.005, 1e-6)).withColumn("slug_similarity", F.lit(0.0))
+    pairs = by_slug.unionByName(by_title).groupBy("a_id", "b_id").agg(F.max("slug_similarity").alias("slug_similarity"))
+    both = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    union = F.size("a_tokens") + F.size("b_tokens") - both
+    similarity = F.when(both == 0, 0.0).otherwise(F.floor((200 * both + union) / (2 * union)).cast("double") / 100)
+    full = pairs.join(a.select("a_id", "a_tokens"), "a_id").join(c.select("b_id", "b_tokens"), "b_id")
+    found = full.select(F.col("b_id").alias("candidate_id"), F.col("a_id").alias("article_id"), similarity.alias("title_similarity"), "slug_similarity")
+    return found.filter((F.col("title_similarity") >= title_least) | (F.col("slug_similarity") > slug_above))
 
 
 def candidate_sources(sources: DataFrame, topics: DataFrame, keyword: str | None = None, category: str | None = None, limit: int = 5) -> DataFrame:
@@ -155,7 +192,7 @@ def candidate_sources(sources: DataFrame, topics: DataFrame, keyword: str | None
     rows = sources.filter(~F.col("status").eqNullSafe("ignored")).withColumn("keys", F.transform(parse_keywords("keywords"), F.lower)).withColumn("cat", F.lower(F.coalesce("category", F.lit(""))))
     rows = filter_facets(rows, keyword, category)
     blank = topics.select("topic_id", F.lower(F.trim(F.coalesce("topic", F.lit("")))).alias("topic_low"))
-    asked = small(blank.withColumn("topic_tokens", tokens("topic_low")))
+    asked = blank.withColumn("topic_tokens", tokens("topic_low"))
     title, body = F.lower(F.coalesce("title", F.lit(""))), F.lower(F.coalesce("original_content", F.lit("")))
     some = lambda text: F.exists("topic_tokens", lambda t: F.contains(text, t))
     score = (
@@ -173,7 +210,7 @@ def candidate_sources(sources: DataFrame, topics: DataFrame, keyword: str | None
     )
     if keyword or category:
         score = F.coalesce(score, F.lit(0.5))
-    scored = rows.crossJoin(asked).withColumn("score", score).filter("score is not null").select("topic_id", "id", "title", "slug", "category", "score")
+    scored = against_all(rows, asked, "topic_id").withColumn("score", score).filter("score is not null").select("topic_id", "id", "title", "slug", "category", "score")
     return top_per_topic(scored, limit, F.col("score").desc(), F.col("id")).withColumn("reason", reason)
 
 
@@ -242,16 +279,55 @@ def off_topic_headings(bodies: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def fact_similarity(facts: DataFrame, others: DataFrame, least: float = 0.8) -> DataFrame:
-    """(a_id, b_id, similarity) of facts whose token sets reach ``least``, through an inverted index of tokens."""
+    """(a_id, b_id, similarity) of facts whose token sets reach ``least``, through an inverted index of their rarest tokens."""
     from ..functions.text import fact_tokens
 
-    a = facts.select(F.col("id").alias("a_id"), fact_tokens("text").alias("a"))
-    b = others.select(F.col("id").alias("b_id"), fact_tokens("text").alias("b"))
-    pairs = a.select("a_id", F.size("a").alias("na"), F.explode("a").alias("t")).join(b.select("b_id", F.size("b").alias("nb"), F.explode("b").alias("t")), "t").groupBy("a_id", "b_id", "na", "nb").agg(F.count("*").alias("both"))
-    score = F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
+    a = facts.select(F.col("id").alias("a_id"), fact_tokens("text").alias("a_tokens"))
+    b = others.select(F.col("id").alias("b_id"), fact_tokens("text").alias("b_tokens"))
+    pairs = similar_candidates(a, b, least).join(a, "a_id").join(b, "b_id")
+    both = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    score = both / (F.size("a_tokens") + F.size("b_tokens") - both)
     return pairs.select("a_id", "b_id", score.alias("similarity")).filter(F.col("similarity") >= least)
 
 
+def full_checklist(items: DataFrame, facts: DataFrame) -> DataFrame:
+    """key, name, type, why, relation: checklist items and then the must-include facts (key, facts: array), near repeats of a fact once."""
+    kept = dedupe_facts(facts.select(F.col("key").alias("doc"), "facts"))
+    extra = kept.select(F.col("doc").alias("key"), F.col("fact").alias("name"), F.lit("fact").alias("type"), F.lit("a must-include fact of this article").alias("why"), F.lit(None).cast("string").alias("relation"))
+    return items.select("key", "name", "type", "why", "relation").unionByName(extra)
+
+
+def retrieval_context(
+    topics: DataFrame, entities: DataFrame, edges: DataFrame, articles: DataFrame, article_entities: DataFrame, sources: DataFrame, candidates: DataFrame | None = None,
+    seed_limit: int = 8, max_hops: int = 1, include_weak: bool = False, max_links: int = 3, high: float = 0.6, medium: float = 0.3, max_sources: int = 5, keyword: str | None = None, category: str | None = None,
+) -> dict[str, DataFrame]:
+    """The composed retrieval for all topics: seeds, related, weak, summaries, duplicates, links, checklist, hierarchy, sources, note, and verdict where candidates are given.
+
+    Topics without a seed have no rows in the parts that follow from one, and a note. What several parts
+    use is kept by Spark once it is computed; ``DataFrame.unpersist`` lets it go.
+    """
+    seeds = seed_entities(entities, topics, seed_limit).persist()
+    related, weak = expand_related(entities, edges, seeds, max_hops, include_weak)
+    related = related.persist()
+    summaries = article_summaries(articles, article_entities, related).persist()
+    duplicates = near_duplicates(summaries, seeds, high, medium)
+    out = {
+        "seeds": seeds,
+        "related": related,
+        "weak": weak,
+        "summaries": summaries,
+        "duplicates": duplicates,
+        "links": suggested_links(summaries, seeds, max_links),
+        "checklist": checklist(related),
+        "hierarchy": content_hierarchy(topics, duplicates),
+        "sources": candidate_sources(sources, topics, keyword, category, max_sources),
+        "note": topics.select("topic_id").join(seeds.select("topic_id").distinct(), "topic_id", "left_anti").withColumn("note", F.lit(NO_SEED)),
+    }
+    if candidates is not None:
+        out["verdict"] = duplicate_risk(candidates, title_slug_similarity(articles, candidates), duplicates)
+    return out
+
+
 def dedupe_facts(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """doc, pos, fact: of ``facts`` (array) those that near-repeat no fact kept before them.
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.text import round_half_up
 
 INFERRED_PENALTY = 0.8
+#: Why nothing was selected.
+EMPTY, USED, COVERED = "the catalog is empty", "every entry has been published", "every open entry duplicates an article"
 
 
 def not_in_ledger(catalog: DataFrame, ledger: DataFrame, title: str = "title", published: str = "nanyangTitle") -> DataFrame:
@@ -39,10 +41,18 @@ def select_topic(scored: DataFrame) -> DataFrame:
 def no_topic_reason(catalog: DataFrame, open_entries: DataFrame, scored: DataFrame) -> str | None:
     """Why nothing was selected, or None."""
     if catalog.isEmpty():
-        return "the catalog is empty"
+        return EMPTY
     if open_entries.isEmpty():
-        return "every entry has been published"
-    return "every open entry duplicates an article" if scored.filter(~F.col("has_high")).isEmpty() else None
+        return USED
+    return COVERED if scored.filter(~F.col("has_high")).isEmpty() else None
+
+
+def selection(catalog: DataFrame, open_entries: DataFrame, scored: DataFrame) -> DataFrame:
+    """One row: topic_id, title, date, gap of the entry that is selected, or nulls and the reason why there is none."""
+    best = scored.filter(~F.col("has_high")).agg(F.max_by(F.struct("topic_id", "title", "date", "gap"), F.struct("gap", "date", -F.col("topic_id"))).alias("best"))
+    counted = catalog.agg(F.count("*").alias("n")).crossJoin(open_entries.agg(F.count("*").alias("n_open"))).crossJoin(best)
+    reason = F.when(F.col("n") == 0, EMPTY).when(F.col("n_open") == 0, USED).when(F.col("best").isNull(), COVERED)
+    return counted.select(F.when(reason.isNull(), F.col("best")).alias("best"), reason.alias("reason")).select("best.*", "reason")
 
 
 def cadence_due(history: DataFrame, now: Column, target_days: Column, key: str = "key", at: str = "at") -> DataFrame:

@@ -11,11 +11,12 @@ import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import parse_keywords
 from ..schema import TABLES
+from .dedup import numbered
 
 
 def last_of_batch(batch: DataFrame, key: str, order: str) -> DataFrame:
@@ -33,7 +34,7 @@ def upsert(table: DataFrame, batch: DataFrame, key: str, order: str, id_col: str
     known = table.select(F.col(id_col), F.col(key).alias("known_key"))
     matched = records.join(known, records[key] == F.col("known_key"), "left")
     top = table.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top"))
-    fresh = matched.filter(F.col(id_col).isNull()).drop(id_col).crossJoin(F.broadcast(top)).withColumn(id_col, (F.col("top") + F.row_number().over(Window.orderBy(key))).cast("long"))
+    fresh = numbered(matched.filter(F.col(id_col).isNull()).drop(id_col, "known_key"), "_new", key).crossJoin(F.broadcast(top)).withColumn(id_col, (F.col("top") + F.col("_new")).cast("long"))
     written = matched.filter(F.col(id_col).isNotNull()).select(id_col, key, *others).unionByName(fresh.select(id_col, key, *others))
     untouched = table.join(records.select(F.col(key)), key, "left_anti")
     return untouched.select(table.columns).unionByName(written.select(table.columns))
@@ -99,6 +100,37 @@ def nested_export(articles: DataFrame, entities: DataFrame, article_entities: Da
     return articles.withColumnRenamed("id", "article_id").join(mine, "article_id", "left").join(out, "article_id", "left")
 
 
+def named_edges(edges: DataFrame, entities: DataFrame) -> DataFrame:
+    """edge_ord, source, relation, target by names; a missing entity gives a null name."""
+    names = entities.select("id", "name")
+    return (
+        edges.join(names.select(F.col("id").alias("source_entity_id"), F.col("name").alias("source")), "source_entity_id", "left")
+        .join(names.select(F.col("id").alias("target_entity_id"), F.col("name").alias("target")), "target_entity_id", "left")
+        .select("edge_ord", "source", "relation", "target")
+    )
+
+
+def mirror(tables: Mapping[str, DataFrame], generated: str) -> dict[str, DataFrame]:
+    """The parts of a readable copy of the whole store: meta, articles (nested), entities, edges by name, sources."""
+    articles, entities, sources = tables["articles"], tables["entities"], tables["sources"]
+    counts = articles.agg(F.count("*").alias("article_count")).crossJoin(sources.agg(F.count("*").alias("source_article_count")))
+    return {
+        "meta": counts.select(F.lit(generated).alias("generated_at"), "article_count", "source_article_count"),
+        "articles": nested_export(articles, entities, tables["article_entities"], tables["links"]),
+        "entities": entities,
+        "edges": named_edges(tables["edges"], entities),
+        "sources": export_sources(sources),
+    }
+
+
+def write_mirror(store: Store, path: str, generated: str) -> None:
+    """One JSON folder for each part of the mirror of the store's current version."""
+    tables = {name: store.read(name) for name in ("articles", "entities", "article_entities", "links", "edges")}
+    parts = mirror({**tables, "sources": store.read("source_articles")}, generated)
+    for name, part in parts.items():
+        write_json(part, f"{path}/{name}")
+
+
 def export_sources(sources: DataFrame) -> DataFrame:
     return sources.withColumn("keywords", parse_keywords("keywords"))
 
@@ -157,11 +189,16 @@ class Store:
         return latest
 
 
-def ingest(store: Store, records: DataFrame, extracted: str) -> DataFrame:
-    """Articles, links and meta of one run, committed together; returns link counts. records as ``articles_from_html`` gives them."""
+def ingest(store: Store, records: DataFrame, extracted: str, mirror_path: str | None = None) -> DataFrame:
+    """Articles, links and meta of one run, committed together; returns link counts. records as ``articles_from_html`` gives them.
+
+    With ``mirror_path`` the readable copy is written anew behind the commit.
+    """
     flat = records.withColumn("ord", F.col("slug"))
     articles = upsert(store.read("articles"), flat.drop("internal_links"), "slug", "ord")
     links, counts = replace_links(store.read("links"), articles, records)
     meta = upsert_meta(store.read("meta"), store.spark.createDataFrame([("lastExtracted", extracted)], "key string, value string"), stale="note")
     store.commit({"articles": articles, "links": links, "meta": meta})
+    if mirror_path:
+        write_mirror(store, mirror_path, extracted)
     return counts

@@ -7,22 +7,31 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-VIEWS = {
-    "entities": """
-        select cast(row_number() over (order by type, name) as bigint) as id, name, type from (
+from ..operators.dedup import numbered
+
+#: Rows that get consecutive numbers: SQL of the rows, name of the number, order, and what is selected.
+NUMBERED = {
+    "entities": ("""
           select distinct p_name as name, 'product' as type from {part}
           union all select distinct p_brand, 'organization' from {part}
           union all select distinct p_type, 'topic' from {part}
           union all select n_name, 'concept' from {nation}
-          union all select r_name, 'concept' from {region}) u""",
-    "edges": """
-        select cast(row_number() over (order by s, r, t) as bigint) as edge_ord, es.id as source_entity_id, r as relation, et.id as target_entity_id
+          union all select r_name, 'concept' from {region}""", "id", ["type", "name"], ["id", "name", "type"]),
+    "edges": ("""
+        select s, r, t, es.id as source_entity_id, r as relation, et.id as target_entity_id
         from (
           select distinct p_name as s, 'part_of' as r, p_brand as t from {part}
           union all select distinct p_name, 'related_to', p_type from {part}
           union all select distinct p_brand, 'distinguished_from', p_type from {part} where p_size % 7 = 0
           union all select n_name, 'part_of', r_name from {nation} join {region} on n_regionkey = r_regionkey) e
-        join {entities} es on es.name = e.s join {entities} et on et.name = e.t""",
+        join {entities} es on es.name = e.s join {entities} et on et.name = e.t""", "edge_ord", ["s", "r", "t"], ["edge_ord", "source_entity_id", "relation", "target_entity_id"]),
+}
+
+VIEWS = {
+    **{
+        view: f"select {', '.join(columns)} from (select *, cast(row_number() over (order by {', '.join(order)}) as bigint) as {number} from ({rows}) u) n"
+        for view, (rows, number, order, columns) in NUMBERED.items()
+    },
     "articles": """
         select o_orderkey as id, 'order-' || cast(o_orderkey as string) as slug,
           o_orderpriority || ' ' || case o_orderstatus when 'F' then 'fulfilled' when 'O' then 'open order' else 'pending' end as title,
@@ -58,7 +67,12 @@ class Tables:
         if name not in self.made:
             if name in VIEWS:
                 used = [t for t in [*VIEWS, "part", "nation", "region", "orders", "lineitem", "documents"] if "{" + t + "}" in VIEWS[name]]
-                self.made[name] = self.spark.sql(VIEWS[name], **{t: getattr(self, t) for t in used})
+                inputs = {t: getattr(self, t) for t in used}
+                if name in NUMBERED:
+                    rows, number, order, columns = NUMBERED[name]
+                    self.made[name] = numbered(self.spark.sql(rows, **inputs), number, *order).select(columns)
+                else:
+                    self.made[name] = self.spark.sql(VIEWS[name], **inputs)
             else:
                 self.made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self.made[name]
