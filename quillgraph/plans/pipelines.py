@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import markup as M
 from ..functions import text as T
 from ..functions.urls import canonical_url, source_slug
-from ..operators import contracts, prompts, quality, retrieval
+from ..operators import contracts, graph, prompts, quality, retrieval, store
 from ..sources.ingest import news_articles
 
 TARGET_WORDS = 2200
@@ -36,16 +36,26 @@ def scrape_outcomes(rows: DataFrame, fetched: DataFrame, known: DataFrame) -> Da
     return joined.select("url", slug.alias("slug"), status.alias("status"), title.alias("title"), F.col("body").alias("original_content"))
 
 
-def write_with_review(topics: DataFrame, checklists: DataFrame, writer: Callable[[str], str], reviewer: Callable[[str], str], target: int = TARGET_WORDS) -> DataFrame:
-    """key, draft (struct), covered, words, repaired: one draft per topic (key, topic), reviewed and repaired at most once.
+def write_with_review(
+    topics: DataFrame, checklists: DataFrame, writer: Callable[[str], str], reviewer: Callable[[str], str], target: int = TARGET_WORDS, facts: DataFrame | None = None, links: DataFrame | None = None
+) -> DataFrame:
+    """key, draft (struct), covered, open, off_topic, words, repaired, body (with links), inserted, skipped, error: one draft per topic (key, topic).
 
-    checklists: key, name, type, why. A draft is repaired if an item is not covered or it is too
-    short; a draft or review that breaks its contract gives an ``error``.
+    checklists: key, name, type, why and, where sections off the topic are to be found, relation; ``facts``
+    (key, facts) join them. A draft is reviewed, and repaired at most once, if an item is not covered, a section
+    is off the topic or it is too short. A draft that breaks its contract gives an ``error``, as does a review,
+    whose draft is kept. links: key, links (array of entity, target_slug), put into the final body.
     """
-    items = checklists.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("name", "type", "why"))).alias("items"))
-    none = F.expr("cast(array() as array<struct<name:string,type:string,why:string>>)")
+    if "relation" not in checklists.columns:
+        checklists = checklists.withColumn("relation", F.lit(None).cast("string"))
+    if facts is not None:
+        checklists = retrieval.full_checklist(checklists, facts)
+    items = checklists.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("name", "type", "why", "relation"))).alias("items"))
+    none = F.expr("cast(array() as array<struct<name:string,type:string,why:string,relation:string>>)")
     empty = F.array().cast("array<string>")
     asked = topics.join(items, "key", "left").withColumn("items", F.coalesce("items", none))
+    must = facts.select("key", "facts") if facts is not None else topics.select("key", empty.alias("facts"))
+    asked = asked.join(must, "key", "left").withColumn("facts", F.coalesce("facts", empty))
 
     def drafted(prompted: DataFrame) -> DataFrame:
         checked = contracts.draft(contracts.ask(prompted.select("key", "prompt"), writer))
@@ -54,22 +64,87 @@ def write_with_review(topics: DataFrame, checklists: DataFrame, writer: Callable
     def reviewed(drafts: DataFrame) -> DataFrame:
         prompted = drafts.select("key", prompts.review_prompt(F.col("items"), F.col("draft.body_text")).alias("prompt"))
         found = contracts.review(contracts.ask(prompted, reviewer)).select("key", F.col("value").alias("review"), F.col("error").alias("review_error"))
-        return drafts.join(found, "key")
+        bodies = drafts.select(F.col("key").alias("doc"), F.col("draft.body_text").alias("body"))
+        contrast = drafts.select(F.col("key").alias("doc"), F.posexplode("items").alias("item_ord", "i")).select("doc", "item_ord", "i.name", "i.relation")
+        off = retrieval.off_topic_headings(bodies, contrast).groupBy(F.col("doc").alias("key")).agg(F.sort_array(F.collect_list("heading")).alias("off_topic"))
+        return drafts.join(found, "key").join(off, "key", "left").withColumn("off_topic", F.coalesce("off_topic", empty))
 
-    first = drafted(asked.withColumn("prompt", prompts.writer_prompt(F.col("topic"), F.col("items"), empty, empty, empty)))
+    first = drafted(asked.withColumn("prompt", prompts.writer_prompt(F.col("topic"), F.col("items"), F.col("facts"), empty, empty)))
     rated = reviewed(asked.join(first, "key"))
     words = T.count_body_words("draft.body_text")
-    open_names = F.transform(F.filter("review", lambda r: r["status"] != "covered"), lambda r: r["name"])
-    open_items = F.filter("items", lambda i: F.array_contains(F.coalesce(open_names, empty), i["name"]))
-    needs = F.col("draft_error").isNull() & ((F.size(open_items) > 0) | (words < target))
+    open_names = F.coalesce(F.transform(F.filter("review", lambda r: r["status"] != "covered"), lambda r: r["name"]), empty)
+    open_items = F.filter("items", lambda i: F.array_contains(open_names, i["name"]))
+    gaps = (F.size("items") > 0) & ((F.size(open_items) > 0) | (F.size("off_topic") > 0))
+    needs = F.col("draft_error").isNull() & F.col("review_error").isNull() & (gaps | (words < target))
     marked = rated.withColumn("needs", needs)
-    again = drafted(marked.filter("needs").withColumn("prompt", prompts.repair_prompt(F.col("topic"), F.col("draft.body_text"), open_items, empty, words, target)))
+    again = drafted(marked.filter("needs").withColumn("prompt", prompts.repair_prompt(F.col("topic"), F.col("draft.body_text"), open_items, F.col("off_topic"), words, target)))
     repaired = reviewed(asked.join(again.filter("draft_error is null"), "key"))
-    columns = ["key", "draft", "draft_error", "review", "review_error"]
+    columns = ["key", "draft", "draft_error", "review", "review_error", "off_topic"]
     kept = marked.join(repaired.select("key"), "key", "left_anti").select(*columns, F.lit(False).alias("repaired"))
     both = kept.unionByName(repaired.select(*columns, F.lit(True).alias("repaired")))
-    covered = F.forall("review", lambda r: r["status"] == "covered")
-    return both.select("key", "draft", covered.alias("covered"), T.count_body_words("draft.body_text").alias("words"), "repaired", F.coalesce("draft_error", "review_error").alias("error"))
+    wanted = F.expr("cast(array() as array<struct<entity:string,target_slug:string>>)")
+    both = both.join(links.select("key", "links"), "key", "left").withColumn("links", F.coalesce("links", wanted)) if links is not None else both.withColumn("links", wanted)
+    both = both.withColumn("linked", M.insert_links(F.col("draft.body_text"), F.col("links")))
+    named = lambda status: F.transform(F.filter("review", lambda r: r["status"] == status), lambda r: r["name"])
+    return both.select(
+        "key",
+        "draft",
+        F.forall("review", lambda r: r["status"] == "covered").alias("covered"),
+        F.coalesce(named("missing"), empty).alias("missing"),
+        "off_topic",
+        T.count_body_words("draft.body_text").alias("words"),
+        "repaired",
+        "linked.body",
+        "linked.inserted",
+        "linked.skipped",
+        F.coalesce("draft_error", "review_error").alias("error"),
+    )
+
+
+EXTRACTIONS = "array<struct<slug:string,entities:array<struct<name:string,type:string,relevance_score:string>>,edges:array<struct<source:string,relation:string,target:string>>>>"
+
+
+def extract_batches(tables: dict[str, DataFrame], articles: DataFrame, extractor: Callable[[str], str], dry_run: bool = False) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """(tables, outcomes, totals) after extraction of articles (batch, id, slug, title, body_text), one response a batch.
+
+    tables: entities, article_entities, edges. A response that is no JSON, repeats a slug or lacks one fails its
+    whole batch; others are written. outcomes: batch, slug, status (ok, regression, error or dry-run), error, dropped,
+    altered, against the state before all batches. totals: batch, n_entities, n_edges as extracted.
+    """
+    entities, links, edges = (tables[k] for k in ("entities", "article_entities", "edges"))
+    known = entities.agg(F.sort_array(F.collect_set("name")).alias("known"))
+    one = prompts.extract_prompt(F.col("title"), F.col("body_text"), F.array().cast("array<string>"))
+    asked = articles.groupBy("batch").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("slug", one.alias("p")))), lambda a: F.concat(F.lit("## "), a["slug"], F.lit("\n"), a["p"])), "\n\n").alias("body"))
+    asked = asked.crossJoin(F.broadcast(known)).select(F.col("batch").cast("string").alias("key"), F.concat("body", F.lit("\n\n# known names\n"), F.array_join("known", ", ")).alias("prompt"))
+    answers = contracts.ask(asked, extractor).select(F.col("key").alias("batch"), F.from_json("response", EXTRACTIONS).alias("value"))
+    blocks = answers.filter("value is not null").select("batch", F.explode("value").alias("x")).select("batch", "x.slug", "x.entities", "x.edges")
+    wanted = articles.select(F.col("batch").cast("string").alias("batch"), F.col("id").alias("article_id"), "slug")
+    broken = contracts.batch_extraction(blocks, wanted.join(answers.filter("value is not null").select("batch"), "batch"))
+    broken = broken.unionByName(answers.filter("value is null").select("batch", F.lit("not the expected JSON").alias("error")))
+    good = blocks.join(wanted, ["batch", "slug"]).join(broken.select("batch"), "batch", "left_anti")
+    totals = good.groupBy("batch").agg(F.sum(F.size("entities")).alias("n_entities"), F.sum(F.size("edges")).alias("n_edges"))
+    failed = wanted.join(broken, "batch")
+    zero = F.lit(0).cast("long")
+    errors = failed.select("batch", "slug", F.lit("error").alias("status"), "error", zero.alias("dropped"), zero.alias("altered"))
+    nothing = F.lit(None).cast("string")
+    if dry_run:
+        return tables, errors.unionByName(good.select("batch", "slug", F.lit("dry-run").alias("status"), nothing.alias("error"), zero.alias("dropped"), zero.alias("altered"))), totals
+
+    named = good.select(F.col("article_id").alias("doc"), F.posexplode("entities").alias("pos", "e")).select("doc", "pos", "e.name", "e.type", F.col("e.relevance_score").alias("relevance"))
+    drawn = good.select(F.col("article_id").alias("doc"), F.posexplode("edges").alias("pos", "e")).select("doc", "pos", "e.source", "e.relation", "e.target")
+    found, found_edges = graph.dedupe_extraction(named, drawn)
+    after = dict(zip(("entities", "article_entities", "edges"), graph.write_extraction(entities, links, edges, found.withColumnRenamed("doc", "article_id"), found_edges.withColumnRenamed("doc", "article_id"))))
+
+    def state(of: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+        mine = of["article_entities"].join(good.select("article_id"), "article_id", "left_semi")
+        names = mine.join(of["entities"].select(F.col("id").alias("entity_id"), "name"), "entity_id").select("article_id", "name")
+        return names, graph.induced_edges(of["edges"], of["entities"], mine)
+
+    (old_names, old_edges), (new_names, new_edges) = state(tables), state(after)
+    lost = graph.article_regressions(old_names, new_names, old_edges, new_edges)
+    judged = good.select("batch", "article_id", "slug").join(lost, "article_id", "left").fillna(0, ["dropped", "altered"])
+    status = F.when((F.col("dropped") > 0) | (F.col("altered") > 0), "regression").otherwise("ok")
+    return {**tables, **after}, errors.unionByName(judged.select("batch", "slug", status.alias("status"), nothing.alias("error"), "dropped", "altered")), totals
 
 
 def coverage_verdict(review: DataFrame, key: str = "key") -> DataFrame:
@@ -91,15 +166,44 @@ def assemble(drafts: DataFrame, site: str, author: str, published: str) -> DataF
     )
 
 
-def publish_gate(due: bool, duplicate: str, draft: Row | None) -> str:
-    """Status of one publishing run: not-due, duplicate, draft-error, not-covered or ok."""
+def publish_gate(due: bool, topic: str | None, slug_taken: bool, duplicate: str, draft: Row | None) -> str:
+    """Status of one publishing run up to its draft: the first gate that closes, or ok."""
     if not due:
         return "not-due"
+    if topic is None:
+        return "no-topic"
+    if slug_taken:
+        return "slug-collision"
     if duplicate == "high":
-        return "duplicate"
+        return "duplicate-risk-high"
     if draft is None or draft["error"] is not None:
-        return "draft-error"
-    return "ok" if draft["covered"] else "not-covered"
+        return "coverage-review-failed"
+    return "coverage-gap" if draft["missing"] else "ok"
+
+
+def publish(kept: store.Store, article: DataFrame, translate: Callable[[DataFrame], DataFrame], extract: Callable[[store.Store], None]) -> str:
+    """Translate an article (a row of the store's articles), commit it and extract its graph: ok, translation-failed or graph-extraction-failed.
+
+    A failed translation writes nothing. If extraction fails, what was committed since is rolled back.
+    """
+    before = kept.version
+    try:
+        translated = translate(article)
+        ready = store.upsert(kept.read("articles"), translated.withColumn("ord", F.col("slug")), "slug", "ord")
+        kept.commit({"articles": ready})
+    except Exception:
+        if kept.version != before:
+            kept.rollback(before)
+        return "translation-failed"
+    try:
+        extract(kept)
+    except Exception:
+        if before:
+            kept.rollback(before)
+        else:
+            kept.commit({"articles": kept.read("articles").limit(0)})
+        return "graph-extraction-failed"
+    return "ok"
 
 
 def duplicate_verdict(candidates: DataFrame, articles: DataFrame) -> DataFrame:
