@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import markup as M
 from ..functions import text as T
 from ..functions import urls as U
-from ..operators import dedup, graph, quality, retrieval, selection, store
+from ..operators import contracts, dedup, graph, quality, retrieval, selection, store
 from ..sources import ingest
 from ..streaming import hits
 from .kg import Tables, with_views
@@ -170,7 +171,8 @@ matches as (
   from pairs where (i > 0 and floor((200 * i + u) // (2 * u))::double / 100 >= 0.3) or slug_similarity > 0)"""
 
 
-_FIRST_WORDS = "array_to_string(string_split(text, ' ')[1:8], ' ')"
+#: The title of a text is its first line.
+_TITLE = "split_part(text, chr(10), 1)"
 _TOPIC_SLUG = "coalesce(nullif(regexp_replace(regexp_replace(lower(trim({c})), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'topic')"
 
 
@@ -178,13 +180,13 @@ _TOPIC_SLUG = "coalesce(nullif(regexp_replace(regexp_replace(lower(trim({c})), '
     "title_slug_similarity",
     with_views()
     + _similar(
-        f"select item_id as id, {_FIRST_WORDS} as title, {_TOPIC_SLUG.format(c=_FIRST_WORDS)} as slug from benchmark",
-        f"select doc_id as id, {_FIRST_WORDS} as title, {_TOPIC_SLUG.format(c=_FIRST_WORDS)} as slug from documents",
+        f"select item_id as id, {_TITLE} as title, {_TOPIC_SLUG.format(c=_TITLE)} as slug from benchmark",
+        f"select doc_id as id, {_TITLE} as title, {_TOPIC_SLUG.format(c=_TITLE)} as slug from documents",
     )
     + " select * from matches",
 )
 def _(t: Tables) -> DataFrame:
-    title = F.array_join(F.slice(F.split("text", " "), 1, 8), " ")
+    title = F.split_part("text", F.lit("\n"), F.lit(1))
     articles = t.documents.select(F.col("doc_id").alias("id"), title.alias("title"), T.slugify_topic(title).alias("slug"))
     candidates = t.benchmark.select(F.col("item_id").alias("candidate_id"), title.alias("candidate_title"), T.slugify_topic(title).alias("candidate_slug"))
     return retrieval.title_slug_similarity(articles, candidates)
@@ -263,40 +265,89 @@ def _(t: Tables) -> DataFrame:
     return _sources_for(t, keyword=" EN ", category="SRC1")
 
 
-@query("retrieval_context", _SUMMARIES + _OFFERS + """
+_CONTEXT = _SUMMARIES.replace(with_views("entities", "edges", "articles", "article_entities"), with_views("entities", "edges", "articles", "article_entities", "sources")) + _OFFERS + _MATCHES
+
+
+@query("retrieval_context", _CONTEXT + f""",
+  wanted as (select topic_id, lower(trim(topic)) as low, {_tokens("trim(topic)")} as toks from topics where trim(topic) <> ''),
+  readable as (select *, [lower(k) for k in from_json(keywords, '["varchar"]')] as keys, lower(coalesce(category, '')) as cat from sources where status is distinct from 'ignored'),
+  offered as (
+    select topic_id, id, slug, case when contains(lower(title), low) then 1.0::double when len(list_filter(keys, lambda k: len(list_filter(toks, lambda w: contains(k, w))) > 0)) > 0 then 0.8::double
+      when len(list_filter(toks, lambda w: contains(cat, w))) > 0 then 0.6::double when len(list_filter(toks, lambda w: contains(lower(original_content), w))) > 0 then 0.4::double end as score from readable cross join wanted),
+  first5 as (select *, row_number() over (partition by topic_id order by score desc, id) as k from offered where score is not null)
   select 'seed' as slice, topic_id, name as item, score from seeds
   union all select 'related', topic_id, name, hop::double from v1
+  union all select distinct 'weak', topic_id, phrase, 1::double from m1 where relation = 'related_to'
   union all select 'summary', topic_id, slug, max_relevance from summaries
   union all select 'duplicate', topic_id, slug, overlap_ratio from duplicates
-  union all select 'link', topic_id, slug, relevance_score from p1 union all select 'link', topic_id, slug, relevance_score from p2 union all select 'link', topic_id, slug, relevance_score from p3""")
+  union all select 'link', topic_id, slug, relevance_score from p1 union all select 'link', topic_id, slug, relevance_score from p2 union all select 'link', topic_id, slug, relevance_score from p3
+  union all select 'checklist', topic_id, name || ' (' || type || '): ' || case when hop = 0 then coalesce(via, 'directly matches the topic') else 'related to the topic via: ' || via end, 0 from v1
+  union all select 'hierarchy', t.topic_id, d.slug, (d.slug is not null)::int from topics t
+    left join (select topic_id, slug, row_number() over (partition by topic_id order by overlap_ratio desc, article_id) as k from duplicates where level = 'high') d on d.topic_id = t.topic_id and k = 1
+  union all select 'source', topic_id, slug, score from first5 where k <= 5
+  union all select 'note', topic_id, '{retrieval.NO_SEED}', 0 from topics where topic_id not in (select topic_id from seeds)
+  union all select 'verdict', topic_id,
+    case when exists (select 1 from matches m where m.candidate_id = t.topic_id and (slug_similarity >= 1 or title_similarity >= 0.6)) or exists (select 1 from duplicates d where d.topic_id = t.topic_id and level = 'high') then 'high'
+         when exists (select 1 from matches m where m.candidate_id = t.topic_id) or exists (select 1 from duplicates d where d.topic_id = t.topic_id) then 'medium' else 'none' end, 0 from topics t""")
 def retrieval_context(t: Tables) -> DataFrame:
-    """All slices of the composed retrieval, each tagged; topics without a seed have none."""
-    seeds = seeds_of(t)
-    related = related_of(t)[0]
-    summaries = retrieval.article_summaries(t.articles, t.article_entities, related)
-    part = lambda name, df, item, score: df.select(F.lit(name).alias("slice"), "topic_id", F.col(item).alias("item"), F.col(score).cast("double").alias("score"))
-    return (
-        part("seed", seeds, "name", "score")
-        .unionByName(part("related", related, "name", "hop"))
-        .unionByName(part("summary", summaries, "slug", "max_relevance"))
-        .unionByName(part("duplicate", retrieval.near_duplicates(summaries, seeds), "slug", "overlap_ratio"))
-        .unionByName(part("link", retrieval.suggested_links(summaries, seeds), "slug", "relevance_score"))
-    )
-
-
-@query("topic_selection", _SUMMARIES + _MATCHES + """,
+    """All slices of the composed retrieval, each tagged."""
+    found = retrieval.retrieval_context(t.topics, t.entities, t.edges, t.articles, t.article_entities, t.sources, t.candidates)
+    zero, words = F.lit(0.0), lambda c: F.col(c)
+    shown = {
+        "seed": ("seeds", words("name"), words("score")),
+        "related": ("related", words("name"), words("hop")),
+        "weak": ("weak", F.concat("source", F.lit(" --["), "relation", F.lit("]--> "), "target"), words("hop")),
+        "summary": ("summaries", words("slug"), words("max_relevance")),
+        "duplicate": ("duplicates", words("slug"), words("overlap_ratio")),
+        "link": ("links", words("slug"), words("relevance_score")),
+        "checklist": ("checklist", F.concat("name", F.lit(" ("), "type", F.lit("): "), "why"), zero),
+        "hierarchy": ("hierarchy", words("slug"), words("overlaps_specialised").cast("int")),
+        "source": ("sources", words("slug"), words("score")),
+        "note": ("note", words("note"), zero),
+    }
+    parts = [found[part].select(F.lit(name).alias("slice"), "topic_id", item.alias("item"), score.cast("double").alias("score")) for name, (part, item, score) in shown.items()]
+    parts.append(found["verdict"].select(F.lit("verdict").alias("slice"), F.col("candidate_id").alias("topic_id"), F.col("verdict").alias("item"), zero.alias("score")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_SELECTION = _SUMMARIES + _MATCHES + """,
   cat as (select topic_id, topic as title, '2024-01-0' || topic_id as date, topic_id % 2 = 0 as inferred from topics where trim(topic) <> '' and lower(trim(topic)) <> 'bolt'),
   sims as (
     select topic_id, greatest(coalesce((select max(title_similarity) from matches m where m.candidate_id = c.topic_id), 0), coalesce((select max(overlap_ratio) from duplicates d where d.topic_id = c.topic_id), 0)) as s,
       exists (select 1 from matches m where m.candidate_id = c.topic_id and (slug_similarity >= 1 or title_similarity >= 0.6)) or exists (select 1 from duplicates d where d.topic_id = c.topic_id and level = 'high') as has_high
-    from cat c)
-  select c.topic_id, title, date, inferred, case when inferred then floor(floor((1 - s) * 1000.0 + 0.5)::double / 1000.0 * 0.8 * 1000.0 + 0.5)::double / 1000.0 else floor((1 - s) * 1000.0 + 0.5)::double / 1000.0 end as gap, has_high
-  from cat c join sims using (topic_id)""")
-def _(t: Tables) -> DataFrame:
+    from cat c),
+  scores as (select c.topic_id, title, date, inferred, case when inferred then floor(floor((1 - s) * 1000.0 + 0.5)::double / 1000.0 * 0.8 * 1000.0 + 0.5)::double / 1000.0 else floor((1 - s) * 1000.0 + 0.5)::double / 1000.0 end as gap, has_high
+    from cat c join sims using (topic_id))"""
+
+
+def _scored(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(catalog, open entries, their gap scores)."""
     catalog = t.topics.filter(F.trim("topic") != "").select("topic_id", F.col("topic").alias("title"), F.concat(F.lit("2024-01-0"), F.col("topic_id").cast("string")).alias("date"), (F.col("topic_id") % 2 == 0).alias("inferred"))
     ledger = t.spark.createDataFrame([(" BOLT ", "bolt", "2024-01-01")], ingest.LEDGER)
     opened = selection.not_in_ledger(catalog, ledger)
-    return selection.gap_scores(opened, retrieval.title_slug_similarity(t.articles, t.candidates), duplicates_of(t))
+    return catalog, opened, selection.gap_scores(opened, retrieval.title_slug_similarity(t.articles, t.candidates), duplicates_of(t))
+
+
+@query("topic_selection", _SELECTION + " select * from scores")
+def _(t: Tables) -> DataFrame:
+    return _scored(t)[2]
+
+
+@query("topic_selected", _SELECTION + f""", head as (select topic_id, title, date, gap from scores where not has_high order by gap desc, date desc, topic_id limit 1)
+  select 'usual' as catalog, (select topic_id from head) as topic_id, (select title from head) as title, (select date from head) as date, (select gap from head) as gap,
+    case when (select count(*) from head) = 0 then '{selection.COVERED}' end as reason
+  union all select 'empty', null, null, null, null, '{selection.EMPTY}' union all select 'used', null, null, null, null, '{selection.USED}' union all select 'covered', null, null, null, null, '{selection.COVERED}'""")
+def _(t: Tables) -> DataFrame:
+    catalog, opened, scored = _scored(t)
+    scored = scored.persist()
+    none = lambda df: df.filter(F.lit(False))
+    cases = {
+        "usual": (catalog, opened, scored),
+        "empty": (none(catalog), none(opened), none(scored)),
+        "used": (catalog, none(opened), none(scored)),
+        "covered": (catalog, opened, scored.withColumn("has_high", F.lit(True))),
+    }
+    return reduce(DataFrame.unionByName, (selection.selection(*tables).select(F.lit(name).alias("catalog"), "*") for name, tables in cases.items()))
 
 
 # ---- URLs, deduplication, order --------------------------------------------------------------
@@ -327,13 +378,13 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("two_tier_match", f"""
-  with k as (select page_id, {_CANONICAL.format(c='url')} as canonical, {_NUMBER.format(c='url')} as number from pages where page_id % 3 = 0),
+  with k as (select page_id, {_CANONICAL.format(c='url')} as canonical, {_NUMBER.format(c='url')} as number from pages),
   r as (select page_id as id, {_CANONICAL.format(c='url')} as canonical, {_NUMBER.format(c='url')} as number from pages),
   m as (select id, (select min(page_id) from k where k.canonical = r.canonical) as a, (select min(page_id) from k where k.number = r.number) as b from r)
   select id, coalesce(a, b) as known_id, case when a is not null then 'canonical_url' when b is not null then 'article_id' end as tier from m""")
 def _(t: Tables) -> DataFrame:
     rows = t.pages.select(F.col("page_id").alias("id"), "url")
-    return dedup.two_tier_match(rows, t.pages.filter("page_id % 3 = 0").select(F.col("page_id").alias("known_id"), F.col("url").alias("known_url")))
+    return dedup.two_tier_match(rows, t.pages.select(F.col("page_id").alias("known_id"), F.col("url").alias("known_url")))
 
 
 @query("chunk_batches", "select doc_id, (row_number() over (order by doc_id) - 1) // 7 as batch, (row_number() over (order by doc_id) - 1) % 7 as place from documents")
@@ -380,6 +431,17 @@ def _(t: Tables) -> DataFrame:
     return store.backfill(t.sources, updates, "slug", "keywords")[1]
 
 
+@query("keyword_backfill_rows", with_views("sources") + " select id, case when id % 3 = 0 and id % 6 <> 0 then '[]' else keywords end as keywords from sources")
+def _(t: Tables) -> DataFrame:
+    updates = t.sources.filter("id % 3 = 0").select("slug", F.expr("case when id % 6 = 0 then keywords else '[]' end").alias("keywords"))
+    return store.backfill(t.sources, updates, "slug", "keywords")[0].select("id", "keywords")
+
+
+@query("edges_by_name", with_views("entities", "edges") + " select edge_ord, s.name as source, relation, g.name as target from edges left join entities s on s.id = source_entity_id left join entities g on g.id = target_entity_id")
+def _(t: Tables) -> DataFrame:
+    return store.named_edges(t.edges, t.entities)
+
+
 def _link_records(t: Tables) -> DataFrame:
     wanted = t.links.filter("source_article_id % 3 = 0").select("source_article_id", F.expr("'order-' || cast(target_article_id * 2 as string)").alias("target_slug"))
     sources = t.articles.select(F.col("id").alias("source_article_id"), "slug")
@@ -451,6 +513,51 @@ def _(t: Tables) -> DataFrame:
     return _extraction(t)[1]
 
 
+_FOUND = "select p_size as article_id, p_partkey as pos, case when p_partkey % 3 = 0 then upper(p_name) else 'new ' || p_name end as name, 'concept' as type, cast(0.5 as double) as relevance_score from {part}"
+_FOUND_EDGES = "select p_size as article_id, upper(p_name) as source, 'updates' as relation, lower(p_name) as target from {part} where p_partkey % 6 = 0"
+_OLD_LINKS = "select p_size as article_id, id as entity_id, cast(0.9 as double) as relevance_score from {part} join {entities} on name = p_name union select p_size, id, cast(0.9 as double) from {part} join {entities} on name = p_brand where p_size % 2 = 0 union select 1000 + p_size, id, cast(0.9 as double) from {part} join {entities} on name = p_type"
+_WRITTEN = with_views("entities", "edges") + f""",
+  f as ({_FOUND.format(part="part")}), fe as (select distinct * from ({_FOUND_EDGES.format(part="part")}) x), old as ({_OLD_LINKS.format(part="part", entities="entities")}),
+  names as (select lower(name) as low, name, row_number() over (partition by lower(name) order by article_id, pos) as k, article_id, pos from f),
+  fresh as (select low, name, (select max(id) from entities) + row_number() over (order by article_id, pos) as id from names where k = 1 and low not in (select lower(name) from entities)),
+  ids as (select low, id from fresh union all select lower(name), min(id) from entities where lower(name) in (select low from names) group by 1),
+  inside as (select distinct edge_ord from edges join old a on a.entity_id = source_entity_id join old b on b.entity_id = target_entity_id and a.article_id = b.article_id where a.article_id in (select article_id from f))"""
+
+
+def _written(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    run = lambda text, **more: t.spark.sql(text, part=t.part, **more)
+    return graph.write_extraction(t.entities, run(_OLD_LINKS, entities=t.entities), t.edges, run(_FOUND), run(_FOUND_EDGES))
+
+
+@query("extraction_entities", _WRITTEN + " select id, name, case when id in (select id from ids) then 'concept' else type end as type from entities union all select id, name, 'concept' from fresh")
+def _(t: Tables) -> DataFrame:
+    return _written(t)[0]
+
+
+@query("extraction_links", _WRITTEN + " select article_id, entity_id, relevance_score from old where article_id not in (select article_id from f) union all select distinct article_id, id, 0.5::double from f join ids on low = lower(name)")
+def _(t: Tables) -> DataFrame:
+    return _written(t)[1]
+
+
+@query("extraction_edges", _WRITTEN + """
+  select edge_ord, source_entity_id, relation, target_entity_id from edges where edge_ord not in (select edge_ord from inside)
+  union all select (select max(edge_ord) from edges) + row_number() over (order by article_id, source, relation, target), s.id, relation, g.id from fe join ids s on s.low = lower(source) join ids g on g.low = lower(target)""")
+def _(t: Tables) -> DataFrame:
+    return _written(t)[2]
+
+
+@query("format_state", """
+  with lines as (select p_size, p_partkey as k, 0 as part, '- entity: "' || p_name || '" (type: ' || p_type || ')' as line from part where p_size % 7 <> 0
+    union all select p_size, p_partkey, 1, '- edge: "' || p_name || '" --[part_of]--> "' || p_brand || '"' from part where p_size % 7 <> 0)
+  select s.p_size, coalesce(string_agg(line, chr(10) order by part, k), '(empty)') as state from (select distinct p_size from part) s left join lines l on l.p_size = s.p_size group by s.p_size""")
+def _(t: Tables) -> DataFrame:
+    held = F.col("p_size") % 7 != 0
+    ordered = lambda item: F.transform(F.sort_array(F.collect_list(F.when(held, F.struct("p_partkey", item.alias("x"))))), lambda y: y["x"])
+    entity = F.struct(F.col("p_name").alias("name"), F.col("p_type").alias("type"))
+    edge = F.struct(F.col("p_name").alias("source"), F.lit("part_of").alias("relation"), F.col("p_brand").alias("target"))
+    return t.part.groupBy("p_size").agg(ordered(entity).alias("e"), ordered(edge).alias("d")).select("p_size", quality.format_state(F.col("e"), F.col("d")).alias("state"))
+
+
 _MINE = "select p_partkey % 50 as article_id, id as entity_id from {part} join {entities} on name = p_name union select p_partkey % 50, id from {part} join {entities} on name = p_brand"
 
 
@@ -568,9 +675,9 @@ def _(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", T.slugify_topic(F.concat_ws(" ", "p_brand", "p_name")).alias("slug"))
 
 
-@query("slugify", "select doc_id, regexp_replace(regexp_replace(strip_accents(lower(substring(text, 1, 60))), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') as slug from documents")
+@query("slugify", "select doc_id, regexp_replace(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') as slug from documents")
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", T.slugify(F.substring("text", 1, 60)).alias("slug"))
+    return t.documents.select("doc_id", T.slugify("text").alias("slug"))
 
 
 @query("derive_category", "select p_partkey, case when p_size % 5 = 0 then 'Trading Strategy' else trim(p_name) end as category from part")
@@ -615,6 +722,130 @@ def _(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", M.flow_graph_html("p_name", steps).alias("html"), M.valid_steps(steps).alias("valid"))
 
 
+@query("figure_insert", """
+  with p as (select p_partkey, p_name as a, p_type as b, p_brand as c from part)
+  select p_partkey, '<h2>A</h2><p>' || a || '</p><h2>B</h2>' || case when (1 + length(a)) * 2 >= 3 + length(a) + length(b) + length(c) then '<figure>f</figure><p>' || b || '</p><h2>C</h2><p>' || c || '</p>'
+    else '<p>' || b || '</p><h2>C</h2><figure>f</figure><p>' || c || '</p>' end as html from p""")
+def _(t: Tables) -> DataFrame:
+    body = F.concat(F.lit("<h2>A</h2><p>"), "p_name", F.lit("</p><h2>B</h2><p>"), "p_type", F.lit("</p><h2>C</h2><p>"), "p_brand", F.lit("</p>"))
+    return t.part.select("p_partkey", M.insert_figure(body, F.lit("<figure>f</figure>")).alias("html"))
+
+
+@query("figure_replace", "select p_partkey, '<p>' || p_type || '</p><new $1 ' || p_brand || '><p>end</p>' as html from part")
+def _(t: Tables) -> DataFrame:
+    body = F.concat(F.lit("<p>"), "p_type", F.lit("</p>"), M.flow_graph_html("p_name", F.array("p_brand", "p_type")), F.lit("<p>end</p>"))
+    return t.part.select("p_partkey", M.replace_graph_figure(body, F.concat(F.lit("<new $1 "), "p_brand", F.lit(">"))).alias("html"))
+
+
+@query("listing_edits", """
+  select p_partkey, 'a<div class="article-grid"><a>' || p_name || '</a>b' as listing, '<urlset><url>' || p_partkey || '</url></urlset>' as sitemap from part""")
+def _(t: Tables) -> DataFrame:
+    listing = M.insert_card(F.lit('a<div class="article-grid">b'), F.concat(F.lit("<a>"), "p_name", F.lit("</a>")))
+    return t.part.select("p_partkey", listing.alias("listing"), M.insert_url(F.lit("<urlset></urlset>"), F.concat(F.lit("<url>"), F.col("p_partkey").cast("string"), F.lit("</url>"))).alias("sitemap"))
+
+
+@query("page_round_trip", """
+  select 'p-' || p_partkey as slug, p_name as title, p_type as summary, '2024-02-03' as published_at, 'Head' || chr(10) || chr(10) || p_brand as body_text from part""")
+def _(t: Tables) -> DataFrame:
+    """Pages in two languages, assembled and read back as sources."""
+    slug = F.concat(F.lit("p-"), F.col("p_partkey").cast("string"))
+    body = M.body_to_html(F.concat(F.lit("## Head\n\n"), "p_brand"))
+    page = M.article_document("https://s", slug, F.col("p_name"), F.col("p_type"), body, F.lit("W"), F.lit("2024-02-03"), F.lit("题"), F.lit("<p>文</p>"), {"plain": '<div class="cta-section"><p>call</p></div>'}, F.col("p_brand"))
+    return ingest.articles_from_html(t.part.select(F.concat(slug, F.lit(".html")).alias("file"), page.alias("html")))[0].select("slug", "title", "summary", "published_at", "body_text")
+
+
+def _kinds(n: int, *responses: str) -> Column:
+    """One of the responses by p_partkey modulo ``n``."""
+    out = F.lit(responses[0])
+    for k, response in enumerate(responses):
+        out = F.when(F.col("p_partkey") % n == k, F.lit(response)).otherwise(out)
+    return out
+
+
+def _errors(t: Tables, check: Callable[[DataFrame], DataFrame], *responses: str) -> DataFrame:
+    asked = t.part.select(F.col("p_partkey").cast("string").alias("key"), _kinds(len(responses), *responses).alias("response"))
+    return check(asked).select("key", "error")
+
+
+def _error_sql(*errors: str | None) -> str:
+    cases = " ".join(f"when {k} then '{e}'" for k, e in enumerate(errors) if e)
+    return f"select p_partkey::varchar as key, case p_partkey % {len(errors)} {cases} end as error from part"
+
+
+_BAD = "not the expected JSON"
+
+
+@query("contract_extraction", _error_sql(None, _BAD, "entities or edges are missing", "an entity lacks name or type", "an edge lacks a part"))
+def _(t: Tables) -> DataFrame:
+    good, edge = '{"name":"a","type":"topic"}', '{"source":"a","relation":"part_of","target":"b"}'
+    return _errors(t, contracts.extraction, f'{{"entities":[{good}],"edges":[{edge}]}}', "[oops", '{"entities":[]}', '{"entities":[{"name":" ","type":"x"}],"edges":[]}', '{"entities":[],"edges":[{"source":"a","target":"b"}]}')
+
+
+@query("contract_judgement", _error_sql(None, _BAD, "entities or edges are missing", "unknown status"))
+def _(t: Tables) -> DataFrame:
+    return _errors(t, contracts.judgement, '{"entities":[{"name":"a","status":"retained"}],"edges":[]}', "{", '{"edges":[]}', '{"entities":[],"edges":[{"source":"a","relation":"r","target":"b","status":"odd"}]}')
+
+
+@query("contract_draft", _error_sql(None, "title, summary or body is blank", "the body has no section heading", "two to five steps are needed", _BAD))
+def _(t: Tables) -> DataFrame:
+    make = lambda body, steps: f'{{"title":"t","summary":"s","body_text":"{body}","graph_steps":{steps}}}'
+    return _errors(t, contracts.draft, make("x\\n## H\\ny", '["a","b"]'), make(" ", '["a","b"]'), make("x", '["a","b"]'), make("## H", '["a"," "]'), "no")
+
+
+@query("contract_review", _error_sql(None, "an item lacks its name or status", _BAD))
+def _(t: Tables) -> DataFrame:
+    return _errors(t, contracts.review, '[{"name":"a","status":"covered"},{"name":"b","status":"missing"}]', '[{"name":"a","status":"odd"}]', "oops")
+
+
+@query("contract_seo", _error_sql(None, "a text is blank", "a list is empty", "heading levels are 2 to 4"))
+def _(t: Tables) -> DataFrame:
+    def make(title: str = "t", faq: str = '[{"question":"q","answer":"a"}]', level: int = 2) -> str:
+        texts = ",".join(f'"{k}":"x"' for k in ("meta_description", "canonical_slug", "og_title", "og_description"))
+        lists = ",".join(f'"{k}":["x"]' for k in ("primary_keywords", "secondary_keywords", "internal_anchor_texts"))
+        return f'{{"title":"{title}",{texts},{lists},"headings":[{{"level":{level},"text":"h"}}],"faq":{faq}}}'
+
+    return _errors(t, contracts.seo, make(), make(title=" "), make(faq="[]"), make(level=5))
+
+
+@query("contract_translation", _error_sql(None, "an id is missing", "an id is unknown", "a text is blank", _BAD))
+def _(t: Tables) -> DataFrame:
+    sources = t.part.select(F.col("p_partkey").cast("string").alias("key"), F.create_map(F.lit("1"), F.col("p_name"), F.lit("2"), F.col("p_brand")).alias("texts"))
+    return _errors(t, lambda asked: contracts.translation(asked, sources), '{"1":"x","2":"y"}', '{"1":"x"}', '{"1":"x","2":"y","3":"z"}', '{"1":" ","2":"y"}', "no")
+
+
+@query("regression_items", "select name, case k when 0 then 'dropped' else 'altered' end as status from (select n_name as name, n_nationkey % 2 as k from nation) x")
+def _(t: Tables) -> DataFrame:
+    part = lambda k, status: t.nation.filter(F.col("n_nationkey") % 2 == k).select(F.col("n_name").alias("name"), F.lit(status).alias("status"))
+    return quality.regression_items(part(0, "dropped"), part(1, "altered"))
+
+
+def _fetcher(url: str) -> tuple[int, str]:
+    """A server that is no server: its answer depends on the last digit of the address alone."""
+    last = int(url[-1])
+    if last == 7:
+        raise ConnectionError("down")
+    return {3: 404, 5: 503}.get(last, 200), f"<p>{url}</p>"
+
+
+@query("fetch_outcomes", """
+  select 'https://h/' || p_partkey as url, case p_partkey % 10 when 7 then 0 when 3 then 404 when 5 then 503 else 200 end as status,
+    case when p_partkey % 10 not in (3, 5, 7) then '<p>https://h/' || p_partkey || '</p>' end as html, case p_partkey % 10 when 7 then 'ConnectionError: down' when 3 then 'HTTP 404' when 5 then 'HTTP 503' end as error from part""")
+def _(t: Tables) -> DataFrame:
+    urls = t.part.select(F.concat(F.lit("https://h/"), F.col("p_partkey").cast("string")).alias("url"))
+    return ingest.fetch_pages(urls, _fetcher, delay=0.0)
+
+
+@query("full_checklist", """
+  select n_regionkey::varchar as key, n_name as name, 'concept' as type, 'w' as why from nation
+  union all select distinct n_regionkey::varchar, 'region ' || n_regionkey || ' has several nations', 'fact', 'a must-include fact of this article' from nation""")
+def _(t: Tables) -> DataFrame:
+    key = F.col("n_regionkey").cast("string").alias("key")
+    items = t.nation.select(key, F.col("n_name").alias("name"), F.lit("concept").alias("type"), F.lit("w").alias("why"), F.lit(None).cast("string").alias("relation"))
+    fact = F.concat(F.lit("region "), F.col("n_regionkey").cast("string"), F.lit(" has several nations"))
+    facts = t.nation.groupBy("n_regionkey").agg(F.count("*").alias("n")).select(key, F.array(fact, F.upper(fact)).alias("facts"))
+    return retrieval.full_checklist(items, facts).drop("relation")
+
+
 @query("html_strip", """
   select page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script>', ' ', 'g'), '(?is)<style\\b[^>]*>.*?</style>', ' ', 'g'),
     '(?is)<nav\\b[^>]*>.*?</nav>', ' ', 'g'), '(?is)<footer\\b[^>]*>.*?</footer>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[ \\t\\n\\r]+', ' ', 'g')) as text from pages""")
@@ -623,10 +854,13 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("tag_fingerprint", """
-  select page_id, lower(array_to_string(regexp_extract_all(html, '<([A-Za-z][A-Za-z0-9]*)', 1), ',')) as tags, array_to_string(regexp_extract_all(html, 'href="([^"]*)"', 1), ',') as hrefs, true as same from pages""")
+  select page_id, lower(array_to_string(regexp_extract_all(html, '<([A-Za-z][A-Za-z0-9]*)', 1), ',')) as tags, array_to_string(regexp_extract_all(html, 'href="([^"]*)"', 1), ',') as hrefs,
+    regexp_extract_all(lower(html), '<([a-z][a-z0-9]*)', 1) = regexp_extract_all(lower(other), '<([a-z][a-z0-9]*)', 1) and regexp_extract_all(html, 'href="([^"]*)"', 1) = regexp_extract_all(other, 'href="([^"]*)"', 1) as same
+  from (select *, case page_id % 3 when 0 then html when 1 then replace(html, '<p', '<div') else replace(html, 'href="', 'href="x') end as other from pages) p""")
 def _(t: Tables) -> DataFrame:
     html = F.col("html")
-    return t.pages.select("page_id", F.array_join(H.opening_tags(html), ",").alias("tags"), F.array_join(H.hrefs(html), ",").alias("hrefs"), H.same_structure(html, html).alias("same"))
+    other = F.expr("""case page_id % 3 when 0 then html when 1 then replace(html, '<p', '<div') else replace(html, 'href="', 'href="x') end""")
+    return t.pages.select("page_id", F.array_join(H.opening_tags(html), ",").alias("tags"), F.array_join(H.hrefs(html), ",").alias("hrefs"), H.same_structure(html, other).alias("same"))
 
 
 @query("html_text_blocks")
@@ -639,37 +873,42 @@ def _(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.explode(H.translatable_nodes("html")).alias("node")).select("page_id", "node.id", "node.text")
 
 
-_LD_ROWS = """
-  select 1 as page_id, '<script type="application/ld+json">{{"@type":"WebPage"}}</script><script type="application/ld+json">{{"@type":"NewsArticle","headline":"First","articleBody":"a","datePublished":"2024-01-01"}}</script>' as html
-  union all select 2, '<script type="application/ld+json">{{broken</script><script type="application/ld+json">[{{"@type":"NewsArticle","headline":"Second","articleBody":"b","datePublished":"2024-01-02"}}]</script>'
-  union all select 3, '<script type="application/ld+json">{{"@graph":[{{"@type":"Person"}},{{"@type":["NewsArticle","Thing"],"headline":"Third","articleBody":"c","datePublished":"2024-01-03"}}]}}</script>'
-  union all select 4, '<p>none</p>'
-  union all select cast(100 + n_nationkey as int), '<script type="application/ld+json">{{"@type":"NewsArticle","headline":"' || n_name || '","articleBody":"x","datePublished":"2023-01-01"}}</script>' from {nation}"""
+_LD_HTML = """
+  html || case page_id % 5
+    when 0 then '<script type="application/ld+json">{{"@type":"WebPage"}}</script><script type="application/ld+json">{{"@type":"NewsArticle","headline":"First ' || page_id || '","articleBody":"a","datePublished":"2024-01-01"}}</script>'
+    when 1 then '<script type="application/ld+json">{{broken</script><script type="application/ld+json">[{{"@type":"NewsArticle","headline":"Second","articleBody":"b","datePublished":"2024-01-02"}}]</script>'
+    when 2 then '<script type="application/ld+json">{{"@graph":[{{"@type":"Person"}},{{"@type":["NewsArticle","Thing"],"headline":"Third","articleBody":"c","datePublished":"2024-01-03"}}]}}</script>'
+    when 3 then '<p>none</p>' else '<script type="application/ld+json">{{"@type":"NewsArticle","headline":"' || page_id || '","articleBody":"x","datePublished":"2023-01-01"}}</script>' end"""
 
 
 @query("ldjson_extract", """
-  select 1::bigint as page_id, 'First' as headline, 'a' as body, '2024-01-01' as date_published union all select 2, 'Second', 'b', '2024-01-02' union all select 3, 'Third', 'c', '2024-01-03'
-  union all select 100 + n_nationkey, n_name, 'x', '2023-01-01' from nation""")
+  select page_id, case page_id % 5 when 0 then 'First ' || page_id when 1 then 'Second' when 2 then 'Third' else page_id::varchar end as headline, case page_id % 5 when 0 then 'a' when 1 then 'b' when 2 then 'c' else 'x' end as body,
+    case page_id % 5 when 0 then '2024-01-01' when 1 then '2024-01-02' when 2 then '2024-01-03' else '2023-01-01' end as date_published from pages where page_id % 5 <> 3""")
 def _(t: Tables) -> DataFrame:
-    rows = t.spark.sql(_LD_ROWS, nation=t.nation).withColumn("page_id", F.col("page_id").cast("long"))
-    return ingest.news_articles(rows).drop("author")
+    """Pages with structured data of several shapes put behind their own html."""
+    return ingest.news_articles(t.spark.sql(f"select page_id, {_LD_HTML} as html from {{pages}}", pages=t.pages)).drop("author")
 
 
-@query("article_dates", "select n_nationkey::bigint as page_id, '2024-01-01' as date_published, '2024-02-02' as date_modified from nation")
+@query("article_dates", """
+  select page_id, case page_id % 2 when 0 then '2024-01-01' else '2023-12-31' end as date_published, '2024-02-' || (10 + page_id % 19) as date_modified from pages""")
 def _(t: Tables) -> DataFrame:
-    block = '<script type="application/ld+json">{}</script>'
-    html = block.format('{"@type":"Article","datePublished":"2023-12-31","dateModified":"2024-02-02"}') + block.format('[{"@type":"Article","datePublished":"2024-01-01"},{"@type":"WebPage","dateModified":"1999-01-01"}]')
-    return ingest.article_dates(t.nation.select(F.col("n_nationkey").cast("long").alias("page_id"), F.lit(html).alias("html")))
+    block = lambda *parts: F.concat(F.lit('<script type="application/ld+json">'), *parts, F.lit("</script>"))
+    day = (F.col("page_id") % 19 + 10).cast("string")
+    first = block(F.lit('{"@type":"Article","datePublished":"2023-12-31","dateModified":"2024-02-'), day, F.lit('"}'))
+    later = block(F.lit('[{"@type":"Article","datePublished":"2024-01-01"},{"@type":"WebPage","dateModified":"1999-01-01"}]'))
+    html = F.concat("html", first, F.when(F.col("page_id") % 2 == 0, later).otherwise(F.lit("")))
+    return ingest.article_dates(t.pages.select("page_id", html.alias("html")))
 
 
-@query("payload_rows", "select n_nationkey::bigint as id, 'A \"' || n_name || '\"' as title, 'https://h/n/' || n_nationkey as url, 'x' as category from nation")
+@query("payload_rows", """select page_id as id, 'A "]) ' || page_id as title, 'https://h/n/' || page_id as url, 'x' as category from pages""")
 def _(t: Tables) -> DataFrame:
-    key = F.col("n_nationkey").cast("string")
-    html = F.concat(
-        F.lit(r'<script>self.__next_f.push([1,"0:null"])</script><script>self.__next_f.push([1,"5:{\"data\":[{\"id\":'), key, F.lit(r',\"title\":\" A \\\"'), F.col("n_name"),
-        F.lit(r'\\\" \",\"url\":\"https://h/n/'), key, F.lit(r'\",\"publishedAt\":\"2024-01-01\",\"category\":\"x\",\"keywords\":[\"a\",\"b\"]}],\"more\":[1]}"])</script>'),
+    """Rows in pushed chunks behind the pages' own html, with a blank before the string and its end inside a title."""
+    key = F.col("page_id").cast("string")
+    push = F.concat(
+        F.lit(r'<script>self.__next_f.push([1,"0:null"])</script><script>self.__next_f.push([1, "5:{\"data\":[{\"id\":'), key, F.lit(r',\"title\":\" A \\\"]) '), key,
+        F.lit(r' \",\"url\":\"https://h/n/'), key, F.lit(r'\",\"publishedAt\":\"2024-01-01\",\"category\":\"x\",\"keywords\":[\"a\",\"b\"]}],\"more\":[1]}"])</script>'),
     )
-    return ingest.payload_rows(t.nation.select(html.alias("html"))).select("id", "title", "url", "category")
+    return ingest.payload_rows(t.pages.select(F.concat("html", push).alias("html")), strict=True).select("id", "title", "url", "category")
 
 
 @query("offtopic_headings", """
@@ -712,7 +951,7 @@ _LINE = """case when n % 10 = 0 then '## ' || c || 'head' when n % 5 = 0 then '#
 
 
 @query("section_carry_forward", f"""
-  with raw as (select doc_id as doc, generate_subscripts(string_split(text, ' '), 1) - 1 as n, left(regexp_replace(unnest(string_split(text, ' ')), '[^A-Za-z]', '', 'g'), 20) as c from documents),
+  with raw as (select doc_id as doc, generate_subscripts(string_split(text, ' '), 1) - 1 as n, regexp_replace(unnest(string_split(text, ' ')), '[^A-Za-z]', '', 'g') as c from documents),
   l as (select doc, n, {_LINE} as line from raw),
   m as (select *, n % 10 = 0 as is2, n % 10 <> 0 and n % 5 = 0 as is3, n % 5 <> 0 and n % 3 = 1 as entry from l),
   s as (select *, last_value(case when is2 then trim(substring(line, 4)) end ignore nulls) over w as cur2, last_value(case when is2 then n end ignore nulls) over w as at2,
@@ -725,7 +964,7 @@ _LINE = """case when n % 10 = 0 then '## ' || c || 'head' when n % 5 = 0 then '#
     select doc, n, substring(line, 3, 10), trim(split_part(line, '|', 3)), false, null, cur2, 'table' from c where line like '| 2023%')
   select doc, n, date, title, inferred, url, section, source from (select *, row_number() over (partition by doc, date order by n) as k from e) x where k = 1""".replace("{{", "{").replace("}}", "}"))
 def _(t: Tables) -> DataFrame:
-    raw = t.documents.select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", " ")).alias("n", "w")).select("doc", F.col("n").cast("long").alias("n"), F.substring(F.regexp_replace("w", "[^A-Za-z]", ""), 1, 20).alias("c"))
+    raw = t.documents.select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", " ")).alias("n", "w")).select("doc", F.col("n").cast("long").alias("n"), F.regexp_replace("w", "[^A-Za-z]", "").alias("c"))
     return ingest.catalog_entries(raw.select("doc", "n", F.expr(_LINE).alias("line")))
 
 

@@ -159,10 +159,80 @@ def test_midpoint(spark):
 
 
 def test_translation_of_text_nodes(spark):
-    html = '<p>One <b>two</b></p><pre>keep</pre><figure class="graph-block x"><p>keep</p></figure>\n<p> three &amp; four</p>'
+    html = '<p>One <b>two</b></p><pre>code</pre><script>no</script><figure class="graph-block x"><p>keep</p></figure>\n<div class="graph-block">five</div><p> three &amp; four</p>'
     row = spark.createDataFrame([(html,)], "html string").select(H.translatable_nodes("html").alias("n")).first()
-    assert [(n.id, n.text.strip()) for n in row.n] == [("1", "One"), ("2", "two"), ("3", "three & four")]
-    done = spark.createDataFrame([(html, {"1": "Un", "3": "trois & quatre"})], "html string, t map<string,string>").select(H.apply_translations("html", "t").alias("x")).first().x
-    assert done == html.replace("One", "Un").replace("three &amp; four", "trois &amp; quatre")
-    pair = spark.createDataFrame([(html, done)], "a string, b string").select(H.same_structure(F.col("a"), F.col("b")).alias("x")).first()
-    assert pair.x
+    assert [(n.id, n.text.strip()) for n in row.n] == [("1", "One"), ("2", "two"), ("3", "code"), ("4", "five"), ("5", "three & four")]
+    put = lambda texts: spark.createDataFrame([(html, texts)], "html string, t map<string,string>").select(H.apply_translations("html", "t").alias("x")).first().x
+    done = put({"1": "Un", "2": "deux", "3": "code", "4": "cinq", "5": "trois & quatre"})
+    assert done == html.replace("One", "Un").replace("two", "deux").replace("five", "cinq").replace("three &amp; four", "trois &amp; quatre")
+    with pytest.raises(Exception, match="no translation of text node 2"):
+        put({"1": "Un", "3": "code", "4": "cinq", "5": "trois"})
+    same = lambda a, b: spark.createDataFrame([(a, b)], "a string, b string").select(H.same_structure(F.col("a"), F.col("b")).alias("x")).first().x
+    assert same(html, done) and not same(html, html.replace("<b>", "<i>"))
+
+
+def test_article_extraction_follows_the_selectors():
+    page = """<nav>menu</nav><nav class="navbar"><p>bar</p></nav><article class="article-body"><div data-lang="en"><div class="article-meta"><p>By me</p></div><h2>H</h2><p>one</p>
+      <div class="cta-section"><p>call</p></div><figure class="graph-block"><p>g</p></figure><footer><p>note</p></footer></div></article>
+      <div class="article-related"><a href="out-1.html">outside a list</a><ul><li><a href="in-1.html"><span data-lang="en">Inside</span><span>x</span></a></li><li><a href="in-1.html">again</a></li></ul></div>"""
+    record = ingest._article(page)
+    assert record["body_text"] == "H\n\none\n\nnote"
+    assert record["internal_links"] == [{"target_slug": "in-1", "link_text": "Inside"}]
+    assert H.text_blocks(H.strip_boilerplate(H.parse("<nav><p>kept</p></nav><footer class='footer'><p>x</p></footer>"))) == ["kept"]
+
+
+def test_payload_rows(spark):
+    row = '{"id":1,"title":" T \\"]) ","url":"u","publishedAt":"d","category":"c","keywords":["k"]}'
+    good = "self.__next_f.push([1, " + json.dumps('5:{"data":[' + row + '],"x":[1]}') + "])"
+    pages = spark.createDataFrame([("<script>self.__next_f.push([1,\"oops\\q\"])</script>" + good,), (good.replace("[1, ", "[1,"),)], "html string")
+    assert [(r.id, r.title) for r in ingest.payload_rows(pages, strict=True).collect()] == [(1, 'T "])')] * 2
+    none = spark.createDataFrame([("<p>nothing</p>",)], "html string")
+    assert ingest.payload_rows(none).count() == 0
+    with pytest.raises(Exception, match="no chunk of the page holds rows"):
+        ingest.payload_rows(none, strict=True).collect()
+
+
+def test_fetching(spark, tmp_path):
+    log = tmp_path / "log"
+
+    def fetcher(url):
+        with open(log, "a") as file:
+            file.write(url + "\n")
+        tries = open(log).read().split().count(url)
+        if url == "slow" and tries < 3:
+            raise TimeoutError("slow")
+        return {"gone": 404, "broken": 500, "blocked": 429}.get(url, 200), "body"
+
+    ask = lambda *urls: {r.url: (r.status, r.html, r.error) for r in ingest.fetch_pages(spark.createDataFrame([(u,) for u in urls], "url string"), fetcher, delay=0.01).collect()}
+    assert ask("fine", "slow", "gone", "broken") == {"fine": (200, "body", None), "slow": (200, "body", None), "gone": (404, None, "HTTP 404"), "broken": (500, None, "HTTP 500")}
+    seen = log.read_text().split()
+    assert [seen.count(u) for u in ("fine", "slow", "gone", "broken")] == [1, 3, 1, 3]
+    with pytest.raises(Exception, match="stopped by the server"):
+        ask("blocked")
+
+
+def test_only_slug(spark):
+    rows = spark.createDataFrame([("a",), ("b",)], "slug string")
+    assert ingest.only_slug(rows, "a").count() == 1
+    with pytest.raises(LookupError):
+        ingest.only_slug(rows, "c")
+
+
+def test_insert_figure(spark):
+    put = lambda html: one(spark, markup.insert_figure(F.col("h"), F.lit("<f>")), h=html)
+    assert put("") == "<f>" and put("<p>only text</p>") == "<p>only text</p><f>" and put("<h2></h2>") == "<h2></h2><f>"
+    assert put("<h2>Early</h2><p>" + "long " * 20 + "</p>") == "<h2>Early</h2><f><p>" + "long " * 20 + "</p>"
+    assert put("<h2>a</h2>\n<p>0123456789 &amp; <b>x</b></p>\n<h2 class='y'>b</h2><p>c</p><h2>d</h2>") == "<h2>a</h2>\n<p>0123456789 &amp; <b>x</b></p>\n<h2 class='y'>b</h2><f><p>c</p><h2>d</h2>"
+
+
+def test_closing_section_falls_back_to_the_first(spark):
+    page = lambda name: one(spark, markup.article_document("https://s", F.lit("a"), F.lit("T"), F.lit("s"), F.lit("<p>b</p>"), F.lit("W"), F.lit("2024-05-06"), F.lit("题"), F.lit("<p>文</p>"), {"x": "<i>X</i>", "y": "<i>Y</i>"}, F.lit(name).cast("string")), k=1)
+    assert "<i>Y</i>" in page("y") and "<i>X</i>" in page("unknown") and "<i>X</i>" in page(None) and '<div data-lang="zh"><p>文</p></div>' in page("y")
+
+
+def test_mirror(spark, tmp_path):
+    kept = store.Store(spark, str(tmp_path / "store"))
+    record = "slug string, filepath string, title string, summary string, body_text string, published_at string, last_updated string, status string, internal_links array<struct<target_slug:string,link_text:string>>"
+    store.ingest(kept, spark.createDataFrame([("a", "a.html", "A", "", "", None, None, "published", [])], record), "2024-01-01", str(tmp_path / "mirror"))
+    assert spark.read.json(str(tmp_path / "mirror" / "articles")).first().slug == "a"
+    assert spark.read.json(str(tmp_path / "mirror" / "meta")).first().article_count == 1

@@ -62,3 +62,49 @@ def test_select_topic(spark):
     assert [r.topic_id for r in selection.select_topic(scored).collect()] == [2]
     assert selection.no_topic_reason(scored.limit(0), scored, scored) == "the catalog is empty"
     assert selection.no_topic_reason(scored, scored, scored.filter("has_high")) == "every open entry duplicates an article"
+
+
+def test_whole_context(spark):
+    entities, edges, articles, links, _ = graph(spark)
+    topics = spark.createDataFrame([(1, "Stock Trading Course"), (2, "nothing known")], "topic_id long, topic string")
+    sources = spark.createDataFrame([(1, "On nothing known", "s-1", "c", None, "text", None)], "id long, title string, slug string, category string, keywords string, original_content string, status string")
+    candidates = spark.createDataFrame([(1, "Picking a Course", ""), (2, "", "index")], "candidate_id long, candidate_title string, candidate_slug string")
+    found = retrieval.retrieval_context(topics, entities, edges, articles, links, sources, candidates)
+    assert [(r.topic_id, r.note) for r in found["note"].collect()] == [(2, retrieval.NO_SEED)]
+    assert [(r.topic_id, r.slug) for r in found["sources"].collect()] == [(2, "s-1")]
+    assert {r.candidate_id: r.verdict for r in found["verdict"].collect()} == {1: "high", 2: "medium"}
+    assert {(r.topic_id, r.overlaps_specialised) for r in found["hierarchy"].collect()} == {(1, True), (2, False)}
+    assert "verdict" not in retrieval.retrieval_context(topics, entities, edges, articles, links, sources)
+
+
+def test_prefix_filter_loses_nothing(spark):
+    import random
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(12)] + ["common"]
+    rows = [(i, sorted({rng.choice(words) for _ in range(rng.randint(0, 8))})) for i in range(80)]
+    a, b = (spark.createDataFrame(rows, f"{k}_id long, {k}_tokens array<string>") for k in "ab")
+    for least in (0.3, 0.5, 0.8, 1.0):
+        pairs = {tuple(r) for r in retrieval.similar_candidates(a, b, least).collect()}
+        assert {(i, j) for i, x in rows for j, y in rows if x and y and len(set(x) & set(y)) >= least * len(set(x) | set(y))} <= pairs
+
+
+def test_stated_sets_go_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "BROADCAST_ROWS", 3)
+    asked = spark.range(10).withColumnRenamed("id", "key")
+    found = retrieval.against_all(spark.range(4), asked, "key")
+    assert found.distinct().count() == found.count() == 40 and "CartesianProduct" not in found._jdf.queryExecution().toString()
+
+
+def test_selection_gives_a_row_or_a_reason(spark):
+    scored = spark.createDataFrame([(1, "a", "2024-01-01", 0.9, False), (2, "b", "2024-02-01", 0.9, False), (3, "c", "2024-03-01", 1.0, True)], "topic_id long, title string, date string, gap double, has_high boolean")
+    none = scored.limit(0)
+    pick = lambda *tables: tuple(selection.selection(*tables).first())
+    assert pick(scored, scored, scored) == (2, "b", "2024-02-01", 0.9, None)
+    assert pick(none, none, none)[-1] == selection.EMPTY and pick(scored, none, none)[-1] == selection.USED and pick(scored, scored, scored.filter("has_high"))[-1] == selection.COVERED
+
+
+def test_numbering_needs_no_single_partition(spark):
+    rows = spark.range(1000).selectExpr("id * 7 % 1000 as k")
+    found = dedup.numbered(rows, "nth", "k")
+    assert [r.nth - r.k for r in found.collect()] == [1] * 1000
