@@ -10,7 +10,9 @@ through a bounded cache of merged pieces, and each token keeps its byte offset,
 which decoding is one gather from the vocabulary's bytes.
 
 Defined results: a null or empty text has no tokens and decodes to no bytes; very long
-texts are encoded whole; rows keep their order and repeated rows give repeated results.
+texts are encoded whole; of merges with one rank the leftmost goes first; rows keep their order
+and repeated rows give repeated results; a null doc_id is kept; an empty table gives no rows;
+columns other than doc_id and text may have any name.
 """
 
 from __future__ import annotations

@@ -25,8 +25,10 @@ whole run is hashed.
 
 Defined results: null and empty texts are never contaminated and null items never leak;
 items of numbers alone are skipped; an item_id with several texts leaks if any of them does;
-repeated rows of a doc_id count as one
-document; rows with a null doc_id are not reported.
+repeated rows of a doc_id count as one document; rows with a null doc_id are not reported;
+several alignments of one item count together, each window once; whole texts are searched,
+however long; without documents or items nothing is reported; columns other than doc_id, item_id
+and text may have any name.
 """
 
 from __future__ import annotations

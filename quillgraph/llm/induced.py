@@ -7,8 +7,9 @@ symbol. A tuple carries the suffix and the common prefix with its neighbour in t
 capped at ``depth``: of two induced neighbours it is one more than the least of those between
 the suffixes that induced them (a range minimum), and one if these begin with different
 symbols. Queues keep their tuples in memory up to a budget and beyond it in a file that has
-no name (it is gone with the task); all steps are blocks of numpy operations. Only the text
-itself is held in memory, two bytes for each suffix.
+no name (it is gone with the task); all steps are blocks of numpy operations. The text, two
+bytes for each suffix, and the positions and names of the S* suffixes are held in memory, so
+the caller deals what is larger over cells (``suffix_dedup``).
 
 Types: a suffix is S if it is smaller than the one behind it, else L; an S behind an L is
 S*. The S* suffixes are sorted by recursion: their substrings are sorted by induction and
