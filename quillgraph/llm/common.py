@@ -75,6 +75,12 @@ def discard(table: DataFrame) -> None:
     _delete(spark, path)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all tables that were materialised in this application; call it once results are stored."""
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """A block whose materialised tables are deleted at its end, but for those stored with the function it gets."""
