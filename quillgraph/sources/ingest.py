@@ -221,19 +221,22 @@ def catalog_entries(lines: DataFrame, doc: str = "doc") -> DataFrame:
     w = Window.partitionBy(doc).orderBy("n")
     entry = r"^\s*(?:\d+\.|-)\s+\*\*(\d{4}-\d{2}-\d{2})\s*(?:—|--)\s*(.+?)\*\*\s*$"
     table = r"^\|\s*(\d{4}-\d{2}-\d{2})\s*\|\s*(.+?)\s*\|\s*(.+?)\s*\|\s*$"
-    take = lambda pattern, group: F.nullif(F.regexp_extract("line", pattern, group), F.lit(""))
+    # A cheap test of a fixed part goes before each pattern, as most lines match none.
+    line = F.col("line")
+    hash_mark, stars, bar, dash = line.startswith("##"), line.contains("**"), line.startswith("|"), line.contains("-")
+    take = lambda guard, pattern, group: F.when(guard, F.nullif(F.regexp_extract("line", pattern, group), F.lit("")))
     marked = lines.select(
         doc,
         "n",
         "line",
-        F.trim(take(r"^##\s+(.+)$", 1)).alias("h2"),
-        F.trim(take(r"^###\s+(.+)$", 1)).alias("h3"),
-        take(entry, 1).alias("e_date"),
-        take(entry, 2).alias("e_title"),
-        take(table, 1).alias("t_date"),
-        F.trim(take(table, 2)).alias("t_title"),
-        take(r"(?i)^\s*-\s*URL:\s*(\S+)", 1).alias("url"),
-        F.regexp_like("line", F.lit(r"^\s*-\s")).alias("bullet"),
+        F.trim(take(hash_mark, r"^##\s+(.+)$", 1)).alias("h2"),
+        F.trim(take(hash_mark, r"^###\s+(.+)$", 1)).alias("h3"),
+        take(stars, entry, 1).alias("e_date"),
+        take(stars, entry, 2).alias("e_title"),
+        take(bar, table, 1).alias("t_date"),
+        F.trim(take(bar, table, 2)).alias("t_title"),
+        take(dash & F.lower("line").contains("url:"), r"(?i)^\s*-\s*URL:\s*(\S+)", 1).alias("url"),
+        (dash & F.regexp_like("line", F.lit(r"^\s*-\s"))).alias("bullet"),
     )
     heading = F.col("h2").isNotNull() | F.col("h3").isNotNull()
     breaks = F.col("e_date").isNotNull() | heading | ~F.col("bullet")
