@@ -157,8 +157,14 @@ def fit(docs: DataFrame) -> Model:
 
     # The smallest text hashes of each language: copies are one text, and no language is left out.
     hashed = known.filter(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
-    ranked = hashed.select("lang", "h").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= SAMPLE)
-    chosen = materialize(ranked, "language-sample", narrow=True)
+    distinct = materialize(hashed.select("lang", "h").distinct(), "text-hashes", narrow=True)
+    # Hashes are even, so a bound keeps about 4 * SAMPLE of a large language before its rows meet in one task to be ranked.
+    counts = distinct.groupBy("lang").agg(F.count("*").alias("n"))
+    low = F.pmod("h", F.lit(1 << 32))
+    bound = F.when(F.col("n") > 8 * SAMPLE, F.lit(4.0 * SAMPLE * (1 << 32)) / F.col("n")).otherwise(float(1 << 32))
+    few = distinct.join(F.broadcast(counts), "lang").filter(low < bound)
+    ranked = few.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(low, "h"))).filter(F.col("k") <= SAMPLE)
+    chosen = materialize(ranked.select("lang", "h", "k"), "language-sample", narrow=True)
     n_langs = chosen.select("lang").distinct().count()
     each = max(1, min(SAMPLE, MAX_SAMPLE // max(1, n_langs)))
 
