@@ -31,10 +31,11 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -51,12 +52,16 @@ HEADER_BYTES, FOOTER_BYTES, INDEX_HEAD_BYTES = struct.calcsize(HEADER), struct.c
 GAMMA = 2.0
 #: Bits between two stored counts of a hash index, a multiple of 8.
 RANK_BITS = 512
+#: Text bytes that are encoded together.
+ENCODE_BYTES = 1 << 21
 #: Bytes that a worker keeps of chunks and their ids, in each of two generations, and the longest chunk kept.
 CACHE_BYTES, CACHE_LENGTH = 48 << 20, 64
 #: What an entry takes beside its text and ids, about.
 _ENTRY_BYTES = 220
 ENDINGS = ".,;:!?"
 _ODD_SPACES = re.compile(r"\s \s|  ")
+#: What every text with odd spaces has; it is found faster.
+_SPACE_BEFORE = re.compile(r" \s")
 
 
 class MinimalPerfectHash:
@@ -174,9 +179,9 @@ class Encoder:
         piece and a token of its own, at which their ids are cut apart again. Chunks with
         white space where it would touch that line break go by themselves.
         """
-        plain = [c for c in chunks if c and "\n" not in c and c.strip() == c]
-        odd = [c for c in chunks if not c or "\n" in c or c.strip() != c]
+        odd = [c for c in chunks if not c or c.strip() != c or "\n" in c]
         out = dict(zip(odd, self._ids([lead + c for c in odd])))
+        plain = [c for c in chunks if c not in out] if odd else chunks
         groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
         for group, e in zip(groups, self.tokenizer.encode_batch_fast([lead + ("\n" + lead).join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(e.ids, self.kind)
@@ -190,35 +195,62 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Raw ids of each text, without special tokens."""
         out: list[bytes | None] = [None] * len(texts)
-        whole = [i for i, t in enumerate(texts) if not self.by_chunk or _ODD_SPACES.search(t) or any(a in t for a in self.added)]
+        whole = [i for i, t in enumerate(texts) if not self.by_chunk or (_SPACE_BEFORE.search(t) and _ODD_SPACES.search(t)) or any(a in t for a in self.added)]
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
-        split = {i: texts[i].split(" ") for i in range(len(texts)) if out[i] is None}
-        firsts = self._chunk_ids([chunks[0] for chunks in split.values()], "")
-        missing = set(chain.from_iterable(split.values())).difference(self.young)
-        if missing:
-            known = {c: self.old[c] for c in missing if c in self.old}
-            # A sign that ends a chunk behind a letter or digit is a piece of its own.
-            ended = {c for c in missing.difference(known) if c[-1:] in ENDINGS and c[-2:-1].isalnum()}
-            stems = {c[:-1] for c in ended}
-            need = list((missing.difference(known, ended) | stems).difference(self.young, known))
-            found = dict(zip(need, self._chunk_ids(need, " ")))
-            known.update(found)
-            for c in ended:
-                stem = c[:-1]
-                known[c] = (known.get(stem) or self.young[stem]) + self.endings[c[-1]]
-            self.young.update(known)
-        get = self.young.__getitem__
-        for (i, chunks), first in zip(split.items(), firsts):
-            out[i] = first + b"".join(map(get, chunks[1:]))
-        if missing:
-            for c in [c for c in known if len(c) > CACHE_LENGTH]:
-                del self.young[c]
-            self.held += sum(len(c) + len(ids) + _ENTRY_BYTES for c, ids in known.items() if len(c) <= CACHE_LENGTH)
-            if self.held > CACHE_BYTES:
-                self.old, self.young, self.held = self.young, {}, 0
+        rows = [i for i in range(len(texts)) if out[i] is None]
+        if rows:
+            for i, ids in zip(rows, self._by_chunks([texts[i] for i in rows])):
+                out[i] = ids
         return out  # type: ignore[return-value]
 
+    def _by_chunks(self, texts: list[str]) -> list[bytes]:
+        """Raw ids of texts whose single spaces open pieces.
+
+        All chunks are numbered at once; each distinct one is looked up once, and the ids of
+        all texts are gathered by those numbers.
+        """
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        ends = split.offsets.to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        code = coded.indices.to_numpy().astype(np.int64)
+        heads = np.zeros(code.size, bool)
+        heads[ends[:-1]] = True  # the first chunk of a text has no space before it
+        behind = np.zeros(len(coded.dictionary), bool)
+        behind[code[~heads]] = True
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist
+        get = self.young.get
+        ids = [get(c) if used else b"" for c, used in zip(chunks, behind.tolist())]
+        lacking = [k for k, x in enumerate(ids) if x is None]
+        known = self._encoded({chunks[k] for k in lacking}) if lacking else {}
+        for k in lacking:
+            ids[k] = known[chunks[k]]
+        code[ends[:-1]] = len(ids) + np.arange(len(texts))
+        ids += self._chunk_ids([chunks[k] for k in coded.indices.to_numpy()[ends[:-1]].tolist()], "")
+        for c, x in known.items():
+            if len(c) <= CACHE_LENGTH:
+                self.young[c] = x
+                self.held += len(c) + len(x) + _ENTRY_BYTES
+        if self.held > CACHE_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
+        size = np.array([len(x) for x in ids], np.int64) // self.width
+        pool, first, size = np.frombuffer(b"".join(ids), self.kind), (np.cumsum(size) - size)[code], size[code]
+        raw = pool[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))].tobytes()
+        cuts = (np.concatenate([[0], np.cumsum(size)])[ends] * self.width).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _encoded(self, missing: set[str]) -> dict[str, bytes]:
+        """Ids of chunks behind a space, from the older generation or the tokenizer, and of the stems it met."""
+        known = {c: self.old[c] for c in self.old.keys() & missing}
+        fresh = missing.difference(known)
+        # A sign that ends a chunk behind a letter or digit is a piece of its own.
+        ended = [c for c in fresh if c[-1:] in ENDINGS and c[-2:-1].isalnum()]
+        need = list(fresh.difference(ended).union([c[:-1] for c in ended]).difference(self.young, known))
+        known.update(zip(need, self._chunk_ids(need, " ")))
+        for c in ended:
+            known[c] = (known.get(c[:-1]) or self.young[c[:-1]]) + self.endings[c[-1]]
+        return known
+
 
 @lru_cache(maxsize=2)
 def _encoder(path: str, special_as_text: bool = False) -> Encoder:
@@ -240,7 +272,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id: int
         shard, attempt = context.partitionId(), context.taskAttemptId()
         target, sink, crc = "", None, 0
         keys, nulls, counts = array("q"), bytearray(), array("q")
-        for batch in sub_batches(batches, "text"):
+        for batch in sub_batches(batches, "text", ENCODE_BYTES):
             encoder = _encoder(tokenizer_path, special_as_text)
             if sink is None:
                 target = posixpath.join(out_dir, f"shard-{shard:06d}-{attempt}.qgtok")
