@@ -13,6 +13,9 @@ As names are told by their capitals, a copy in upper case, Title Case or lower c
 templates. So windows are made a second time from the case-folded text, where names are
 words, and an item leaks if its windows of either kind reach ``CONTAINMENT``.
 
+An item that leaks shares one of its rarer windows with the document (a prefix filter, exact), so windows
+that many items have in common make no pairs.
+
 The benchmark's distinct windows are counted first: up to ``BROADCAST_WINDOWS`` they are
 broadcast to drop other windows where the documents are read; beyond that all windows go
 to the same join.
@@ -39,15 +42,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix64, opened_rows, packed_rows, random_table, sub_batches, text_rows, utf8_buffers
+from .common import materialize, mix64, opened_rows, packed_rows, random_table, sub_batches, text_rows, utf8_buffers
 
 WINDOW, PLAIN = 5, 3
 CONTAINMENT = 0.35
 #: Share of an alignment's slot values that may be inconsistent.
 INCONSISTENT = 0.2
+#: Tasks that share the documents of one window.
+SALTS = 8
 #: Distinct benchmark windows (8 bytes each) that are broadcast at most.
 BROADCAST_WINDOWS = 1 << 20
 
@@ -366,8 +371,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMEN
     asked = _item_windows(items.dropDuplicates(["id", "text"]).withColumn("version", F.xxhash64("text"))).select(
         F.col("id").alias("item_id"), "version", "h", F.col("pos").alias("item_pos"), "n_windows", F.col("slots").alias("item_slots"), "kind", "anchor", "length"
     )
-    found = _windows(texts, _search(asked)).select(F.col("id").alias("doc_id"), "h", "pos", "slots")
-    matched = found.join(asked.drop("anchor", "length"), "h").dropDuplicates(["doc_id", "pos", "item_id", "version", "kind", "item_pos"])
+    asked = materialize(asked, "item-windows")
+    search = _search(asked)
+    found = _windows(texts, search).select(F.col("id").alias("doc_id"), "h", "pos", "slots")
+    if search.windows is None or search.anchors is None:
+        found = found.join(asked.select("h").distinct(), "h", "left_semi")
+    found = materialize(found, "found-windows", narrow=True)
+    # A leak holds at least a share of the item's windows, so it holds one of its rarer windows: those that many
+    # items share bring none together. The rows of one window are dealt over SALTS tasks.
+    key = ["item_id", "version", "kind"]
+    shared = asked.groupBy("h").agg(F.count("*").alias("n_items"))
+    order = Window.partitionBy(*key).orderBy("n_items", "h", "item_pos")
+    rare = asked.join(shared, "h").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= F.col("n_windows") - F.ceil(F.col("n_windows") * F.lit(containment) - F.lit(1e-9)) + 1)
+    salted = rare.select("h", *key, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    pairs = found.select("doc_id", "h", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")).join(salted, ["h", "salt"]).select("doc_id", *key).distinct()
+    windows = asked.drop("anchor", "length")
+    matched = found.join(pairs, "doc_id").join(windows, ["h", *key]).dropDuplicates(["doc_id", "pos", *key, "item_pos"])
     pair = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     aligned = (
         matched.withColumn("diagonal", F.col("pos") - F.col("item_pos"))
