@@ -89,7 +89,7 @@ def _blob(text: Column) -> Column:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    packer = zstandard.ZstdCompressor(level=1)
+    packer = zstandard.ZstdCompressor(level=6)
     for batch in sub_batches(batches, "text"):
         packed = [packer.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("blob"), pa.array(packed, pa.binary())], ["blob", "packed"])
