@@ -331,8 +331,10 @@ def _cross_links(rest: DataFrame, classes: DataFrame, linker: _Linker, nodes: Da
     task holds a group. Pairs of others are confirmed one by one, as are few members of the
     largest component near a class; for more of them that component's full sets are searched.
     """
-    members = rest.groupBy("rep").agg(F.first("comp").alias("comp"))
-    rows = materialize(prefix_rows(linker.sets.join(members, "rep"), linker.num, linker.den), "prefixes")
+    members = materialize(rest.groupBy("rep").agg(F.first("comp").alias("comp")), "members", narrow=True)
+    # The sets are read twice, so they are not shuffled where the members can be broadcast.
+    sets = linker.sets.join(F.broadcast(members), "rep") if members.count() <= BROADCAST_IDS else materialize(linker.sets.join(members, "rep"), "member-sets")
+    rows = materialize(prefix_rows(sets, linker.num, linker.den), "prefixes")
     several = rows.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n")).filter("c0 <> c1").select("bucket", "n")
     several = materialize(_with_salts(several, rows.count()), "prefix-groups", narrow=True)
     salted = _salted(rows, several).join(_spread(several.drop("n")), ["bucket", "salt"])
