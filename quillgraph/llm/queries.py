@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, filter_audit, hard_negatives, langid, media, secret_ledger, setsketch, suffix_dedup, token_store, toxicity, warc
+from . import bpe, decontam, filter_audit, hard_negatives, langid, media, rule_ensemble, secret_ledger, setsketch, suffix_dedup, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.score_held_out(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = _table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), F.col("embedding").alias("vector"))
@@ -78,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_media": op9_media,
         "op10_warc": op10_warc,
         "op11_filter_audit": op11_filter_audit,
+        "op12_rule_ensemble": op12_rule_ensemble,
         "op13_hard_negatives": op13_hard_negatives,
     }
 
