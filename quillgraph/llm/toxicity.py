@@ -7,7 +7,10 @@ repetition and obfuscation. Trees are boosted on a bounded sample of labelled ro
 isotonic regression over out-of-fold scores makes probabilities of them, weighted back
 to the share of toxic rows among all learnable labels.
 
-Sample bounds: ``SAMPLE`` rows of each label at most. Everything else covers all rows.
+Sample bounds: ``SAMPLE`` labelled rows of each label at most (those of the smallest hashes of
+doc_id); the lexicon, the trees and the calibration are all learned from these rows, and the
+lexicon has ``LEXICON`` learned entries at most, taken from one text of each group of near copies
+(the smallest). The share of toxic labels is counted over all labels, and every row is scored.
 
 A score is 0.98 of the calibrated probability and 0.02 of the uncalibrated one, which keeps the
 trees' order among the texts of one calibrated step.
@@ -17,7 +20,7 @@ text; whole texts are read, however long; without labels of both kinds every sco
 share of toxic labels (0 without any); of several labels of one document a toxic one counts;
 null labels and null doc_ids are not learned from, but rows with a null doc_id are scored;
 repeated rows get equal scores, and rows that repeat a doc_id are scored by their own texts
-(the smallest text is learned from); an empty table gives no rows; columns other than doc_id
+(the smallest text is learned from); scores do not depend on how rows are partitioned; an empty table gives no rows; columns other than doc_id
 and text may have any name.
 """
 
@@ -258,7 +261,8 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
             terms = [list(terms_of(t or "")) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(terms, pa.list_(pa.string()))], ["toxic", "terms"])
 
-    rows = sample.dropDuplicates(["group", "toxic"]).select("text", "toxic")
+    # One text for each group of near copies, the same however the rows are partitioned.
+    rows = sample.groupBy("group", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     seed = dict.fromkeys(sorted(SEED_LEXICON), SEED_ODDS)
@@ -282,7 +286,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], Model]:
     rows = text_rows(docs)
     known = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     known = materialize(known, "labels", narrow=True)
-    chosen = known.filter("toxic = 1").orderBy(F.xxhash64("doc_id")).limit(SAMPLE).unionByName(known.filter("toxic = 0").orderBy(F.xxhash64("doc_id")).limit(SAMPLE))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = known.filter("toxic = 1").orderBy(*order).limit(SAMPLE).unionByName(known.filter("toxic = 0").orderBy(*order).limit(SAMPLE))
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, "text"):
