@@ -45,6 +45,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 _SCRATCH: dict[str, list[str]] = {}
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path inside the shared folder that goes with the scratch tables."""
+    path = fresh_path(spark, name)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 
@@ -53,11 +60,10 @@ def materialize(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     of files follows their bytes and not the number of tasks that made them.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, name)
+    path = scratch_path(spark, name)
     if narrow:
         df = df.hint("rebalance")
     df.write.parquet(path)
-    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out

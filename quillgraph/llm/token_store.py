@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialize, mix64, sub_batches, text_rows
+from .common import scratch_path, materialize, mix64, sub_batches, text_rows
 
 MAGIC = b"QGTOK002"
 HEADER = "<8sII"  # magic, bytes of an id, end id
@@ -457,5 +457,5 @@ def fetch(spark: SparkSession, manifest: DataFrame, keys: DataFrame) -> DataFram
 
 def digests(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read back from freshly written shards."""
-    manifest = write_store(docs, tokenizer_path, fresh_path(docs.sparkSession, "token-shards"), end_id)
+    manifest = write_store(docs, tokenizer_path, scratch_path(docs.sparkSession, "token-shards"), end_id)
     return read_store(manifest, payload=False)

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, lean_workers, materialize, sub_batches
+from .common import scratch_path, lean_workers, materialize, sub_batches
 
 REVISIT_BYTES = 1000
 #: Compressed bytes of an archive after which the next one is begun.
@@ -225,7 +225,7 @@ def read_archives(manifest: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
 
 def report(pages: DataFrame, out_dir: str | None = None) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every page, read back from archives."""
-    manifest = write_archives(plan_records(pages), out_dir or fresh_path(pages.sparkSession, "warc"))
+    manifest = write_archives(plan_records(pages), out_dir or scratch_path(pages.sparkSession, "warc"))
     last = read_archives(manifest).filter("last")
 
     def page(column: str) -> Column:
