@@ -27,6 +27,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.errors import AnalysisException
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import fresh_path, lean_workers, materialize, packed_rows, sub_batches
+from .common import scratch_path, lean_workers, materialize, packed_rows, sub_batches
 
 
 @dataclass(frozen=True)
@@ -66,6 +67,9 @@ RULES = (
 #: Bytes of findings that are broadcast at most.
 BROADCAST_BYTES = 32 << 20
 
+#: New texts whose addresses (8 bytes each) are broadcast at most.
+NEW_BLOBS = 1 << 22
+
 #: Tasks that share the rows of one blob where findings are not broadcast.
 SALTS = 16
 
@@ -88,11 +92,41 @@ def _blob(text: Column) -> Column:
     return F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _head(blob: str) -> int:
+    return int(blob[:16], 16)
+
+
+def _pack(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """The texts compressed; only those whose address begins like one in ``wanted``, if given."""
     packer = zstandard.ZstdCompressor(level=6)
-    for batch in sub_batches(batches, "text"):
-        packed = [packer.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("blob"), pa.array(packed, pa.binary())], ["blob", "packed"])
+    for batch in batches:
+        if wanted is not None and batch.num_rows:
+            heads = np.array([_head(b) for b in batch.column("blob").to_pylist()], np.uint64)
+            spot = np.minimum(np.searchsorted(wanted, heads), max(len(wanted) - 1, 0))
+            batch = batch.filter(pa.array(wanted[spot] == heads if len(wanted) else np.zeros(len(heads), bool)))
+        for part in sub_batches([batch], "text"):
+            packed = [packer.compress((t or "").encode()) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("blob"), pa.array(packed, pa.binary())], ["blob", "packed"])
+
+
+def new_texts(rows: DataFrame, known: DataFrame | None) -> DataFrame:
+    """blob, packed of the rows (blob, text) whose address ``known`` (blob) lacks; copies are still there.
+
+    Addresses are compared first, so a known text is neither compressed nor shuffled. New ones
+    are broadcast by their first 8 bytes up to ``NEW_BLOBS``; beyond that all texts are
+    compressed before they are compared, with the same result.
+    """
+    spark = rows.sparkSession
+    if known is None:
+        return rows.mapInArrow(lambda batches: _pack(batches, None), "blob string, packed binary")
+    fresh = materialize(rows.select("blob").distinct().join(known.select("blob"), "blob", "left_anti"), "new-blobs", narrow=True)
+    wanted = None
+    if fresh.count() <= NEW_BLOBS:
+        heads = fresh.select(F.conv(F.substring("blob", 1, 16), 16, -10).cast("long").alias("head")).toArrow()["head"]
+        wanted = np.sort(heads.to_numpy().view(np.uint64))
+    shared = spark.sparkContext.broadcast(wanted)
+    packed = rows.mapInArrow(lambda batches: _pack(batches, shared.value), "blob string, packed binary")
+    return packed.join(known.select("blob"), "blob", "left_anti") if wanted is None else packed
 
 
 def _scan(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -125,11 +159,9 @@ def update(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULE
     schema = StructType([StructField(f.name, f.dataType, True) for f in addressed.schema])
 
     run = uuid.uuid4().hex
-    # Copies collapse before the shuffle, which moves compressed texts.
-    fresh = rows.select("blob", "text").mapInArrow(_pack, "blob string, packed binary").groupBy("blob").agg(F.first("packed").alias("packed"))
     known = _read(spark, f"{ledger_path}/blobs", BLOBS)
-    if known is not None:
-        fresh = fresh.join(known.select("blob"), "blob", "left_anti")
+    # Copies collapse before the shuffle, which moves compressed texts.
+    fresh = new_texts(rows.select("blob", "text"), known).groupBy("blob").agg(F.first("packed").alias("packed"))
     fresh.write.parquet(f"{ledger_path}/blobs/run={run}")
 
     held = _read(spark, f"{ledger_path}/versions", schema)
@@ -204,7 +236,7 @@ def report(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
 
     Without ``ledger_path`` a ledger is begun, which holds these documents alone.
     """
-    path = ledger_path or fresh_path(docs.sparkSession, "secret-ledger")
+    path = ledger_path or scratch_path(docs.sparkSession, "secret-ledger")
     scanned = scan_versions(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path)
 
     def count(kind: str) -> Column:
@@ -224,7 +256,7 @@ def redact(docs: DataFrame, mark: str = "<secret>", ledger_path: str | None = No
 
     Overlapping spans are replaced as one. Texts without a finding, null ones too, stay as they are.
     """
-    path = ledger_path or fresh_path(docs.sparkSession, "secret-ledger")
+    path = ledger_path or scratch_path(docs.sparkSession, "secret-ledger")
     update(docs.select(F.col("doc_id"), "text"), path)
     rows = packed_rows(docs, _blob(F.col("text")).alias("blob"))
     hit = _with_findings(rows, findings(docs.sparkSession, path))
