@@ -15,9 +15,16 @@ from .common import mix64
 
 #: Bytes that are hashed or compared at once.
 PIECE = 1 << 18
-_ODD = 0x9E3779B97F4A7C15 | 1
-_POWERS = np.concatenate([[1], np.full(PIECE, _ODD, np.uint64)]).astype(np.uint64).cumprod(dtype=np.uint64)
-_INVERSE = np.concatenate([[1], np.full(PIECE, pow(_ODD, -1, 1 << 64), np.uint64)]).astype(np.uint64).cumprod(dtype=np.uint64)
+_ODD = 0x9E3779B97F4A7C15
+
+
+def _powers(base: int) -> np.ndarray:
+    out = np.full(PIECE + 1, base, np.uint64)
+    out[0] = 1
+    return out.cumprod(dtype=np.uint64)
+
+
+_POWERS, _INVERSE = _powers(_ODD), _powers(pow(_ODD, -1, 1 << 64))
 
 
 def byte_class(members: bytes) -> np.ndarray:
