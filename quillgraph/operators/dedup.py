@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import article_id, canonical_url
+from ..storage import new_path
 
 
 def keep_first(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -15,40 +16,20 @@ def keep_first(rows: DataFrame, key: str, order: str) -> DataFrame:
     return first.unionByName(rows.filter(~F.coalesce(keyed, F.lit(False))))
 
 
-#: Rows for which one range is enough, and sampled rows for each range.
-ONE_RANGE, SAMPLED = 4096, 64
-
-
-def _bounds(rows: DataFrame, order: tuple[str, ...], parts: int) -> list:
-    """Keys that cut ``rows`` into about ``parts`` even ranges of ``order``, from a bounded sample."""
-    n = rows.count()
-    if n <= ONE_RANGE:
-        return []
-    sample = rows.select(*order).sample(min(1.0, SAMPLED * parts / n), seed=7).collect()
-    keys = sorted(sample, key=lambda r: tuple((x is not None, x) for x in r))
-    return [keys[len(keys) * i // parts] for i in range(1, parts)] if keys else []
-
-
 def numbered(rows: DataFrame, name: str, *order: str) -> DataFrame:
     """``rows`` with ``name``: 1, 2, 3 ... (long) in ``order``, which is unique.
 
-    Positions are counted in two levels, so no partition sees all rows: rows within ranges
-    of the order, then the sizes of the ranges. The ranges are fixed by keys that were drawn
-    once, so a row has the same range however often its partition is computed.
+    The rows are sorted and written once; a row's number is its place in its file behind the
+    rows of the files before it. So no task sees all rows, and a number stays whatever is computed again.
     """
-    bounds = _bounds(rows, order, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    part = F.lit(0)
-    if bounds:
-        fixed = F.array(*(F.struct(*(F.lit(x).cast(rows.schema[c].dataType).alias(c) for c, x in zip(order, key))) for key in bounds))
-        own = F.struct(*(F.col(c).alias(c) for c in order))
-        part = F.size(F.filter(fixed, lambda b: b <= own))
-    ranged = rows.withColumn("_part", part)
-    inner = ranged.withColumn("_within", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    # One row for each range.
-    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    placed = inner.join(F.broadcast(before), "_part")
-    return placed.select(*rows.columns, (F.col("_before") + F.col("_within")).cast("long").alias(name))
+    spark, path = rows.sparkSession, new_path(rows.sparkSession, "numbered")
+    rows.orderBy(*order).write.parquet(path)
+    kept = spark.read.schema(rows.schema).parquet(path).select(*(F.col(f"`{c}`") for c in rows.columns), F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    part = [F.regexp_extract("_file", p, 1).cast("int") for p in (r"part-(\d+)", r"-c(\d+)")]
+    # One row for each file.
+    sizes = kept.groupBy("_file").agg(F.count("*").alias("_n"))
+    before = sizes.select("_file", F.coalesce(F.sum("_n").over(Window.orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return kept.join(F.broadcast(before), "_file").select(*(F.col(f"`{c}`") for c in rows.columns), (F.col("_before") + F.col("_row") + 1).cast("long").alias(name))
 
 
 def chunk(rows: DataFrame, order: str, size: int) -> DataFrame:

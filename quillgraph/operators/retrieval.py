@@ -13,9 +13,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import jaccard, parse_keywords, round_half_up, tokens
 from ..schema import WEAK_RELATIONS
+from ..storage import new_path, stored
+from .containment import contained, first_hits, first_per
 
 #: Rows of a user-given side (topics, candidates) that are broadcast at most.
 BROADCAST_ROWS = 10_000
+#: Tasks that share the edges of one entity.
+SALTS = 8
 #: Slots in which tokens are counted for the order of the prefix filter.
 TOKEN_SLOTS = 1 << 16
 #: Fixed value: what is said of a topic without a seed.
@@ -66,23 +70,30 @@ def top_per_topic(df: DataFrame, limit: int, *order: Column) -> DataFrame:
 def seed_entities(entities: DataFrame, topics: DataFrame, limit: int = 8) -> DataFrame:
     """topic_id, id, name, type, score, reason, rank of the best matching entities.
 
-    1.0 equal, 0.9 one contains the other, 0.6 a topic token lies in the name.
+    1.0 equal, 0.9 one contains the other, 0.6 a topic token lies in the name. Names and topics meet
+    through an index of their rarest grams, so topics may be as many as entities. Blank names match nothing.
     """
-    low = F.lower("name")
-    score = (
-        F.when(low == F.col("topic_low"), 1.0)
-        .when(F.contains("topic_low", low) | F.contains(low, F.col("topic_low")), 0.9)
-        .when(F.exists("topic_tokens", lambda t: F.contains(low, t)), 0.6)
-    )
+    names = entities.select("id", F.lower("name").alias("low"))
+    asked = _topics(topics)
+    exact = names.join(asked, F.col("low") == F.col("topic_low")).select("topic_id", "id", F.lit(1.0).alias("score"))
+    topic = asked.select(F.col("topic_id").alias("hay_id"), F.col("topic_low").alias("hay"))
+    in_topic = contained(names.select(F.col("id").alias("needle_id"), F.col("low").alias("needle")), topic).select(F.col("hay_id").alias("topic_id"), F.col("needle_id").alias("id"), F.lit(0.9).alias("score"))
+    # Equal scores are in the order of ids, so of what one topic or one token finds the first ``limit`` are enough.
+    name = names.select(F.col("id").alias("hay_id"), F.col("low").alias("hay"))
+    in_name = first_per(contained(topic.select(F.col("hay_id").alias("needle_id"), F.col("hay").alias("needle")), name), "needle_id", "hay_id", limit)
+    in_name = in_name.select(F.col("needle_id").alias("topic_id"), F.col("hay_id").alias("id"), F.lit(0.9).alias("score"))
+    token = asked.select("topic_id", F.explode(F.array_distinct("topic_tokens")).alias("needle_id"))
+    by_token = first_per(contained(token.select("needle_id", F.col("needle_id").alias("needle")).distinct(), name), "needle_id", "hay_id", limit)
+    by_token = by_token.join(token, "needle_id").select("topic_id", F.col("hay_id").alias("id"), F.lit(0.6).alias("score"))
+    found = reduce(DataFrame.unionByName, [exact, in_topic, in_name, by_token]).groupBy("topic_id", "id").agg(F.max("score").alias("score"))
     named = F.concat(F.lit('entity name "'), F.col("name"), F.lit('" '))
     reason = (
         F.when(F.col("score") == 1.0, "exact match with topic")
         .when(F.col("score") == 0.9, F.concat(named, F.lit("overlaps with the topic text")))
         .otherwise(F.concat(named, F.lit("shares a keyword with the topic")))
     )
-    scored = against_all(entities, _topics(topics), "topic_id").withColumn("score", score).filter("score is not null")
-    best = top_per_topic(scored.select("topic_id", "id", "name", "type", "score"), limit, F.col("score").desc(), F.col("id"))
-    return best.withColumn("reason", reason)
+    best = top_per_topic(found, limit, F.col("score").desc(), F.col("id")).join(entities.select("id", "name", "type"), "id")
+    return best.select("topic_id", "id", "name", "type", "score", "rank").withColumn("reason", reason)
 
 
 def expand_related(entities: DataFrame, edges: DataFrame, seeds: DataFrame, max_hops: int = 1, include_weak: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -90,31 +101,41 @@ def expand_related(entities: DataFrame, edges: DataFrame, seeds: DataFrame, max_
 
     related: topic_id, id, name, type, hop, via, relation, visit. An entity is visited once;
     the first edge (edge_ord, source to target first) to reach it gives via and relation.
-    weak: topic_id, source, relation, target, hop, edge_ord. The loop is over hops, each a
-    plan of equi-joins; frontiers are joined, not collected.
+    weak: topic_id, source, relation, target, hop, edge_ord. Each hop is written, so the plan does
+    not grow by hops and small frontiers are broadcast by their known size; the loop ends with an
+    empty frontier. The edges of one entity are dealt over SALTS tasks.
     """
     ids = edges.select("edge_ord", "relation", F.col("source_entity_id").alias("s_id"), F.col("target_entity_id").alias("t_id"))
     forth = ids.select("*", F.lit(0).alias("way"), F.col("s_id").alias("from"), F.col("t_id").alias("id"))
     steps = forth.unionByName(ids.select("*", F.lit(1).alias("way"), F.col("t_id").alias("from"), F.col("s_id").alias("id")))
+    steps = steps.withColumn("salt", F.pmod("edge_ord", F.lit(SALTS)).cast("int"))
     is_weak = F.col("relation").isin(WEAK_RELATIONS)
 
     # Ids alone meet the frontier; names are joined to what was reached.
-    columns = ["topic_id", "id", "hop", "s_id", "relation", "t_id", "visit"]
+    spark, reached_path = seeds.sparkSession, new_path(seeds.sparkSession, "reached")
+    seeds = stored(seeds, "seeds")
     nothing = F.lit(None).cast("long")
-    visited = seeds.select("topic_id", "id", F.lit(0).alias("hop"), nothing.alias("s_id"), F.lit(None).cast("string").alias("relation"), nothing.alias("t_id"), F.col("rank").cast("long").alias("visit"))
-    frontier, weak = visited.select("topic_id", F.col("id").alias("from")), None
+    begun = seeds.select("topic_id", "id", F.lit(0).alias("hop"), nothing.alias("s_id"), F.lit(None).cast("string").alias("relation"), nothing.alias("t_id"), F.col("rank").cast("long").alias("visit"))
+    begun.write.parquet(reached_path)
+    visited = spark.read.schema(begun.schema).parquet(reached_path)
+    frontier, mets = seeds.select("topic_id", F.col("id").alias("from")), []
     for hop in range(1, max_hops + 1):
-        met = steps.join(frontier, "from")
-        if not include_weak:
-            seen = met.filter(is_weak).select("topic_id", "s_id", "relation", "t_id", F.lit(hop).alias("hop"), "edge_ord").distinct()
-            weak = seen if weak is None else weak.unionByName(seen)
-            met = met.filter(~is_weak)
-        new = met.join(visited.select("topic_id", "id"), ["topic_id", "id"], "left_anti")
+        spread = frontier.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = stored(steps.join(spread, ["from", "salt"]).select("topic_id", "edge_ord", "way", "relation", "s_id", "t_id", "id", F.lit(hop).alias("hop")), "met")
+        mets.append(met)
+        strong = met if include_weak else met.filter(~is_weak)
+        new = strong.join(visited.select("topic_id", "id"), ["topic_id", "id"], "left_anti")
         # A minimum per entity instead of a window: it is pre-aggregated before the shuffle.
         first = new.groupBy("topic_id", "id").agg(F.min(F.struct("edge_ord", "way", "relation", "s_id", "t_id")).alias("e"))
-        reached = first.select("topic_id", "id", F.lit(hop).alias("hop"), "e.s_id", "e.relation", "e.t_id", (F.col("e.edge_ord") * 2 + F.col("e.way")).alias("visit"))
-        visited = visited.unionByName(reached.select(columns))
+        reached = stored(first.select("topic_id", "id", F.lit(hop).alias("hop"), "e.s_id", "e.relation", "e.t_id", (F.col("e.edge_ord") * 2 + F.col("e.way")).alias("visit")), "frontier")
+        if reached.isEmpty():
+            break
+        reached.write.mode("append").parquet(reached_path)
+        visited = spark.read.schema(begun.schema).parquet(reached_path)
         frontier = reached.select("topic_id", F.col("id").alias("from"))
+    weak = None
+    if mets and not include_weak:
+        weak = reduce(DataFrame.unionByName, mets).filter(is_weak).select("topic_id", "s_id", "relation", "t_id", "hop", "edge_ord").distinct()
 
     names = entities.select("id", "name", "type")
     named = lambda df, how: df.join(names.select(F.col("id").alias("s_id"), F.col("name").alias("s_name")), "s_id", how).join(names.select(F.col("id").alias("t_id"), F.col("name").alias("t_name")), "t_id", how)
@@ -163,14 +184,18 @@ def near_duplicates(summaries: DataFrame, seeds: DataFrame, high: float = 0.6, m
 def title_slug_similarity(articles: DataFrame, candidates: DataFrame, title_least: float = 0.3, slug_above: float = 0.0) -> DataFrame:
     """Pairs (candidate_id, article_id) with title_similarity (Jaccard of tokens) and slug_similarity (1, 0.7, 0).
 
-    Titles meet through an inverted index of their rarest tokens (a prefix filter); slugs are
-    compared by containment against the candidates, in broadcast blocks.
+    Titles meet through an inverted index of their rarest tokens (a prefix filter), slugs through
+    one of their rarest grams.
     """
     a = articles.select(F.col("id").alias("a_id"), F.lower(F.coalesce("slug", F.lit(""))).alias("a_slug"), F.array_distinct(tokens(F.coalesce("title", F.lit("")))).alias("a_tokens"))
     c = candidates.select(F.col("candidate_id").alias("b_id"), F.lower(F.trim(F.coalesce("candidate_slug", F.lit("")))).alias("c_slug"), F.array_distinct(tokens(F.coalesce("candidate_title", F.lit("")))).alias("b_tokens"))
-    slug = F.when(F.col("a_slug") == F.col("c_slug"), 1.0).when(F.contains("a_slug", F.col("c_slug")) | F.contains("c_slug", F.col("a_slug")), 0.7)
-    slugged = against_all(a.filter("a_slug <> ''").select("a_id", "a_slug"), c.filter("c_slug <> ''").select("b_id", "c_slug"), "b_id")
-    by_slug = slugged.withColumn("slug_similarity", slug).filter("slug_similarity is not null").select("a_id", "b_id", "slug_similarity")
+    theirs = a.filter("a_slug <> ''").select(F.col("a_id").alias("hay_id"), F.col("a_slug").alias("hay"))
+    ours = c.filter("c_slug <> ''").select(F.col("b_id").alias("hay_id"), F.col("c_slug").alias("hay"))
+    needle = lambda side: side.select(F.col("hay_id").alias("needle_id"), F.col("hay").alias("needle"))
+    equal = ours.withColumnRenamed("hay_id", "b_id").join(theirs.withColumnRenamed("hay_id", "a_id"), "hay").select("a_id", "b_id", F.lit(1.0).alias("slug_similarity"))
+    inside = contained(needle(ours), theirs).select(F.col("hay_id").alias("a_id"), F.col("needle_id").alias("b_id"))
+    around = contained(needle(theirs), ours).select(F.col("needle_id").alias("a_id"), F.col("hay_id").alias("b_id"))
+    by_slug = equal.unionByName(inside.unionByName(around).withColumn("slug_similarity", F.lit(0.7)))
     # Two digits are compared, so what rounds up to the threshold counts.
     by_title = similar_candidates(a, c, max(title_least - 0.005, 1e-6)).withColumn("slug_similarity", F.lit(0.0))
     pairs = by_slug.unionByName(by_title).groupBy("a_id", "b_id").agg(F.max("slug_similarity").alias("slug_similarity"))
@@ -193,14 +218,10 @@ def candidate_sources(sources: DataFrame, topics: DataFrame, keyword: str | None
     rows = filter_facets(rows, keyword, category)
     blank = topics.select("topic_id", F.lower(F.trim(F.coalesce("topic", F.lit("")))).alias("topic_low"))
     asked = blank.withColumn("topic_tokens", tokens("topic_low"))
-    title, body = F.lower(F.coalesce("title", F.lit(""))), F.lower(F.coalesce("original_content", F.lit("")))
-    some = lambda text: F.exists("topic_tokens", lambda t: F.contains(text, t))
-    score = (
-        F.when((F.col("topic_low") != "") & F.contains(title, F.col("topic_low")), 1.0)
-        .when(F.exists("keys", lambda k: F.exists("topic_tokens", lambda t: F.contains(k, t))), 0.8)
-        .when(some(F.col("cat")), 0.6)
-        .when(some(body), 0.4)
-    )
+    if keyword or category:
+        scored = _facet_scores(rows, asked)
+    else:
+        scored = _source_scores(rows, asked, limit)
     reason = (
         F.when(F.col("score") == 1.0, "topic appears in the title")
         .when(F.col("score") == 0.8, "shares a keyword tag with the topic")
@@ -208,12 +229,38 @@ def candidate_sources(sources: DataFrame, topics: DataFrame, keyword: str | None
         .when(F.col("score") == 0.4, "topic keyword appears in the body text")
         .otherwise("matches the facet")
     )
-    if keyword or category:
-        score = F.coalesce(score, F.lit(0.5))
-    scored = against_all(rows, asked, "topic_id").withColumn("score", score).filter("score is not null").select("topic_id", "id", "title", "slug", "category", "score")
     return top_per_topic(scored, limit, F.col("score").desc(), F.col("id")).withColumn("reason", reason)
 
 
+def _source_scores(rows: DataFrame, asked: DataFrame, limit: int) -> DataFrame:
+    """The sources that may be among the first ``limit`` of a topic: every text is read once for all topics' words."""
+    texts = rows.select("id", F.lower("title").alias("title"), F.array_join("keys", "\0").alias("keys"), "cat", F.lower("original_content").alias("body"))
+    whole = asked.select("topic_id", F.col("topic_low").alias("pattern"), F.lit(1.0).alias("score"), F.lit(0).alias("search"))
+    token = asked.select("topic_id", F.explode(F.array_distinct("topic_tokens")).alias("pattern"))
+    levels = F.explode(F.array(*(F.struct(F.lit(k).alias("search"), F.lit(x).alias("score")) for k, x in ((1, 0.8), (2, 0.6), (3, 0.4)))))
+    wanted = whole.unionByName(token.withColumn("l", levels).select("topic_id", "pattern", "l.score", "l.search"))
+    words = token.select("pattern").distinct()
+    hits = first_hits(texts, [("title", whole.select("pattern")), ("keys", words), ("cat", words), ("body", words)], limit)
+    found = hits.join(wanted, ["search", "pattern"]).groupBy("topic_id", "id").agg(F.max("score").alias("score"))
+    # Only what can be shown meets the table again.
+    few = top_per_topic(found, limit, F.col("score").desc(), F.col("id")).drop("rank")
+    return rows.select("id", "title", "slug", "category").join(few, "id").select("topic_id", "id", "title", "slug", "category", "score")
+
+
+def _facet_scores(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """Every row that passed a facet beside every topic, at least with the facet's score."""
+    title, body = F.lower(F.coalesce("title", F.lit(""))), F.lower(F.coalesce("original_content", F.lit("")))
+    some = lambda text: F.exists("topic_tokens", lambda t: F.contains(text, t))
+    score = (
+        F.when((F.col("topic_low") != "") & F.contains(title, F.col("topic_low")), 1.0)
+        .when(F.exists("keys", lambda k: F.exists("topic_tokens", lambda t: F.contains(k, t))), 0.8)
+        .when(some(F.col("cat")), 0.6)
+        .when(some(body), 0.4)
+        .otherwise(0.5)
+    )
+    return against_all(rows, asked, "topic_id").select("topic_id", "id", "title", "slug", "category", score.alias("score"))
+
+
 def filter_facets(rows: DataFrame, keyword: str = "", category: str = "") -> DataFrame:
     """Rows whose lower-case ``keys`` (any) and ``cat`` contain the facets; a blank facet filters nothing."""
     if keyword.strip():
@@ -304,12 +351,12 @@ def retrieval_context(
     """The composed retrieval for all topics: seeds, related, weak, summaries, duplicates, links, checklist, hierarchy, sources, note, and verdict where candidates are given.
 
     Topics without a seed have no rows in the parts that follow from one, and a note. What several parts
-    use is kept by Spark once it is computed; ``DataFrame.unpersist`` lets it go.
+    use is written once to the shared folder (``storage.clear`` deletes it).
     """
-    seeds = seed_entities(entities, topics, seed_limit).persist()
+    seeds = stored(seed_entities(entities, topics, seed_limit), "seeds")
     related, weak = expand_related(entities, edges, seeds, max_hops, include_weak)
-    related = related.persist()
-    summaries = article_summaries(articles, article_entities, related).persist()
+    related = stored(related, "related")
+    summaries = stored(article_summaries(articles, article_entities, related), "summaries")
     duplicates = near_duplicates(summaries, seeds, high, medium)
     out = {
         "seeds": seeds,

@@ -70,8 +70,8 @@ class Tables:
                 inputs = {t: getattr(self, t) for t in used}
                 if name in NUMBERED:
                     rows, number, order, columns = NUMBERED[name]
-                    # A store holds these as tables, so they are computed once here too.
-                    self.made[name] = numbered(self.spark.sql(rows, **inputs), number, *order).select(columns).persist()
+                    # A store holds these as tables; they are written once here too.
+                    self.made[name] = numbered(self.spark.sql(rows, **inputs), number, *order).select(columns)
                 else:
                     self.made[name] = self.spark.sql(VIEWS[name], **inputs)
             else:
