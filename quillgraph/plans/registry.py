@@ -988,3 +988,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+from . import whole  # noqa: E402, F401  (registers its queries)
