@@ -16,6 +16,7 @@ from ..functions import text as T
 from ..functions.urls import canonical_url, source_slug
 from ..operators import contracts, graph, prompts, quality, retrieval, store
 from ..sources.ingest import news_articles
+from ..storage import stored
 
 TARGET_WORDS = 2200
 
@@ -181,29 +182,94 @@ def publish_gate(due: bool, topic: str | None, slug_taken: bool, duplicate: str,
     return "coverage-gap" if draft["missing"] else "ok"
 
 
-def publish(kept: store.Store, article: DataFrame, translate: Callable[[DataFrame], DataFrame], extract: Callable[[store.Store], None]) -> str:
-    """Translate an article (a row of the store's articles), commit it and extract its graph: ok, translation-failed or graph-extraction-failed.
+class GateClosed(Exception):
+    """A gate of a publishing run that closed: its status and why."""
 
-    A failed translation writes nothing. If extraction fails, what was committed since is rolled back.
+    def __init__(self, status: str, reason: str):
+        super().__init__(reason)
+        self.status, self.reason = status, reason
+
+
+def publish_article(kept: store.Store, article: DataFrame, translate: Callable[[DataFrame], DataFrame], extract: Callable[[store.Transaction], None], files: Callable[[store.Transaction, DataFrame], dict[str, str]] | None = None) -> Row:
+    """Row(status, reason, version) of an article's publication: translation, store, graph and files in one commit.
+
+    status: ok, translation-failed or graph-extraction-failed, with the error's text. ``translate``
+    gives the row to be stored; ``files`` the page, listing and sitemap by name, seen together with
+    it; ``extract`` changes the graph in the same transaction. Nothing is visible before all of it
+    is committed, so a failure leaves tables and files as they were. Errors of the commit itself are raised.
     """
-    before = kept.version
-    try:
-        translated = translate(article)
-        ready = store.upsert(kept.read("articles"), translated.withColumn("ord", F.col("slug")), "slug", "ord")
-        kept.commit({"articles": ready})
-    except Exception:
-        if kept.version != before:
-            kept.rollback(before)
-        return "translation-failed"
+
+    def change(tx: store.Transaction) -> None:
+        try:
+            translated = stored(translate(article), "translated")
+        except Exception as error:
+            raise GateClosed("translation-failed", f"{type(error).__name__}: {error}") from error
+        tx.upsert("articles", translated.withColumn("ord", F.col("slug")), "slug", "ord")
+        for name, text in (files(tx, translated) if files else {}).items():
+            tx.put_file(name, text)
+        try:
+            extract(tx)
+        except Exception as error:
+            raise GateClosed("graph-extraction-failed", f"{type(error).__name__}: {error}") from error
+
     try:
-        extract(kept)
-    except Exception:
-        if before:
-            kept.rollback(before)
-        else:
-            kept.commit({"articles": kept.read("articles").limit(0)})
-        return "graph-extraction-failed"
-    return "ok"
+        return Row(status="ok", reason=None, version=kept.transact(change))
+    except GateClosed as closed:
+        return Row(status=closed.status, reason=closed.reason, version=kept.version)
+
+
+def publish(kept: store.Store, article: DataFrame, translate: Callable[[DataFrame], DataFrame], extract: Callable[[store.Transaction], None]) -> str:
+    """The status of ``publish_article`` without files."""
+    return publish_article(kept, article, translate, extract)["status"]
+
+
+def site_files(tx: store.Transaction, document: Row, listing: str = "articles.html", sitemap: str = "sitemap.xml") -> dict[str, str]:
+    """The files that publishing one assembled document (slug, html, card, sitemap_url) changes.
+
+    The card goes to the head of the listing's grid and the URL to the end of the sitemap; a
+    missing listing or sitemap, or one without its frame, is an error.
+    """
+    changed = {f"articles/{document['slug']}.html": document["html"]}
+    for name, part in ((listing, document["card"]), (sitemap, document["sitemap_url"])):
+        text = tx.file(name)
+        if text is None:
+            raise LookupError(f"{name} is not among the store's files")
+        edit = M.insert_card if name == listing else M.insert_url
+        changed[name] = tx.spark.createDataFrame([(text, part)], "text string, part string").select(edit(F.col("text"), F.col("part"))).first()[0]
+    return changed
+
+
+def publishing_run(
+    kept: store.Store, candidates: DataFrame, checklists: DataFrame, writer: Callable[[str], str], reviewer: Callable[[str], str], translate: Callable[[DataFrame], DataFrame],
+    extract: Callable[[store.Transaction], None], site: str, author: str, published: str, due: bool = True, force: bool = False, target: int = TARGET_WORDS,
+) -> Row:
+    """Row(status, reason, slug, version) of one whole run, one of the nine statuses; only ``ok`` changes the store.
+
+    candidates: key, topic, gap of selectable topics (the best one is taken; none closes the run).
+    The gates are: due, topic, slug, duplicate risk, review of the draft, open items, translation, extraction.
+    """
+    chosen = None if not (due or force) else candidates.orderBy(F.desc("gap"), "key").select("key", "topic", T.slugify_topic("topic").alias("slug")).first()
+    slug = chosen["slug"] if chosen else None
+    taken, duplicate, draft = False, "none", None
+    if chosen:
+        articles = kept.read("articles")
+        taken = not articles.filter(F.col("slug") == slug).isEmpty()
+        asked = kept.spark.createDataFrame([(1, chosen["topic"], slug)], "candidate_id long, candidate_title string, candidate_slug string")
+        duplicate = "none" if taken else duplicate_verdict(asked, articles).first()["verdict"]
+    status = publish_gate(due or force, chosen and chosen["topic"], taken, duplicate, Row(error=None, missing=[]))
+    if status != "ok":
+        return Row(status=status, reason=None, slug=slug, version=kept.version)
+    topic = kept.spark.createDataFrame([(chosen["key"], chosen["topic"])], "key string, topic string")
+    drafts = stored(write_with_review(topic, checklists.filter(F.col("key") == chosen["key"]), writer, reviewer, target), "drafts")
+    draft = drafts.first()
+    status = publish_gate(True, chosen["topic"], False, duplicate, draft)
+    if status != "ok":
+        reason = draft["error"] if status == "coverage-review-failed" else ", ".join(draft["missing"])
+        return Row(status=status, reason=reason, slug=slug, version=kept.version)
+    document = assemble(drafts.select("key", "draft"), site, author, published).first()
+    row = drafts.select(F.lit(document["slug"]).alias("slug"), F.lit(f"articles/{document['slug']}.html").alias("filepath"), "draft.title", "draft.summary", F.col("body").alias("body_text"), F.lit(published).alias("published_at"), F.lit(published).alias("last_updated"), F.lit("published").alias("status"))
+    done = publish_article(kept, row, translate, extract, lambda tx, _: site_files(tx, document))
+    return Row(status=done["status"], reason=done["reason"], slug=document["slug"], version=done["version"])
 
 
 def duplicate_verdict(candidates: DataFrame, articles: DataFrame) -> DataFrame:
