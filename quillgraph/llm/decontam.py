@@ -21,13 +21,18 @@ broadcast to drop other windows where the documents are read; beyond that all wi
 to the same join.
 
 Windows need ``PLAIN`` words that are no placeholders. Items without such a window (dense in
-slots, or shorter) are matched exactly: the hash of their whole sequence of case-folded raw
-tokens is joined with the runs of as many tokens of the documents, so every value must be
-equal. Documents are searched for the first ``WINDOW`` tokens of such an item before the
-whole run is hashed.
+slots, or shorter) are matched as a whole run: the hash of all their template tokens is joined
+with the runs of as many template tokens of the documents, and the slots must be consistent. Such
+a run needs ``DENSE_TOKENS`` tokens of which ``DENSE_PLAIN`` are plain words, as little else
+tells it from chance. An item's first word may be a name that only its place at the head of a
+sentence hides, so items of up to ``SHORT`` tokens are matched as a whole run a second time with
+capitals at such places as names, against runs of both readings of the documents and of their case-folded text. Whatever its
+words, an item without a window is also matched exactly by its case-folded raw tokens. Items of
+numbers alone leak only into documents that consist of the same numbers. Documents are searched
+for the first ``WINDOW`` tokens of a run before the whole run is hashed.
 
 Defined results: null and empty texts are never contaminated and null items never leak;
-items of numbers alone are skipped; an item_id with several texts leaks if any of them does;
+an item_id with several texts leaks if any of them does;
 repeated rows of a doc_id count as one document; rows with a null doc_id are not reported;
 several alignments of one item count together, each window once; whole texts are searched,
 however long; without documents or items nothing is reported; columns other than doc_id, item_id
@@ -49,6 +54,8 @@ from .common import materialize, mix64, opened_rows, packed_rows, random_table,
 
 WINDOW, PLAIN = 5, 3
 CONTAINMENT = 0.35
+#: Tokens and plain words of an item that is matched as a whole run, and tokens of one whose first word is also tried as a name.
+DENSE_TOKENS, DENSE_PLAIN, SHORT = 4, 2, 8
 #: Share of an alignment's slot values that may be inconsistent.
 INCONSISTENT = 0.2
 #: Tasks that share the documents of one window.
@@ -73,6 +80,8 @@ _SLOTS = random_table(4, 24)
 _STRIDE, _RUN = random_table(2, 25) | np.uint64(1)
 #: Windows of the two kinds do not meet.
 _FOLDED = random_table(1, 26)[0]
+#: Nor do runs of templates, of raw tokens, and whole texts of numbers.
+_DENSE, _NUMBERS = random_table(2, 27)
 _BACK = np.uint64(pow(int(_STRIDE), -1, 1 << 64))
 
 
@@ -109,10 +118,11 @@ _UNIT_HASHES = _text_hashes(UNITS)
 class Templates:
     """Template tokens of many texts: ``value`` (placeholder or word), ``raw`` value, ``kind``, and n + 1 offsets.
 
-    Without ``names`` capitalised words are words, and every token is one of its own.
+    Without ``names`` capitalised words are words, and every token is one of its own; with
+    ``heads`` they are names at the head of a sentence too.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, names: bool = True):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, names: bool = True, heads: bool = False):
         n = data.size
         digit, letter = _DIGIT[data], _LETTER[data]
         # A point or comma between two digits belongs to the number.
@@ -150,7 +160,7 @@ class Templates:
         capital = _capitals()[point] & (high < 0xF0)
         token = np.where(digit[starts], np.uint8(NUMBER), np.uint8(WORD))
         if names:
-            token[capital & ~sentence & (token == WORD)] = NAME
+            token[capital & (~sentence | heads) & (token == WORD)] = NAME
         behind = np.concatenate([[False], token[:-1] == NUMBER]) & ~opens
         token[behind & (token != NUMBER) & np.isin(raw, _UNIT_HASHES)] = UNIT
         keep = np.ones(starts.size, bool)
@@ -182,17 +192,25 @@ class Templates:
 _WINDOWS = "id long, h long, pos int, n_windows int, slots array<long>"
 #: ``length``: tokens of the window or the run; ``anchor``: hash of the first tokens of a run.
 _ITEMS = _WINDOWS + ", version long, kind int, length int, anchor long"
-NAMED, FOLDED, EXACT = range(3)
+#: Runs: of raw tokens, of template tokens in both readings of an item's head, and numbers alone.
+NAMED, FOLDED, EXACT, DENSE, HEADED, NUMBERS = range(6)
+
+
+class Wanted(NamedTuple):
+    """Runs that documents are searched for."""
+
+    anchors: tuple[np.ndarray, np.ndarray] | None  # (hash of the first tokens, length), sorted by hash; None if too many
+    lengths: list[int]
 
 
 class Search:
     """What documents are searched for; ``None`` where it is too much to be broadcast."""
 
-    def __init__(self, sizes: dict[int, list[int]], windows: np.ndarray | None, anchors: tuple[np.ndarray, np.ndarray] | None, lengths: list[int]):
+    def __init__(self, sizes: dict[int, list[int]], windows: np.ndarray | None, exact: Wanted, dense: Wanted, numbers: bool):
         self.sizes = sizes  # of the items' windows, by kind
         self.windows = windows  # sorted hashes
-        self.anchors = anchors  # (hash of the first tokens, length), sorted by hash
-        self.lengths = lengths  # of all items matched exactly
+        self.exact, self.dense = exact, dense  # runs of raw and of template tokens
+        self.numbers = numbers  # whether an item consists of numbers alone
 
 
 def folded(text: pa.Array) -> Templates:
@@ -212,27 +230,37 @@ class Runs:
         return mix64(inner + length.astype(np.uint64) * _RUN)
 
 
-def _exact_items(made: Templates, open_items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, hash, hash of the first tokens, length) of the ``open_items`` that have letters."""
-    begin, length = made.offsets[:-1], np.diff(made.offsets)
-    letters = np.concatenate([[0], np.cumsum(made.kind != NUMBER)])
-    text = np.flatnonzero(open_items & (letters[begin + length] > letters[begin]))
-    begin, length, runs = begin[text], length[text], Runs(made.raw)
+def _item_runs(made: Templates, tokens: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, hash of the first tokens, length) of the whole runs of ``chosen`` texts."""
+    text = np.flatnonzero(chosen)
+    begin, length, runs = made.offsets[:-1][text], np.diff(made.offsets)[text], Runs(tokens)
     return text, runs(begin, length), runs(begin, np.minimum(length, WINDOW)), length
 
 
-def _exact_runs(made: Templates, search: Search) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, hash, position, length) of the documents' runs that may be an item matched exactly."""
+def _count(made: Templates, kinds: np.ndarray) -> np.ndarray:
+    """How many tokens of each text ``kinds`` marks."""
+    total = np.concatenate([[0], np.cumsum(kinds)])
+    return total[made.offsets[1:]] - total[made.offsets[:-1]]
+
+
+def _dense(made: Templates) -> np.ndarray:
+    """Texts that may be matched as a whole run of template tokens."""
+    plain = _count(made, made.kind == WORD)
+    return (np.diff(made.offsets) >= DENSE_TOKENS) & (plain >= DENSE_PLAIN) & (plain < np.diff(made.offsets))
+
+
+def _document_runs(made: Templates, tokens: np.ndarray, wanted: Wanted) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, position, length) of the documents' runs that may be a wanted one."""
     text = np.repeat(np.arange(len(made.offsets) - 1), np.diff(made.offsets))
-    at, left, runs = np.arange(text.size), made.offsets[text + 1] - np.arange(text.size), Runs(made.raw)
+    at, left, runs = np.arange(text.size), made.offsets[text + 1] - np.arange(text.size), Runs(tokens)
     begins, lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    if search.anchors is None:
-        for n in search.lengths:
+    if wanted.anchors is None:
+        for n in wanted.lengths:
             begins.append(at[left >= n])
             lengths.append(np.full(begins[-1].size, n))
     else:
-        anchors, wanted = search.anchors
-        for n in sorted({min(n, WINDOW) for n in search.lengths}):
+        anchors, sizes = wanted.anchors
+        for n in sorted({min(n, WINDOW) for n in wanted.lengths}):
             begin = at[left >= n]
             h = runs(begin, np.full(begin.size, n))
             first = np.searchsorted(anchors, h)
@@ -241,7 +269,7 @@ def _exact_runs(made: Templates, search: Search) -> tuple[np.ndarray, np.ndarray
             count = count[hit]
             nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             begins.append(np.repeat(begin[hit], count))
-            lengths.append(wanted[np.repeat(first[hit], count) + nth])
+            lengths.append(sizes[np.repeat(first[hit], count) + nth])
     begin, length = np.concatenate(begins), np.concatenate(lengths)
     fits = length <= left[begin]
     begin, length = begin[fits], length[fits]
@@ -303,9 +331,22 @@ def template_windows(made: Templates, kind: int, sizes: list[int], wanted: np.nd
     return Found(text, h, at, n_windows[text], slots, width)
 
 
-def _whole_runs(text: np.ndarray, h: np.ndarray, at: np.ndarray, length: np.ndarray) -> Found:
-    """Runs as one window each, without slots: every value is in the hash."""
-    return Found(text, h, at, np.ones(text.size), [np.zeros(0, np.int64)] * text.size, length)
+def _slots(made: Templates, begin: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
+    out = []
+    for b, n in zip(begin.tolist(), length.tolist()):
+        out.append(made.raw[b + np.flatnonzero(made.kind[b : b + n] != WORD)].view(np.int64))
+    return out
+
+
+def _whole_runs(text: np.ndarray, h: np.ndarray, at: np.ndarray, length: np.ndarray, slots: list[np.ndarray] | None = None) -> Found:
+    """Runs as one window each. Without ``slots`` every value is in the hash."""
+    return Found(text, h, at, np.ones(text.size), [np.zeros(0, np.int64)] * text.size if slots is None else slots, length)
+
+
+def _readings(text: pa.Array) -> tuple[Templates, Templates]:
+    """Texts with the head of a sentence as a word, and as a name if it has a capital."""
+    buffers = utf8_buffers(text)
+    return Templates(*buffers), Templates(*buffers, heads=True)
 
 
 def _item_windows(items: DataFrame) -> DataFrame:
@@ -315,16 +356,38 @@ def _item_windows(items: DataFrame) -> DataFrame:
         for batch in sub_batches(batches, "text"):
             open_items = np.ones(batch.num_rows, bool)
             plain = folded(batch.column("text"))
-            for kind, made in ((NAMED, Templates(*utf8_buffers(batch.column("text")))), (FOLDED, plain)):
+            usual, headed = _readings(batch.column("text"))
+            for kind, made in ((NAMED, usual), (FOLDED, plain)):
                 found = template_windows(made, kind, sizes, None, whole=True)
                 open_items[found.text] = False
                 yield found.item_rows(batch, kind)
-            text, h, anchor, length = _exact_items(plain, open_items)
+            letters, tokens = _count(plain, plain.kind != NUMBER), np.diff(plain.offsets)
+            text, h, anchor, length = _item_runs(plain, plain.raw, open_items & (letters > 0))
             yield _whole_runs(text, h, np.zeros(text.size), length).item_rows(batch, EXACT, pa.array(anchor.view(np.int64)))
+            text, h, _, length = _item_runs(plain, plain.raw, (letters == 0) & (tokens > 0))
+            yield _whole_runs(text, h + _NUMBERS, np.zeros(text.size), length).item_rows(batch, NUMBERS)
+            moved = _count(headed, headed.kind == NAME) > 0  # else both readings are the same
+            for kind, made, chosen in ((DENSE, usual, open_items), (HEADED, headed, moved & (open_items | (tokens <= SHORT)))):
+                text, h, anchor, length = _item_runs(made, made.value, chosen & _dense(made))
+                slots = _slots(made, made.offsets[text], length)
+                yield _whole_runs(text, h + _DENSE, np.zeros(text.size), length, slots).item_rows(batch, kind, pa.array(anchor.view(np.int64)))
 
     return items.mapInArrow(run, _ITEMS)
 
 
+def _dense_runs(text: pa.Array, wanted: Wanted) -> Iterator[Found]:
+    """Runs of both readings and of case-folded text; those of a later one only where it differs."""
+    known: set[tuple[int, int]] = set()
+    for nth, made in enumerate((*_readings(text), folded(text))):
+        row, h, at, length = _document_runs(made, made.value, wanted)
+        if nth:
+            fresh = np.array([pair not in known for pair in zip(row.tolist(), h.tolist())], bool)
+            row, h, at, length = row[fresh], h[fresh], at[fresh], length[fresh]
+        known.update(zip(row.tolist(), h.tolist()))
+        # Positions of the readings are not comparable; a run is one window, so each stands alone.
+        yield _whole_runs(row, h + _DENSE, at * 3 + nth, length, _slots(made, made.offsets[row] + at, length))
+
+
 def _windows(table: DataFrame, search: Search) -> DataFrame:
     shared = table.sparkSession.sparkContext.broadcast(search)
 
@@ -333,35 +396,41 @@ def _windows(table: DataFrame, search: Search) -> DataFrame:
             asked = shared.value
             if asked.sizes[NAMED]:
                 yield template_windows(Templates(*utf8_buffers(batch.column("text"))), NAMED, asked.sizes[NAMED], asked.windows, whole=False).rows(batch)
-            if asked.sizes[FOLDED] or asked.lengths:
+            if asked.sizes[FOLDED] or asked.exact.lengths or asked.numbers:
                 plain = folded(batch.column("text"))
             if asked.sizes[FOLDED]:
                 yield template_windows(plain, FOLDED, asked.sizes[FOLDED], asked.windows, whole=False).rows(batch)
-            if asked.lengths:
-                yield _whole_runs(*_exact_runs(plain, asked)).rows(batch)
+            if asked.exact.lengths:
+                yield _whole_runs(*_document_runs(plain, plain.raw, asked.exact)).rows(batch)
+            if asked.dense.lengths:
+                for found in _dense_runs(batch.column("text"), asked.dense):
+                    yield found.rows(batch)
+            if asked.numbers:
+                text, h, _, length = _item_runs(plain, plain.raw, (np.diff(plain.offsets) > 0) & (_count(plain, plain.kind != NUMBER) == 0))
+                yield _whole_runs(text, h + _NUMBERS, np.zeros(text.size), length).rows(batch)
 
     return table.mapInArrow(run, _WINDOWS)
 
 
+def _wanted(runs: DataFrame) -> Wanted:
+    pairs = runs.select("anchor", "length").distinct()
+    if pairs.count() > BROADCAST_WINDOWS:
+        return Wanted(None, sorted(r["length"] for r in pairs.select("length").distinct().collect()))
+    known = pairs.toArrow()
+    hashes, sizes = known["anchor"].to_numpy().view(np.uint64), known["length"].to_numpy().astype(np.int64)
+    order = np.argsort(hashes)
+    return Wanted((hashes[order], sizes[order]), np.unique(sizes).tolist())
+
+
 def _search(asked: DataFrame) -> Search:
-    windows, exact = asked.filter(F.col("kind") != EXACT), asked.filter(F.col("kind") == EXACT)
+    windows = asked.filter(F.col("kind").isin(NAMED, FOLDED))
     sizes = {NAMED: [], FOLDED: []}
     for r in windows.select("kind", "length").distinct().collect():
         sizes[r["kind"]].append(r["length"])
     distinct = windows.select("h").distinct()
-    wanted = anchors = None
-    if distinct.count() <= BROADCAST_WINDOWS:
-        wanted = np.sort(np.array([r["h"] for r in distinct.collect()], np.int64).view(np.uint64))
-    pairs = exact.select("anchor", "length").distinct()
-    if pairs.count() <= BROADCAST_WINDOWS:
-        known = np.array([(r["anchor"], r["length"]) for r in pairs.collect()], np.int64).reshape(-1, 2)
-        hashes = known[:, 0].copy().view(np.uint64)
-        order = np.argsort(hashes)
-        anchors = hashes[order], known[order, 1]
-        lengths = np.unique(known[:, 1]).tolist()
-    else:
-        lengths = sorted(r["length"] for r in pairs.select("length").distinct().collect())
-    return Search(sizes, wanted, anchors, lengths)
+    wanted = np.sort(distinct.toArrow()["h"].to_numpy().view(np.uint64)) if distinct.count() <= BROADCAST_WINDOWS else None
+    numbers = not asked.filter(F.col("kind") == NUMBERS).isEmpty()
+    return Search(sizes, wanted, _wanted(asked.filter(F.col("kind") == EXACT)), _wanted(asked.filter(F.col("kind").isin(DENSE, HEADED))), numbers)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
@@ -374,7 +443,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMEN
     asked = materialize(asked, "item-windows")
     search = _search(asked)
     found = _windows(texts, search).select(F.col("id").alias("doc_id"), "h", "pos", "slots")
-    if search.windows is None or search.anchors is None:
+    if search.windows is None or search.exact.anchors is None or search.dense.anchors is None:
         found = found.join(asked.select("h").distinct(), "h", "left_semi")
     found = materialize(found, "found-windows", narrow=True)
     # A leak holds at least a share of the item's windows, so it holds one of its rarer windows: those that many

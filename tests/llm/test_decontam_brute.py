@@ -10,7 +10,7 @@ from quillgraph.llm import decontam
 SLOTS = {"number": "<num>", "unit": "<unit>", "name": "<name>"}
 
 
-def template(text, names):
+def template(text, names, heads=False):
     """(value, raw, kind) of each token, by the definition."""
     text = text if names else text.casefold()
     out, end = [], None
@@ -18,7 +18,7 @@ def template(text, names):
         word = m[0].lower()
         opens = end is None or re.search(r"[.!?:;\n\r]", text[end : m.start()])
         kind = "number" if word[0].isdigit() else "word"
-        if names and kind == "word" and m[0][0].isupper() and not opens:
+        if names and kind == "word" and m[0][0].isupper() and (heads or not opens):
             kind = "name"
         if out and out[-1][2] == "number" and kind != "number" and word in decontam.UNITS:
             kind = "unit"
@@ -60,6 +60,25 @@ def plain_leaks(docs, items):
                         covered |= places
                 if mine and len(covered) >= decontam.CONTAINMENT * len(mine):
                     found.add((doc_id, item_id))
+            runs = [template(text, True)] if not any(wanted.values()) else []
+            if not any(wanted.values()) or len(kinds[False]) <= decontam.SHORT:
+                runs.append(template(text, True, heads=True))
+            for own in runs:
+                words = sum(k == "word" for *_, k in own)
+                if len(own) < decontam.DENSE_TOKENS or not decontam.DENSE_PLAIN <= words < len(own):
+                    continue
+                if any(k == "name" for *_, k in own) or own == runs[0]:
+                    for tokens in (template(body, True), template(body, True, heads=True), template(body, False)):
+                        for at in range(len(tokens) - len(own) + 1):
+                            part = tokens[at : at + len(own)]
+                            if [v for v, *_ in part] == [v for v, *_ in own]:
+                                pairs = {(a, b) for (_, a, k), (_, b, _) in zip(own, part) if k != "word"}
+                                values = len({a for a, _ in pairs})
+                                if len(pairs) - values <= decontam.INCONSISTENT * values:
+                                    found.add((doc_id, item_id))
+            numbers = [r for _, r, k in kinds[False] if k == "number"]
+            if numbers and len(numbers) == len(kinds[False]) and [(r, k) for _, r, k in template(body, False)] == [(r, "number") for r in numbers]:
+                found.add((doc_id, item_id))
             if not any(wanted.values()) and any(k != "number" for *_, k in kinds[False]):
                 raw, own = [r for _, r, _ in template(body, False)], [r for _, r, _ in kinds[False]]
                 if any(raw[i : i + len(own)] == own for i in range(len(raw) - len(own) + 1)):
@@ -93,8 +112,8 @@ def run(spark, docs, items):
 def test_like_the_plain_matcher(spark, seed):
     rng = random.Random(seed)
     shapes, fill = questions(rng, 12)
-    items = [(i, fill(s)) for i, s in enumerate(shapes)] + [(100, "Add 3 4 5"), (101, "What is 12 + 15?"), (102, "7 8 9"), (103, "old lamps near"), (104, "")]
-    docs = []
+    items = [(i, fill(s)) for i, s in enumerate(shapes)] + [(100, "Add 3 4 5"), (101, "What is 12 + 15?"), (102, "7 8 9"), (103, "old lamps near"), (104, ""), (105, "Tom has 5 apples"), (106, "Is 4 kg of 9 lamps old?")]
+    docs = [(900, "7, 8; 9"), (901, "7 8 9 10"), (902, "So Lucy has 9 apples now"), (903, "Then. Nina has 9 apples. And Is 7 lb of 7 lamps old"), (904, "he has 5 apples")]
     for k in range(60):
         text = fill(rng.choice(shapes)) if k % 2 else rng.choice(items)[1]
         words = text.split() or ["nothing"]
@@ -125,3 +144,29 @@ def test_names_in_other_scripts(spark):
     item = "Вчера Иван купил 12 яблок у Анны, сколько яблок осталось у Ивана после обеда?"
     docs = [(1, "Так. Вчера Олег купил 30 яблок у Нины, сколько яблок осталось у Олега после обеда?"), (2, "Вчера шёл дождь и никто ничего не купил.")]
     assert {d for d, _ in run(spark, docs, [(1, item)])} == {1}
+
+
+def test_short_and_dense_items(spark):
+    items = [(1, "What is 12 + 15 * 3?"), (2, "12 15 99"), (3, "Alice has 5 apples"), (4, "Compute 7 * 7")]
+    docs = [
+        (1, "So. What is 13 + 16 * 4? Nobody knows."), (2, "12 15 99"), (3, "We hear that Bob has 7 apples in a box."), (4, "Carol has 9 apples."), (5, "what is 12 + 15 * 3"),
+        (6, "what is 13 or 16 and 4"), (7, "a table 11 12 15 99 100"), (8, "somebody has 7 apples"), (9, "12 15"), (10, "we compute 7 * 7 here"), (11, "we compute 8 * 8 here"), (12, None),
+    ]
+    assert run(spark, docs, items) == {(1, 1), (5, 1), (2, 2), (3, 3), (4, 3), (10, 4)}
+
+
+def test_recall_on_short_items_and_clean_texts(spark):
+    """Items of 4 to 8 tokens filled again, in the middle and at the head of a sentence; what the rules leave out is counted."""
+    rng = random.Random(11)
+    names = "Anna Tom Maria Peter Lucy George Nina Oscar".split()
+    shapes = ["{0} has {2} apples", "What is {2} + {3} * {4}?", "{0} gave {1} {2} coins", "How many are {2} and {3} lamps?", "{0} walks {2} km in {3} hours", "Add {2} to {3}", "{2} + {3}", "{0} sees {1}"]
+    fill = lambda s: s.format(*rng.sample(names, 2), *(rng.randint(2, 99) for _ in range(3)))
+    items = [(i, fill(s)) for i, s in enumerate(shapes)]
+    docs = [(10 * i + k, lead + fill(s) + " and so on it went.") for i, s in enumerate(shapes) for k, lead in enumerate(["", "We know that ", "Well. "])]
+    words = "the old lamp stood near a river while people talked about many things and nobody counted apples or coins in hours".split()
+    clean = [(1000 + k, " ".join(rng.choice([*words, "Tom", "Lucy", "12", "7"]) for _ in range(300)).capitalize()) for k in range(100)]
+    found = run(spark, docs + clean, items)
+    hits = {i: sum((10 * i + k, i) in found for k in range(3)) for i in range(len(shapes))}
+    assert not {d for d, _ in found if d >= 1000}
+    # Left out: runs of fewer than four tokens or of fewer than two plain words.
+    assert [hits[i] for i in range(len(shapes))] == [3, 3, 3, 3, 3, 3, 0, 0]
