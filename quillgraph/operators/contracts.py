@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.answers import Answers, retried
+from ..storage import new_path, stored
 from .quality import id_difference
 
 EXTRACTION = "struct<entities:array<struct<name:string,type:string,relevance_score:string>>,edges:array<struct<source:string,relation:string,target:string>>>"
@@ -26,14 +28,35 @@ TRANSLATION = "map<string,string>"
 JUDGE_STATUSES, REVIEW_STATUSES = ["retained", "altered", "dropped"], ["covered", "partial", "missing"]
 
 
-def ask(prompts: DataFrame, model: Callable[[str], str]) -> DataFrame:
-    """key, response of every row (key, prompt); responses are kept by Spark, so a prompt goes out again only if they are lost."""
+def ask(prompts: DataFrame, model: Callable[[str], str], folder: str | None = None, attempts: int = 3, delay: float = 1.0) -> DataFrame:
+    """key, response, failure of every row (key, prompt); each distinct prompt is asked once.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"key": batch["key"], "response": [model(p) for p in batch["prompt"]]})
+    Answers are kept by the prompt's hash in ``folder``, by default one of this call, as soon as they are there,
+    and the result is stored: neither a lost executor nor a later action asks again. A model may raise
+    ``ServiceError`` with a status and seconds to wait; 429, 5xx and other exceptions are tried again. What
+    still fails is a row without a response, with its failure, and stops no other row.
+    """
+    place = folder or new_path(prompts.sparkSession, "answers")
+    once = prompts.select("prompt").filter("prompt is not null").distinct()
 
-    return prompts.select("key", "prompt").mapInPandas(run, "key string, response string").persist()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        answers = Answers(place)
+        for batch in batches:
+            out = []
+            for prompt in batch.column("prompt").to_pylist():
+                found = answers.get(prompt)
+                if found is None:
+                    try:
+                        found = {"response": retried(lambda p=prompt: model(p), attempts, delay)}
+                        answers.put(prompt, found)
+                    except Exception as problem:
+                        found = {"response": None, "failure": f"{type(problem).__name__}: {problem}"}
+                out.append((prompt, found["response"], found.get("failure")))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.string()) for k in range(3)], ["prompt", "response", "failure"])
+
+    tasks = int(prompts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    told = stored(once.repartition(tasks, "prompt").mapInArrow(run, "prompt string, response string, failure string"), "responses")
+    return prompts.select("key", "prompt").join(told, "prompt", "left").select(F.col("key").cast("string").alias("key"), "response", F.when(F.col("prompt").isNull(), "no prompt").otherwise(F.col("failure")).alias("failure"))
 
 
 def from_fixture(prompts: DataFrame, recorded: DataFrame) -> DataFrame:
@@ -47,7 +70,9 @@ def _blank(c: Column) -> Column:
 def _checked(responses: DataFrame, schema: str, error: Callable[[Column], Column]) -> DataFrame:
     parsed = responses.withColumn("value", F.from_json("response", schema))
     broken = F.col("value").isNull() | F.try_parse_json("response").isNull()
-    return parsed.withColumn("error", F.when(broken, "not the expected JSON").otherwise(error(F.col("value"))))
+    checked = F.when(broken, "not the expected JSON").otherwise(error(F.col("value")))
+    # A call that failed says why instead.
+    return parsed.withColumn("error", F.coalesce("failure", checked) if "failure" in responses.columns else checked)
 
 
 def extraction(responses: DataFrame) -> DataFrame:
