@@ -36,6 +36,14 @@ def escape_attr(c: Column | str) -> Column:
     return F.replace(escape_html(c), F.lit('"'), F.lit("&quot;"))
 
 
+def unescape_html(c: Column | str) -> Column:
+    """What ``escape_attr`` and ``escape_html`` were given."""
+    out = _col(c)
+    for sign, entity in (('"', "&quot;"), (">", "&gt;"), ("<", "&lt;"), ("&", "&amp;")):
+        out = F.replace(out, F.lit(entity), F.lit(sign))
+    return out
+
+
 def json_ld_script(value: Column) -> Column:
     """JSON that cannot close a script element."""
     return F.replace(F.to_json(value), F.lit("<"), F.lit("\\u003c"))

@@ -105,3 +105,29 @@ def _hits(texts: DataFrame, wanted: DataFrame, at: list[int], limit: int) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int32()), pa.array([r[1] for r in part], pa.string()), pa.array([r[2] for r in part], pa.int64())], ["search", "pattern", "id"])
 
     return texts.mapInArrow(run, "search int, pattern string, id long")
+
+
+def found_in(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """id, pattern of texts (id, text) and the patterns (pattern) that they hold, each once; every text is read once a block of patterns."""
+    wanted = patterns.filter("pattern <> ''").distinct()
+    size = wanted.agg(F.coalesce(F.sum(F.octet_length("pattern")), F.lit(0))).first()[0]
+    blocks = 1 if size <= PATTERN_BYTES else -(-2 * size // PATTERN_BYTES)
+    block = F.pmod(F.xxhash64("pattern"), F.lit(blocks))
+    rows = texts.select(F.col("id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def searched(words: list[str]) -> DataFrame:
+        shared = texts.sparkSession.sparkContext.broadcast(words)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = ahocorasick.Automaton()
+            for word in shared.value:
+                automaton.add_word(word, word)
+            automaton.make_automaton()
+            for batch in batches:
+                for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+                    words = sorted({w for _, w in automaton.iter(text)}) if len(automaton) else []
+                    yield pa.RecordBatch.from_arrays([pa.array([i] * len(words), pa.int64()), pa.array(words, pa.string())], ["id", "pattern"])
+
+        return rows.mapInArrow(run, "id long, pattern string")
+
+    return reduce(DataFrame.unionByName, [searched([r["pattern"] for r in wanted.filter(block == b).collect()]) for b in range(blocks)])

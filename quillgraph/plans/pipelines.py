@@ -14,24 +14,37 @@ from pyspark.sql import functions as F
 from ..functions import markup as M
 from ..functions import text as T
 from ..functions.urls import canonical_url, source_slug
-from ..operators import contracts, graph, prompts, quality, retrieval, store
-from ..sources.ingest import news_articles
+from ..operators import contracts, extraction, graph, prompts, quality, retrieval, store
+from ..operators.containment import found_in
+from ..operators.dedup import numbered
+from ..sources.ingest import ld_json_items, news_articles
 from ..storage import stored
 
 TARGET_WORDS = 2200
 
 
-def scrape_outcomes(rows: DataFrame, fetched: DataFrame, known: DataFrame) -> DataFrame:
+def scrape_outcomes(rows: DataFrame, fetched: DataFrame, known: DataFrame, dry_run: bool = False) -> DataFrame:
     """url, slug, status, title, original_content of index rows (url, title) after their pages were fetched.
 
-    fetched: url, status (HTTP), html. known: slug, original_url; a row whose canonical URL is
-    known keeps that slug. status: ok, fetch-error or no-article-body.
+    fetched: url, status (HTTP), html and, as ``fetch_paced`` gives it, outcome. known: slug, original_url; a row
+    whose canonical URL is known keeps that slug. status: stopped, fetch-error, parse-error (a page whose JSON-LD
+    is broken and gives no article), no-article-body, error (no URL to store it under), and else ok or, with ``dry_run``, dry-run.
     """
-    pages = fetched.select("url", F.col("status").alias("http"), "html")
+    halted = F.col("outcome") == "stopped" if "outcome" in fetched.columns else F.lit(False)
+    broken = F.exists(ld_json_items(F.col("html")), lambda t: F.try_parse_json(t).isNull())
+    pages = fetched.select("url", F.col("status").alias("http"), "html", halted.alias("halted"), broken.alias("broken"))
     articles = news_articles(pages.filter("http = 200"), "url")
     slugs = known.select(canonical_url("original_url").alias("canonical"), "slug").filter("canonical is not null").groupBy("canonical").agg(F.min("slug").alias("known_slug"))
     joined = rows.join(pages, "url", "left").join(articles, "url", "left").withColumn("canonical", canonical_url("url")).join(slugs, "canonical", "left")
-    status = F.when(F.coalesce("http", F.lit(0)) != 200, "fetch-error").when(F.coalesce(F.trim("body"), F.lit("")) == "", "no-article-body").otherwise("ok")
+    empty = F.coalesce(F.trim("body"), F.lit("")) == ""
+    status = (
+        F.when(F.coalesce("halted", F.lit(False)), "stopped")
+        .when(F.col("url").isNull(), "error")
+        .when(F.coalesce("http", F.lit(0)) != 200, "fetch-error")
+        .when(empty & F.coalesce("broken", F.lit(False)) & F.col("body").isNull(), "parse-error")
+        .when(empty, "no-article-body")
+        .otherwise("dry-run" if dry_run else "ok")
+    )
     title = F.coalesce(T.clean_headline("headline"), F.col("title"))
     slug = F.coalesce("known_slug", source_slug(T.slugify(title), "url"))
     return joined.select("url", slug.alias("slug"), status.alias("status"), title.alias("title"), F.col("body").alias("original_content"))
@@ -105,47 +118,50 @@ def write_with_review(
 EXTRACTIONS = "array<struct<slug:string,entities:array<struct<name:string,type:string,relevance_score:string>>,edges:array<struct<source:string,relation:string,target:string>>>>"
 
 
-def extract_batches(tables: dict[str, DataFrame], articles: DataFrame, extractor: Callable[[str], str], dry_run: bool = False) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+def extract_batches(tables: dict[str, DataFrame], articles: DataFrame, extractor: Callable[[str], str], dry_run: bool = False, skip_checker: bool = False) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """(tables, outcomes, totals) after extraction of articles (batch, id, slug, title, body_text), one response a batch.
 
-    tables: entities, article_entities, edges. A response that is no JSON, repeats a slug or lacks one fails its
-    whole batch; others are written. outcomes: batch, slug, status (ok, regression, error or dry-run), error, dropped,
-    altered, against the state before all batches. totals: batch, n_entities, n_edges as extracted.
+    tables: entities, article_entities, edges. A prompt lists the known entities that the batch's texts name.
+    A response that is no JSON, repeats a slug or lacks one fails its whole batch; an article without an id fails
+    alone; others are written as if one after another, by (batch, slug). outcomes: batch, slug, status (ok,
+    regression, error, dry-run, or written-unchecked with ``skip_checker``), error, dropped, altered, against the
+    state before the batch. totals: batch, n_entities, n_edges as extracted.
     """
     entities, links, edges = (tables[k] for k in ("entities", "article_entities", "edges"))
-    known = entities.agg(F.sort_array(F.collect_set("name")).alias("known"))
-    one = prompts.extract_prompt(F.col("title"), F.col("body_text"), F.array().cast("array<string>"))
+    articles = articles.withColumn("batch_no", F.col("batch").cast("long")).withColumn("batch", F.col("batch").cast("string"))
+    names = entities.select("name", F.lower("name").alias("pattern"))
+    texts = articles.select("batch", F.monotonically_increasing_id().alias("id"), F.lower(F.concat_ws("\n", "title", "body_text")).alias("text"))
+    texts = stored(texts, "texts")
+    known = found_in(texts, names.select("pattern")).join(texts.select("id", "batch"), "id").join(names, "pattern").groupBy("batch").agg(F.sort_array(F.collect_set("name")).alias("known"))
+    nothing_known = F.array().cast("array<string>")
+    one = prompts.extract_prompt(F.col("title"), F.col("body_text"), nothing_known)
     asked = articles.groupBy("batch").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("slug", one.alias("p")))), lambda a: F.concat(F.lit("## "), a["slug"], F.lit("\n"), a["p"])), "\n\n").alias("body"))
-    asked = asked.crossJoin(F.broadcast(known)).select(F.col("batch").cast("string").alias("key"), F.concat("body", F.lit("\n\n# known names\n"), F.array_join("known", ", ")).alias("prompt"))
-    answers = contracts.ask(asked, extractor).select(F.col("key").alias("batch"), F.from_json("response", EXTRACTIONS).alias("value"))
+    asked = asked.join(known, "batch", "left").select(F.col("batch").alias("key"), F.concat("body", F.lit("\n\n# known names\n"), F.array_join(F.coalesce("known", nothing_known), ", ")).alias("prompt"))
+    answers = contracts.ask(asked, extractor).select(F.col("key").alias("batch"), "failure", F.from_json("response", EXTRACTIONS).alias("value"))
     blocks = answers.filter("value is not null").select("batch", F.explode("value").alias("x")).select("batch", "x.slug", "x.entities", "x.edges")
-    wanted = articles.select(F.col("batch").cast("string").alias("batch"), F.col("id").alias("article_id"), "slug")
+    wanted = articles.select("batch", "batch_no", F.col("id").alias("article_id"), "slug")
     broken = contracts.batch_extraction(blocks, wanted.join(answers.filter("value is not null").select("batch"), "batch"))
-    broken = broken.unionByName(answers.filter("value is null").select("batch", F.lit("not the expected JSON").alias("error")))
-    good = blocks.join(wanted, ["batch", "slug"]).join(broken.select("batch"), "batch", "left_anti")
-    totals = good.groupBy("batch").agg(F.sum(F.size("entities")).alias("n_entities"), F.sum(F.size("edges")).alias("n_edges"))
-    failed = wanted.join(broken, "batch")
-    zero = F.lit(0).cast("long")
-    errors = failed.select("batch", "slug", F.lit("error").alias("status"), "error", zero.alias("dropped"), zero.alias("altered"))
-    nothing = F.lit(None).cast("string")
+    broken = broken.unionByName(answers.filter("value is null").select("batch", F.coalesce("failure", F.lit("not the expected JSON")).alias("error")))
+    read = stored(blocks.join(wanted, ["batch", "slug"]).join(broken.select("batch"), "batch", "left_anti"), "extracted")
+    totals = read.groupBy("batch").agg(F.sum(F.size("entities")).alias("n_entities"), F.sum(F.size("edges")).alias("n_edges"))
+    zero, nothing = F.lit(0).cast("long"), F.lit(None).cast("string")
+    alone = read.filter("article_id is null").select("batch", "slug", F.lit("the article has no id").alias("error"))
+    errors = wanted.join(broken, "batch").select("batch", "slug", "error").unionByName(alone)
+    errors = errors.select("batch", "slug", F.lit("error").alias("status"), "error", zero.alias("dropped"), zero.alias("altered"))
+    good = read.filter("article_id is not null")
     if dry_run:
         return tables, errors.unionByName(good.select("batch", "slug", F.lit("dry-run").alias("status"), nothing.alias("error"), zero.alias("dropped"), zero.alias("altered"))), totals
 
-    named = good.select(F.col("article_id").alias("doc"), F.posexplode("entities").alias("pos", "e")).select("doc", "pos", "e.name", "e.type", F.col("e.relevance_score").alias("relevance"))
-    drawn = good.select(F.col("article_id").alias("doc"), F.posexplode("edges").alias("pos", "e")).select("doc", "pos", "e.source", "e.relation", "e.target")
+    good = numbered(good, "seq", "batch_no", "batch", "slug", "article_id")
+    named = good.select(F.col("seq").alias("doc"), F.posexplode("entities").alias("pos", "e")).select("doc", "pos", "e.name", "e.type", F.col("e.relevance_score").alias("relevance"))
+    drawn = good.select(F.col("seq").alias("doc"), F.posexplode("edges").alias("pos", "e")).select("doc", "pos", "e.source", "e.relation", "e.target")
     found, found_edges = graph.dedupe_extraction(named, drawn)
-    after = dict(zip(("entities", "article_entities", "edges"), graph.write_extraction(entities, links, edges, found.withColumnRenamed("doc", "article_id"), found_edges.withColumnRenamed("doc", "article_id"))))
-
-    def state(of: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-        mine = of["article_entities"].join(good.select("article_id"), "article_id", "left_semi")
-        names = mine.join(of["entities"].select(F.col("id").alias("entity_id"), "name"), "entity_id").select("article_id", "name")
-        return names, graph.induced_edges(of["edges"], of["entities"], mine)
-
-    (old_names, old_edges), (new_names, new_edges) = state(tables), state(after)
-    lost = graph.article_regressions(old_names, new_names, old_edges, new_edges)
-    judged = good.select("batch", "article_id", "slug").join(lost, "article_id", "left").fillna(0, ["dropped", "altered"])
-    status = F.when((F.col("dropped") > 0) | (F.col("altered") > 0), "regression").otherwise("ok")
-    return {**tables, **after}, errors.unionByName(judged.select("batch", "slug", status.alias("status"), nothing.alias("error"), "dropped", "altered")), totals
+    runs = good.select("seq", "batch", "article_id")
+    after = extraction.fold_extractions(entities, links, edges, runs, found.withColumnRenamed("doc", "seq"), found_edges.withColumnRenamed("doc", "seq").withColumn("pos", F.lit(0)))
+    judged = good.select("seq", "slug").join(after.pop("checks"), "seq")
+    status = F.lit("written-unchecked") if skip_checker else F.when((F.col("dropped") > 0) | (F.col("altered") > 0), "regression").otherwise("ok")
+    counts = [zero.alias(c) if skip_checker else F.col(c) for c in ("dropped", "altered")]
+    return {**tables, **after}, errors.unionByName(judged.select("batch", "slug", status.alias("status"), nothing.alias("error"), *counts)), totals
 
 
 def coverage_verdict(review: DataFrame, key: str = "key") -> DataFrame:

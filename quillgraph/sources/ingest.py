@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions.markup import unescape_html
 from ..functions.text import slugify
 from ..functions.udf import arrow_udf
 
@@ -260,6 +261,22 @@ def catalog_entries(lines: DataFrame, doc: str = "doc") -> DataFrame:
     return listed.unionByName(tabled).withColumn("k", F.row_number().over(first)).filter("k = 1").drop("k")
 
 
+#: The parts of a listing's card, as publishing writes them.
+CARD = r'(?s)<a class="article-card" href="([^"]*)\.html"><span class="tag">(.*?)</span><h3>(.*?)</h3><p>(.*?)</p><span>(.*?) · (.*?)</span></a>'
+
+
+def sitemap_rows(spark: SparkSession, path: str) -> DataFrame:
+    """loc, lastmod, changefreq, priority of every url element of the sitemaps below ``path``, by Spark's XML source."""
+    return spark.read.format("xml").option("rowTag", "url").schema("loc string, lastmod string, changefreq string, priority double").load(path)
+
+
+def listing_cards(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """key, pos, slug, category, title, summary, month, reading_time of the cards in listings, in their order."""
+    cards = pages.select(key, F.posexplode(F.regexp_extract_all(html, F.lit(CARD), F.lit(0))).alias("pos", "card"))
+    parts = ("slug", "category", "title", "summary", "month", "reading_time")
+    return cards.select(key, "pos", *(unescape_html(F.regexp_extract("card", CARD, k)).alias(name) for k, name in enumerate(parts, 1)))
+
+
 def catalog_lines(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("doc"), F.col("value").alias("text"))
     return files.select("doc", F.posexplode(F.split("text", r"\r?\n")).alias("n", "line"))

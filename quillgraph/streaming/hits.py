@@ -18,6 +18,20 @@ def distinct_hits(events: DataFrame, delay: str = "1 day") -> DataFrame:
     return marked.dropDuplicatesWithinWatermark(["user_id", "event_type"]) if events.isStreaming else marked.dropDuplicates(["user_id", "event_type"])
 
 
+def session_hits(loads: DataFrame, gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
+    """session_start, session_end, user_id, page: one hit per session and page; loads (ts, user_id, page).
+
+    A session is a user's loads of any pages without a pause of ``gap``. Its first load of a page hits,
+    later ones only read the counter. The same expression serves batches and streams. In a stream a
+    session is given once, when the watermark (``delay`` behind the newest load) has passed its end, so
+    counts equal the batch's as long as no load is later than ``delay``; state holds open sessions with
+    their distinct pages only. A load without a user or time takes no part.
+    """
+    usable = loads.filter("user_id is not null and ts is not null and page is not null").withWatermark("ts", delay)
+    sessions = usable.groupBy(F.session_window("ts", gap).alias("session"), "user_id").agg(F.collect_set("page").alias("pages"))
+    return sessions.select(F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"), "user_id", F.explode("pages").alias("page"))
+
+
 def windowed_hits(events: DataFrame, size: str = "1 hour", delay: str = "1 day") -> DataFrame:
     """window_start, event_type, hits."""
     grouped = events.withWatermark("ts", delay).groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("hits"))
