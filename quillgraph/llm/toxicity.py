@@ -213,11 +213,12 @@ class Trees:
 
 def isotonic(score: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Increasing weighted fit by pooling adjacent violators: points (score, probability)."""
-    order = np.argsort(score, kind="stable")
+    levels, at = np.unique(score, return_inverse=True)
+    mass, total = np.bincount(at, w), np.bincount(at, w * y)  # equal scores are one point
     pools: list[list[float]] = []  # weight, sum, first and last score
-    for s, label, weight in zip(score[order], y[order], w[order]):
-        pools.append([weight, weight * label, s, s])
-        while len(pools) > 1 and (pools[-2][3] == pools[-1][2] or pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]):
+    for s, weight, hits in zip(levels, mass, total):
+        pools.append([weight, hits, s, s])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
             top = pools.pop()
             pools[-1] = [pools[-1][0] + top[0], pools[-1][1] + top[1], pools[-1][2], top[3]]
     xs = np.array([v for p in pools for v in (p[2], p[3])])
