@@ -7,6 +7,7 @@ single articles come to the driver.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -164,6 +165,23 @@ def extract_batches(tables: dict[str, DataFrame], articles: DataFrame, extractor
     return {**tables, **after}, errors.unionByName(judged.select("batch", "slug", status.alias("status"), nothing.alias("error"), *counts)), totals
 
 
+def extract_rounds(tables: dict[str, DataFrame], articles: DataFrame, extractor: Callable[[str], str], dry_run: bool = False, skip_checker: bool = False) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """``extract_batches`` for articles with a ``round``: a round's prompts list what all earlier rounds have found.
+
+    With one batch a round every batch sees all before it, as if they ran one after another; batches that
+    share a round run at the same time. Rounds follow their numbers; each one's tables are written.
+    """
+    outcomes, totals = [], []
+    for number in sorted(r["round"] for r in articles.select("round").distinct().collect()):
+        tables, outcome, total = extract_batches(tables, articles.filter(F.col("round") == number).drop("round"), extractor, dry_run, skip_checker)
+        tables = {name: stored(frame, name) for name, frame in tables.items()}
+        outcomes.append(stored(outcome, "outcomes"))
+        totals.append(total)
+    if not outcomes:
+        return extract_batches(tables, articles.drop("round"), extractor, dry_run, skip_checker)
+    return tables, reduce(DataFrame.unionByName, outcomes), reduce(DataFrame.unionByName, totals)
+
+
 def coverage_verdict(review: DataFrame, key: str = "key") -> DataFrame:
     return quality.coverage_buckets(review, key)
 

@@ -164,3 +164,17 @@ def test_extraction_sees_known_names_and_isolates_failures(spark):
     after, outcomes, _ = pipelines.extract_batches(tables, articles, extractor, skip_checker=True)
     assert {r.slug: (r.status, r.error) for r in outcomes.collect()} == {"one": ("written-unchecked", None), "two": ("error", "the article has no id"), "three": ("written-unchecked", None), "four": ("error", "RuntimeError: out of tokens")}
     assert {r.name for r in after["entities"].collect()} == {"Alpha Fund", "Nowhere", "one of Alpha Fund", "three of"}
+
+    def naming(prompt):
+        known = prompt.rsplit("# known names\n", 1)[1]
+        slug = next(x for x in ("one", "three", "four") if f"## {x}\n" in prompt)
+        name = known.upper() if "Beta Bond" in known else "Beta Bond"
+        return json.dumps([{"slug": slug, "entities": [{"name": name, "type": "topic", "relevance_score": "0.5"}], "edges": []}])
+
+    rounds = spark.createDataFrame([(1, 1, 10, "one", "t", "about the beta bond"), (2, 2, 30, "three", "Beta bond", "b"), (2, 3, 40, "four", "t", "no name")], "round int, batch int, id long, slug string, title string, body_text string")
+    after, outcomes, totals = pipelines.extract_rounds(tables, rounds, naming)
+    assert {r.status for r in outcomes.collect()} == {"ok"} and totals.count() == 3
+    names = {r.id: r.name for r in after["entities"].collect()}
+    assert names == {1: "Alpha Fund", 2: "Nowhere", 3: "Beta Bond"}  # the later article was shown the name, in capitals it is the same entity
+    assert sorted((r.article_id, r.entity_id) for r in after["article_entities"].collect()) == [(10, 3), (30, 3), (40, 3)]
+    assert pipelines.extract_rounds(tables, rounds.limit(0), naming)[1].count() == 0
