@@ -129,8 +129,10 @@ def translation(responses: DataFrame, sources: DataFrame) -> DataFrame:
     joined = responses.join(sources.select("key", F.map_keys("texts").alias("ids")), "key")
     parsed = joined.withColumn("value", F.from_json("response", TRANSLATION))
     keys = F.map_keys("value")
+    failed = F.col("failure") if "failure" in responses.columns else F.lit(None).cast("string")
     error = (
-        F.when(F.col("value").isNull() | F.try_parse_json("response").isNull(), "not the expected JSON")
+        F.when(failed.isNotNull(), failed)
+        .when(F.col("value").isNull() | F.try_parse_json("response").isNull(), "not the expected JSON")
         .when(F.size(F.array_except("ids", keys)) > 0, "an id is missing")
         .when(F.size(F.array_except(keys, "ids")) > 0, "an id is unknown")
         .when(F.exists(F.map_values("value"), _blank), "a text is blank")

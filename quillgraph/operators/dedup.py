@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import article_id, canonical_url
@@ -32,6 +32,17 @@ def numbered(rows: DataFrame, name: str, *order: str) -> DataFrame:
     return kept.join(F.broadcast(before), "_file").select(*(F.col(f"`{c}`") for c in rows.columns), (F.col("_before") + F.col("_row") + 1).cast("long").alias(name))
 
 
+def ranked(rows: DataFrame, name: str, group: str, *order: Column) -> DataFrame:
+    """``rows`` with ``name``: 1, 2, 3 ... within each ``group`` in an ``order`` that is unique there.
+
+    Ranks are differences of numbers over all rows, so a group of any size is spread over tasks.
+    """
+    keys = [f"_o{k}" for k in range(len(order))]
+    numbers = numbered(rows.withColumns(dict(zip(keys, order))), "_n", group, *keys)
+    first = numbers.groupBy(group).agg(F.min("_n").alias("_first"))
+    return numbers.join(first, group).select(*rows.columns, (F.col("_n") - F.col("_first") + 1).alias(name))
+
+
 def chunk(rows: DataFrame, order: str, size: int) -> DataFrame:
     """``rows`` with batch and place: consecutive batches of ``size`` by a unique ``order`` (size 1 or less: one row each)."""
     size = max(size, 1)

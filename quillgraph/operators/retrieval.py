@@ -15,6 +15,7 @@ from ..functions.text import jaccard, parse_keywords, round_half_up, tokens
 from ..schema import WEAK_RELATIONS
 from ..storage import new_path, stored
 from .containment import contained, first_hits, first_per
+from .dedup import ranked
 
 #: Rows of a user-given side (topics, candidates) that are broadcast at most.
 BROADCAST_ROWS = 10_000
@@ -167,6 +168,11 @@ def article_summaries(articles: DataFrame, article_entities: DataFrame, related:
     )
 
 
+def ranked_summaries(summaries: DataFrame) -> DataFrame:
+    """Summaries with ``rank`` in their topic: most relevant first, then best covered, then the smallest article."""
+    return ranked(summaries, "rank", "topic_id", -F.col("max_relevance"), -F.col("coverage_ratio"), F.col("article_id"))
+
+
 def near_duplicates(summaries: DataFrame, seeds: DataFrame, high: float = 0.6, medium: float = 0.3) -> DataFrame:
     """topic_id, article_id, slug, title, level, overlap_ratio, n_overlapping by relevance-weighted overlap with the seeds.
 
@@ -207,6 +213,11 @@ def title_slug_similarity(articles: DataFrame, candidates: DataFrame, title_leas
     return found.filter((F.col("title_similarity") >= title_least) | (F.col("slug_similarity") > slug_above))
 
 
+def ranked_matches(matches: DataFrame) -> DataFrame:
+    """Title and slug matches with ``rank`` for their candidate, by the greater of both similarities, then the smallest article."""
+    return ranked(matches, "rank", "candidate_id", -F.greatest("title_similarity", "slug_similarity"), F.col("article_id"))
+
+
 def candidate_sources(sources: DataFrame, topics: DataFrame, keyword: str | None = None, category: str | None = None, limit: int = 5) -> DataFrame:
     """topic_id, id, title, slug, category, score, reason, rank of source articles; ``ignored`` ones are left out.
 

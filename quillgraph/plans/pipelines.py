@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..functions import html as H
 from ..functions import markup as M
 from ..functions import text as T
 from ..functions.urls import canonical_url, source_slug
@@ -182,6 +183,28 @@ def extract_rounds(tables: dict[str, DataFrame], articles: DataFrame, extractor:
     return tables, reduce(DataFrame.unionByName, outcomes), reduce(DataFrame.unionByName, totals)
 
 
+def seo_metadata(drafts: DataFrame, model: Callable[[str], str]) -> DataFrame:
+    """key, metadata, error: search metadata of each draft (key, title, body_text) that keeps its contract, or why there is none."""
+    asked = drafts.select("key", prompts.seo_prompt(F.col("title"), F.col("body_text")).alias("prompt"))
+    checked = contracts.seo(contracts.ask(asked, model))
+    return checked.select("key", F.when(F.col("error").isNull(), F.col("value")).alias("metadata"), "error")
+
+
+def translate_bodies(bodies: DataFrame, model: Callable[[str], str], language: str) -> DataFrame:
+    """key, html, error: bodies (key, html) with every text node translated, markup untouched; a null html where a contract is broken.
+
+    One request a body; a body without text needs none. Graph figures, scripts and styles keep their text.
+    """
+    nodes = F.map_from_entries(F.transform(H.translatable_nodes("html"), lambda n: F.struct(n["id"], n["text"])))
+    read = stored(bodies.select(F.col("key").cast("string").alias("key"), "html", nodes.alias("texts")), "texts")
+    some = read.filter(F.size("texts") > 0)
+    answers = contracts.translation(contracts.ask(some.select("key", prompts.translate_prompt(F.col("texts"), language).alias("prompt")), model), some.select("key", "texts"))
+    told = read.join(answers.select("key", "value", "error"), "key", "left")
+    good = F.col("error").isNull() & F.col("value").isNotNull()
+    put_back = H.apply_translations(F.when(good, F.col("html")), F.when(good, F.col("value")))
+    return told.select("key", F.when(F.coalesce(F.size("texts"), F.lit(0)) <= 0, F.col("html")).otherwise(put_back).alias("html"), "error")
+
+
 def coverage_verdict(review: DataFrame, key: str = "key") -> DataFrame:
     return quality.coverage_buckets(review, key)
 

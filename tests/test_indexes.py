@@ -178,3 +178,26 @@ def test_extraction_sees_known_names_and_isolates_failures(spark):
     assert names == {1: "Alpha Fund", 2: "Nowhere", 3: "Beta Bond"}  # the later article was shown the name, in capitals it is the same entity
     assert sorted((r.article_id, r.entity_id) for r in after["article_entities"].collect()) == [(10, 3), (30, 3), (40, 3)]
     assert pipelines.extract_rounds(tables, rounds.limit(0), naming)[1].count() == 0
+
+
+def test_search_metadata_and_translated_bodies(spark):
+    import json
+
+    bodies = spark.createDataFrame([("1", '<p class="x">One <b>two</b></p><figure class="graph-block"><b>keep</b></figure>'), ("2", "<hr>"), ("3", "<p>drop</p>"), ("4", "<p>bad</p>")], "key string, html string")
+
+    def model(prompt):
+        if "bad" in prompt:
+            raise RuntimeError("no answer")
+        texts = json.loads(next(line for line in prompt.splitlines() if line.startswith("{") and '"1"' in line))
+        return json.dumps({k: v.upper() for k, v in texts.items() if v != "drop"})
+
+    rows = {r.key: (r.html, r.error) for r in pipelines.translate_bodies(bodies, model, "Chinese").collect()}
+    assert rows == {
+        "1": ('<p class="x">ONE <b>TWO</b></p><figure class="graph-block"><b>keep</b></figure>', None),
+        "2": ("<hr>", None), "3": (None, "an id is missing"), "4": (None, "RuntimeError: no answer"),
+    }
+    drafts = spark.createDataFrame([("1", "T", "b"), ("2", "U", "b")], "key string, title string, body_text string")
+    full = {k: "x" for k in ("title", "meta_description", "canonical_slug", "og_title", "og_description")} | {k: ["x"] for k in ("primary_keywords", "secondary_keywords", "internal_anchor_texts")}
+    full |= {"headings": [{"level": 2, "text": "h"}], "faq": [{"question": "q", "answer": "a"}]}
+    found = {r.key: (r.metadata and r.metadata.title, r.error) for r in pipelines.seo_metadata(drafts, lambda p: json.dumps(full) if "# title\nT" in p else "{}").collect()}
+    assert found == {"1": ("x", None), "2": (None, "a text is blank")}
