@@ -455,7 +455,7 @@ def test_decontamination_of_items_dense_in_slots(spark, monkeypatch, limit):
     items = [(1, "What is 12 + 15 * 3?"), (2, "Add 1 2 3 4 5 6"), (3, "Add 1 2 3 4 5 7"), (4, "Eigenvalue 7")]
     texts = [(1, "so what is 12 + 15 * 3? well"), (2, "what is 12 + 15 * 4?"), (3, "Add 1 2 3 4 5 6 7"), (4, "Add 1 2 3 4 5 7"), (5, "one eigenvalue"), (6, "eigenvalue 7"), (7, "What is 12 + 15"), (8, "* 3 and then")]
     found = decontam.contaminated(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    assert {(r.doc_id, r["items"], r.containment, r.reparameterised) for r in found.collect()} == {(1, "1", 1.0, False), (3, "2", 1.0, False), (4, "3", 1.0, False), (6, "4", 1.0, False)}
+    assert {(r.doc_id, r["items"], r.containment, r.reparameterised) for r in found.collect()} == {(1, "1", 1.0, False), (2, "1", 1.0, True), (3, "2", 1.0, False), (4, "3", 1.0, False), (6, "4", 1.0, False)}
 
 
 def test_decontamination_of_copies_in_another_case(spark):
