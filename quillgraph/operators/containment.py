@@ -20,8 +20,12 @@ PATTERN_BYTES = 8 << 20
 
 
 def _grams(c: Column, size: int) -> Column:
-    every = F.transform(F.sequence(F.lit(1), F.length(c) - (size - 1)), lambda i: F.substring(c, i, F.lit(size)))
-    return F.when(F.length(c) >= size, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
+    """Distinct runs of ``size`` characters, in time that follows the length of the string."""
+    chars = F.split(c, "")
+    out = chars
+    for k in range(1, size):
+        out = F.zip_with(out, F.slice(chars, F.lit(k + 1), F.greatest(F.size(chars) - k, F.lit(0))), lambda a, b: F.concat(a, b))
+    return F.array_distinct(F.array_compact(out))
 
 
 def contained(needles: DataFrame, hays: DataFrame) -> DataFrame:
