@@ -17,6 +17,8 @@ GRAM = 3
 SALTS = 8
 #: Bytes of patterns in one automaton; more patterns are searched for in several passes.
 PATTERN_BYTES = 8 << 20
+#: Pairs found after which a task sends them on.
+HITS = 20_000
 
 
 def _grams(c: Column, size: int) -> Column:
@@ -31,10 +33,23 @@ def _grams(c: Column, size: int) -> Column:
 def contained(needles: DataFrame, hays: DataFrame) -> DataFrame:
     """needle_id, hay_id of needles (needle_id, needle) that occur in hays (hay_id, hay); empty and null ones occur in none.
 
-    A needle is looked up by the one of its grams that the fewest hays have, so frequent grams
-    bring no pairs together unless a needle has nothing else; what meets is compared whole.
+    Needles longer than every hay are left out. The others are counted: up to PATTERN_BYTES, ids included,
+    one automaton reads each hay once and nothing of the hays is shuffled. Beyond that a needle is
+    looked up by the one of its grams that the fewest hays have, so frequent grams bring no pairs
+    together unless a needle has nothing else; what meets is compared whole.
     """
-    wanted = needles.filter("needle <> ''").select("needle_id", "needle", F.least(F.length("needle"), F.lit(GRAM)).alias("size"))
+    longest = hays.agg(F.coalesce(F.max(F.length("hay")), F.lit(0))).first()[0]
+    fit = needles.filter("needle <> ''").filter(F.length("needle") <= longest)
+    size = fit.agg(F.coalesce(F.sum(F.octet_length("needle") + F.octet_length(F.col("needle_id").cast("string"))), F.lit(0))).first()[0]
+    if size > PATTERN_BYTES:
+        return _by_grams(fit, hays)
+    known = fit.select("needle_id", F.col("needle").alias("pattern"))
+    found = _searched(hays.select(F.col("hay_id").alias("id"), F.col("hay").alias("text")), known.select("pattern"))
+    return found.join(F.broadcast(known), "pattern").select("needle_id", F.col("id").alias("hay_id"))
+
+
+def _by_grams(needles: DataFrame, hays: DataFrame) -> DataFrame:
+    wanted = needles.select("needle_id", "needle", F.least(F.length("needle"), F.lit(GRAM)).alias("size"))
     found = []
     for size in sorted(r["size"] for r in wanted.select("size").distinct().collect()):
         grams = hays.select("hay_id", "hay", F.explode(_grams(F.col("hay"), size)).alias("gram"))
@@ -45,8 +60,6 @@ def contained(needles: DataFrame, hays: DataFrame) -> DataFrame:
         keyed = mine.join(rarest, "needle_id").select("needle_id", "needle", F.col("g.gram").alias("gram"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
         salted = grams.withColumn("salt", F.pmod(F.xxhash64("hay_id"), F.lit(SALTS)).cast("int"))
         found.append(salted.join(keyed, ["gram", "salt"]).filter(F.contains("hay", F.col("needle"))).select("needle_id", "hay_id"))
-    if not found:
-        return needles.limit(0).select("needle_id").crossJoin(hays.limit(0).select("hay_id"))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -117,21 +130,31 @@ def found_in(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     size = wanted.agg(F.coalesce(F.sum(F.octet_length("pattern")), F.lit(0))).first()[0]
     blocks = 1 if size <= PATTERN_BYTES else -(-2 * size // PATTERN_BYTES)
     block = F.pmod(F.xxhash64("pattern"), F.lit(blocks))
-    rows = texts.select(F.col("id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    return reduce(DataFrame.unionByName, [_searched(texts, wanted.filter(block == b)) for b in range(blocks)])
 
-    def searched(words: list[str]) -> DataFrame:
-        shared = texts.sparkSession.sparkContext.broadcast(words)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton = ahocorasick.Automaton()
-            for word in shared.value:
-                automaton.add_word(word, word)
-            automaton.make_automaton()
-            for batch in batches:
-                for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                    words = sorted({w for _, w in automaton.iter(text)}) if len(automaton) else []
-                    yield pa.RecordBatch.from_arrays([pa.array([i] * len(words), pa.int64()), pa.array(words, pa.string())], ["id", "pattern"])
+def _searched(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """id, pattern by one automaton over patterns of counted size."""
+    rows = texts.select("id", F.coalesce("text", F.lit("")).alias("text"))
+    shared = texts.sparkSession.sparkContext.broadcast(sorted({r["pattern"] for r in patterns.collect()}))
 
-        return rows.mapInArrow(run, "id long, pattern string")
-
-    return reduce(DataFrame.unionByName, [searched([r["pattern"] for r in wanted.filter(block == b).collect()]) for b in range(blocks)])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = ahocorasick.Automaton()
+        for word in shared.value:
+            automaton.add_word(word, word)
+        automaton.make_automaton()
+        if not len(automaton):
+            return
+        for batch in batches:
+            at, found = [], []
+            for i, text in enumerate(batch.column("text")):
+                hits = {w for _, w in automaton.iter(text.as_py())}
+                at += [i] * len(hits)
+                found += hits
+                if len(found) >= HITS:
+                    yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at)), pa.array(found, pa.string())], ["id", "pattern"])
+                    at, found = [], []
+            if found:
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at)), pa.array(found, pa.string())], ["id", "pattern"])
+
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, pattern string")

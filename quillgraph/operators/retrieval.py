@@ -190,11 +190,12 @@ def near_duplicates(summaries: DataFrame, seeds: DataFrame, high: float = 0.6, m
 def title_slug_similarity(articles: DataFrame, candidates: DataFrame, title_least: float = 0.3, slug_above: float = 0.0) -> DataFrame:
     """Pairs (candidate_id, article_id) with title_similarity (Jaccard of tokens) and slug_similarity (1, 0.7, 0).
 
-    Titles meet through an inverted index of their rarest tokens (a prefix filter), slugs through
-    one of their rarest grams.
+    Titles meet through an inverted index of their rarest tokens (a prefix filter), slugs by
+    containment in both directions. Slugs and tokens are computed once and written.
     """
     a = articles.select(F.col("id").alias("a_id"), F.lower(F.coalesce("slug", F.lit(""))).alias("a_slug"), F.array_distinct(tokens(F.coalesce("title", F.lit("")))).alias("a_tokens"))
     c = candidates.select(F.col("candidate_id").alias("b_id"), F.lower(F.trim(F.coalesce("candidate_slug", F.lit("")))).alias("c_slug"), F.array_distinct(tokens(F.coalesce("candidate_title", F.lit("")))).alias("b_tokens"))
+    a, c = stored(a, "titles"), stored(c, "titles")
     theirs = a.filter("a_slug <> ''").select(F.col("a_id").alias("hay_id"), F.col("a_slug").alias("hay"))
     ours = c.filter("c_slug <> ''").select(F.col("b_id").alias("hay_id"), F.col("c_slug").alias("hay"))
     needle = lambda side: side.select(F.col("hay_id").alias("needle_id"), F.col("hay").alias("needle"))

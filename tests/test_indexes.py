@@ -17,14 +17,28 @@ def words(rng, n):
     return ["".join(rng.choice("abcé") for _ in range(rng.choice([0, 1, 2, 3, 4, 7, 12]))) for _ in range(n)]
 
 
-def test_containment_equals_every_pair(spark):
+@pytest.mark.parametrize("limit_bytes", [1 << 20, 20])
+@pytest.mark.parametrize("kind", [int, str])
+def test_containment_equals_every_pair(spark, monkeypatch, limit_bytes, kind):
+    """By one automaton, and by grams where the needles are more than its bound; ids of either type."""
+    monkeypatch.setattr(containment, "PATTERN_BYTES", limit_bytes)
     rng = random.Random(1)
-    needles, hays = words(rng, 60) + [None], words(rng, 80) + ["abc" * 30, None]
-    found = containment.contained(spark.createDataFrame(list(enumerate(needles)), "needle_id long, needle string"), spark.createDataFrame(list(enumerate(hays)), "hay_id long, hay string"))
-    assert sorted(map(tuple, found.collect())) == sorted((i, j) for i, n in enumerate(needles) for j, h in enumerate(hays) if n and h and n in h)
+    needles, hays = words(rng, 60) + [None, "abc" * 31, "abc" * 30], words(rng, 80) + ["abc" * 30, None]
+    ids = {int: "long", str: "string"}[kind]
+    rows = lambda values: [(kind(i), v) for i, v in enumerate(values)]
+    found = containment.contained(spark.createDataFrame(rows(needles), f"needle_id {ids}, needle string"), spark.createDataFrame(rows(hays), f"hay_id {ids}, hay string"))
+    assert sorted(map(tuple, found.collect())) == sorted((kind(i), kind(j)) for i, n in enumerate(needles) for j, h in enumerate(hays) if n and h and n in h)
     assert "NestedLoop" not in found._jdf.queryExecution().toString() and "Cartesian" not in found._jdf.queryExecution().toString()
 
 
+def test_containment_without_needles_or_hays(spark, monkeypatch):
+    none, one = spark.createDataFrame([], "needle_id long, needle string"), spark.createDataFrame([(1, "a")], "needle_id long, needle string")
+    empty, hay = spark.createDataFrame([], "hay_id long, hay string"), spark.createDataFrame([(1, "ba")], "hay_id long, hay string")
+    for limit_bytes in (1 << 20, 0):
+        monkeypatch.setattr(containment, "PATTERN_BYTES", limit_bytes)
+        assert [containment.contained(n, h).count() for n, h in ((none, hay), (one, empty), (none, empty), (one, hay))] == [0, 0, 0, 1]
+
+
 @pytest.mark.parametrize("limit_bytes", [1 << 20, 20])
 def test_first_hits_and_found_in(spark, monkeypatch, limit_bytes):
     monkeypatch.setattr(containment, "PATTERN_BYTES", limit_bytes)
