@@ -990,4 +990,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-from . import whole  # noqa: E402, F401  (registers its queries)
+from . import replies, whole  # noqa: E402, F401  (register their queries)
