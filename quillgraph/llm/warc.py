@@ -201,8 +201,8 @@ _ARROW = pa.schema(
 )
 
 
-def read_archives(manifest: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
-    """The chunked record table of the archives named in ``manifest`` (path)."""
+def _read(manifest: DataFrame, chunk: int, last_only: bool) -> DataFrame:
+    kept = _ARROW.remove(_ARROW.get_field_index("chunk")) if last_only else _ARROW
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,22 +211,35 @@ def read_archives(manifest: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
                 rows, size = [], 0
                 with store.open_input_stream(path) as raw, io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 18) as stream:
                     for row in read_records(stream, chunk):
+                        data = row.pop("chunk") if last_only else row["chunk"]
+                        if last_only and not row["last"]:
+                            continue
                         rows.append(row)
-                        size += len(row["chunk"]) + 500
+                        size += (0 if last_only else len(data)) + 500
                         if size >= 1 << 22:
-                            yield pa.RecordBatch.from_pylist(rows, _ARROW)
+                            yield pa.RecordBatch.from_pylist(rows, kept)
                             rows, size = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_pylist(rows, _ARROW)
+                    yield pa.RecordBatch.from_pylist(rows, kept)
 
     spread = manifest.select("path").repartition(max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return spread.mapInArrow(run, CHUNKS)
+    return spread.mapInArrow(run, CHUNKS.replace("chunk binary, ", "") if last_only else CHUNKS)
+
+
+def read_archives(manifest: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """The chunked record table of the archives named in ``manifest`` (path)."""
+    return _read(manifest, chunk, False)
+
+
+def read_totals(manifest: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """The last row of each record in the chunked record table, without its chunk: payloads are read and digested, and stay in the worker."""
+    return _read(manifest, chunk, True)
 
 
 def report(pages: DataFrame, out_dir: str | None = None) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every page, read back from archives."""
     manifest = write_archives(plan_records(pages), out_dir or scratch_path(pages.sparkSession, "warc"))
-    last = read_archives(manifest).filter("last")
+    last = read_totals(manifest)
 
     def page(column: str) -> Column:
         return F.expr(f"try_cast(split_part({column}, ':', {_URN.count(':') + 1}) as long)")

@@ -423,6 +423,8 @@ def test_warc(spark):
     assert [len(c.chunk) for c in chunks] == [40_000, 40_000, 40_000, 30_000] and b"".join(c.chunk for c in chunks).decode() == other
     assert chunks[1].digest_so_far == hashlib.sha1(other[:80_000].encode()).hexdigest() and [c.last for c in chunks] == [False, False, False, True]
     last = {r.record_id: r for r in whole.filter("last").collect()}
+    totals = warc.read_totals(manifest, chunk=40_000)
+    assert "chunk" not in totals.columns and sorted(map(repr, totals.collect())) == sorted(map(repr, whole.filter("last").drop("chunk").collect()))
     assert len(last) == pages.count()  # ids are unique, also of repeated and null page_ids
     assert all(last[r.refers_to].record_type == "response" and last[r.refers_to].digest_so_far == r.stated_digest for r in last.values() if r.refers_to)
 
