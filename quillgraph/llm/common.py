@@ -197,10 +197,11 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (xor-shift and multiply), vectorised."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def random_table(size: int, seed: int) -> np.ndarray:

@@ -62,6 +62,8 @@ SPOOL_BYTES, SORT_BYTES = 32 << 20, 1 << 26
 BROADCAST_BYTES = 32 << 20
 _NO_ID = (1 << 63) - 1
 _CHUNK = 1 << 19
+#: Positions that are hashed at once, so that their arrays stay in the processor's cache.
+_HASHED = 1 << 16
 _WINDOW = np.uint64(0xA24BAED4963EE407)
 
 
@@ -83,10 +85,15 @@ def _unpack(data: bytes, *types: str) -> list[np.ndarray]:
 
 def _grams(data: np.ndarray) -> np.ndarray:
     """Hash of the GRAM bytes from each position."""
+    n = data.size - GRAM + 1
+    if n > 2 * _HASHED:
+        out = np.empty(n, np.uint64)
+        for a in range(0, n, _HASHED):
+            out[a : a + _HASHED] = _grams(data[a : min(a + _HASHED, n) + GRAM - 1])
+        return out
     x = data.astype(np.uint64)
     for width in (1, 2, 4):
         x = x[:-width] | x[width:] << np.uint64(8 * width)
-    n = data.size - GRAM + 1
     out = mix64(x[:n])
     for k in range(8, GRAM, 8):
         out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + x[k : k + n])
@@ -101,8 +108,8 @@ def _segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     anchors, firsts, counts, owners = [], [], [], []
     n = data.size - LENGTH + 1  # windows, before those across documents go
     whose = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
-    for begin in range(0, max(n, 0), _CHUNK):
-        end = min(begin + _CHUNK, n)
+    for begin in range(0, max(n, 0), _HASHED):
+        end = min(begin + _HASHED, n)
         grams = _grams(data[begin : end - 1 + LENGTH])
         place = np.arange(grams.size, dtype=np.uint64)
         key = grams >> np.uint64(22) << np.uint64(22) | place  # the first of equal grams is smallest
@@ -530,6 +537,28 @@ def repeated_windows(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray, store
     return join(found_segment), join(found_window)
 
 
+def _candidates(grams: np.ndarray, first: np.ndarray, size: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, low, high): the parts of segments that hold all windows whose hash occurs under several ids.
+
+    Equal windows have equal hashes, so what is left out cannot repeat; what is left is still sorted.
+    """
+    n = size - LENGTH + 1
+    key = _window_keys(grams, _spots(first, n))
+    segment = np.repeat(np.arange(len(n)), n)
+    order = np.argsort(key)
+    key, who = key[order], ids[segment[order]]
+    new = np.ones(key.size, bool)
+    new[1:] = key[1:] != key[:-1]
+    starts = np.flatnonzero(new)
+    several = np.minimum.reduceat(who, starts) != np.maximum.reduceat(who, starts)
+    at = np.sort(order[np.repeat(several, np.diff(np.append(starts, key.size)))])
+    of, window = segment[at], at - (np.cumsum(n) - n)[segment[at]]
+    opens = np.ones(of.size, bool)
+    opens[1:] = of[1:] != of[:-1]
+    heads = np.flatnonzero(opens)
+    return of[heads], window[heads], window[np.append(heads[1:], of.size) - 1] + LENGTH if of.size else window
+
+
 def _search_cell(cell: Columns, store: Store) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(batch, low, high): ranges to remove from the rows of all segments of one cell."""
     anchor, who, batch, size, times = cell.fixed
@@ -538,7 +567,8 @@ def _search_cell(cell: Columns, store: Store) -> tuple[np.ndarray, np.ndarray, n
     row, start = np.repeat(np.arange(len(who)), times), start.astype(np.int64)
     of = batch[row]
     first = np.cumsum(size) - size
-    order, new = _collapse(_content_keys(_grams(data), first, size, anchor), who, first, data, first, size)
+    grams = _grams(data)
+    order, new = _collapse(_content_keys(grams, first, size, anchor), who, first, data, first, size)
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
     heads = order[new]  # smallest id of each distinct segment
@@ -553,8 +583,10 @@ def _search_cell(cell: Columns, store: Store) -> tuple[np.ndarray, np.ndarray, n
     lows, highs, owners = [start[whole]], [start[whole] + size[row[whole]]], [of[whole]]
     if varied.size:
         chosen = heads[varied]
-        length = size[chosen]
-        segment, window = repeated_windows(data[_spots(first[chosen], length)], length, who[chosen], store)
+        segment, low, high = _candidates(grams, first[chosen], size[chosen], who[chosen])
+        varied, chosen = varied[segment], chosen[segment]
+        segment, window = repeated_windows(data[_spots(first[chosen] + low, high - low)], high - low, who[chosen], store) if varied.size else (segment, segment)
+        window = window + low[segment]
         if segment.size:
             pick = np.lexsort((window, segment))
             segment, window = segment[pick], window[pick]

@@ -253,6 +253,23 @@ def test_segments_are_compared_byte_by_byte(monkeypatch):
     assert order.tolist() == [0, 2, 1, 3] and new.tolist() == [True, False, True, False]
 
 
+def test_only_shared_windows_are_sorted(monkeypatch):
+    """Segments of one anchor: what no other id's segment holds is left out of the sort, and the ranges stay the same."""
+    rng, gram = np.random.default_rng(5), np.frombuffer(b"a gram of 24 bytes, that.", np.uint8)[:24]
+    tails = [rng.integers(97, 123, 40).astype(np.uint8) for _ in range(30)]
+    texts = [np.concatenate([gram, tail]) for tail in tails] + [np.concatenate([gram, tails[3][:30], tails[9][:10]])]
+    n, size = len(texts), len(texts[0])
+    given, plain = [], suffix_dedup.repeated_windows
+    monkeypatch.setattr(suffix_dedup, "repeated_windows", lambda data, sizes, ids, store: (given.append(int(sizes.sum())), plain(data, sizes, ids, store))[1])
+    cell = suffix_dedup.Columns(
+        [np.full(n, 7, np.uint64), np.arange(n), np.arange(n) * 10, np.full(n, size, np.uint8), np.ones(n, np.uint32)],
+        [np.concatenate(texts), np.full(n, 5, np.uint32)], suffix_dedup.SEGMENTS[2],
+    )
+    found = suffix_dedup._search_cell(cell, induced.Store(1 << 20))
+    assert [x.tolist() for x in found] == [[(n - 1) * 10], [5], [5 + 54]]
+    assert sum(given) == 2 * 54
+
+
 def test_repeated_passages_around_a_hot_one(spark, monkeypatch):
     """A passage in every document, between words of their own."""
     monkeypatch.setattr(suffix_dedup, "HOT", 20)
