@@ -236,3 +236,13 @@ def test_mirror(spark, tmp_path):
     store.ingest(kept, spark.createDataFrame([("a", "a.html", "A", "", "", None, None, "published", [])], record), "2024-01-01", str(tmp_path / "mirror"))
     assert spark.read.json(str(tmp_path / "mirror" / "articles")).first().slug == "a"
     assert spark.read.json(str(tmp_path / "mirror" / "meta")).first().article_count == 1
+
+
+def test_a_page_is_parsed_once_and_pages_are_spread(spark, monkeypatch):
+    calls, plain = [], ingest.H.parse
+    monkeypatch.setattr(ingest.H, "parse", lambda h: (calls.append(h), plain(h))[1])
+    assert ingest._article('<script type="application/ld+json">{"@type":"Article","datePublished":"2024-01-02"}</script>')["published_at"] == "2024-01-02"
+    assert len(calls) == 1
+    from quillgraph.plans import registry
+
+    assert registry.queries()["page_round_trip"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
