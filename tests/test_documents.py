@@ -246,3 +246,21 @@ def test_a_page_is_parsed_once_and_pages_are_spread(spark, monkeypatch):
     from quillgraph.plans import registry
 
     assert registry.queries()["page_round_trip"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+
+
+def test_trees_of_pages_do_not_wait_for_the_collector():
+    import gc
+
+    import pyarrow as pa
+
+    from quillgraph.functions import html
+
+    pages = pa.array(['<nav class="navbar"><p>x</p></nav><div><p>a<b>c</b></p><li>d</li></div>', None] * 50)
+    gc.collect()
+    gc.disable()
+    try:
+        found = list(html._of_pages(iter([pages, pages.slice(0, 0)]), lambda root: html.text_blocks(html.strip_boilerplate(root)), pa.list_(pa.string())))
+        assert sum(isinstance(x, html.Node) for x in gc.get_objects()) == 0
+    finally:
+        gc.enable()
+    assert [f.to_pylist() for f in found] == [[["ac", "d"], []] * 50, []]
