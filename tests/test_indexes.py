@@ -31,6 +31,23 @@ def test_containment_equals_every_pair(spark, monkeypatch, limit_bytes, kind):
     assert "NestedLoop" not in found._jdf.queryExecution().toString() and "Cartesian" not in found._jdf.queryExecution().toString()
 
 
+def test_strings_that_share_beginnings_meet_by_long_grams(spark, monkeypatch):
+    monkeypatch.setattr(containment, "PATTERN_BYTES", 0)
+    monkeypatch.setattr(containment, "HOT_GRAM", 5)
+    sizes, plain = set(), containment._grams
+    monkeypatch.setattr(containment, "_grams", lambda c, size: (sizes.add(size), plain(c, size))[1])
+    needles, hays = [f"order-{k}" for k in range(0, 300, 7)], [f"order-{k}" for k in range(900)]
+    found = containment.contained(spark.createDataFrame(enumerate(needles), "needle_id long, needle string"), spark.createDataFrame(enumerate(hays), "hay_id long, hay string"))
+    assert sorted(map(tuple, found.collect())) == sorted((i, j) for i, n in enumerate(needles) for j, h in enumerate(hays) if n in h)
+    assert sizes == {4, 8}
+
+
+def test_without_needles_no_hay_is_read(spark):
+    none, hay = spark.createDataFrame([], "needle_id long, needle string"), spark.createDataFrame([(1, "ba")], "hay_id long, hay string")
+    found = containment.contained(none, hay)
+    assert found.columns == ["needle_id", "hay_id"] and "MapInArrow" not in found._jdf.queryExecution().toString()
+
+
 def test_containment_without_needles_or_hays(spark, monkeypatch):
     none, one = spark.createDataFrame([], "needle_id long, needle string"), spark.createDataFrame([(1, "a")], "needle_id long, needle string")
     empty, hay = spark.createDataFrame([], "hay_id long, hay string"), spark.createDataFrame([(1, "ba")], "hay_id long, hay string")
