@@ -110,6 +110,22 @@ def test_catalog(spark):
     assert found == [("2024-01-01", "Guess", True, "https://h/1", "S > Sub", "list"), ("2024-01-02", "Real", False, None, "S > Sub", "list"), ("2024-01-04", "新", False, None, "T", "table")]
 
 
+def test_catalog_is_read_once_and_lines_are_not_shuffled(spark):
+    """Two documents whose lines come in any order; of one date the first entry stays, with its own URL only."""
+    lines = {
+        "a": ["### Lone", "- **2024-01-01 — A**", "- note", "- URL: https://h/1", "## S", "- URL: https://h/none", "- **2024-01-01 — B**", "- URL: https://h/2", "| 2024-01-05 | T | x |", "- **2024-01-05 — C**", "- URL: https://h/3"],
+        "b": ["## S", "### U", "## V", "- **2024-01-01 — [D]**", "-URL: https://h/4", "- URL: https://h/5"],
+    }
+    rows = [(d, i, x) for d, some in lines.items() for i, x in enumerate(some)][::-1]
+    made = ingest.catalog_entries(spark.createDataFrame(rows, "doc string, n int, line string"))
+    found = sorted((r.doc, r.date, r.title, r.inferred, r.url, r.section, r.source) for r in made.collect())
+    assert found == [("a", "2024-01-01", "A", False, "https://h/1", "Lone", "list"), ("a", "2024-01-05", "T", False, None, "S", "table"), ("b", "2024-01-01", "D", True, None, "V", "list")]
+    texts = ingest.dealt(spark.createDataFrame([("d", "- **2024-01-01 — A**\n- URL: u")], "doc string, text string"), "doc", "text")
+    exploded = texts.select("doc", F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    plan = ingest.catalog_entries(exploded)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") == 1 and plan.count("Exchange") == 1
+
+
 def test_store_versions(spark, tmp_path):
     kept = store.Store(spark, str(tmp_path / "store"))
     record = "slug string, filepath string, title string, summary string, body_text string, published_at string, last_updated string, status string, internal_links array<struct<target_slug:string,link_text:string>>"
