@@ -108,3 +108,17 @@ def test_numbering_needs_no_single_partition(spark):
     rows = spark.range(1000).selectExpr("id * 7 % 1000 as k")
     found = dedup.numbered(rows, "nth", "k")
     assert [r.nth - r.k for r in found.collect()] == [1] * 1000
+
+
+def test_topics_of_one_text_are_matched_once(spark, monkeypatch):
+    """As many tasks as topics ask for, and of topics that repeat a text one is matched."""
+    monkeypatch.setattr(retrieval, "TOPIC_ROWS", 2)
+    asked, plain = [], retrieval.contained
+    monkeypatch.setattr(retrieval, "contained", lambda needles, hays: (asked.append((needles.count(), hays.count(), hays.rdd.getNumPartitions())), plain(needles, hays))[1])
+    entities = spark.createDataFrame([(1, "large gear", "product"), (2, "Gear", "topic"), (3, "gear box", "product")], ENTITIES)
+    texts = ["Large Gear", "gear", " large gear ", "nothing", "GEAR", "boxes", None, " "]
+    topics = spark.createDataFrame([(40 - i, t) for i, t in enumerate(texts)], "topic_id long, topic string")
+    found = sorted((r.topic_id, r["rank"], r.id, r.score) for r in retrieval.seed_entities(entities, topics).collect())
+    large, gear = [(1, 1, 1.0), (2, 2, 0.9), (3, 3, 0.6)], [(1, 2, 1.0), (2, 1, 0.9), (3, 3, 0.9)]
+    assert found == sorted((t, *s) for t, some in ((40, large), (38, large), (39, gear), (36, gear)) for s in some)
+    assert asked[0] == (3, 4, 2)  # three names in four texts, dealt over two tasks
