@@ -122,3 +122,32 @@ def test_topics_of_one_text_are_matched_once(spark, monkeypatch):
     large, gear = [(1, 1, 1.0), (2, 2, 0.9), (3, 3, 0.6)], [(1, 2, 1.0), (2, 1, 0.9), (3, 3, 0.9)]
     assert found == sorted((t, *s) for t, some in ((40, large), (38, large), (39, gear), (36, gear)) for s in some)
     assert asked[0] == (3, 4, 2)  # three names in four texts, dealt over two tasks
+
+
+def test_equal_titles_meet_candidates_once(spark, monkeypatch):
+    """With and without slugs; without them no article is written or searched."""
+    met, plain = [], retrieval.similar_candidates
+    monkeypatch.setattr(retrieval, "similar_candidates", lambda left, right, least: (met.append(left.count()), plain(left, right, least))[1])
+    searched, inside = [], retrieval.contained
+    monkeypatch.setattr(retrieval, "contained", lambda needles, hays: (searched.append(1), inside(needles, hays))[1])
+    titles = ["urgent open order", "plain order", None, "urgent review"]
+    articles = spark.createDataFrame([(i, f"order-{i}", titles[i % 4]) for i in range(40)], "id long, slug string, title string")
+    candidates = lambda slug: spark.createDataFrame([(1, "Urgent order review", slug), (2, None, None), (3, "bolt", " ")], "candidate_id long, candidate_title string, candidate_slug string")
+    found = lambda slug: sorted((r.candidate_id, r.article_id, r.title_similarity, r.slug_similarity) for r in retrieval.title_slug_similarity(articles, candidates(slug)).collect())
+    near = {0: 0.5, 3: 0.67}
+    assert found("") == [(1, i, near[i % 4], 0.0) for i in range(40) if i % 4 in near] and not searched
+    slugged = {5: (0.25, 1.0)}
+    assert found("Order-5") == sorted([(1, i, near[i % 4], 0.0) for i in range(40) if i % 4 in near] + [(1, i, *s) for i, s in slugged.items()]) and searched
+    assert met == [4, 4]
+
+
+def test_seed_overlaps_equal_duplicates_of_summaries(spark):
+    entities, edges, articles, links, topics = graph(spark)
+    topics = topics.unionByName(spark.createDataFrame([(2, "warrant"), (3, "none")], topics.schema))
+    links = links.unionByName(spark.createDataFrame([(2, 4, 0.7), (2, 5, 0.55), (1, 5, 0.2), (9, 4, 1.0)], links.schema))
+    seeds = retrieval.seed_entities(entities, topics)
+    related = retrieval.expand_related(entities, edges, seeds, 1)[0]
+    expected = retrieval.near_duplicates(retrieval.article_summaries(articles, links, related), seeds)
+    made = retrieval.seed_overlaps(articles, links, related, seeds)
+    assert made.columns == expected.columns and sorted(map(tuple, made.collect())) == sorted(map(tuple, expected.collect())) and made.count() > 1
+    assert "collect_list" not in made._jdf.queryExecution().toString()
