@@ -53,17 +53,32 @@ GAMMA = 2.0
 #: Bits between two stored counts of a hash index, a multiple of 8.
 RANK_BITS = 512
 #: Text bytes that are encoded together.
-ENCODE_BYTES = 1 << 21
+ENCODE_BYTES = 1 << 23
 #: Bytes that a worker keeps of chunks and their ids, in each of two generations, and the longest chunk kept.
 CACHE_BYTES, CACHE_LENGTH = 48 << 20, 64
+#: Bytes of a chunk that is kept even if a step has it once.
+SHORT = 3
 #: What an entry takes beside its text and ids, about.
 _ENTRY_BYTES = 220
-ENDINGS = ".,;:!?"
 _ODD_SPACES = re.compile(r"\s \s|  ")
 #: What every text with odd spaces has; it is found faster.
 _SPACE_BEFORE = re.compile(r" \s")
 
 
+def _byte_marks() -> list[str]:
+    """The character by which byte-level tokenizers write each byte: itself, or for white space and unseen ones the next from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in own else next(others)) for b in range(0x100)]
+
+
+BYTE_MARKS = _byte_marks()
+#: Bytes that UTF-8 never has; here they stand between two pieces and between two chunks.
+NO_TEXT = (0xC0, 0xC1)
+#: Pieces of a chunk in which each character counts for the pre-tokenizer as it does here, without apostrophes.
+_PIECES = re.compile(r"[^\W\d_]+|\d+|\n|(?:[^\w\s]|_)+")
+
+
 class MinimalPerfectHash:
     """Maps n distinct 64-bit keys onto 0 .. n - 1; other keys are told apart by fingerprints."""
 
@@ -145,9 +160,11 @@ class Encoder:
     """A tokenizer with a cache of the ids of chunks.
 
     With a byte-level pre-tokenizer, a single space between other characters always opens a
-    piece, so what lies between such spaces is encoded on its own, once, and kept. Texts
-    with other runs of white space or with the string of an added token, and other kinds of
-    tokenizer, are encoded whole.
+    piece, so what lies between such spaces is encoded on its own, once, and kept. Where
+    a chunk's pieces are plain runs of letters, numbers or signs, they go to the tokenizer's
+    model without its pre-tokenizer, which takes more time than the model. Texts with other
+    runs of white space or with the string of an added token, and other kinds of tokenizer,
+    are encoded whole.
     """
 
     def __init__(self, path: str, special_as_text: bool = False):
@@ -162,8 +179,16 @@ class Encoder:
         self.by_chunk = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec.get("normalizer") and not spec.get("post_processor")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind, self.code = f"<u{self.width}", "H" if self.width == 2 else "I"
-        self.endings = dict(zip(ENDINGS, self._ids(list(ENDINGS))))
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids if self.by_chunk else (0,)
+        #: Characters met so far, and those that pre-tokenizer and ``_PIECES`` take alike.
+        self.met, self.plain = set[str](), set[str]()
+        self.marks, vocabulary = np.array([ord(m) for m in BYTE_MARKS], np.uint16), (spec.get("model") or {}).get("vocab") or {}
+        self.marks[:2] = self.marks[list(NO_TEXT)]
+        self.between = [vocabulary.get(BYTE_MARKS[b]) for b in NO_TEXT] if self.by_chunk else [None]
+        merged = {c for m in spec["model"].get("merges") or [] for part in m for c in part} if self.by_chunk else set()
+        self.merger = None
+        if None not in self.between and not merged.intersection(BYTE_MARKS[b] for b in NO_TEXT):
+            self.merger = Tokenizer(self.tokenizer.model)
         self.added = [t["content"] for t in spec.get("added_tokens") or []]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -172,9 +197,47 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _meet(self, characters: set[str]) -> None:
+        """Ask the pre-tokenizer of each new character whether it prolongs a piece as ``_PIECES`` has it."""
+        for c in characters - self.met:
+            begin = "a" if c.isalpha() else "1" if c.isdecimal() else "" if c.isalnum() or c.isspace() or c in "'\0\1" else "!"
+            if c == "\n" or begin and len(self.tokenizer.pre_tokenizer.pre_tokenize_str(begin + c)) == 1:
+                self.plain.add(c)
+        self.met |= characters
+
     def _chunk_ids(self, chunks: list[str], lead: str) -> list[bytes]:
         """Ids of each chunk behind ``lead``, a space or nothing.
 
+        Pieces are told apart here where that is plain, and the model gets many at once: the
+        marks between them stand for bytes that no text has and no merge knows.
+        """
+        if self.merger is None:
+            return self._mixed_ids(chunks, lead)
+        self._meet(set().union(*chunks))
+        plain, out, cut, rest = self.plain.issuperset, dict[str, bytes](), [], []
+        for c in chunks:
+            if not c or not plain(c) or ("\n" in c and (c[0] == "\n" or c[-1] == "\n" or "\n\n" in c)):
+                rest.append(c)
+            else:
+                cut.append(c)
+        groups = [cut[i : i + 512] for i in range(0, len(cut), 512)]
+        texts = [("\1" + lead).join([c if c.isalpha() else "\0".join(_PIECES.findall(c)) for c in g]) for g in groups]
+        marked = [self.marks[np.frombuffer((lead + t).encode(), np.uint8)].tobytes().decode("utf-16-le") for t in texts]
+        for group, e in zip(groups, self.merger.encode_batch_fast(marked, add_special_tokens=False)):
+            ids = np.array(e.ids, self.kind)
+            ids = ids[ids != self.between[0]]
+            ends = np.append(np.flatnonzero(ids == self.between[1]), len(ids))
+            if len(ends) != len(group):
+                raise ValueError("the tokenizer does not keep pieces apart")
+            ends = (ends * self.width).tolist()
+            raw = ids.tobytes()
+            out.update(zip(group, [raw[a:b] for a, b in zip([0, *(x + self.width for x in ends)], ends)]))
+        out.update(zip(rest, self._mixed_ids(rest, lead)))
+        return [out[c] for c in chunks]
+
+    def _mixed_ids(self, chunks: list[str], lead: str) -> list[bytes]:
+        """Ids of chunks of any characters, by pre-tokenizer and model.
+
         Many chunks go through the tokenizer as one text: a line break between them is a
         piece and a token of its own, at which their ids are cut apart again. Chunks with
         white space where it would touch that line break go by themselves.
@@ -216,40 +279,32 @@ class Encoder:
         code = coded.indices.to_numpy().astype(np.int64)
         heads = np.zeros(code.size, bool)
         heads[ends[:-1]] = True  # the first chunk of a text has no space before it
-        behind = np.zeros(len(coded.dictionary), bool)
-        behind[code[~heads]] = True
+        times = np.bincount(code[~heads], minlength=len(coded.dictionary))
         chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist
-        get = self.young.get
-        ids = [get(c) if used else b"" for c, used in zip(chunks, behind.tolist())]
+        ids = list(map(self.young.get, chunks))
+        for k in np.flatnonzero(times == 0).tolist():
+            ids[k] = b""
         lacking = [k for k, x in enumerate(ids) if x is None]
-        known = self._encoded({chunks[k] for k in lacking}) if lacking else {}
-        for k in lacking:
-            ids[k] = known[chunks[k]]
-        code[ends[:-1]] = len(ids) + np.arange(len(texts))
-        ids += self._chunk_ids([chunks[k] for k in coded.indices.to_numpy()[ends[:-1]].tolist()], "")
-        for c, x in known.items():
-            if len(c) <= CACHE_LENGTH:
-                self.young[c] = x
-                self.held += len(c) + len(x) + _ENTRY_BYTES
+        if self.old:
+            for k in lacking:
+                ids[k] = self.old.get(chunks[k])
+        fresh = [k for k in lacking if ids[k] is None] if self.old else lacking
+        for k, x in zip(fresh, self._chunk_ids([chunks[k] for k in fresh], " ")):
+            ids[k] = x
+        # What occurs once seldom comes again, unless it is short.
+        again, missed = (times > 1) | (pc.binary_length(coded.dictionary).to_numpy() <= SHORT), np.array(lacking, np.int64)
+        for k in missed[again[missed]].tolist():
+            if len(chunks[k]) <= CACHE_LENGTH:
+                self.young[chunks[k]] = ids[k]
+                self.held += len(chunks[k]) + len(ids[k]) + _ENTRY_BYTES
         if self.held > CACHE_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
-        size = np.array([len(x) for x in ids], np.int64) // self.width
-        pool, first, size = np.frombuffer(b"".join(ids), self.kind), (np.cumsum(size) - size)[code], size[code]
-        raw = pool[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))].tobytes()
-        cuts = (np.concatenate([[0], np.cumsum(size)])[ends] * self.width).tolist()
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-
-    def _encoded(self, missing: set[str]) -> dict[str, bytes]:
-        """Ids of chunks behind a space, from the older generation or the tokenizer, and of the stems it met."""
-        known = {c: self.old[c] for c in self.old.keys() & missing}
-        fresh = missing.difference(known)
-        # A sign that ends a chunk behind a letter or digit is a piece of its own.
-        ended = [c for c in fresh if c[-1:] in ENDINGS and c[-2:-1].isalnum()]
-        need = list(fresh.difference(ended).union([c[:-1] for c in ended]).difference(self.young, known))
-        known.update(zip(need, self._chunk_ids(need, " ")))
-        for c in ended:
-            known[c] = (known.get(c[:-1]) or self.young[c[:-1]]) + self.endings[c[-1]]
-        return known
+        code[ends[:-1]] = len(ids) + np.arange(len(texts))
+        ids += self._chunk_ids([chunks[k] for k in coded.indices.to_numpy()[ends[:-1]].tolist()], "")
+        joined = pa.array(ids, pa.large_binary()).take(pa.array(code))
+        places, raw = (np.frombuffer(x, t) for x, t in zip(joined.buffers()[1:], (np.int64, np.uint8)))
+        cuts = places[ends].tolist()
+        return [raw[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)

@@ -341,6 +341,31 @@ def test_encoder_like_the_library(special_as_text):
     assert [np.frombuffer(x, "<u2").tolist() for x in token_store.Encoder(JSON, special_as_text).encode(texts)] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_encoder_spares_the_pre_tokenizer():
+    """Plain pieces go to the model alone, and have the ids of the library's whole way."""
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder, passed = Tokenizer.from_file(JSON), token_store.Encoder(JSON), []
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(tokenizer, name)
+
+        def encode_batch_fast(self, texts, **how):
+            passed.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **how)
+
+    encoder.tokenizer = Watched()
+    rng = random.Random(4)
+    letters = "aZéß漢中ñ𝐀Ω"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    texts = [" ".join(rng.choice(words) + rng.choice(["", ".", "$$$", ".\nThe", "-x_1", "42", "!?"]) for _ in range(80)) for _ in range(20)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert not passed
+    odd = ["²½ a² 1½ Ⅷx ٣1", "it's 's don't'x", "\0 a\0b \1", "a\nb\n c \nd", "\u0301a \u200b! \x1cb", "\n\na b\n\nc", "À Á \u00c0\u00c1"]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(odd)] == [e.ids for e in tokenizer.encode_batch(odd, add_special_tokens=False)]
+
+
 def test_encoder_cache_is_bounded(monkeypatch):
     from tokenizers import Tokenizer
 
