@@ -15,7 +15,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quillgraph.llm import bpe, decontam, secret_ledger, setsketch, toxicity
 from quillgraph.llm.common import scratch
@@ -45,15 +44,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text (little-endian unsigned 32-bit) and digests of ids and decoded bytes; each row by itself."""
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.decode_documents(bpe.encode_documents(docs, path), path)
-    return coded.select(
-        "doc_id",
-        (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        "ids",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -18,6 +18,7 @@ columns other than doc_id and text may have any name.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import sys
 import unicodedata
@@ -27,7 +28,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import sub_batches, text_rows
 
@@ -51,6 +51,8 @@ NUMBERS_16 = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x161
 
 #: Pieces that the cache of one worker holds before it starts anew.
 CACHE_PIECES = 150_000
+#: Tokens that are decoded at once for a digest.
+DECODE_TOKENS = 1 << 16
 
 
 @lru_cache(maxsize=1)
@@ -333,12 +335,30 @@ def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return encoded.mapInArrow(run, ", ".join(f"{k} {v}" for k, v in encoded.dtypes) + ", decoded binary")
 
 
-def digests(docs: DataFrame, ranks_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    coded = decode_documents(encode_documents(docs, ranks_path), ranks_path)
-    return coded.select(
-        "doc_id",
-        (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+def digests(docs: DataFrame, ranks_path: str, ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, with ``ids`` the ids (little-endian u32), ids_sha256, decoded_sha256 of every document.
+
+    A row is encoded and decoded in one pass, so a task has one Python worker with one
+    vocabulary, and decoded bytes, ``DECODE_TOKENS`` at a time, do not leave it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(ranks_path)
+        for batch in sub_batches(batches, "text"):
+            coded = vocab.encode(batch.column("text").to_pylist())
+            decoded = []
+            for raw in coded:
+                tokens, digest = np.frombuffer(raw, "<u4"), hashlib.sha256()
+                for at in range(0, len(tokens), DECODE_TOKENS):
+                    part = tokens[at : at + DECODE_TOKENS]
+                    digest.update(vocab.decode(part, vocab.offsets(part)))
+                decoded.append(digest.hexdigest())
+            columns = [batch.column("doc_id"), pa.array([len(x) // 4 for x in coded], pa.int64())]
+            if ids:
+                columns.append(pa.array(coded, pa.binary()))
+            columns += [pa.array([hashlib.sha256(x).hexdigest() for x in coded], pa.string()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["doc_id", "n_tokens", *["ids"] * ids, "ids_sha256", "decoded_sha256"]
+    schema = "doc_id long, n_tokens long, " + "ids binary, " * ids + "ids_sha256 string, decoded_sha256 string"
+    return text_rows(docs).mapInArrow(run, schema)

@@ -79,6 +79,22 @@ def test_bpe(docs, cluttered, rows):
     assert bpe.digests(docs.limit(0), RANKS).count() == 0
 
 
+def test_bpe_takes_one_worker_a_task(docs):
+    """The pipeline's last stage and the query encode and decode in one pass; long texts are decoded part by part."""
+    import corpus_pipeline
+
+    stage = corpus_pipeline.tokenize(docs.sparkSession, docs, "")
+    for made in (stage, bpe.digests(docs, RANKS)):
+        assert made._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    vocabulary = bpe.vocabulary(RANKS)
+    got = stage.collect()
+    assert len(got) == docs.count()
+    for r in got:
+        ids = np.frombuffer(r.ids, "<u4")
+        decoded = vocabulary.decode(ids, vocabulary.offsets(ids)).tobytes()
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(r.ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
+
+
 def test_bpe_boundaries():
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.vocabulary(RANKS).ranks, special_tokens={})
     rng = random.Random(5)
