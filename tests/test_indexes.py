@@ -42,6 +42,17 @@ def test_strings_that_share_beginnings_meet_by_long_grams(spark, monkeypatch):
     assert sizes == {4, 8}
 
 
+def test_long_needles_meet_by_grams(spark, monkeypatch):
+    """A gram of 256 characters once had as many nested steps, for which the analyzer gave up."""
+    monkeypatch.setattr(containment, "PATTERN_BYTES", 0)
+    rng = random.Random(3)
+    text = "".join(rng.choice("aéb😀c ") for _ in range(1200))
+    needles = [text[a : a + n] for a, n in ((0, 256), (3, 300), (700, 500), (40, 511), (1, 1))] + ["x" + text[9:290], text[5:300] + "x"]
+    hays = [text, text[:600], text[3:303], "", None, text[650:]]
+    found = containment.contained(spark.createDataFrame(enumerate(needles), "needle_id long, needle string"), spark.createDataFrame(enumerate(hays), "hay_id long, hay string"))
+    assert sorted(map(tuple, found.collect())) == sorted((i, j) for i, n in enumerate(needles) for j, h in enumerate(hays) if h and n in h)
+
+
 def test_without_needles_no_hay_is_read(spark):
     none, hay = spark.createDataFrame([], "needle_id long, needle string"), spark.createDataFrame([(1, "ba")], "hay_id long, hay string")
     found = containment.contained(none, hay)
